@@ -1,0 +1,124 @@
+"""Compare a Spark query with its DuckDB statement: row count, column names
+and an order-insensitive hash of all values (the way the round check does).
+
+Run directly for a report: ``python tests/oracle_harness.py [sf_dir] [names...]``
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import hashlib
+import json
+import os
+import sys
+import time
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _canon(v) -> str:
+    if v is None:
+        return "<null>"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, decimal.Decimal):
+        return format(v.normalize(), "f") if v != 0 else "0"
+    if isinstance(v, float):
+        return repr(round(v, 9))
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, (dt.datetime, dt.date)):
+        return v.isoformat()
+    return str(v)
+
+
+def digest(names: list[str], rows: list[tuple]) -> str:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    lines = sorted("\x1f".join(_canon(r[i]) for i in order) for r in rows)
+    h = hashlib.sha256()
+    for line in lines:
+        h.update(line.encode())
+        h.update(b"\n")
+    return h.hexdigest()
+
+
+def compare(spark, con, name: str, run, sql: str, sf_dir: str) -> dict:
+    t0 = time.time()
+    sdf = run(spark, sf_dir)
+    s_names = sdf.columns
+    s_rows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    rel = con.execute(sql)
+    d_names = [d[0] for d in rel.description]
+    d_rows = rel.fetchall()
+    t2 = time.time()
+    out = {
+        "query": name,
+        "spark_rows": len(s_rows),
+        "oracle_rows": len(d_rows),
+        "names_match": sorted(s_names) == sorted(d_names),
+        "spark_sec": round(t1 - t0, 2),
+        "oracle_sec": round(t2 - t1, 2),
+    }
+    out["rows_match"] = out["spark_rows"] == out["oracle_rows"]
+    out["hash_match"] = out["names_match"] and digest(s_names, s_rows) == digest(d_names, d_rows)
+    if not out["names_match"]:
+        out["spark_cols"], out["oracle_cols"] = s_names, d_names
+    if out["names_match"] and not out["hash_match"]:
+        order_s = sorted(range(len(s_names)), key=lambda i: s_names[i])
+        order_d = sorted(range(len(d_names)), key=lambda i: d_names[i])
+        ss = {tuple(_canon(r[i]) for i in order_s) for r in s_rows}
+        dd = {tuple(_canon(r[i]) for i in order_d) for r in d_rows}
+        out["only_spark"] = [list(x) for x in list(ss - dd)[:3]]
+        out["only_oracle"] = [list(x) for x in list(dd - ss)[:3]]
+        out["sorted_cols"] = sorted(s_names)
+    return out
+
+
+def main(argv: list[str]) -> int:
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    only = set(argv[2:])
+    import __spark_entry__ as E
+    from strata.session import build_session
+
+    spark = build_session(shuffle_partitions=8)
+    con = duck(sf_dir)
+    qs, sqls = E.queries(), E.oracle_sql()
+    bad = 0
+    for name, run in qs.items():
+        if only and name not in only:
+            continue
+        if name not in sqls:
+            print(json.dumps({"query": name, "oracle": "none"}))
+            continue
+        try:
+            res = compare(spark, con, name, run, sqls[name], sf_dir)
+        except Exception as exc:  # report and continue
+            res = {"query": name, "error": repr(exc)[:600]}
+        ok = res.get("hash_match") and res.get("rows_match")
+        bad += 0 if ok else 1
+        print(json.dumps(res, default=str), flush=True)
+    print(json.dumps({"failed": bad}))
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
