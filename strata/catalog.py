@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +26,25 @@ from strata.sources.driver_tables import RAW_BUILDERS
 
 
 class Tables:
-    """Raw, clean and model tables of one benchmark folder, built lazily."""
+    """Raw, clean and model tables of one benchmark folder, built lazily.
+
+    The model reads clean tables through ``shared``: a clean table feeding
+    several dimensions and facts is persisted (memory, spilling to disk) and
+    filled by the first job that reads it, instead of being recomputed from
+    the raw layer by every job. Clean tables are deterministic, so a lost
+    block is simply recomputed."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._raw: dict[str, DataFrame] = {}
         self._clean: dict[str, DataFrame] = {}
-        self.model = Model(_LazyClean(self))
+        self._shared: dict[str, DataFrame] = {}
+        self.model = Model(_SharedClean(self))
+
+    def shared(self, name: str) -> DataFrame:
+        if name not in self._shared:
+            self._shared[name] = self.clean(name).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._shared[name]
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
@@ -44,13 +57,13 @@ class Tables:
         return self._clean[name]
 
 
-class _LazyClean(dict):
+class _SharedClean(dict):
     def __init__(self, tables: Tables):
         super().__init__()
         self._t = tables
 
     def __getitem__(self, name):
-        return self._t.clean(name)
+        return self._t.shared(name)
 
 
 @dataclass

@@ -22,24 +22,37 @@ with ``groupBy``/``distinct``; equal keys would otherwise get distinct ranks.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
 
 
+# Up to this many keys the rank runs in one task (one sort of at most this
+# many rows); above it the parallel path is taken.
+ONE_TASK_KEYS = 1_000_000
+
+
 def dense_rank_key(
     df: DataFrame,
     key: str,
     out: str,
-    small: bool = False,
+    small: bool | None = None,
     type_name: str = "int",
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = dense rank of ``key`` (ascending, binary order) as the
-    first column. Rows with a NULL key are dropped."""
+    first column. Rows with a NULL key are dropped.
+
+    ``small=True``: bounded by nature, rank in one task. ``small=None``:
+    count the keys (input persisted, so the count fills the cache the rank
+    reads) and take the one-task path only under ``ONE_TASK_KEYS``."""
     df = df.where(F.col(key).isNotNull())
     cols = df.columns
+    if small is None:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        small = df.limit(ONE_TASK_KEYS + 1).count() <= ONE_TASK_KEYS
     if small:
         ranked = df.withColumn(out, F.dense_rank().over(Window.orderBy(F.col(key).asc())).cast(type_name))
         return ranked.select(out, *cols)

@@ -9,17 +9,28 @@ to be large.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Broadcast bound for dimensions whose size is bounded by nature (dates,
 # statuses, payment types, categories): ~270 years of days.
 SMALL_DIM_ROWS = 100_000
+# Broadcast bound for key -> surrogate-key lookups whose size grows with the
+# data (sellers, products): one million (id, sk) pairs is a few tens of MB.
+LOOKUP_ROWS = 1_000_000
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = SMALL_DIM_ROWS) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave the
+    join to a shuffle. The dimension is persisted first, so the counting
+    job fills the cache that the broadcast then reads."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)
+    df.unpersist()
+    return df
 
 
 def date_lookup(df: DataFrame, dim_date: DataFrame, on: Column, out: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.clean import has_text
 from strata.functions.dates import day, day_diff, exact_money_mean, rounded_mean
-from strata.operators.lookup import date_lookup
+from strata.operators.lookup import LOOKUP_ROWS, date_lookup, sized_broadcast
 
 DATE_ROLES = [
     ("order_purchase_timestamp", "order_date_sk"),
@@ -150,8 +150,8 @@ def fact_order_items(
         .join(ctx, "order_id", "left")
         .join(main_payment(payments, dim_payment_type), "order_id", "left")
         .join(review_score_by_order(reviews), "order_id", "left")
-        .join(dim_seller.select("seller_id", "seller_sk"), "seller_id", "left")
-        .join(pkmap, "product_id", "left")
+        .join(sized_broadcast(dim_seller.select("seller_id", "seller_sk"), LOOKUP_ROWS), "seller_id", "left")
+        .join(sized_broadcast(pkmap.select("product_id", "product_sk"), LOOKUP_ROWS), "product_id", "left")
     )
     return f.select(
         "order_id",

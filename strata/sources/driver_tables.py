@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources.schemas import INGEST_POS, RAW_COLUMNS
+from strata.sources.spread import spread
 
 # The period (in source-key units) of each injected defect.
 # Shared with the DuckDB twin in strata.oracle.
@@ -88,7 +89,7 @@ def _shape(df: DataFrame, entity: str, exprs: dict, pos: list[Column]) -> DataFr
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
