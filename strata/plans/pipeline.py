@@ -138,12 +138,20 @@ class Warehouse:
     def runs(self, layer: str) -> list[str]:
         return self._manifest(layer)[1]["runs"]
 
+    def publish_run(self, layer: str, run_id: str) -> None:
+        """Append one already written run to a layer (idempotent: a run that
+        is already published is left alone)."""
+        if run_id not in self.runs(layer):
+            self._publish(layer, run_id, "append")
+
     def table(self, layer: str, name: str) -> DataFrame:
         """The published content of one table (all runs of the manifest)."""
         runs = self.runs(layer)
         if not runs:
             raise LoadError(f"layer {layer} has no published load")
         paths = [f"{self.root}/{layer}/{r}/{name}" for r in runs]
+        if len(paths) > 1:  # incremental runs may carry only some tables
+            paths = [p for p in paths if self._exists(p)]
         return self.spark.read.parquet(*paths)
 
     def register_views(self) -> list[str]:
