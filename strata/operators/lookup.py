@@ -35,7 +35,9 @@ def sized_broadcast(df: DataFrame, max_rows: int = SMALL_DIM_ROWS) -> DataFrame:
 
 def date_lookup(df: DataFrame, dim_date: DataFrame, on: Column, out: str) -> DataFrame:
     """Add ``out`` = ``date_sk`` of the calendar date ``on`` (NULL when the
-    date is NULL or absent). ``dim_date`` should already be broadcast; reused
-    for every role the date plays."""
-    d = dim_date.select(F.col("full_date").alias(f"_{out}_d"), F.col("date_sk").alias(out))
-    return df.join(d, on == F.col(f"_{out}_d"), "left").drop(f"_{out}_d")
+    date is NULL or absent). Every role joins the *same* projection of the
+    (already broadcast) date dimension, only aliased per role, so Spark ships
+    it once and reuses the exchange for the other roles."""
+    d = dim_date.select("full_date", "date_sk").alias(out)
+    joined = df.join(d, on == F.col(f"{out}.full_date"), "left")
+    return joined.select(*[df[c] for c in df.columns], F.col(f"{out}.date_sk").alias(out))
