@@ -1,24 +1,25 @@
 """Keep one row per key.
 
-``keep_latest`` is the clean layer's dedupe: ``row_number`` over the key,
-ordered by the entity's recency columns and finally by the stored ingest
-position, keeping rank 1. Spark plans it as a partial ``WindowGroupLimit``
-on the map side (each task keeps only its own best row per key), one
-hash exchange on the key, then the final limit: a key holding a third of
-all rows ships at most one row per map task, not a third of the data.
-
-``representative`` picks the row with the greatest ordering struct per key
-with a plain aggregate (partial aggregation before the shuffle). It is exact
-for descending, nulls-last orders: a NULL struct field compares smallest.
-Its output is provably unique on the key, so Catalyst may drop a left join
-to it when no column of it is read.
+``keep_latest`` is the clean layer's dedupe: per key, the row that is newest
+by the entity's recency columns (descending, NULLs last) and then by the
+stored ingest position. It is one aggregate: ``max`` of a struct whose
+leading fields are the recency columns and the ingest position, carrying the
+rest of the row. A NULL struct field compares lowest, so ``max`` is exactly
+"descending, NULLs last", and the unique ingest position leaves no ties.
+Spark combines on the map side (each task keeps its own newest row per key)
+before the one hash exchange on the key, so a key holding a third of all
+rows ships at most one row per map task. The result is provably unique on
+the key.
+
+``representative`` picks the row with the greatest ordering columns per key
+the same way; it is used where the key is a plain column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.sources.schemas import INGEST_POS
@@ -27,14 +28,23 @@ from strata.sources.schemas import INGEST_POS
 def keep_latest(
     df: DataFrame,
     keys: Sequence[Column],
-    order: Sequence[Column] = (),
+    newest_first: Sequence[Column] = (),
     position: str = INGEST_POS,
 ) -> DataFrame:
-    """Rank rows within each key by ``order`` then by the ingest position,
-    both descending, and keep the first. ``order`` items are sort
-    expressions (``col.desc_nulls_last()`` and so on)."""
-    w = Window.partitionBy(*keys).orderBy(*order, F.col(position).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """One row per value of the ``keys`` expressions: the greatest by
+    ``newest_first`` (each descending, NULLs last), then by ``position``.
+    Returns the input's columns unchanged."""
+    payload = [c for c in df.columns if c != position]
+    best = F.max(
+        F.struct(
+            *[c.alias(f"_o{i}") for i, c in enumerate(newest_first)],
+            F.col(position).alias("_pos"),
+            *[F.col(c) for c in payload],
+        )
+    ).alias("_best")
+    grouped = df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).agg(best)
+    out = [F.col(f"_best.{c}").alias(c) for c in payload] + [F.col("_best._pos").alias(position)]
+    return grouped.select(*out)
 
 
 def representative(

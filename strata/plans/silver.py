@@ -5,10 +5,10 @@ Every function follows the same shape:
 * keep one row per key, where the key is the trimmed *raw* text (so ``1``
   and ``01`` are different keys even though both become 1 later);
 * pick the most recent row by the entity's value order, then by ingest
-  position, all descending with NULLs last;
+  position, all descending with NULLs last (``keep_latest``);
 * trim, pad, fold case, cut to the declared length and guard every cast.
 
-Each is one shuffle on its key (see ``keep_latest``).
+Each is one shuffle on its key, combined on the map side (see ``keep_latest``).
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     kept = keep_latest(
         _drop_blank(raw, "customer_id"),
         _key("customer_id"),
-        [C.blank_to_null("customer_unique_id").desc_nulls_last()],
+        [C.blank_to_null("customer_unique_id")],
     )
     return _typed(
         kept,
@@ -92,7 +92,7 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     kept = keep_latest(
         _drop_blank(raw, "order_id"),
         _key("order_id"),
-        [C.to_timestamp("order_purchase_timestamp").desc_nulls_last()],
+        [C.to_timestamp("order_purchase_timestamp")],
     )
     exprs = {
         "order_id": C.clean_text("order_id", 32),
@@ -114,7 +114,7 @@ def clean_order_items(raw: DataFrame) -> DataFrame:
     kept = keep_latest(
         _drop_blank(raw, "order_id"),
         _key("order_id", "order_item_id"),
-        [C.to_timestamp("shipping_limit_date").desc_nulls_last()],
+        [C.to_timestamp("shipping_limit_date")],
     )
     return _typed(
         kept,
@@ -151,8 +151,8 @@ def clean_order_reviews(raw: DataFrame) -> DataFrame:
         _drop_blank(raw, "review_id"),
         _key("review_id"),
         [
-            C.to_timestamp("review_answer_timestamp").desc_nulls_last(),
-            C.to_timestamp("review_creation_date").desc_nulls_last(),
+            C.to_timestamp("review_answer_timestamp"),
+            C.to_timestamp("review_creation_date"),
         ],
     )
     return _typed(
