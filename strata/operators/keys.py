@@ -1,10 +1,10 @@
 """Surrogate keys: the dense rank of a natural key, 1..n in key order.
 
 ``DENSE_RANK() OVER (ORDER BY k)`` with no partition makes Spark move every
-row into one task (``Exchange SinglePartition``). That is fine for the
-dimensions whose size is bounded by nature (dates, order statuses, payment
-types, categories) and is what ``small=True`` does. For the others the rank
-is computed in parallel and exactly:
+row into one task (``Exchange SinglePartition``). That is only allowed
+behind a checked bound: the keys are counted first (``limit(bound + 1)``,
+on the persisted input) and the one-task rank is used under
+``ONE_TASK_KEYS``. Above it the rank is computed in parallel and exactly:
 
 1. range-partition the rows on the key (sampled bounds), sort each
    partition, tag every row with its partition and its position in it;
@@ -45,9 +45,10 @@ def dense_rank_key(
     """Add ``out`` = dense rank of ``key`` (ascending, binary order) as the
     first column. Rows with a NULL key are dropped.
 
-    ``small=True``: bounded by nature, rank in one task. ``small=None``:
-    count the keys (input persisted, so the count fills the cache the rank
-    reads) and take the one-task path only under ``ONE_TASK_KEYS``."""
+    ``small=None`` (default): count the keys (input persisted, so the count
+    fills the cache the rank reads) and take the one-task path only under
+    ``ONE_TASK_KEYS``. ``small=False`` forces the parallel path;
+    ``small=True`` is for callers that hold their own proof of the bound."""
     df = df.where(F.col(key).isNotNull())
     cols = df.columns
     if small is None:

@@ -1,9 +1,10 @@
 """Model layer: dimensions.
 
-Inputs are clean-layer DataFrames. Dimensions with a size bounded by nature
-(date, order status, payment type, category) rank their keys in one task and
-are broadcast after a size check; the others (customer, seller, geolocation,
-product key map) rank in parallel (``dense_rank_key``) and join by shuffle.
+Inputs are clean-layer DataFrames. Every surrogate key is a dense rank whose
+path is chosen from a bounded count of the keys (``dense_rank_key``): one
+task under a million keys (dates, statuses, payment types and categories
+always are), the parallel range rank above. Small dimensions are broadcast
+only after a size check; large ones join by shuffle.
 
 Per-entity statistics are pre-aggregated on the smallest key before any join
 so that a customer or seller holding a third of all orders is combined on
@@ -44,7 +45,7 @@ def observed_dates(orders: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def dim_date(orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    ranked = dense_rank_key(observed_dates(orders, reviews), "full_date", "date_sk", small=True)
+    ranked = dense_rank_key(observed_dates(orders, reviews), "full_date", "date_sk")
     return ranked.select("date_sk", "full_date", *calendar_columns("full_date"))
 
 
@@ -158,7 +159,7 @@ def dim_product_category(products: DataFrame, translation: DataFrame) -> DataFra
     tr = translation.groupBy(name).agg(
         F.max("product_category_name_english").alias("product_category_name_en")
     )
-    ranked = dense_rank_key(cats.join(tr, name, "left"), name, "product_category_sk", small=True)
+    ranked = dense_rank_key(cats.join(tr, name, "left"), name, "product_category_sk")
     return ranked.select(
         "product_category_sk",
         name,
@@ -168,7 +169,7 @@ def dim_product_category(products: DataFrame, translation: DataFrame) -> DataFra
 
 def dim_order_status(orders: DataFrame) -> DataFrame:
     codes = orders.select(F.col("order_status").alias("order_status_code")).distinct()
-    ranked = dense_rank_key(codes, "order_status_code", "order_status_sk", small=True, type_name="smallint")
+    ranked = dense_rank_key(codes, "order_status_code", "order_status_sk", type_name="smallint")
     code = F.col("order_status_code")
     return ranked.select(
         "order_status_sk",
@@ -189,7 +190,7 @@ def payment_type_stats(payments: DataFrame) -> DataFrame:
 
 def dim_payment_type(payments: DataFrame) -> DataFrame:
     ranked = dense_rank_key(
-        payment_type_stats(payments), "payment_type_code", "payment_type_sk", small=True, type_name="smallint"
+        payment_type_stats(payments), "payment_type_code", "payment_type_sk", type_name="smallint"
     )
     return ranked.select(
         "payment_type_sk",

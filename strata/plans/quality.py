@@ -47,7 +47,8 @@ def reconcile(raw: dict[str, DataFrame], clean: dict[str, DataFrame]) -> DataFra
         F.sum(F.when(F.col("layer") == "raw", F.col("n"))).cast("bigint").alias("raw_rows"),
         F.sum(F.when(F.col("layer") == "clean", F.col("n"))).cast("bigint").alias("clean_rows"),
     )
-    return counts.select("entity", "raw_rows", "clean_rows", (F.col("raw_rows") - F.col("clean_rows")).alias("dropped_rows"))
+    out = counts.select("entity", "raw_rows", "clean_rows", (F.col("raw_rows") - F.col("clean_rows")).alias("dropped_rows"))
+    return out.orderBy("entity")
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
