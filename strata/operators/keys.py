@@ -41,6 +41,7 @@ def dense_rank_key(
     small: bool | None = None,
     type_name: str = "int",
     num_partitions: int | None = None,
+    stats: dict | None = None,
 ) -> DataFrame:
     """Add ``out`` = dense rank of ``key`` (ascending, binary order) as the
     first column. Rows with a NULL key are dropped.
@@ -48,12 +49,16 @@ def dense_rank_key(
     ``small=None`` (default): count the keys (input persisted, so the count
     fills the cache the rank reads) and take the one-task path only under
     ``ONE_TASK_KEYS``. ``small=False`` forces the parallel path;
-    ``small=True`` is for callers that hold their own proof of the bound."""
+    ``small=True`` is for callers that hold their own proof of the bound.
+    ``stats`` receives ``rows`` when the count was taken and is exact."""
     df = df.where(F.col(key).isNotNull())
     cols = df.columns
     if small is None:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        small = df.limit(ONE_TASK_KEYS + 1).count() <= ONE_TASK_KEYS
+        n = df.limit(ONE_TASK_KEYS + 1).count()
+        small = n <= ONE_TASK_KEYS
+        if stats is not None and small:
+            stats["rows"] = n  # exact: one row per key
     if small:
         ranked = df.withColumn(out, F.dense_rank().over(Window.orderBy(F.col(key).asc())).cast(type_name))
         return ranked.select(out, *cols)

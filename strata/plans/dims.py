@@ -44,12 +44,12 @@ def observed_dates(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     return o.unionByName(r).where(F.col("full_date").isNotNull()).distinct()
 
 
-def dim_date(orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    ranked = dense_rank_key(observed_dates(orders, reviews), "full_date", "date_sk")
+def dim_date(orders: DataFrame, reviews: DataFrame, stats: dict | None = None) -> DataFrame:
+    ranked = dense_rank_key(observed_dates(orders, reviews), "full_date", "date_sk", stats=stats)
     return ranked.select("date_sk", "full_date", *calendar_columns("full_date"))
 
 
-def dim_customer(customers: DataFrame, orders: DataFrame, dates: DataFrame) -> DataFrame:
+def dim_customer(customers: DataFrame, orders: DataFrame, dates: DataFrame, stats: dict | None = None) -> DataFrame:
     """One row per person (``customer_unique_id``): attributes of the
     person's greatest ``customer_id``; first/last purchase date and number
     of distinct orders over all of the person's ids.
@@ -89,7 +89,7 @@ def dim_customer(customers: DataFrame, orders: DataFrame, dates: DataFrame) -> D
         "_last",
         F.coalesce(F.col("_n"), F.lit(0)).cast("int").alias("total_orders"),
     )
-    ranked = dense_rank_key(person, "customer_unique_id", "customer_sk")
+    ranked = dense_rank_key(person, "customer_unique_id", "customer_sk", stats=stats)
     ranked = date_lookup(ranked, dates, F.col("_first"), "first_order_date_sk")
     ranked = date_lookup(ranked, dates, F.col("_last"), "last_order_date_sk")
     return ranked.select(
@@ -105,7 +105,9 @@ def dim_customer(customers: DataFrame, orders: DataFrame, dates: DataFrame) -> D
     )
 
 
-def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame, dates: DataFrame) -> DataFrame:
+def dim_seller(
+    sellers: DataFrame, items: DataFrame, orders: DataFrame, dates: DataFrame, stats: dict | None = None
+) -> DataFrame:
     """One row per seller; first/last purchase date of the orders it sold
     in and their distinct count. Items whose order row is missing still
     count (their dates are NULL)."""
@@ -114,7 +116,7 @@ def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame, dates: D
         F.min(day("order_purchase_timestamp")).alias("_lo"),
         F.max(day("order_purchase_timestamp")).alias("_hi"),
     )
-    stats = (
+    per_seller = (
         pairs.join(order_days, "order_id", "left")
         .groupBy("seller_id")
         .agg(
@@ -128,10 +130,10 @@ def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame, dates: D
         "seller_id",
         ["seller_zip_code_prefix", "seller_city", "seller_state"],
     )
-    joined = base.join(stats, "seller_id", "left").withColumn(
+    joined = base.join(per_seller, "seller_id", "left").withColumn(
         "total_orders", F.coalesce(F.col("_n"), F.lit(0)).cast("int")
     )
-    ranked = dense_rank_key(joined, "seller_id", "seller_sk")
+    ranked = dense_rank_key(joined, "seller_id", "seller_sk", stats=stats)
     ranked = date_lookup(ranked, dates, F.col("_first"), "first_order_date_sk")
     ranked = date_lookup(ranked, dates, F.col("_last"), "last_order_date_sk")
     return ranked.select(
@@ -146,7 +148,7 @@ def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame, dates: D
     )
 
 
-def dim_product_category(products: DataFrame, translation: DataFrame) -> DataFrame:
+def dim_product_category(products: DataFrame, translation: DataFrame, stats: dict | None = None) -> DataFrame:
     """Categories named by products or by the translation table; English
     name NULL when untranslated."""
     name = "product_category_name"
@@ -159,7 +161,7 @@ def dim_product_category(products: DataFrame, translation: DataFrame) -> DataFra
     tr = translation.groupBy(name).agg(
         F.max("product_category_name_english").alias("product_category_name_en")
     )
-    ranked = dense_rank_key(cats.join(tr, name, "left"), name, "product_category_sk")
+    ranked = dense_rank_key(cats.join(tr, name, "left"), name, "product_category_sk", stats=stats)
     return ranked.select(
         "product_category_sk",
         name,
@@ -167,9 +169,9 @@ def dim_product_category(products: DataFrame, translation: DataFrame) -> DataFra
     )
 
 
-def dim_order_status(orders: DataFrame) -> DataFrame:
+def dim_order_status(orders: DataFrame, stats: dict | None = None) -> DataFrame:
     codes = orders.select(F.col("order_status").alias("order_status_code")).distinct()
-    ranked = dense_rank_key(codes, "order_status_code", "order_status_sk", type_name="smallint")
+    ranked = dense_rank_key(codes, "order_status_code", "order_status_sk", type_name="smallint", stats=stats)
     code = F.col("order_status_code")
     return ranked.select(
         "order_status_sk",
@@ -188,9 +190,9 @@ def payment_type_stats(payments: DataFrame) -> DataFrame:
     )
 
 
-def dim_payment_type(payments: DataFrame) -> DataFrame:
+def dim_payment_type(payments: DataFrame, stats: dict | None = None) -> DataFrame:
     ranked = dense_rank_key(
-        payment_type_stats(payments), "payment_type_code", "payment_type_sk", type_name="smallint"
+        payment_type_stats(payments), "payment_type_code", "payment_type_sk", type_name="smallint", stats=stats
     )
     return ranked.select(
         "payment_type_sk",
@@ -199,7 +201,7 @@ def dim_payment_type(payments: DataFrame) -> DataFrame:
     )
 
 
-def dim_geolocation(geolocation: DataFrame) -> DataFrame:
+def dim_geolocation(geolocation: DataFrame, stats: dict | None = None) -> DataFrame:
     """One row per zip prefix: greatest latitude, then longitude, city and
     state (descending, NULLs last)."""
     rep = representative(
@@ -207,7 +209,7 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
         "geolocation_zip_code_prefix",
         ["geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state"],
     )
-    ranked = dense_rank_key(rep, "geolocation_zip_code_prefix", "geolocation_sk")
+    ranked = dense_rank_key(rep, "geolocation_zip_code_prefix", "geolocation_sk", stats=stats)
     return ranked.select(
         "geolocation_sk",
         F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"),
@@ -218,6 +220,6 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     )
 
 
-def product_key_map(products: DataFrame) -> DataFrame:
+def product_key_map(products: DataFrame, stats: dict | None = None) -> DataFrame:
     ids = products.select("product_id").where(F.col("product_id").isNotNull()).distinct()
-    return dense_rank_key(ids, "product_id", "product_sk").select("product_id", "product_sk")
+    return dense_rank_key(ids, "product_id", "product_sk", stats=stats).select("product_id", "product_sk")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.clean import has_text
 from strata.functions.dates import day, day_diff, exact_money_mean, rounded_mean
-from strata.operators.lookup import LOOKUP_ROWS, date_lookup, sized_broadcast
+from strata.operators.lookup import date_lookup
 
 DATE_ROLES = [
     ("order_purchase_timestamp", "order_date_sk"),
@@ -134,9 +134,12 @@ def fact_order_items(
     dim_date: DataFrame,
     dim_order_status: DataFrame,
     dim_payment_type: DataFrame,
-    dim_seller: DataFrame,
-    pkmap: DataFrame,
+    seller_lookup: DataFrame,
+    product_lookup: DataFrame,
 ) -> DataFrame:
+    """One row per clean item with a key. ``seller_lookup`` (seller_id,
+    seller_sk) and ``product_lookup`` (product_id, product_sk) come
+    broadcast when their size is proven small (see ``Model``)."""
     ctx = order_context(orders, cmap, dim_date, dim_order_status).select(
         "order_id",
         *[out for _, out in DATE_ROLES],
@@ -150,8 +153,8 @@ def fact_order_items(
         .join(ctx, "order_id", "left")
         .join(main_payment(payments, dim_payment_type), "order_id", "left")
         .join(review_score_by_order(reviews), "order_id", "left")
-        .join(sized_broadcast(dim_seller.select("seller_id", "seller_sk"), LOOKUP_ROWS), "seller_id", "left")
-        .join(sized_broadcast(pkmap.select("product_id", "product_sk"), LOOKUP_ROWS), "product_id", "left")
+        .join(seller_lookup, "seller_id", "left")
+        .join(product_lookup, "product_id", "left")
     )
     return f.select(
         "order_id",

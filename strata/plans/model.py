@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from strata.operators.lookup import sized_broadcast
+from strata.operators.lookup import LOOKUP_ROWS, SMALL_DIM_ROWS, sized_broadcast
 from strata.plans import dims, facts
 
 DIMENSIONS = [
@@ -24,53 +25,78 @@ class Model:
     """Lazily builds each model table once from the clean tables.
 
     ``clean`` maps entity name -> clean DataFrame (or a reader of the
-    written clean table). Small dimensions are broadcast only after their
-    row count is checked (``sized_broadcast``)."""
+    written clean table). A dimension is broadcast only behind a proven row
+    bound: the key count its surrogate-key rank already took (one row per
+    key), or else a count of its own (``sized_broadcast``)."""
 
     def __init__(self, clean: dict[str, DataFrame], overrides: dict[str, DataFrame] | None = None):
         self.clean = clean
         self._built: dict[str, DataFrame] = dict(overrides or {})
+        self.rows: dict[str, int] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             self._built[name] = getattr(self, "_" + name)()
         return self._built[name]
 
+    def _counted(self, name: str, build) -> DataFrame:
+        stats: dict = {}
+        df = build(stats)
+        if "rows" in stats:
+            self.rows[name] = stats["rows"]
+        return df
+
+    def bounded_broadcast(self, name: str, max_rows: int, cols: list[str] | None = None) -> DataFrame:
+        df = self[name] if cols is None else self[name].select(*cols)
+        n = self.rows.get(name)
+        if n is not None:
+            return F.broadcast(df) if n <= max_rows else df
+        return sized_broadcast(df, max_rows)
+
     # small, broadcastable dimensions -------------------------------------
     def _dim_date(self):
-        return dims.dim_date(self.clean["orders"], self.clean["order_reviews"])
+        return self._counted("dim_date", lambda st: dims.dim_date(self.clean["orders"], self.clean["order_reviews"], st))
 
     def _dim_date_b(self):
-        return sized_broadcast(self["dim_date"])
+        return self.bounded_broadcast("dim_date", SMALL_DIM_ROWS)
 
     def _dim_order_status(self):
-        return dims.dim_order_status(self.clean["orders"])
+        return self._counted("dim_order_status", lambda st: dims.dim_order_status(self.clean["orders"], st))
 
     def _dim_order_status_b(self):
-        return sized_broadcast(self["dim_order_status"])
+        return self.bounded_broadcast("dim_order_status", SMALL_DIM_ROWS)
 
     def _dim_payment_type(self):
-        return dims.dim_payment_type(self.clean["order_payments"])
+        return self._counted("dim_payment_type", lambda st: dims.dim_payment_type(self.clean["order_payments"], st))
 
     def _dim_payment_type_b(self):
-        return sized_broadcast(self["dim_payment_type"])
+        return self.bounded_broadcast("dim_payment_type", SMALL_DIM_ROWS)
 
     def _dim_product_category(self):
-        return dims.dim_product_category(self.clean["products"], self.clean["category_translation"])
+        c = self.clean
+        return self._counted(
+            "dim_product_category", lambda st: dims.dim_product_category(c["products"], c["category_translation"], st)
+        )
 
     # large dimensions ------------------------------------------------------
     def _dim_customer(self):
-        return dims.dim_customer(self.clean["customers"], self.clean["orders"], self["dim_date_b"])
+        c = self.clean
+        return self._counted(
+            "dim_customer", lambda st: dims.dim_customer(c["customers"], c["orders"], self["dim_date_b"], st)
+        )
 
     def _dim_seller(self):
         c = self.clean
-        return dims.dim_seller(c["sellers"], c["order_items"], c["orders"], self["dim_date_b"])
+        return self._counted(
+            "dim_seller",
+            lambda st: dims.dim_seller(c["sellers"], c["order_items"], c["orders"], self["dim_date_b"], st),
+        )
 
     def _dim_geolocation(self):
-        return dims.dim_geolocation(self.clean["geolocation"])
+        return self._counted("dim_geolocation", lambda st: dims.dim_geolocation(self.clean["geolocation"], st))
 
     def _product_key_map(self):
-        return dims.product_key_map(self.clean["products"])
+        return self._counted("product_key_map", lambda st: dims.product_key_map(self.clean["products"], st))
 
     def _customer_map(self):
         return facts.customer_map(self.clean["customers"], self["dim_customer"])
@@ -87,8 +113,8 @@ class Model:
             self["dim_date_b"],
             self["dim_order_status_b"],
             self["dim_payment_type_b"],
-            self["dim_seller"],
-            self["product_key_map"],
+            self.bounded_broadcast("dim_seller", LOOKUP_ROWS, ["seller_id", "seller_sk"]),
+            self.bounded_broadcast("product_key_map", LOOKUP_ROWS, ["product_id", "product_sk"]),
         )
 
     def _fact_orders(self):
