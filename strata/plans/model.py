@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +48,19 @@ class Model:
         return df
 
     def bounded_broadcast(self, name: str, max_rows: int, cols: list[str] | None = None) -> DataFrame:
+        """Broadcast the dimension (or its ``cols``) if its row count is
+        proven <= ``max_rows``. The broadcast side is persisted and filled
+        once, so the several broadcasts of one dimension (one per date
+        role) read it instead of recomputing it."""
         df = self[name] if cols is None else self[name].select(*cols)
         n = self.rows.get(name)
-        if n is not None:
-            return F.broadcast(df) if n <= max_rows else df
-        return sized_broadcast(df, max_rows)
+        if n is not None and n > max_rows:
+            return df
+        if n is None:
+            return sized_broadcast(df, max_rows)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df.count()
+        return F.broadcast(df)
 
     # small, broadcastable dimensions -------------------------------------
     def _dim_date(self):
