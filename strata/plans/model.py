@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +36,15 @@ class Model:
         self.clean = clean
         self._built: dict[str, DataFrame] = dict(overrides or {})
         self.rows: dict[str, int] = {}
+        # tables are requested from several driver threads (one per table
+        # write); each is planned once, its eager size checks included
+        self._lock = threading.RLock()
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = getattr(self, "_" + name)()
-        return self._built[name]
+        with self._lock:
+            if name not in self._built:
+                self._built[name] = getattr(self, "_" + name)()
+            return self._built[name]
 
     def _counted(self, name: str, build) -> DataFrame:
         stats: dict = {}

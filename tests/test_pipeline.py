@@ -24,12 +24,14 @@ CSV = {
 }
 
 
-def write_csv(folder, bad_row=False):
+def write_csv(folder, bad_row=False, long_row=False):
     os.makedirs(folder, exist_ok=True)
     for e in ENTITY_ORDER:
         lines = [",".join(RAW_COLUMNS[e])] + CSV[e]
         if bad_row and e == "sellers":
             lines.append("s3,only_two")
+        if long_row and e == "products":
+            lines.append("p9,cat,1,2,3,4,5,6,7,8")
         body = "\r\n".join(lines)
         with open(os.path.join(folder, SOURCE_FILES[e]), "wb") as f:
             f.write(("﻿" + body).encode("utf-8"))  # BOM, CRLF, no final newline
@@ -82,3 +84,13 @@ def test_bad_row_fails_and_publishes_nothing(spark, scratch):
     assert wh.runs("raw") == []
     failed = [r for r in wh.audit().collect() if r["status"] == "failed"]
     assert [r["table"] for r in failed] == ["sellers"]
+
+
+def test_too_long_row_fails(spark, scratch):
+    src = os.path.join(scratch, "csv")
+    write_csv(src, long_row=True)
+    wh = Warehouse(spark, os.path.join(scratch, "wh"))
+    wh.create_layers()
+    with pytest.raises(LoadError):
+        wh.load_raw(source_dir=src)
+    assert wh.runs("raw") == []
