@@ -112,9 +112,9 @@ def item_totals_by_order(items: DataFrame) -> DataFrame:
     )
 
 
-def _lead_times(prefix_approval: bool):
+def _lead_times(with_approval: bool):
     cols = []
-    if prefix_approval:
+    if with_approval:
         cols.append(day_diff("order_approved_at", "order_purchase_timestamp").alias("days_approval"))
     cols += [
         day_diff("order_delivered_customer_date", "order_purchase_timestamp").alias("days_delivery"),

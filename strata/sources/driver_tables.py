@@ -38,18 +38,6 @@ DATE_ONLY = 37
 LETTER = 29
 LOOKALIKE = 13
 
-ENTITY_SOURCES = {
-    "customers": ["customer", "nation"],
-    "sellers": ["supplier", "nation"],
-    "geolocation": ["customer", "supplier", "nation"],
-    "orders": ["orders"],
-    "order_items": ["lineitem"],
-    "order_payments": ["events"],
-    "order_reviews": ["documents"],
-    "products": ["part"],
-    "category_translation": ["part"],
-}
-
 
 def _txt(c: Column) -> Column:
     return c.cast("string")
