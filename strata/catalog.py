@@ -168,23 +168,30 @@ def q_case_fold(spark, sf_dir):
 @register(
     "bounded_text",
     with_layers(
-        f"SELECT review_id AS raw_review_id, {txt('review_id', 32)} AS review_id, "
-        f"{txt('review_comment_title', 80)} AS review_comment_title, "
-        f"left({nb('review_comment_message')}, 80) AS message_head80, "
-        f"length({nb('review_comment_message')}) AS message_length FROM r_order_reviews"
+        f"SELECT review_id AS raw_id, {txt('review_id', 32)} AS id_bounded, "
+        f"{txt('review_comment_title', 80)} AS text_bounded, "
+        f"length({nb('review_comment_message')}) AS message_length FROM r_order_reviews "
+        f"UNION ALL SELECT customer_id, {txt('customer_id', 32)}, {txt('customer_city', 80)}, NULL FROM r_customers"
     ),
     "SCL-5",
 )
 def q_bounded_text(spark, sf_dir):
-    r = _t(spark, sf_dir).raw("order_reviews")
-    msg = C.blank_to_null("review_comment_message")
-    return r.select(
-        F.col("review_id").alias("raw_review_id"),
-        C.clean_text("review_id", 32).alias("review_id"),
-        C.clean_text("review_comment_title", 80).alias("review_comment_title"),
-        C.bounded(msg, 80).alias("message_head80"),
-        F.length(msg).cast("bigint").alias("message_length"),
+    """Declared lengths: ids cut to 32, titles and cities to 80. Review
+    messages are unbounded text: only their whole length is reported."""
+    t = _t(spark, sf_dir)
+    r = t.raw("order_reviews").select(
+        F.col("review_id").alias("raw_id"),
+        C.clean_text("review_id", 32).alias("id_bounded"),
+        C.clean_text("review_comment_title", 80).alias("text_bounded"),
+        F.length(C.blank_to_null("review_comment_message")).cast("bigint").alias("message_length"),
+    )
+    c = t.raw("customers").select(
+        F.col("customer_id").alias("raw_id"),
+        C.clean_text("customer_id", 32).alias("id_bounded"),
+        C.clean_text("customer_city", 80).alias("text_bounded"),
+        F.lit(None).cast("bigint").alias("message_length"),
     )
+    return r.unionByName(c)
 
 
 _INT_COLS = [
