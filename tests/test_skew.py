@@ -40,3 +40,38 @@ def test_hot_dedupe_key(spark):
     got = {r["product_category_name"]: r["product_category_name_english"] for r in kept.collect()}
     assert got == {"k": "1999", "x": "1"}  # the latest of the hot key's 2000 rows
     assert _partial_before_exchange(_plan(kept), "partial_max")
+
+
+def test_repeated_order_copies(spark):
+    """A third of the order rows are copies of one order (repeated loads):
+    totals multiply exactly as a join-then-group would, and the copies are
+    combined before the shuffle."""
+    from strata.plans.model import Model
+
+    order = ("o1", "c1", "delivered", "2018-03-05 10:00:00", "", "", "", "2018-03-10 00:00:00")
+    other = [(f"o{i}", "c1", "delivered", "2018-03-05 10:00:00", "", "", "", "2018-03-10 00:00:00") for i in range(2, 201)]
+    orders = [order] * 100 + other
+    clean = {
+        "customers": silver.clean_customers(raw(spark, "customers", [("c1", "u1", "1", "x", "sp")])),
+        "orders": silver.clean_orders(raw(spark, "orders", orders)).unionByName(
+            silver.clean_orders(raw(spark, "orders", [order]))
+        ),
+        "order_items": silver.clean_order_items(raw(spark, "order_items", [("o1", "1", "p", "s", "", "2.50", "1.00")])),
+        "order_payments": silver.clean_order_payments(raw(spark, "order_payments", [("o1", "1", "x", "1", "2.50")])),
+        "order_reviews": silver.clean_order_reviews(raw(spark, "order_reviews", [("r1", "o1", "4")])),
+        "products": silver.clean_products(raw(spark, "products", [("p",)])),
+        "sellers": silver.clean_sellers(raw(spark, "sellers", [("s",)])),
+        "geolocation": silver.clean_geolocation(raw(spark, "geolocation", [("1",)])),
+        "category_translation": silver.clean_category_translation(raw(spark, "category_translation", [("a", "b")])),
+    }
+    # the clean orders hold o1 twice (as an append load would); repeat it more
+    copies = clean["orders"].where(F.col("order_id") == "o1")
+    for _ in range(5):
+        clean["orders"] = clean["orders"].unionByName(copies)
+    m = Model(clean)
+    f = m["fact_orders"]
+    o1 = f.where(F.col("order_id") == "o1").collect()
+    assert len(o1) == 1
+    n = clean["orders"].where(F.col("order_id") == "o1").count()
+    assert o1[0]["total_items"] == n and o1[0]["total_gross_revenue"] == Decimal("2.50") * n
+    assert o1[0]["avg_item_price"] == Decimal("2.50") and o1[0]["total_payment_value"] == Decimal("2.50")
