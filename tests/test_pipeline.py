@@ -94,3 +94,15 @@ def test_too_long_row_fails(spark, scratch):
     with pytest.raises(LoadError):
         wh.load_raw(source_dir=src)
     assert wh.runs("raw") == []
+
+
+def test_command_line(spark, scratch, capsys):
+    from strata.__main__ import main
+
+    src = os.path.join(scratch, "csv")
+    write_csv(src)
+    root = os.path.join(scratch, "wh")
+    assert main(["run-all", "--root", root, "--source", src]) == 0
+    out = capsys.readouterr().out
+    assert '"table": "fact_orders"' in out and '"status": "ok"' in out
+    assert main(["check", "--root", root]) == 0
