@@ -228,7 +228,11 @@ class Warehouse:
             if frames is not None:
                 jobs[entity] = (lambda e=entity: (frames[e], None))
             else:
-                path = f"{source_dir.rstrip('/')}/{SOURCE_FILES[entity]}"
+                # the export may be one file or split into parts
+                # (<name>_0001.csv, ... or a folder <name>.csv/): one task reads
+                # one multi-line CSV file, so big exports should come split
+                stem = SOURCE_FILES[entity][: -len(".csv")]
+                path = f"{source_dir.rstrip('/')}/{stem}*"
                 jobs[entity] = (lambda e=entity, p=path: (read_raw_csv(self.spark, p, e, load_seq), None))
         return self._run_layer("raw", jobs, mode, run_id)
 

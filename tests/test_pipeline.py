@@ -106,3 +106,22 @@ def test_command_line(spark, scratch, capsys):
     out = capsys.readouterr().out
     assert '"table": "fact_orders"' in out and '"status": "ok"' in out
     assert main(["check", "--root", root]) == 0
+
+
+def test_split_export_parts(spark, scratch):
+    src = os.path.join(scratch, "csv")
+    write_csv(src)
+    # replace the sellers export by two parts; the later part's row wins
+    os.remove(os.path.join(src, SOURCE_FILES["sellers"]))
+    header = ",".join(RAW_COLUMNS["sellers"])
+    with open(os.path.join(src, "olist_sellers_dataset_0001.csv"), "w") as f:
+        f.write(header + "\ns1,100,a,sp\ns2,200,b,rj\n")
+    with open(os.path.join(src, "olist_sellers_dataset_0002.csv"), "w") as f:
+        f.write(header + "\ns1,300,c,mg\n")
+    wh = Warehouse(spark, os.path.join(scratch, "wh"))
+    wh.create_layers()
+    wh.load_raw(source_dir=src)
+    assert wh.table("raw", "sellers").count() == 3
+    wh.load_clean()
+    got = {r["seller_id"]: r["seller_state"] for r in wh.table("clean", "sellers").collect()}
+    assert got == {"s1": "MG", "s2": "RJ"}
