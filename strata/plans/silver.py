@@ -14,7 +14,6 @@ Each is one shuffle on its key, combined on the map side (see ``keep_latest``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from strata.functions import clean as C
 from strata.operators.dedupe import keep_latest
