@@ -49,36 +49,57 @@ def dim_date(orders: DataFrame, reviews: DataFrame, stats: dict | None = None) -
     return ranked.select("date_sk", "full_date", *calendar_columns("full_date"))
 
 
-def dim_customer(customers: DataFrame, orders: DataFrame, dates: DataFrame, stats: dict | None = None) -> DataFrame:
+def dim_customer(
+    customers: DataFrame,
+    orders: DataFrame,
+    dates: DataFrame,
+    stats: dict | None = None,
+    unique_orders: bool = True,
+) -> DataFrame:
     """One row per person (``customer_unique_id``): attributes of the
     person's greatest ``customer_id``; first/last purchase date and number
     of distinct orders over all of the person's ids.
 
-    Orders are first reduced to one row per ``customer_id`` (map-side
-    combined); each order id belongs to one customer id in the clean layer,
-    so per-id distinct counts add up to the person's distinct count."""
+    ``unique_orders=True`` (an overwrite-loaded clean layer, one row per
+    order id): orders are first reduced to one row per ``customer_id``
+    (map-side combined), and per-id distinct counts add up to the person's.
+    ``unique_orders=False`` (appended clean runs, where one order id may
+    carry several customer ids): distinct (person, order) pairs are counted
+    instead, exact in every case at the price of an order-grain shuffle."""
     base = customers.where(F.col("customer_unique_id").isNotNull())
-    per_id = orders.groupBy("customer_id").agg(
-        F.min(day("order_purchase_timestamp")).alias("_first"),
-        F.max(day("order_purchase_timestamp")).alias("_last"),
-        F.count_distinct("order_id").alias("_n"),
-    )
-    per_pair = (
-        base.join(per_id, "customer_id", "left")
-        .groupBy("customer_unique_id", "customer_id")
-        .agg(
-            F.max(F.struct("customer_zip_code_prefix", "customer_city", "customer_state")).alias("_attr"),
+    attrs = base.groupBy("customer_unique_id", "customer_id").agg(
+        F.max(F.struct("customer_zip_code_prefix", "customer_city", "customer_state")).alias("_attr")
+    )
+    if unique_orders:
+        per_id = orders.groupBy("customer_id").agg(
+            F.min(day("order_purchase_timestamp")).alias("_first"),
+            F.max(day("order_purchase_timestamp")).alias("_last"),
+            F.count_distinct("order_id").alias("_n"),
+        )
+        per_pair = attrs.join(per_id, "customer_id", "left")
+        person = per_pair.groupBy("customer_unique_id").agg(
+            F.max(F.struct("customer_id", "_attr")).alias("_rep"),
             F.min("_first").alias("_first"),
             F.max("_last").alias("_last"),
-            F.max("_n").alias("_n"),
+            F.sum("_n").alias("_n"),
         )
-    )
-    person = per_pair.groupBy("customer_unique_id").agg(
-        F.max(F.struct("customer_id", "_attr")).alias("_rep"),
-        F.min("_first").alias("_first"),
-        F.max("_last").alias("_last"),
-        F.sum("_n").alias("_n"),
-    )
+    else:
+        id_pairs = orders.groupBy("customer_id", "order_id").agg(
+            F.min(day("order_purchase_timestamp")).alias("_lo"),
+            F.max(day("order_purchase_timestamp")).alias("_hi"),
+        )
+        persons = base.select("customer_unique_id", "customer_id").distinct()
+        person_orders = (
+            id_pairs.join(persons, "customer_id")
+            .groupBy("customer_unique_id")
+            .agg(
+                F.min("_lo").alias("_first"),
+                F.max("_hi").alias("_last"),
+                F.count_distinct("order_id").alias("_n"),
+            )
+        )
+        reps = attrs.groupBy("customer_unique_id").agg(F.max(F.struct("customer_id", "_attr")).alias("_rep"))
+        person = reps.join(person_orders, "customer_unique_id", "left")
     person = person.select(
         "customer_unique_id",
         F.col("_rep.customer_id").alias("customer_id_source"),

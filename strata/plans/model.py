@@ -32,8 +32,17 @@ class Model:
     bound: the key count its surrogate-key rank already took (one row per
     key), or else a count of its own (``sized_broadcast``)."""
 
-    def __init__(self, clean: dict[str, DataFrame], overrides: dict[str, DataFrame] | None = None):
+    def __init__(
+        self,
+        clean: dict[str, DataFrame],
+        overrides: dict[str, DataFrame] | None = None,
+        unique_orders: bool = True,
+    ):
+        """``unique_orders``: the clean orders hold one row per order id
+        (true for an overwrite-loaded clean layer); False picks the exact
+        person-order counting of ``dims.dim_customer``."""
         self.clean = clean
+        self.unique_orders = unique_orders
         self._built: dict[str, DataFrame] = dict(overrides or {})
         self.rows: dict[str, int] = {}
         # tables are requested from several driver threads (one per table
@@ -97,7 +106,8 @@ class Model:
     def _dim_customer(self):
         c = self.clean
         return self._counted(
-            "dim_customer", lambda st: dims.dim_customer(c["customers"], c["orders"], self["dim_date_b"], st)
+            "dim_customer",
+            lambda st: dims.dim_customer(c["customers"], c["orders"], self["dim_date_b"], st, self.unique_orders),
         )
 
     def _dim_seller(self):

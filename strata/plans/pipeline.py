@@ -259,14 +259,16 @@ class Warehouse:
         broadcast from known file sizes."""
         run_id = run_id or self.new_run_id()
         clean = {e: self.table("clean", e) for e in ENTITY_ORDER}
-        model = Model(clean)
+        # one published clean run = one row per order id (overwrite load)
+        unique_orders = len(self.runs("clean")) == 1
+        model = Model(clean, unique_orders=unique_orders)
         written: dict[str, DataFrame] = {}
 
         dims = {d: _job(model, d) for d in DIMENSIONS}
         rows = self._run_layer("model", dims, "overwrite", run_id, publish=False)
         for d in DIMENSIONS:
             written[d] = self.spark.read.parquet(f"{self.root}/model/{run_id}/{d}")
-        model = Model(clean, overrides=written)
+        model = Model(clean, overrides=written, unique_orders=unique_orders)
         rows += self._run_layer("model", {f: _job(model, f) for f in FACTS}, "overwrite", run_id)
         return rows
 
