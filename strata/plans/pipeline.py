@@ -178,6 +178,16 @@ class Warehouse:
                 names.append(view)
         return names
 
+    def register_model_views(self) -> list[str]:
+        """The model as views over the published clean layer, recomputed when
+        read (nothing written): ``dim_*``, ``product_key_map``, ``fact_*``.
+        Defining them runs the dimensions' size checks."""
+        clean = {e: self.table("clean", e) for e in ENTITY_ORDER}
+        model = Model(clean, unique_orders=len(self.runs("clean")) == 1)
+        for t in DIMENSIONS + FACTS:
+            model[t].createOrReplaceTempView(t)
+        return DIMENSIONS + FACTS
+
     # -- audit -------------------------------------------------------------------
     def _write_audit(self, rows: list[dict]) -> None:
         if rows:

@@ -72,6 +72,9 @@ def test_run_all_overwrite_then_append(spark, scratch):
     views = wh.register_views()
     assert "clean_sellers" in views and "fact_orders" in views
     assert spark.sql("SELECT count(*) FROM fact_orders").first()[0] == 2
+    written = sorted(map(tuple, spark.sql("SELECT * FROM fact_order_items").collect()))
+    wh.register_model_views()  # same names, now computed from the clean layer on read
+    assert sorted(map(tuple, spark.sql("SELECT * FROM fact_order_items").collect())) == written
 
 
 def test_bad_row_fails_and_publishes_nothing(spark, scratch):
