@@ -262,14 +262,15 @@ class Warehouse:
         """Clean load from the published raw layer; key checks before (on the
         raw rows) and after (on the written rows) for the keyed entities."""
         run_id = run_id or self.new_run_id()
-        pre_rows = []
-        for entity in KEY_CHECKED:
+        def precheck(entity: str) -> dict:
             t0 = time.perf_counter()
             chk = quality.key_check(self.table("raw", entity), KEYS[entity][0], entity, raw=True).first()
-            pre_rows.append({"run_id": run_id, "layer": "clean-precheck", "section": SECTIONS[entity],
-                             "table": entity, "null_keys": int(chk["null_keys"]), "dup_keys": int(chk["dup_keys"]),
-                             "seconds": round(time.perf_counter() - t0, 3), "status": "ok"})
-        self._write_audit(pre_rows)
+            return {"run_id": run_id, "layer": "clean-precheck", "section": SECTIONS[entity],
+                    "table": entity, "null_keys": int(chk["null_keys"]), "dup_keys": int(chk["dup_keys"]),
+                    "seconds": round(time.perf_counter() - t0, 3), "status": "ok"}
+
+        with ThreadPoolExecutor(max_workers=self.threads) as pool:
+            self._write_audit(list(pool.map(precheck, KEY_CHECKED)))
         jobs = {}
         for entity in ENTITY_ORDER:
             key = KEYS[entity][0] if entity in KEY_CHECKED else None
