@@ -66,9 +66,19 @@ def test_run_all_overwrite_then_append(spark, scratch):
     assert wh.table("raw", "sellers").count() == 4
     wh.load_clean(mode="append")
     assert wh.table("clean", "sellers").count() == 4
+    # the model over an appended clean layer multiplies item totals as
+    # join-then-group does: 2 copies of o1 x 2 copies of its customer x 4
+    # item rows = 16; distinct order counts do not change
+    before = {r["order_id"]: r["total_items"] for r in wh.table("model", "fact_orders").collect()}
+    wh.build_model()
+    after = {r["order_id"]: r["total_items"] for r in wh.table("model", "fact_orders").collect()}
+    assert before["o1"] == 2 and after["o1"] == 16
+    assert {r["customer_unique_id"]: r["total_orders"] for r in wh.table("model", "dim_customer").collect()} == {
+        "u1": 1, "u2": 1}
     # overwrite again: back to one copy
     wh.load_clean(mode="overwrite")
     assert wh.table("clean", "sellers").count() == 2
+    wh.build_model()
     views = wh.register_views()
     assert "clean_sellers" in views and "fact_orders" in views
     assert spark.sql("SELECT count(*) FROM fact_orders").first()[0] == 2
