@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +18,28 @@ from strata.session import ensure_checkpoint_dir
 SLICE_BYTES = 4 << 20  # text bytes worked on at once inside a task
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(sc._temp_dir, f"strata-{uuid.uuid4().hex}.zip")  # the driver's own; Spark serves it
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -184,3 +207,32 @@ class Feistel:
 def ascii_lower(column) -> F.Column:
     """Lower-case A-Z only."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+BITMAP_BITS = 26  # 2**26 bits: 8 MB however many values go in
+
+
+def bitmap_of(values: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """A bitmap of fixed size with the bit of every value's top ``bits`` set.
+
+    A filter without false negatives. Its size is fixed, so it may be sent to
+    every task; with more values it merely lets more through. Partial bitmaps
+    are or-ed before the shuffle.
+    """
+    at = F.shiftrightunsigned(F.col(column), 64 - bits)
+    parts = values.select(at.alias("at")).groupBy(F.shiftright("at", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for row in parts.collect():  # at most 2**(bits - 15) rows of 4 KB
+        out[row["part"] << 12 : (row["part"] + 1) << 12] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    bits = int(len(bitmap)).bit_length() + 2
+    at = values >> np.uint64(64 - bits)
+    return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def signed(values: np.ndarray) -> np.ndarray:
+    """64-bit hashes as Spark's long."""
+    return values.view(np.int64)

@@ -5,11 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import best_two_fit, exact_dedup
-from strata.llm.common import read_table
+from strata.llm import best_two_fit, decontaminate, exact_dedup, language_id, license_scan, pii_feistel, quality_cnn, token_output
+from strata.llm.common import read_table, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+PSEUDONYM_KEY = "example key; a real run passes its own"
+ORDER_KEY, SEQ_LEN, SHARD_ROWS = 20240607, 1024, 8192
+
+
+def op1_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.train_and_score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), span=10, k=5)
+
+
+def op3_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_feistel.pseudonymise_documents(read_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    profiles = language_id.learn_profiles(docs.filter(~F.coalesce(held_out, F.lit(True))))
+    return language_id.identify(docs, profiles, more=(held_out.alias("held_out"),)).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,14 +42,62 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-shards")
+    token_output.write_shards(read_table(spark, sf_dir, "documents"), path, ORDER_KEY, SEQ_LEN, SHARD_ROWS)
+    return token_output.read_index(spark, path, SEQ_LEN, SHARD_ROWS).drop("magic")
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_cnn": op1_quality_cnn,
+        "op2_decontaminate": op2_decontaminate,
+        "op3_pii_feistel": op3_pii_feistel,
+        "op6_language_id": op6_language_id,
         "op7_best_two_fit": op7_best_two_fit,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_token_output": op9_token_output,
+        "op10_license_scan": op10_license_scan,
     }
 
 
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE = {
+    "op2_decontaminate": f"""
+        WITH doc_words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS words FROM documents
+        ),
+        item_words AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS words FROM benchmark
+        ),
+        item_windows AS (
+            SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[i : i + least(len(words), 10) - 1], ' ') AS win
+            FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM item_words WHERE len(words) > 0)
+        ),
+        doc_windows AS (
+            SELECT doc_id, i, n, array_to_string(words[i : i + n - 1], ' ') AS win
+            FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+                  FROM doc_words, (SELECT DISTINCT n FROM item_windows) WHERE len(words) >= n)
+        ),
+        met AS (SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, win)),
+        hit AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM (SELECT DISTINCT doc_id, i, n FROM met)) GROUP BY doc_id
+        ),
+        listed AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                   string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names
+            FROM met GROUP BY doc_id
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
     "op8_exact_dedup": f"""
         WITH hashed AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS text_sha256 FROM documents
