@@ -49,6 +49,7 @@ FINDER = re.compile(
     r"|(?P<secret>(?i:password|passwd|secret|token|api_?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9+/_-]{8,128})",
     re.ASCII,
 )
+HEX = re.compile(r"[0-9a-f]+\Z")
 SECRET_VALUE = re.compile(r"[A-Za-z0-9+/_-]{8,128}\Z")
 
 
@@ -200,7 +201,12 @@ def key(permute: Permutation, text: str) -> str:
 
 def secret(permute: Permutation, text: str) -> str:
     value = SECRET_VALUE.search(text)
-    return text[: value.start()] + alphanumeric(permute, value.group(), "secret", fold=False)
+    plain = value.group()
+    if HEX.match(plain):
+        new = "".join(f"{d:x}" for d in permute([int(c, 16) for c in plain], [16] * len(plain), "hex"))
+    else:
+        new = alphanumeric(permute, plain, "secret", fold=False)
+    return text[: value.start()] + new
 
 
 RULES = {"email": email, "iban": iban, "card": card, "ssn": ssn, "date": date, "ip": ip, "phone": phone, "key": key, "secret": secret}

@@ -33,7 +33,7 @@ from strata.llm.common import slices
 CHUNK, HOP = 512, 448  # bytes of a chunk, and from chunk to chunk
 WIDTH, STEP = 12, 4  # bytes under a filter, and from place to place
 EMBED, FILTERS, HIDDEN = 4, 32, 16
-TRAIN_ROWS, TRAIN_BYTES = 3000, 1 << 16
+TRAIN_ROWS, TRAIN_BYTES = 6000, 1 << 16
 PLACES = CHUNK // STEP
 
 
@@ -132,7 +132,7 @@ class Network:
         out["embed"] = np.stack([np.bincount(spots, d_in[:, e], 257) for e in range(EMBED)], 1).astype(np.float32)
         return out
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int = 32, rate: float = 4e-3) -> Network:
+    def fit(self, texts: list[bytes], labels: np.ndarray, epochs: int = 16, batch: int = 32, rate: float = 4e-3) -> Network:
         if len(labels) == 0 or labels.min() == labels.max():
             self.prior = float(labels.mean()) if len(labels) else 0.5
             return self
