@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 import zipfile
@@ -236,3 +237,13 @@ def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
 def signed(values: np.ndarray) -> np.ndarray:
     """64-bit hashes as Spark's long."""
     return values.view(np.int64)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished phases.
+
+    Spark drops them once the driver has collected the plans that refer to
+    them, which would otherwise happen at its periodic collection only.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import best_two_fit, decontaminate, exact_dedup, language_id, license_scan, pii_feistel, quality_cnn, token_output
+from strata.llm import best_two_fit, decontaminate, exact_dedup, language_id, license_scan, pii_feistel, quality_cnn, suffix_dedup, token_output
 from strata.llm.common import read_table, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -27,6 +27,10 @@ def op3_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_feistel.pseudonymise_documents(read_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_cnn": op1_quality_cnn,
         "op2_decontaminate": op2_decontaminate,
         "op3_pii_feistel": op3_pii_feistel,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op6_language_id": op6_language_id,
         "op7_best_two_fit": op7_best_two_fit,
         "op8_exact_dedup": op8_exact_dedup,
