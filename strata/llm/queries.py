@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import best_two_fit, decontaminate, exact_dedup, language_id, license_scan, pii_feistel, quality_cnn, suffix_dedup, token_output
+from strata.llm import best_two_fit, decontaminate, exact_dedup, jaccard_join, language_id, license_scan, pii_feistel, quality_cnn, suffix_dedup, token_output
 from strata.llm.common import read_table, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -31,6 +31,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontaminate": op2_decontaminate,
         "op3_pii_feistel": op3_pii_feistel,
         "op4_suffix_dedup": op4_suffix_dedup,
+        "op5_jaccard_join": op5_jaccard_join,
         "op6_language_id": op6_language_id,
         "op7_best_two_fit": op7_best_two_fit,
         "op8_exact_dedup": op8_exact_dedup,
@@ -72,6 +77,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+NOT_SPACE = r"[^\x20\x09-\x0D]+"
+
 ORACLE = {
     "op2_decontaminate": f"""
         WITH doc_words AS (
@@ -103,6 +110,30 @@ ORACLE = {
                sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
     """,
+    "op5_jaccard_join": f"""
+        WITH RECURSIVE doc_words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{NOT_SPACE}') AS words FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS shingle
+            FROM (SELECT *, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM doc_words WHERE len(words) > 0)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT x, y
+            FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+                  FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2)
+            JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * common >= 75 * (p.n + q.n - common)
+        ),
+        reach AS (
+            SELECT doc_id, doc_id AS other FROM doc_words
+            UNION
+            SELECT reach.doc_id, y FROM reach JOIN links ON x = other
+        ),
+        parts AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM parts LEFT JOIN sizes USING (doc_id)
+    """,
     "op8_exact_dedup": f"""
         WITH hashed AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS text_sha256 FROM documents
