@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -247,3 +248,36 @@ def free_shuffles(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def _id_hash(ids: np.ndarray) -> np.ndarray:
+    return mix64(ids.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019))
+
+
+def id_filter(ids: DataFrame, column: str = "doc_id"):
+    """A condition on an id that holds for all of ``ids`` and for few others."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(signed(_id_hash(batch.column(0).to_numpy())))], names=["key"])
+
+    longs = ids.select(F.col(column).cast("long").alias(column)).filter(F.col(column).isNotNull())
+    shared = ids.sparkSession.sparkContext.broadcast(bitmap_of(longs.mapInArrow(keys, "key long"), "key"))
+
+    @F.pandas_udf("boolean")
+    def listed(values: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(shared.value, _id_hash(values.to_numpy(np.int64))))
+
+    return lambda docs_column: listed(F.coalesce(docs_column.cast("long"), F.lit(0)))
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``dropped`` (a null never is).
+
+    Only rows that the ids' bitmap lets through are shuffled to be joined; the
+    texts of all others stay where they are.
+    """
+    dropped = dropped.select(F.col("doc_id").alias("dropped_id")).filter("dropped_id IS NOT NULL").distinct()
+    listed = id_filter(dropped, "dropped_id")(docs["doc_id"])
+    suspects = docs.filter(listed).join(dropped, F.col("doc_id").cast("long") == F.col("dropped_id"), "left_anti")
+    return docs.filter(~listed).unionByName(suspects)

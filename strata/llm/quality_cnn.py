@@ -207,3 +207,16 @@ def train_and_score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
     held_out = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out")
     scored = score_quality(docs, network, more=(held_out,))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, network: Network, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, with all columns, that score at least ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast((network.weights, network.prior))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, prior = shared.value
+        net = Network(weights=weights, prior=prior)
+        for batch, data, at in slices(batches, most=1 << 20):
+            yield batch.filter(pa.array(net.score(data, at) >= threshold))
+
+    return docs.mapInArrow(judge, docs.schema)
