@@ -52,8 +52,9 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-shards")
-    token_output.write_shards(read_table(spark, sf_dir, "documents"), path, ORDER_KEY, SEQ_LEN, SHARD_ROWS)
-    return token_output.read_index(spark, path, SEQ_LEN, SHARD_ROWS).drop("magic")
+    if not token_output.write_shards(read_table(spark, sf_dir, "documents"), path, ORDER_KEY, SEQ_LEN, SHARD_ROWS):
+        return spark.createDataFrame([], "doc_id long, piece int, slot long, shard long, n_tokens int, ids_crc32 long")
+    return token_output.read_index(spark, path, SEQ_LEN, SHARD_ROWS)
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

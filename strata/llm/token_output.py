@@ -95,25 +95,32 @@ def write_shards(docs: DataFrame, path: str, key: int, seq_len: int = 1024, shar
     return total
 
 
+def record_type(seq_len: int) -> np.dtype:
+    return np.dtype([("magic", "S4"), ("doc_id", ">i8"), ("piece", ">i4"), ("n_tokens", ">i4"), ("crc", ">u4"), ("ids", "<u2", (seq_len,)), ("end", "S1")])
+
+
 def read_index(spark: SparkSession, path: str, seq_len: int = 1024, shard_rows: int = 8192) -> DataFrame:
-    """The records' headers: doc_id, piece, slot, shard, n_tokens, ids_crc32, magic."""
-    width = stride(seq_len)
+    """Every record of the shards: doc_id, piece, slot, shard, n_tokens, ids_crc32.
+
+    Reads the shards whole, one task a file, and fails if a record's ids do
+    not match its checksum.
+    """
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                records = np.frombuffer(content.as_buffer(), record_type(seq_len))
+                for i, record in enumerate(records):
+                    ids = record["ids"][: record["n_tokens"]].astype("<u4")
+                    if record["magic"] != MAGIC or zlib.crc32(ids) != record["crc"]:
+                        raise ValueError(f"shard {shard}, record {i}: damaged")
+                doc_id = records["doc_id"].astype(np.int64)
+                columns = [pa.array(doc_id, mask=doc_id == NO_ID), pa.array(records["piece"].astype(np.int32)), pa.array(shard * shard_rows + np.arange(len(records)))]
+                columns += [pa.array(np.full(len(records), shard)), pa.array(records["n_tokens"].astype(np.int32)), pa.array(records["crc"].astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "slot", "shard", "n_tokens", "ids_crc32"])
+
     files = spark.read.schema("path string, modificationTime timestamp, length long, content binary, shard long").format("binaryFile").load(path)
-    count = (F.col("length") / width).cast("long")
-    # only the short heads leave the shard's bytes; they are not copied per record
-    heads = F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda i: F.struct(i.alias("i"), F.substring(F.col("content"), (i * width + 1).cast("int"), F.lit(HEADER.size)).alias("head")))
-    records = files.filter(F.col("length") >= width).select("shard", heads.alias("heads")).select("shard", F.explode("heads").alias("r")).select("shard", "r.*")
-    number = lambda at, n: F.conv(F.hex(F.substring("head", at, n)), 16, -10).cast("long")
-    doc_id = number(5, 8)
-    return records.select(
-        F.when(doc_id != NO_ID, doc_id).alias("doc_id"),
-        number(13, 4).cast("int").alias("piece"),
-        (F.col("shard") * shard_rows + F.col("i")).alias("slot"),
-        "shard",
-        number(17, 4).cast("int").alias("n_tokens"),
-        number(21, 4).alias("ids_crc32"),
-        F.substring("head", 1, 4).alias("magic"),
-    )
+    return files.select("shard", "content").mapInArrow(parse, "doc_id long, piece int, slot long, shard long, n_tokens int, ids_crc32 long")
 
 
 def read_sequence(shard: bytes, slot: int, seq_len: int = 1024, shard_rows: int = 8192) -> tuple[int | None, int, np.ndarray]:
