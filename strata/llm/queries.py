@@ -53,7 +53,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-shards")
     if not token_output.write_shards(read_table(spark, sf_dir, "documents"), path, ORDER_KEY, SEQ_LEN, SHARD_ROWS):
-        return spark.createDataFrame([], "doc_id long, piece int, slot long, shard long, n_tokens int, ids_crc32 long")
+        return spark.createDataFrame([], "doc_id long, piece int, start long, slot long, shard long, at int, n_tokens int, ids_crc32 long, intact boolean")
     return token_output.read_index(spark, path, SEQ_LEN, SHARD_ROWS)
 
 

@@ -1,27 +1,26 @@
 """Training-order token shards.
 
-Every document is tokenised and cut into sequences of at most ``seq_len`` ids.
+Documents are tokenised and laid end to end, task by task, in sequences of
+exactly ``seq_len`` ids; only a task's last sequence is filled up with zeros.
 Sequences are numbered in input order (the count of the tasks before, plus the
 place inside the task), and a keyed Feistel permutation with cycle-walking
 sends each number to a global slot. Slots are dealt to shards by range, and a
-task writes a shard as records of one fixed stride in slot order, so the record
-of slot s is record ``s % shard_rows`` of shard ``s // shard_rows``: a reader
-resumes anywhere by seeking, and reads a training order from front to back.
-
-A record: magic (4 bytes), doc_id (8), piece (4), n_tokens (4), crc32 of the
-ids as little-endian unsigned 32-bit (4), all big-endian; then seq_len ids as
-little-endian unsigned 16-bit, zero behind n_tokens; then a line feed. Shards
-are written by Spark's own committer, so a lost executor leaves no half shard.
-
-Defined results: a null text counts as empty; an empty text is one sequence
-(the end token alone). Repeated rows are written each on its own. A null doc_id
-is stored as the smallest 64-bit number and read back as null. An empty table
-writes no shard. Other columns are not read.
+task writes a shard as records of one fixed stride in slot order, so slot s is
+record ``s % shard_rows`` of shard ``s // shard_rows``: a reader resumes
+anywhere by seeking, and reads the training order from front to back.
+
+A record is seq_len ids as little-endian unsigned 16-bit and a line feed.
+Shards (``shards/shard=N``) are written by Spark's own committer, so a lost
+executor leaves no half shard. An index (``index``, Parquet) names the piece
+of a document behind every stretch of a slot.
+
+Defined results: a null text counts as empty; an empty text is the end token
+alone. Repeated rows are written each on its own. A null doc_id stays null. An
+empty table writes nothing. Other columns are not read.
 """
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -31,17 +30,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.best_two_fit import END_TOKEN, cuts, encoder
+from strata.llm.best_two_fit import END_TOKEN, encoder
 from strata.llm.common import Feistel, materialise, text_column
 
-MAGIC = b"SEQ1"
-HEADER = struct.Struct(">4sqiiI")
-NO_ID = -(1 << 63)
 MOST_IDS = 1 << 16  # ids must fit the two bytes of a record's cell
 
+PIECE = "struct<doc_id:long,piece:int,start:long,at:int,n_tokens:int,ids_crc32:long>"
+SEQUENCE = f"run long, place long, record binary, crc long, pieces array<{PIECE}>"
+_PIECES = pa.list_(pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("at", pa.int32()), ("n_tokens", pa.int32()), ("ids_crc32", pa.int64())]))
+
 
 def stride(seq_len: int) -> int:
-    return HEADER.size + 2 * seq_len + 1
+    return 2 * seq_len + 1
 
 
 def _sequences(batches: Iterator[pa.RecordBatch], seq_len: int, vocabulary: str | None) -> Iterator[pa.RecordBatch]:
@@ -49,85 +49,101 @@ def _sequences(batches: Iterator[pa.RecordBatch], seq_len: int, vocabulary: str
     if encoding.n_vocab > MOST_IDS:
         raise ValueError("the vocabulary does not fit two-byte ids")
     run, place = TaskContext.get().partitionId(), 0
+    cells, filled, held = np.zeros(seq_len, "<u2"), 0, []
+    records, pieces = [], []
+
+    def flush() -> pa.RecordBatch:
+        nonlocal place
+        n = len(records)
+        columns = [pa.array([run] * n, pa.int64()), pa.array(range(place, place + n), pa.int64()), pa.array(records, pa.binary())]
+        columns += [pa.array([zlib.crc32(r) for r in records], pa.int64()), pa.array(pieces, _PIECES)]
+        place += n
+        records.clear()
+        pieces.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["run", "place", "record", "crc", "pieces"])
+
     for batch in batches:
         ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
-        places, records = [], []
         for doc_id, text in zip(ids, text_column(batch)):
             tokens = encoding.encode_ordinary(text.as_py())
             tokens.append(END_TOKEN)
             wide = np.array(tokens, "<u4")
-            narrow = wide.astype("<u2")
-            for piece, (start, length) in enumerate(cuts(len(wide), seq_len)):
-                head = HEADER.pack(MAGIC, NO_ID if doc_id is None else doc_id, piece, length, zlib.crc32(wide[start : start + length]))
-                records.append(head + narrow[start : start + length].tobytes())
-                places.append(place)
-                place += 1
-        yield pa.RecordBatch.from_arrays([pa.array([run] * len(places), pa.int64()), pa.array(places, pa.int64()), pa.array(records, pa.binary())], names=["run", "place", "record"])
+            start = piece = 0
+            while start < len(wide):
+                part = wide[start : start + seq_len - filled]
+                cells[filled : filled + len(part)] = part
+                held.append({"doc_id": doc_id, "piece": piece, "start": start, "at": filled, "n_tokens": len(part), "ids_crc32": zlib.crc32(part)})
+                filled += len(part)
+                start += len(part)
+                piece += 1
+                if filled == seq_len:
+                    records.append(cells.tobytes())
+                    pieces.append(held)
+                    filled, held = 0, []
+        if records:
+            yield flush()
+    if filled:
+        cells[filled:] = 0
+        records.append(cells.tobytes())
+        pieces.append(held)
+        yield flush()
 
 
 def write_shards(docs: DataFrame, path: str, key: int, seq_len: int = 1024, shard_rows: int = 8192, vocabulary: str | None = None) -> int:
-    """Write the shards below ``path`` (``shard=N`` folders); returns the number of sequences."""
+    """Write ``shards`` and ``index`` below ``path``; returns the number of sequences."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = materialise(rows.mapInArrow(lambda batches: _sequences(batches, seq_len, vocabulary), "run long, place long, record binary"), "sequences")
+    made = materialise(rows.mapInArrow(lambda batches: _sequences(batches, seq_len, vocabulary), SEQUENCE), "sequences")
     counts = made.groupBy("run").agg(F.count(F.lit(1)).alias("n"))  # one row per input task
     bases = counts.select("run", F.coalesce(F.sum("n").over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    total = counts.agg(F.sum("n").alias("n")).first()["n"]
-    if not total:
-        return 0
+    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
 
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def slots(batches: Iterator[pa.RecordBatch], payload: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
         order = Feistel(total, key)
         for batch in batches:
             column = lambda name: batch.column(batch.schema.get_field_index(name))
             slot = order(column("base").to_numpy() + column("place").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(slot // shard_rows), pa.array(slot), column("record")], names=["shard", "slot", "record"])
+            yield pa.RecordBatch.from_arrays([pa.array(slot // shard_rows), pa.array(slot), *map(column, payload)], names=["shard", "slot", *payload])
 
-    slotted = made.join(bases, "run").mapInArrow(slots, "shard long, slot long, record binary")
+    if not total:
+        return 0
+    numbered = made.join(bases, "run")
+    slotted = numbered.select("base", "place", "record").mapInArrow(lambda b: slots(b, ("record",)), "shard long, slot long, record binary")
     shards = -(-total // shard_rows)
     tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // 64)))
-    full = F.rpad(F.col("record"), stride(seq_len) - 1, F.lit(b"\x00"))
     (
         slotted.repartitionByRange(tasks, "shard").sortWithinPartitions("shard", "slot")
-        .select("shard", full.cast("string").alias("value"))
-        .write.partitionBy("shard").option("lineSep", "\n").text(path)
+        .select("shard", F.col("record").cast("string").alias("value"))
+        .write.partitionBy("shard").option("lineSep", "\n").text(f"{path}/shards")
     )
+    listed = numbered.select("base", "place", "crc", "pieces").mapInArrow(lambda b: slots(b, ("crc", "pieces")), f"shard long, slot long, crc long, pieces array<{PIECE}>")
+    listed.write.parquet(f"{path}/index")
     return total
 
 
-def record_type(seq_len: int) -> np.dtype:
-    return np.dtype([("magic", "S4"), ("doc_id", ">i8"), ("piece", ">i4"), ("n_tokens", ">i4"), ("crc", ">u4"), ("ids", "<u2", (seq_len,)), ("end", "S1")])
+def read_records(spark: SparkSession, path: str, seq_len: int = 1024, shard_rows: int = 8192) -> DataFrame:
+    """(slot, crc) of every record in the shards, read from the files."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data, width = memoryview(content.as_buffer()), stride(seq_len)
+                checks = [zlib.crc32(data[at : at + width - 1]) for at in range(0, len(data), width)]
+                yield pa.RecordBatch.from_arrays([pa.array(shard * shard_rows + np.arange(len(checks))), pa.array(checks, pa.int64())], names=["slot", "crc"])
+
+    files = spark.read.schema("path string, modificationTime timestamp, length long, content binary, shard long").format("binaryFile").load(f"{path}/shards")
+    return files.select("shard", "content").mapInArrow(parse, "slot long, crc long")
 
 
 def read_index(spark: SparkSession, path: str, seq_len: int = 1024, shard_rows: int = 8192) -> DataFrame:
-    """Every record of the shards: doc_id, piece, slot, shard, n_tokens, ids_crc32.
+    """Every piece: doc_id, piece, start, slot, shard, at, n_tokens, ids_crc32, and
+    whether the slot's record is in its shard as it was made (intact)."""
+    listed = spark.read.parquet(f"{path}/index")
+    found = read_records(spark, path, seq_len, shard_rows).select("slot", F.col("crc").alias("found"))
+    whole = listed.join(found, "slot", "left").withColumn("intact", F.coalesce(F.col("crc") == F.col("found"), F.lit(False)))
+    return whole.select("slot", "shard", "intact", F.explode("pieces").alias("p")).select("p.doc_id", "p.piece", "p.start", "slot", "shard", "p.at", "p.n_tokens", "p.ids_crc32", "intact")
 
-    Reads the shards whole, one task a file, and fails if a record's ids do
-    not match its checksum.
-    """
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                records = np.frombuffer(content.as_buffer(), record_type(seq_len))
-                for i, record in enumerate(records):
-                    ids = record["ids"][: record["n_tokens"]].astype("<u4")
-                    if record["magic"] != MAGIC or zlib.crc32(ids) != record["crc"]:
-                        raise ValueError(f"shard {shard}, record {i}: damaged")
-                doc_id = records["doc_id"].astype(np.int64)
-                columns = [pa.array(doc_id, mask=doc_id == NO_ID), pa.array(records["piece"].astype(np.int32)), pa.array(shard * shard_rows + np.arange(len(records)))]
-                columns += [pa.array(np.full(len(records), shard)), pa.array(records["n_tokens"].astype(np.int32)), pa.array(records["crc"].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "slot", "shard", "n_tokens", "ids_crc32"])
-
-    files = spark.read.schema("path string, modificationTime timestamp, length long, content binary, shard long").format("binaryFile").load(path)
-    return files.select("shard", "content").mapInArrow(parse, "doc_id long, piece int, slot long, shard long, n_tokens int, ids_crc32 long")
-
-
-def read_sequence(shard: bytes, slot: int, seq_len: int = 1024, shard_rows: int = 8192) -> tuple[int | None, int, np.ndarray]:
-    """(doc_id, piece, ids) of a slot, from the bytes of its shard."""
-    at = slot % shard_rows * stride(seq_len)
-    magic, doc_id, piece, length, check = HEADER.unpack_from(shard, at)
-    ids = np.frombuffer(shard, "<u2", length, at + HEADER.size)
-    if magic != MAGIC or zlib.crc32(ids.astype("<u4")) != check:
-        raise ValueError(f"slot {slot} does not hold a whole sequence")
-    return None if doc_id == NO_ID else doc_id, piece, ids
+def read_slot(shard: bytes, slot: int, seq_len: int = 1024, shard_rows: int = 8192) -> np.ndarray:
+    """The ids of a slot, from the bytes of its shard."""
+    return np.frombuffer(shard, "<u2", seq_len, slot % shard_rows * stride(seq_len))
