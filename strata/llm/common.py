@@ -6,6 +6,7 @@ import gc
 import os
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -229,6 +230,29 @@ def bitmap_of(values: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.nda
     return out
 
 
+class SentBitmap:
+    """A bitmap sent to the tasks compressed, and unpacked once a process."""
+
+    def __init__(self, spark: SparkSession, bitmap: np.ndarray):
+        self.token = uuid.uuid4().hex
+        self.packed = spark.sparkContext.broadcast(zlib.compress(bitmap.tobytes(), 1))
+
+    @property
+    def value(self) -> np.ndarray:
+        if self.token not in _UNPACKED:
+            while len(_UNPACKED) > 3:
+                _UNPACKED.pop(next(iter(_UNPACKED)))
+            _UNPACKED[self.token] = np.frombuffer(zlib.decompress(self.packed.value), np.uint8)
+        return _UNPACKED[self.token]
+
+    def destroy(self) -> None:
+        """Drop the copies on the executors, once nothing reads them again."""
+        self.packed.destroy()
+
+
+_UNPACKED: dict[str, np.ndarray] = {}
+
+
 def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     bits = int(len(bitmap)).bit_length() + 2
     at = values >> np.uint64(64 - bits)
@@ -262,7 +286,7 @@ def id_filter(ids: DataFrame, column: str = "doc_id"):
             yield pa.RecordBatch.from_arrays([pa.array(signed(_id_hash(batch.column(0).to_numpy())))], names=["key"])
 
     longs = ids.select(F.col(column).cast("long").alias(column)).filter(F.col(column).isNotNull())
-    shared = ids.sparkSession.sparkContext.broadcast(bitmap_of(longs.mapInArrow(keys, "key long"), "key"))
+    shared = SentBitmap(ids.sparkSession, bitmap_of(longs.mapInArrow(keys, "key long"), "key"))
 
     @F.pandas_udf("boolean")
     def listed(values: pd.Series) -> pd.Series:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import bitmap_of, byte_codes, in_bitmap, lower_ascii_table, materialise, shingle_hashes, signed, slices, words_of
+from strata.llm.common import SentBitmap, bitmap_of, byte_codes, in_bitmap, lower_ascii_table, materialise, shingle_hashes, signed, slices, words_of
 
 HIT = "struct<lane:int,gram:long,at:int,lead:int,context:binary>"
 _HIT_TYPE = pa.list_(pa.struct([("lane", pa.int32()), ("gram", pa.int64()), ("at", pa.int32()), ("lead", pa.int32()), ("context", pa.binary())]))
@@ -105,9 +105,9 @@ def _scan(batches: Iterator[pa.RecordBatch], span: int, k: int, short: tuple[int
 
 
 def scan(texts: DataFrame, id_column: str, span: int, k: int, short: tuple[int, ...] = (), bitmap: np.ndarray | None = None, items: bool = False) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+    shared = None if bitmap is None else SentBitmap(texts.sparkSession, bitmap)
     rows = texts.select(F.col(id_column).cast("long").alias("id"), "text")
-    return rows.mapInArrow(lambda batches: _scan(batches, span, k, short, shared.value, items), f"key long, id long, n_words long, hits array<{HIT}>")
+    return rows.mapInArrow(lambda batches: _scan(batches, span, k, short, shared.value if shared else None, items), f"key long, id long, n_words long, hits array<{HIT}>")
 
 
 def extent(lane: int, span: int, k: int, lead: int, context: bytes, other_lead: int, other: bytes) -> tuple[int, int] | None:

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bitmap_of, byte_codes, free_shuffles, in_bitmap, lower_ascii_table, materialise, mix64, shingle_hashes, signed, slices, words_of
+from strata.llm.common import SentBitmap, bitmap_of, byte_codes, free_shuffles, in_bitmap, lower_ascii_table, materialise, mix64, shingle_hashes, signed, slices, words_of
 from strata.llm.components import components
 
 WORDS = 5
@@ -173,8 +173,9 @@ def row_bitmap(ids: DataFrame) -> np.ndarray:
 def overlaps(texts: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """pairs (a, b) with n, m (the sizes) and overlap, exactly."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    chosen = texts.sparkSession.sparkContext.broadcast(row_bitmap(ids))
+    chosen = SentBitmap(texts.sparkSession, row_bitmap(ids))
     sets = materialise(texts.mapInArrow(lambda batches: _chosen_sets(batches, chosen.value), "id long, shingles binary"), f"{name}-sets")
+    chosen.destroy()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,7 +220,7 @@ def lead(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def meetings(texts: DataFrame, clusters: DataFrame, known: DataFrame, hot: np.ndarray) -> DataFrame:
     """Pairs of roots (a < b), not connected yet, whose members may link."""
-    send = texts.sparkSession.sparkContext.broadcast
+    send = lambda bitmap: SentBitmap(texts.sparkSession, bitmap)
     chosen, late = send(row_bitmap(clusters)), send(hot)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,6 +244,8 @@ def meetings(texts: DataFrame, clusters: DataFrame, known: DataFrame, hot: np.nd
     # sizes that can link are in the same block or in neighbouring ones
     block = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(4 / 3)) + 1e-9).cast("int")
     lists = materialise(lists.withColumn("low", block("least")).withColumn("high", block("most")), "index")
+    for bitmap in (chosen, late, shared):
+        bitmap.destroy()
     several = lists.groupBy("token").agg(F.min("component").alias("one"), F.max("component").alias("other")).filter("one <> other").select("token")
     lists = lists.join(several, "token", "left_semi")
     side = lambda name, low, high: lists.select("token", F.explode(F.sequence(low, high)).alias("block"), F.struct("root", "component", "least", "most", "rest").alias(name))

@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bitmap_of, byte_codes, free_shuffles, in_bitmap, materialise, mix64, powers, signed, slices
+from strata.llm.common import SentBitmap, bitmap_of, byte_codes, free_shuffles, in_bitmap, materialise, mix64, powers, signed, slices
 
 LENGTH, Q = 100, 32
 BASE = 0x9E3779B97F4A7C15
@@ -213,14 +213,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], width: int, wider: int, active: n
         yield pa.RecordBatch.from_arrays(columns, names=["bucket", "core", "hull", "doc_id", "row", "first", "strings", "pointer"])
 
 
-def _keys(frame: DataFrame, make, *bitmaps) -> DataFrame:
+def _keys(frame: DataFrame, make, *bitmaps: SentBitmap) -> DataFrame:
     """A column ``key`` of 64-bit names made from a batch's columns by numpy."""
-    shared = frame.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = {name: batch.column(i).to_numpy(zero_copy_only=False) for i, name in enumerate(batch.schema.names)}
-            yield pa.RecordBatch.from_arrays([pa.array(signed(make(columns, *shared.value)))], names=["key"])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(make(columns, *(b.value for b in bitmaps))))], names=["key"])
 
     return frame.mapInArrow(run, "key long")
 
@@ -246,7 +245,7 @@ def several(earliest: DataFrame, groups: list[str], kind: str) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> list[DataFrame]:
     """Tables of removed spans, by row number of the scan; they may overlap."""
     spark = docs.sparkSession
-    send = spark.sparkContext.broadcast
+    send = lambda bitmap: SentBitmap(spark, bitmap)
     counted = docs.mapInArrow(_buckets, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     shared = send(bitmap_of(counted.filter("n > 1"), "bucket", BITS))
     free_shuffles(spark)
@@ -258,12 +257,14 @@ def repeated_spans(docs: DataFrame) -> list[DataFrame]:
     firsts = _keys(
         earliest.select("bucket", "first_row", "first_at"),
         lambda c, mixed: place_key(c["first_row"], c["first_at"])[in_bitmap(mixed, c["bucket"].view(np.uint64))],
-        mixed.value,
+        mixed,
     )
     chosen = send(bitmap_of(firsts, "key", BITS))
     free_shuffles(spark)
 
     stretches = materialise(docs.mapInArrow(lambda b: _stretches(b, shared.value, mixed.value, chosen.value), STRETCH), "stretches")
+    for bitmap in (shared, mixed, chosen):
+        bitmap.destroy()
     wider, active = LENGTH, None
     for width in LEVELS:
         blocks = materialise(stretches.mapInArrow(lambda b, w=width, o=wider, a=active: _blocks(b, w, o, a.value if a else None), BLOCK), f"blocks-{width}")
@@ -272,6 +273,8 @@ def repeated_spans(docs: DataFrame) -> list[DataFrame]:
         earliest = blocks.groupBy("bucket", *kind).agg(F.min(F.struct("doc_id", "row", "first", "pointer")).alias("e"))
         earliest = materialise(earliest.select("bucket", *kind, F.col("e.row").alias("first_row"), F.col("e.first").alias("first_at"), F.col("e.pointer").alias("pointer")), f"earliest-{width}")
         spans.append(materialise(repeats(blocks.drop("pointer"), earliest.drop("pointer"), kind), f"spans-{width}"))
+        if active:
+            active.destroy()
         if width > 1:
             cores = _keys(several(earliest, ["bucket", "core"], "hull").select("bucket", "core"), lambda c: core_key(c["bucket"], c["core"]))
             open_cores = send(bitmap_of(cores, "key", BITS))
@@ -280,7 +283,8 @@ def repeated_spans(docs: DataFrame) -> list[DataFrame]:
                 kept = in_bitmap(cores, core_key(c["bucket"], c["core"]))
                 return block_key(c["first_row"], c["pointer"], (c["pointer"].astype(np.int64) - c["first_at"]) // width)[kept]
 
-            active = send(bitmap_of(_keys(earliest.select("bucket", "core", "first_row", "first_at", "pointer"), open_blocks, open_cores.value), "key", BITS))
+            active = send(bitmap_of(_keys(earliest.select("bucket", "core", "first_row", "first_at", "pointer"), open_blocks, open_cores), "key", BITS))
+            open_cores.destroy()
         wider = width
         free_shuffles(spark)
     return spans
@@ -316,7 +320,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     for more in spans[1:]:
         union = union.unionByName(more)
     by_row = materialise(union.distinct().groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "row-spans")
-    touched = spark.sparkContext.broadcast(bitmap_of(_keys(by_row.select("row"), lambda c: place_key(c["row"], np.zeros(len(c["row"]), np.int64))), "key", BITS))
+    touched = SentBitmap(spark, bitmap_of(_keys(by_row.select("row"), lambda c: place_key(c["row"], np.zeros(len(c["row"]), np.int64))), "key", BITS))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts that lose something keep their bytes, the others only their digest."""
@@ -346,6 +350,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             yield _result(ids.to_pylist(), sizes, removed, runs, digests)
 
     scanned = materialise(texts.mapInArrow(scan, "row long, doc_id long, n_bytes long, bytes binary, digest string"), "scanned")
+    touched.destroy()
     whole = scanned.filter("bytes IS NULL").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("digest").alias("kept_sha256"))
     losing = scanned.filter("bytes IS NOT NULL").select("row", "doc_id", "bytes").join(by_row, "row", "left")
     return whole.unionByName(losing.mapInArrow(cut, RESULT))
