@@ -4,7 +4,8 @@
     python -m strata load-raw   --root <warehouse> --source <csv folder> [--mode append]
     python -m strata load-clean --root <warehouse> [--mode append]
     python -m strata build-model --root <warehouse>
-    python -m strata audit | reconcile | check --root <warehouse>
+    python -m strata audit | reconcile | discarded | check --root <warehouse> [--run <run id>]
+    python -m strata expire --root <warehouse> [--keep 2]
 
 Under spark-submit the session (master, checkpoint folder, memory) comes
 from the submit configuration; ``--local N`` starts a local session instead.
@@ -17,6 +18,7 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from strata.plans.pipeline import Warehouse
 from strata.session import build_session, ensure_checkpoint_dir
@@ -32,10 +34,12 @@ def _session(local: int | None) -> SparkSession:
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="strata")
-    p.add_argument("command", choices=["run-all", "load-raw", "load-clean", "build-model", "audit", "reconcile", "check"])
+    p.add_argument("command", choices=["run-all", "load-raw", "load-clean", "build-model", "audit", "reconcile", "discarded", "check", "expire"])
     p.add_argument("--root", required=True, help="warehouse folder (any Hadoop file system path)")
     p.add_argument("--source", help="folder holding the nine CSV exports")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
+    p.add_argument("--run", help="audit: this run only")
+    p.add_argument("--keep", type=int, default=2, help="expire: manifests that stay readable")
     p.add_argument("--local", type=int, default=None, help="run on local[N] instead of the submitted cluster")
     a = p.parse_args(argv)
 
@@ -52,9 +56,13 @@ def main(argv: list[str] | None = None) -> int:
         rows = wh.load_clean(mode=a.mode)
     elif a.command == "build-model":
         rows = wh.build_model()
+    elif a.command == "expire":
+        rows = [{"removed": r} for r in wh.expire_runs(a.keep)]
     else:
-        df = {"audit": wh.audit, "reconcile": wh.reconcile, "check": wh.check_objects}[a.command]()
-        df.show(200, truncate=False)
+        audit = lambda: wh.audit() if a.run is None else wh.audit().where(F.col("run_id") == a.run)
+        df = {"audit": audit, "reconcile": wh.reconcile, "discarded": wh.discarded, "check": wh.check_objects}[a.command]()
+        for row in df.toLocalIterator():
+            print(json.dumps(row.asDict(), default=str))
         return 0
     for r in rows:
         print(json.dumps(r, default=str))

@@ -17,13 +17,25 @@ from pyspark.sql import functions as F
 from strata.functions import clean as C
 from strata.functions.dates import calendar_columns, day, day_diff
 from strata.operators.lookup import date_lookup
-from strata.oracle import SDEC, UDEC, UINT, guard, nb, state, ts, txt, with_layers, zip5
+from strata.oracle import ORDER_STAMPS, SDEC, UDEC, UINT, date_key, exact_avg, guard, nb, state, ts, txt, with_layers, zip5
 from strata.oracle import day as sql_day
 from strata.oracle import ddiff as sql_ddiff
 from strata.plans import dims, facts, quality
 from strata.plans.model import Model
 from strata.plans.silver import CLEANERS
 from strata.sources.driver_tables import RAW_BUILDERS
+from strata.sources.schemas import KEYS, UNKEYED
+
+
+# Clean columns that no dimension or fact reads.
+UNREAD = {
+    "order_items": ["shipping_limit_date"],
+    "order_reviews": ["review_comment_title"],
+    "products": [
+        "product_name_lenght", "product_description_lenght", "product_photos_qty",
+        "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",
+    ],
+}
 
 
 class Tables:
@@ -43,8 +55,10 @@ class Tables:
         self.model = Model(_SharedClean(self))
 
     def shared(self, name: str) -> DataFrame:
+        """The columns of a clean table that the model reads, persisted."""
         if name not in self._shared:
-            self._shared[name] = self.clean(name).persist(StorageLevel.MEMORY_AND_DISK)
+            unread = [c for c in UNREAD.get(name, []) if c in self.clean(name).columns]
+            self._shared[name] = self.clean(name).drop(*unread).persist(StorageLevel.MEMORY_AND_DISK)
         return self._shared[name]
 
     def raw(self, name: str) -> DataFrame:
@@ -344,7 +358,7 @@ def q_non_blank_flag(spark, sf_dir):
     return r.select("review_id", C.has_text("review_comment_message").alias("has_comment"))
 
 
-@register("mean_score", with_layers("SELECT order_id, review_score FROM review_by_order"), "SCL-20, AGG-11, JN-14")
+@register("mean_score", with_layers("SELECT order_id, review_score FROM per_order WHERE review_rows > 0"), "SCL-20, AGG-11, JN-14")
 def q_mean_score(spark, sf_dir):
     return facts.review_score_by_order(_t(spark, sf_dir).clean("order_reviews"))
 
@@ -361,16 +375,14 @@ def q_mean_score(spark, sf_dir):
 )
 def q_key_filter(spark, sf_dir):
     i = _t(spark, sf_dir).clean("order_items")
-    return i.where(F.col("order_id").isNotNull() & F.col("order_item_id").isNotNull()).select(
-        "order_id", "order_item_id", "price"
-    )
+    return facts.keyed_items(i).select("order_id", "order_item_id", "price")
 
 
 @register(
     "main_payment",
     with_layers(
-        "SELECT mp.order_id, dpt.payment_type_sk AS main_payment_type_sk FROM main_pay mp "
-        "LEFT JOIN dim_payment_type dpt ON dpt.payment_type_code = mp.payment_type"
+        "SELECT order_id, payment_type_sk AS main_payment_type_sk FROM per_order "
+        "LEFT JOIN dim_payment_type ON main_method = payment_type_code WHERE payment_rows > 0"
     ),
     "WIN-4, SRT-1, SRT-2, JN-12, JN-13",
 )
@@ -382,15 +394,7 @@ def q_main_payment(spark, sf_dir):
 @register(
     "role_playing_dates",
     with_layers(
-        "SELECT o.order_id, "
-        + ", ".join(f"d{i}.date_sk AS {r}" for i, r in enumerate(["order_date_sk", "approved_date_sk",
-                                                                    "delivered_carrier_date_sk",
-                                                                    "delivered_customer_date_sk",
-                                                                    "estimated_delivery_date_sk"]))
-        + " FROM s_orders o "
-        + " ".join(
-            f"LEFT JOIN dim_date d{i} ON d{i}.full_date = {sql_day('o.' + c)}" for i, c in enumerate(_TS_COLS)
-        )
+        "SELECT order_id, " + ", ".join(f"{date_key(c)} AS {sk}" for sk, c in ORDER_STAMPS.items()) + " FROM s_orders"
     ),
     "JN-5, SCL-11",
 )
@@ -406,8 +410,7 @@ def q_role_playing_dates(spark, sf_dir):
 @register(
     "customer_lookup",
     with_layers(
-        "SELECT o.order_id, dc.customer_sk FROM s_orders o LEFT JOIN s_customers c ON c.customer_id = o.customer_id "
-        "LEFT JOIN dim_customer dc ON dc.customer_unique_id = c.customer_unique_id"
+        "SELECT order_id, customer_sk FROM s_orders LEFT JOIN person_of USING (customer_id)"
     ),
     "JN-7, JN-8",
 )
@@ -426,23 +429,29 @@ def q_customer_lookup(spark, sf_dir):
 )
 def q_customer_order_stats(spark, sf_dir):
     t = _t(spark, sf_dir)
-    c = t.clean("customers").where(F.col("customer_unique_id").isNotNull())
-    o = t.clean("orders")
-    per_id = o.groupBy("customer_id").agg(
-        F.min(day("order_purchase_timestamp")).alias("_f"),
-        F.max(day("order_purchase_timestamp")).alias("_l"),
-        F.count_distinct("order_id").alias("_n"),
-    )
-    per_pair = (
-        c.select("customer_unique_id", "customer_id")
-        .distinct()
-        .join(per_id, "customer_id", "left")
-    )
-    return per_pair.groupBy("customer_unique_id").agg(
-        F.min("_f").alias("first_order_date"),
-        F.max("_l").alias("last_order_date"),
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("int").alias("total_orders"),
-    )
+    return dims.customer_orders(t.clean("customers"), t.clean("orders"))
+
+
+# Ids of one person's orders that agree in their first 32 characters, the
+# declared length: the dedupe tells them apart, the clean layer no longer does.
+_LONG_ID_SQL = "rpad('person-' || CAST(CAST(TRIM(customer_id, ' ') AS BIGINT) // 3 AS VARCHAR) || '-', 32, '.') || '#' || TRIM(order_id, ' ')"
+
+
+@register(
+    "customer_orders_long_ids",
+    with_layers(
+        "SELECT customer_unique_id, first_d AS first_order_date, last_d AS last_order_date, "
+        "CAST(n AS INTEGER) AS total_orders FROM cust_orders",
+        {"r_orders": f"SELECT * REPLACE ({_LONG_ID_SQL} AS order_id) FROM r_orders_given"},
+    ),
+    "AGG-4, DIM-2 (ids longer than declared)",
+)
+def q_customer_orders_long_ids(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    person = (F.trim("customer_id").cast("long") / 3).cast("long").cast("string")
+    long_id = F.concat(F.rpad(F.concat(F.lit("person-"), person, F.lit("-")), 32, "."), F.lit("#"), F.trim("order_id"))
+    orders = CLEANERS["orders"](t.raw("orders").withColumn("order_id", long_id))
+    return dims.customer_orders(t.clean("customers"), orders)
 
 
 @register(
@@ -455,20 +464,7 @@ def q_customer_order_stats(spark, sf_dir):
 )
 def q_seller_order_stats(spark, sf_dir):
     t = _t(spark, sf_dir)
-    i, o = t.clean("order_items"), t.clean("orders")
-    pairs = i.where(F.col("seller_id").isNotNull()).select("seller_id", "order_id").distinct()
-    od = o.groupBy("order_id").agg(
-        F.min(day("order_purchase_timestamp")).alias("_lo"), F.max(day("order_purchase_timestamp")).alias("_hi")
-    )
-    return (
-        pairs.join(od, "order_id", "left")
-        .groupBy("seller_id")
-        .agg(
-            F.min("_lo").alias("first_order_date"),
-            F.max("_hi").alias("last_order_date"),
-            F.count("order_id").cast("int").alias("total_orders"),
-        )
-    )
+    return dims.seller_orders(t.clean("order_items"), t.clean("orders"))
 
 
 @register("distinct_dates", with_layers("SELECT full_date FROM all_dates"), "SET-1, AGG-13")
@@ -479,8 +475,7 @@ def q_distinct_dates(spark, sf_dir):
 
 @register(
     "category_union",
-    with_layers("SELECT c.product_category_name, tr.en AS product_category_name_en FROM categories c "
-                "LEFT JOIN translation tr ON tr.product_category_name = c.product_category_name"),
+    with_layers("SELECT product_category_name, product_category_name_en FROM category_names"),
     "SET-2, JN-6, AGG-6, AGG-13",
 )
 def q_category_union(spark, sf_dir):
@@ -508,12 +503,10 @@ def q_max_installments(spark, sf_dir):
 @register(
     "money_totals",
     with_layers(
-        "SELECT order_id, CAST(count(order_item_id) AS INTEGER) AS total_items, "
-        "CAST(coalesce(sum(price), 0) AS DECIMAL(12,2)) AS total_gross_revenue, "
-        "CAST(coalesce(sum(freight_value), 0) AS DECIMAL(12,2)) AS total_freight_value, "
-        "CASE WHEN count(price) = 0 THEN NULL ELSE CAST(CAST((2 * CAST(sum(price) * 100 AS HUGEINT) + count(price)) "
-        "// (2 * count(price)) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) END AS avg_item_price "
-        "FROM s_order_items GROUP BY order_id"
+        "SELECT order_id, CAST(items AS INTEGER) AS total_items, "
+        "CAST(coalesce(gross, 0) AS DECIMAL(12,2)) AS total_gross_revenue, "
+        "CAST(coalesce(freight, 0) AS DECIMAL(12,2)) AS total_freight_value, avg_item_price "
+        "FROM per_order WHERE item_rows > 0"
     ),
     "AGG-3, AGG-8, AGG-9, AGG-10, AGG-12, JN-15",
 )
@@ -528,7 +521,7 @@ def q_money_totals(spark, sf_dir):
     )
 
 
-@register("payment_totals", with_layers("SELECT order_id, total_payment_value FROM payment_total"), "AGG-8, JN-16")
+@register("payment_totals", with_layers("SELECT order_id, CAST(paid AS DECIMAL(12,2)) AS total_payment_value FROM per_order WHERE payment_rows > 0"), "AGG-8, JN-16")
 def q_payment_totals(spark, sf_dir):
     p = facts.payment_total_by_order(_t(spark, sf_dir).clean("order_payments"))
     return p.select("order_id", F.col("_paid").alias("total_payment_value"))
@@ -585,6 +578,26 @@ def q_layer_counts(spark, sf_dir):
     return quality.reconcile({e: t.raw(e) for e in _ENTITIES}, {e: t.clean(e) for e in _ENTITIES})
 
 
+def _discarded_sql() -> str:
+    parts = []
+    for entity in _ENTITIES:
+        names = KEYS[entity] or UNKEYED[entity]
+        blank = f"{nb(names[0])} IS NULL" if KEYS[entity] else "FALSE"
+        keys = ", ".join(f"{nb(k)} AS k{i}" for i, k in enumerate(names))
+        parts.append(
+            f"SELECT '{entity}' AS entity, count(*) AS raw_rows, count(*) FILTER (blank) AS blank_key_rows, "
+            f"CAST(count(*) FILTER (NOT blank) - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM r_{entity} WHERE NOT ({blank}))) AS BIGINT) "
+            f"AS duplicate_rows FROM (SELECT {blank} AS blank FROM r_{entity})"
+        )
+    return with_layers(" UNION ALL ".join(parts))
+
+
+@register("discarded_rows", _discarded_sql(), "QLT-7 (rows left out, by reason)")
+def q_discarded_rows(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return quality.discarded({e: t.raw(e) for e in _ENTITIES})
+
+
 # ---------------------------------------------------------------------------
 # clean tables, dimensions, facts
 # ---------------------------------------------------------------------------

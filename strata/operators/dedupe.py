@@ -2,24 +2,21 @@
 
 ``keep_latest`` is the clean layer's dedupe: per key, the row that is newest
 by the entity's recency columns (descending, NULLs last) and then by the
-stored ingest position. It is one aggregate: ``max`` of a struct whose
-leading fields are the recency columns and the ingest position, carrying the
-rest of the row. A NULL struct field compares lowest, so ``max`` is exactly
-"descending, NULLs last", and the unique ingest position leaves no ties.
-Spark combines on the map side (each task keeps its own newest row per key)
-before the one hash exchange on the key, so a key holding a third of all
-rows ships at most one row per map task. The result is provably unique on
-the key.
+stored ingest position. It is ``row_number() = 1``: Spark keeps each task's
+own first row of a key before the hash exchange (a partial
+``WindowGroupLimit``), so a key holding a third of all rows ships at most one
+row per map task, and columns that nobody reads later are pruned at the scan.
+The unique ingest position leaves no ties.
 
 ``representative`` picks the row with the greatest ordering columns per key
-the same way; it is used where the key is a plain column.
+by an aggregate; it is used where the key is a plain column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.sources.schemas import INGEST_POS
@@ -34,27 +31,14 @@ def keep_latest(
     """One row per value of the ``keys`` expressions: the greatest by
     ``newest_first`` (each descending, NULLs last), then by ``position``.
     Returns the input's columns unchanged."""
-    payload = [c for c in df.columns if c != position]
-    best = F.max(
-        F.struct(
-            *[c.alias(f"_o{i}") for i, c in enumerate(newest_first)],
-            F.col(position).alias("_pos"),
-            *[F.col(c) for c in payload],
-        )
-    ).alias("_best")
-    grouped = df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).agg(best)
-    out = [F.col(f"_best.{c}").alias(c) for c in payload] + [F.col("_best._pos").alias(position)]
-    return grouped.select(*out)
-
-
-def representative(
-    df: DataFrame, key: str | Sequence[str], order: Sequence[str], carry: Sequence[str] = ()
-) -> DataFrame:
+    latest = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in newest_first], F.col(position).desc())
+    return df.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") == 1).drop("_rank")
+
+
+def representative(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per ``key``: the row whose ``order`` columns are greatest,
-    compared left to right with NULL lowest (descending, nulls last).
-    ``carry`` columns come along from the same row. Output columns: key,
-    then order columns, then carry columns."""
+    compared left to right with NULL lowest (descending, nulls last). Output
+    columns: key, then order columns."""
     keys = [key] if isinstance(key, str) else list(key)
-    fields = list(order) + [c for c in carry if c not in order]
-    best = F.max(F.struct(*[F.col(c) for c in fields])).alias("_best")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in fields])
+    best = F.max(F.struct(*[F.col(c) for c in order])).alias("_best")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in order])

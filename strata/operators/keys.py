@@ -1,10 +1,8 @@
 """Surrogate keys: the dense rank of a natural key, 1..n in key order.
 
 ``DENSE_RANK() OVER (ORDER BY k)`` with no partition makes Spark move every
-row into one task (``Exchange SinglePartition``). That is only allowed
-behind a checked bound: the keys are counted first (``limit(bound + 1)``,
-on the persisted input) and the one-task rank is used under
-``ONE_TASK_KEYS``. Above it the rank is computed in parallel and exactly:
+row into one task, so ``dense_rank_key`` computes the rank in parallel, the
+same way at every size:
 
 1. range-partition the rows on the key (sampled bounds), sort each
    partition, tag every row with its partition and its position in it;
@@ -16,53 +14,29 @@ on the persisted input) and the one-task rank is used under
 4. rank = offset of the partition + position + 1, joined through a broadcast
    of the ``n`` offsets (a size fixed by the partition count).
 
+Checkpoint files are removed with the plans that read them
+(``spark.cleaner.referenceTracking.cleanCheckpoints``, set by
+``strata.session``).
+
+``domain_rank_key`` is the plain rank, for keys whose number is bounded by
+what they are (calendar days, status codes, payment types), not by the data.
+
 Input must hold each key once, which every caller guarantees by building it
 with ``groupBy``/``distinct``; equal keys would otherwise get distinct ranks.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
 
 
-# Up to this many keys the rank runs in one task (one sort of at most this
-# many rows); above it the parallel path is taken.
-ONE_TASK_KEYS = 1_000_000
-
-
-def dense_rank_key(
-    df: DataFrame,
-    key: str,
-    out: str,
-    small: bool | None = None,
-    type_name: str = "int",
-    num_partitions: int | None = None,
-    stats: dict | None = None,
-) -> DataFrame:
+def dense_rank_key(df: DataFrame, key: str, out: str, type_name: str = "int", num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = dense rank of ``key`` (ascending, binary order) as the
-    first column. Rows with a NULL key are dropped.
-
-    ``small=None`` (default): count the keys (input persisted, so the count
-    fills the cache the rank reads) and take the one-task path only under
-    ``ONE_TASK_KEYS``. ``small=False`` forces the parallel path;
-    ``small=True`` is for callers that hold their own proof of the bound.
-    ``stats`` receives ``rows`` when the count was taken and is exact."""
+    first column. Rows with a NULL key are dropped."""
     df = df.where(F.col(key).isNotNull())
-    cols = df.columns
-    if small is None:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        n = df.limit(ONE_TASK_KEYS + 1).count()
-        small = n <= ONE_TASK_KEYS
-        if stats is not None and small:
-            stats["rows"] = n  # exact: one row per key
-    if small:
-        ranked = df.withColumn(out, F.dense_rank().over(Window.orderBy(F.col(key).asc())).cast(type_name))
-        return ranked.select(out, *cols)
-
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -74,10 +48,15 @@ def dense_rank_key(
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
     ).checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off")
-    )
+    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     ranked = tagged.join(F.broadcast(offsets), "_pid").withColumn(
         out, (F.col("_off") + F.col("_pos") + F.lit(1)).cast(type_name)
     )
-    return ranked.select(out, *cols)
+    return ranked.select(out, *df.columns)
+
+
+def domain_rank_key(df: DataFrame, key: str, out: str, type_name: str = "int") -> DataFrame:
+    """The same column for a key with a domain of bounded size, in one task."""
+    df = df.where(F.col(key).isNotNull())
+    rank = F.dense_rank().over(Window.orderBy(F.col(key).asc()))
+    return df.withColumn(out, rank.cast(type_name)).select(out, *df.columns)

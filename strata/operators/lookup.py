@@ -2,9 +2,7 @@
 
 A dimension is broadcast only after its row count is measured to be under a
 bound; above the bound the join stays a shuffle join and adaptive execution
-may still switch it once the real shuffle size is known. The count is a
-``limit(bound + 1).count()`` so it stops early on a dimension that turns out
-to be large.
+may still switch it once the real shuffle size is known.
 """
 
 from __future__ import annotations
@@ -21,23 +19,24 @@ SMALL_DIM_ROWS = 100_000
 LOOKUP_ROWS = 1_000_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = SMALL_DIM_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int = SMALL_DIM_ROWS, kept: list | None = None) -> DataFrame:
     """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave the
     join to a shuffle. The dimension is persisted first, so the counting
-    job fills the cache that the broadcast then reads."""
+    job fills the cache that the broadcast then reads; ``kept`` collects what
+    stays persisted, for the caller to release."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    if df.count() <= max_rows:
+        if kept is not None:
+            kept.append(df)
         return F.broadcast(df)
-    df.unpersist()
-    return df
+    return df.unpersist()
 
 
 def date_lookup(df: DataFrame, dim_date: DataFrame, on: Column, out: str) -> DataFrame:
     """Add ``out`` = ``date_sk`` of the calendar date ``on`` (NULL when the
-    date is NULL or absent). Every role joins the *same* projection of the
-    (already broadcast) date dimension, only aliased per role, so Spark ships
-    it once and reuses the exchange for the other roles."""
+    date is NULL or absent). Every role joins the same projection of the date
+    dimension under its own alias. Whether Spark reuses one broadcast for the
+    roles or builds one for each is up to adaptive execution; each is small."""
     d = dim_date.select("full_date", "date_sk").alias(out)
     joined = df.join(d, on == F.col(f"{out}.full_date"), "left")
     return joined.select(*[df[c] for c in df.columns], F.col(f"{out}.date_sk").alias(out))

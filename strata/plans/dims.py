@@ -1,10 +1,9 @@
 """Model layer: dimensions.
 
-Inputs are clean-layer DataFrames. Every surrogate key is a dense rank whose
-path is chosen from a bounded count of the keys (``dense_rank_key``): one
-task under a million keys (dates, statuses, payment types and categories
-always are), the parallel range rank above. Small dimensions are broadcast
-only after a size check; large ones join by shuffle.
+Inputs are clean-layer DataFrames. Every surrogate key is a dense rank: the
+parallel range rank for keys that grow with the data, the plain one for days,
+statuses and payment types. Small dimensions are broadcast only after a size
+check; large ones join by shuffle.
 
 Per-entity statistics are pre-aggregated on the smallest key before any join
 so that a customer or seller holding a third of all orders is combined on
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import calendar_columns, day
 from strata.operators.dedupe import representative
-from strata.operators.keys import dense_rank_key
+from strata.operators.keys import dense_rank_key, domain_rank_key
 from strata.operators.lookup import date_lookup
 
 ORDER_TIMES = [
@@ -44,132 +43,106 @@ def observed_dates(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     return o.unionByName(r).where(F.col("full_date").isNotNull()).distinct()
 
 
-def dim_date(orders: DataFrame, reviews: DataFrame, stats: dict | None = None) -> DataFrame:
-    ranked = dense_rank_key(observed_dates(orders, reviews), "full_date", "date_sk", stats=stats)
+def dim_date(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    ranked = domain_rank_key(observed_dates(orders, reviews), "full_date", "date_sk")
     return ranked.select("date_sk", "full_date", *calendar_columns("full_date"))
 
 
-def dim_customer(
-    customers: DataFrame,
-    orders: DataFrame,
-    dates: DataFrame,
-    stats: dict | None = None,
-    unique_orders: bool = True,
-) -> DataFrame:
-    """One row per person (``customer_unique_id``): attributes of the
-    person's greatest ``customer_id``; first/last purchase date and number
-    of distinct orders over all of the person's ids.
-
-    ``unique_orders=True`` (an overwrite-loaded clean layer, one row per
-    order id): orders are first reduced to one row per ``customer_id``
-    (map-side combined), and per-id distinct counts add up to the person's.
-    ``unique_orders=False`` (appended clean runs, where one order id may
-    carry several customer ids): distinct (person, order) pairs are counted
-    instead, exact in every case at the price of an order-grain shuffle."""
-    base = customers.where(F.col("customer_unique_id").isNotNull())
-    attrs = base.groupBy("customer_unique_id", "customer_id").agg(
-        F.max(F.struct("customer_zip_code_prefix", "customer_city", "customer_state")).alias("_attr")
+def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per person: first and last purchase date and the number of distinct
+    orders over all of the person's customer ids.
+
+    Distinct (person, order) pairs are counted, because one order id may
+    carry several customer ids: ids are cut to their declared length after
+    the dedupe, and appended clean runs repeat them."""
+    persons = customers.where(F.col("customer_unique_id").isNotNull()).select("customer_unique_id", "customer_id").distinct()
+    placed = orders.groupBy("customer_id", "order_id").agg(
+        F.min(day("order_purchase_timestamp")).alias("_lo"),
+        F.max(day("order_purchase_timestamp")).alias("_hi"),
     )
-    if unique_orders:
-        per_id = orders.groupBy("customer_id").agg(
-            F.min(day("order_purchase_timestamp")).alias("_first"),
-            F.max(day("order_purchase_timestamp")).alias("_last"),
-            F.count_distinct("order_id").alias("_n"),
-        )
-        per_pair = attrs.join(per_id, "customer_id", "left")
-        person = per_pair.groupBy("customer_unique_id").agg(
-            F.max(F.struct("customer_id", "_attr")).alias("_rep"),
-            F.min("_first").alias("_first"),
-            F.max("_last").alias("_last"),
-            F.sum("_n").alias("_n"),
-        )
-    else:
-        id_pairs = orders.groupBy("customer_id", "order_id").agg(
-            F.min(day("order_purchase_timestamp")).alias("_lo"),
-            F.max(day("order_purchase_timestamp")).alias("_hi"),
-        )
-        persons = base.select("customer_unique_id", "customer_id").distinct()
-        person_orders = (
-            id_pairs.join(persons, "customer_id")
-            .groupBy("customer_unique_id")
-            .agg(
-                F.min("_lo").alias("_first"),
-                F.max("_hi").alias("_last"),
-                F.count_distinct("order_id").alias("_n"),
-            )
-        )
-        reps = attrs.groupBy("customer_unique_id").agg(F.max(F.struct("customer_id", "_attr")).alias("_rep"))
-        person = reps.join(person_orders, "customer_unique_id", "left")
-    person = person.select(
-        "customer_unique_id",
-        F.col("_rep.customer_id").alias("customer_id_source"),
-        F.col("_rep._attr.customer_zip_code_prefix").alias("customer_zip_code_prefix"),
-        F.col("_rep._attr.customer_city").alias("customer_city"),
-        F.col("_rep._attr.customer_state").alias("customer_state"),
-        "_first",
-        "_last",
-        F.coalesce(F.col("_n"), F.lit(0)).cast("int").alias("total_orders"),
+    pairs = (
+        persons.join(placed, "customer_id", "left")
+        .groupBy("customer_unique_id", "order_id")
+        .agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    )
+    return pairs.groupBy("customer_unique_id").agg(
+        F.min("_lo").alias("first_order_date"),
+        F.max("_hi").alias("last_order_date"),
+        F.count("order_id").cast("int").alias("total_orders"),
     )
-    ranked = dense_rank_key(person, "customer_unique_id", "customer_sk", stats=stats)
-    ranked = date_lookup(ranked, dates, F.col("_first"), "first_order_date_sk")
-    ranked = date_lookup(ranked, dates, F.col("_last"), "last_order_date_sk")
+
+
+def customer_keys(customers: DataFrame) -> DataFrame:
+    """Person -> surrogate key, without the rest of the dimension."""
+    persons = customers.select("customer_unique_id").where(F.col("customer_unique_id").isNotNull()).distinct()
+    return dense_rank_key(persons, "customer_unique_id", "customer_sk")
+
+
+def dim_customer(customers: DataFrame, orders: DataFrame, dates: DataFrame) -> DataFrame:
+    """One row per person (``customer_unique_id``): attributes of the
+    person's greatest ``customer_id`` and the person's order statistics."""
+    place = ["customer_zip_code_prefix", "customer_city", "customer_state"]
+    person = representative(
+        customers.where(F.col("customer_unique_id").isNotNull()), "customer_unique_id", ["customer_id", *place]
+    ).join(customer_orders(customers, orders), "customer_unique_id", "left")
+    ranked = dense_rank_key(person, "customer_unique_id", "customer_sk")
+    ranked = date_lookup(ranked, dates, F.col("first_order_date"), "first_order_date_sk")
+    ranked = date_lookup(ranked, dates, F.col("last_order_date"), "last_order_date_sk")
     return ranked.select(
         "customer_sk",
         "customer_unique_id",
-        "customer_id_source",
-        "customer_zip_code_prefix",
-        "customer_city",
-        "customer_state",
+        F.col("customer_id").alias("customer_id_source"),
+        *place,
         "first_order_date_sk",
         "last_order_date_sk",
         "total_orders",
     )
 
 
-def dim_seller(
-    sellers: DataFrame, items: DataFrame, orders: DataFrame, dates: DataFrame, stats: dict | None = None
-) -> DataFrame:
-    """One row per seller; first/last purchase date of the orders it sold
-    in and their distinct count. Items whose order row is missing still
-    count (their dates are NULL)."""
+def seller_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per seller: first and last purchase date of the orders it sold in and
+    their distinct count. Items whose order row is missing still count
+    (their dates are NULL)."""
     pairs = items.where(F.col("seller_id").isNotNull()).select("seller_id", "order_id").distinct()
     order_days = orders.groupBy("order_id").agg(
         F.min(day("order_purchase_timestamp")).alias("_lo"),
         F.max(day("order_purchase_timestamp")).alias("_hi"),
     )
-    per_seller = (
+    return (
         pairs.join(order_days, "order_id", "left")
         .groupBy("seller_id")
         .agg(
-            F.min("_lo").alias("_first"),
-            F.max("_hi").alias("_last"),
-            F.count("order_id").alias("_n"),
+            F.min("_lo").alias("first_order_date"),
+            F.max("_hi").alias("last_order_date"),
+            F.count("order_id").cast("int").alias("total_orders"),
         )
     )
-    base = representative(
-        sellers.where(F.col("seller_id").isNotNull()),
-        "seller_id",
-        ["seller_zip_code_prefix", "seller_city", "seller_state"],
-    )
-    joined = base.join(per_seller, "seller_id", "left").withColumn(
-        "total_orders", F.coalesce(F.col("_n"), F.lit(0)).cast("int")
-    )
-    ranked = dense_rank_key(joined, "seller_id", "seller_sk", stats=stats)
-    ranked = date_lookup(ranked, dates, F.col("_first"), "first_order_date_sk")
-    ranked = date_lookup(ranked, dates, F.col("_last"), "last_order_date_sk")
+
+
+def seller_keys(sellers: DataFrame) -> DataFrame:
+    """Seller -> surrogate key, without the rest of the dimension."""
+    ids = sellers.select("seller_id").where(F.col("seller_id").isNotNull()).distinct()
+    return dense_rank_key(ids, "seller_id", "seller_sk")
+
+
+def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame, dates: DataFrame) -> DataFrame:
+    """One row per seller with its order statistics."""
+    place = ["seller_zip_code_prefix", "seller_city", "seller_state"]
+    base = representative(sellers.where(F.col("seller_id").isNotNull()), "seller_id", place)
+    ranked = dense_rank_key(base.join(seller_orders(items, orders), "seller_id", "left"), "seller_id", "seller_sk")
+    ranked = date_lookup(ranked, dates, F.col("first_order_date"), "first_order_date_sk")
+    ranked = date_lookup(ranked, dates, F.col("last_order_date"), "last_order_date_sk")
     return ranked.select(
         "seller_sk",
         "seller_id",
-        "seller_zip_code_prefix",
-        "seller_city",
-        "seller_state",
+        *place,
         "first_order_date_sk",
         "last_order_date_sk",
-        "total_orders",
+        F.coalesce("total_orders", F.lit(0)).cast("int").alias("total_orders"),
     )
 
 
-def dim_product_category(products: DataFrame, translation: DataFrame, stats: dict | None = None) -> DataFrame:
+def dim_product_category(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Categories named by products or by the translation table; English
     name NULL when untranslated."""
     name = "product_category_name"
@@ -182,7 +155,7 @@ def dim_product_category(products: DataFrame, translation: DataFrame, stats: dic
     tr = translation.groupBy(name).agg(
         F.max("product_category_name_english").alias("product_category_name_en")
     )
-    ranked = dense_rank_key(cats.join(tr, name, "left"), name, "product_category_sk", stats=stats)
+    ranked = dense_rank_key(cats.join(tr, name, "left"), name, "product_category_sk")
     return ranked.select(
         "product_category_sk",
         name,
@@ -190,9 +163,9 @@ def dim_product_category(products: DataFrame, translation: DataFrame, stats: dic
     )
 
 
-def dim_order_status(orders: DataFrame, stats: dict | None = None) -> DataFrame:
+def dim_order_status(orders: DataFrame) -> DataFrame:
     codes = orders.select(F.col("order_status").alias("order_status_code")).distinct()
-    ranked = dense_rank_key(codes, "order_status_code", "order_status_sk", type_name="smallint", stats=stats)
+    ranked = domain_rank_key(codes, "order_status_code", "order_status_sk", type_name="smallint")
     code = F.col("order_status_code")
     return ranked.select(
         "order_status_sk",
@@ -211,10 +184,8 @@ def payment_type_stats(payments: DataFrame) -> DataFrame:
     )
 
 
-def dim_payment_type(payments: DataFrame, stats: dict | None = None) -> DataFrame:
-    ranked = dense_rank_key(
-        payment_type_stats(payments), "payment_type_code", "payment_type_sk", type_name="smallint", stats=stats
-    )
+def dim_payment_type(payments: DataFrame) -> DataFrame:
+    ranked = domain_rank_key(payment_type_stats(payments), "payment_type_code", "payment_type_sk", type_name="smallint")
     return ranked.select(
         "payment_type_sk",
         F.substring("payment_type_code", 1, 20).alias("payment_type_code"),
@@ -222,7 +193,7 @@ def dim_payment_type(payments: DataFrame, stats: dict | None = None) -> DataFram
     )
 
 
-def dim_geolocation(geolocation: DataFrame, stats: dict | None = None) -> DataFrame:
+def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     """One row per zip prefix: greatest latitude, then longitude, city and
     state (descending, NULLs last)."""
     rep = representative(
@@ -230,7 +201,7 @@ def dim_geolocation(geolocation: DataFrame, stats: dict | None = None) -> DataFr
         "geolocation_zip_code_prefix",
         ["geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state"],
     )
-    ranked = dense_rank_key(rep, "geolocation_zip_code_prefix", "geolocation_sk", stats=stats)
+    ranked = dense_rank_key(rep, "geolocation_zip_code_prefix", "geolocation_sk")
     return ranked.select(
         "geolocation_sk",
         F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"),
@@ -241,6 +212,6 @@ def dim_geolocation(geolocation: DataFrame, stats: dict | None = None) -> DataFr
     )
 
 
-def product_key_map(products: DataFrame, stats: dict | None = None) -> DataFrame:
+def product_key_map(products: DataFrame) -> DataFrame:
     ids = products.select("product_id").where(F.col("product_id").isNotNull()).distinct()
-    return dense_rank_key(ids, "product_id", "product_sk", stats=stats).select("product_id", "product_sk")
+    return dense_rank_key(ids, "product_id", "product_sk").select("product_id", "product_sk")

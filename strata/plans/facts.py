@@ -4,11 +4,12 @@ Join layout (all joins are left outer, as the warehouse contract says):
 
 * ``customer_map``  customer_id -> customer_sk, one shuffle on the person id;
 * ``order_context`` every order row with its customer, status and five date
-  keys, computed once at order grain (fewer rows than items) with the small
-  dimensions broadcast after a size check;
-* item, payment and review facts join that context on ``order_id``; the
-  per-order helpers (main payment, mean review score, payment total) are
-  grouped on ``order_id`` too, so those joins share one hash partitioning;
+  keys, at order grain (fewer rows than items) with the small dimensions
+  broadcast after a size check; a model run writes it once for its four facts;
+* ``fact_order_items`` first brings the context, the main payment and the mean
+  review score together at order grain, then joins items to that once: a
+  single join, which adaptive execution splits where one order holds a large
+  share of the items (a chain of joins on the same key is never split);
 * ``fact_orders`` aggregates items per order *before* joining (map-side
   combine) instead of joining items and grouping on thirteen columns.
 """
@@ -44,24 +45,15 @@ def customer_map(customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
     )
 
 
-def order_context(
-    orders: DataFrame,
-    cmap: DataFrame,
-    dim_date: DataFrame,
-    dim_order_status: DataFrame | None = None,
-    roles=DATE_ROLES,
-) -> DataFrame:
-    """Order rows with customer_sk, status key and date keys of ``roles``.
-    ``dim_date`` / ``dim_order_status`` should be broadcast already."""
-    o = orders.join(cmap, "customer_id", "left")
-    if dim_order_status is not None:
-        dos = dim_order_status.select(
-            F.col("order_status_code").alias("order_status"), "order_status_sk"
-        )
-        o = o.join(dos, "order_status", "left")
-    for ts, out in roles:
+def order_context(orders: DataFrame, cmap: DataFrame, dim_date: DataFrame, dim_order_status: DataFrame) -> DataFrame:
+    """Every order row with an id: its customer, status and date keys, and
+    the timestamps that lead times are taken from. ``dim_date`` and
+    ``dim_order_status`` should be broadcast already."""
+    status = dim_order_status.select(F.col("order_status_code").alias("order_status"), "order_status_sk")
+    o = orders.where(F.col("order_id").isNotNull()).join(cmap, "customer_id", "left").join(status, "order_status", "left")
+    for ts, out in DATE_ROLES:
         o = date_lookup(o, dim_date, day(ts), out)
-    return o
+    return o.select("order_id", *[out for _, out in DATE_ROLES], "customer_sk", "order_status_sk", *[ts for ts, _ in DATE_ROLES])
 
 
 def main_payment(payments: DataFrame, dim_payment_type: DataFrame) -> DataFrame:
@@ -112,6 +104,11 @@ def item_totals_by_order(items: DataFrame) -> DataFrame:
     )
 
 
+def keyed_items(items: DataFrame) -> DataFrame:
+    """Items with both parts of their key."""
+    return items.where(F.col("order_id").isNotNull() & F.col("order_item_id").isNotNull())
+
+
 def _lead_times(with_approval: bool):
     cols = []
     if with_approval:
@@ -125,14 +122,19 @@ def _lead_times(with_approval: bool):
     return cols
 
 
+def order_grain(context: DataFrame, main: DataFrame, score: DataFrame) -> DataFrame:
+    """All that an item looks up by its order id, one row per order row. An
+    order id that only has payments or reviews keeps a row of its own, since
+    items look those up by their own order id. Repeated order rows stay, so
+    items fan out over them."""
+    return context.join(main, "order_id", "full").join(score, "order_id", "full")
+
+
 def fact_order_items(
     items: DataFrame,
-    orders: DataFrame,
+    context: DataFrame,
     payments: DataFrame,
     reviews: DataFrame,
-    cmap: DataFrame,
-    dim_date: DataFrame,
-    dim_order_status: DataFrame,
     dim_payment_type: DataFrame,
     seller_lookup: DataFrame,
     product_lookup: DataFrame,
@@ -140,19 +142,18 @@ def fact_order_items(
     """One row per clean item with a key. ``seller_lookup`` (seller_id,
     seller_sk) and ``product_lookup`` (product_id, product_sk) come
     broadcast when their size is proven small (see ``Model``)."""
-    ctx = order_context(orders, cmap, dim_date, dim_order_status).select(
+    keys = context.select(
         "order_id",
         *[out for _, out in DATE_ROLES],
         "customer_sk",
         "order_status_sk",
         *_lead_times(True),
     )
+    per_order = order_grain(keys, main_payment(payments, dim_payment_type), review_score_by_order(reviews))
     price = F.col("price").cast("decimal(10,2)")
     f = (
-        items.where(F.col("order_id").isNotNull() & F.col("order_item_id").isNotNull())
-        .join(ctx, "order_id", "left")
-        .join(main_payment(payments, dim_payment_type), "order_id", "left")
-        .join(review_score_by_order(reviews), "order_id", "left")
+        keyed_items(items)
+        .join(per_order, "order_id", "left")
         .join(seller_lookup, "seller_id", "left")
         .join(product_lookup, "product_id", "left")
     )
@@ -177,20 +178,11 @@ def fact_order_items(
     )
 
 
-def fact_orders(
-    orders: DataFrame,
-    items: DataFrame,
-    payments: DataFrame,
-    reviews: DataFrame,
-    cmap: DataFrame,
-    dim_date: DataFrame,
-    dim_order_status: DataFrame,
-) -> DataFrame:
+def fact_orders(context: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
     """One row per order (per distinct order version when the clean table
     holds repeated order rows). Item totals are aggregated per order first;
     ``_m`` counts identical order versions so that totals equal those of a
     join-then-group over repeated rows."""
-    ctx = order_context(orders.where(F.col("order_id").isNotNull()), cmap, dim_date, dim_order_status)
     version = [
         "order_id",
         *[out for _, out in DATE_ROLES],
@@ -202,7 +194,7 @@ def fact_orders(
     ]
     # identical copies of an order row (repeated loads) combine on the map
     # side, so a heavily repeated order never lands whole in one task
-    versions = ctx.select(*version).groupBy(*version).agg(F.count(F.lit(1)).alias("_m"))
+    versions = context.select(*version).groupBy(*version).agg(F.count(F.lit(1)).alias("_m"))
     f = (
         versions.join(item_totals_by_order(items), "order_id", "left")
         .join(payment_total_by_order(payments), "order_id", "left")
@@ -225,16 +217,8 @@ def fact_orders(
     )
 
 
-def fact_payments(
-    payments: DataFrame,
-    orders: DataFrame,
-    cmap: DataFrame,
-    dim_date: DataFrame,
-    dim_payment_type: DataFrame,
-) -> DataFrame:
-    ctx = order_context(orders, cmap, dim_date, roles=DATE_ROLES[:1]).select(
-        "order_id", "order_date_sk", "customer_sk"
-    )
+def fact_payments(payments: DataFrame, context: DataFrame, dim_payment_type: DataFrame) -> DataFrame:
+    ctx = context.select("order_id", "order_date_sk", "customer_sk")
     dpt = dim_payment_type.select(F.col("payment_type_code").alias("payment_type"), "payment_type_sk")
     f = (
         payments.where(F.col("order_id").isNotNull() & F.col("payment_sequential").isNotNull())
@@ -252,10 +236,8 @@ def fact_payments(
     )
 
 
-def fact_reviews(reviews: DataFrame, orders: DataFrame, cmap: DataFrame, dim_date: DataFrame) -> DataFrame:
-    ctx = order_context(orders, cmap, dim_date, roles=DATE_ROLES[:1]).select(
-        "order_id", "order_date_sk", "customer_sk"
-    )
+def fact_reviews(reviews: DataFrame, context: DataFrame, dim_date: DataFrame) -> DataFrame:
+    ctx = context.select("order_id", "order_date_sk", "customer_sk")
     f = reviews.where(F.col("review_id").isNotNull()).join(ctx, "order_id", "left")
     f = date_lookup(f, dim_date, day("review_creation_date"), "review_creation_date_sk")
     f = date_lookup(f, dim_date, day("review_answer_timestamp"), "review_answer_date_sk")

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import threading
+from collections import defaultdict
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from strata.operators.lookup import LOOKUP_ROWS, SMALL_DIM_ROWS, sized_broadcast
 from strata.plans import dims, facts
@@ -27,139 +26,107 @@ FACTS = ["fact_order_items", "fact_orders", "fact_payments", "fact_reviews"]
 class Model:
     """Lazily builds each model table once from the clean tables.
 
-    ``clean`` maps entity name -> clean DataFrame (or a reader of the
-    written clean table). A dimension is broadcast only behind a proven row
-    bound: the key count its surrogate-key rank already took (one row per
-    key), or else a count of its own (``sized_broadcast``)."""
-
-    def __init__(
-        self,
-        clean: dict[str, DataFrame],
-        overrides: dict[str, DataFrame] | None = None,
-        unique_orders: bool = True,
-    ):
-        """``unique_orders``: the clean orders hold one row per order id
-        (true for an overwrite-loaded clean layer); False picks the exact
-        person-order counting of ``dims.dim_customer``."""
+    ``clean`` maps entity name -> clean DataFrame (or a reader of the written
+    clean table); ``overrides`` holds tables that are written already. A
+    dimension is broadcast only behind a count of its rows, for which it is
+    persisted until ``release``. With ``keep=False`` nothing is persisted or
+    forced: Spark chooses the joins when a table is read."""
+
+    def __init__(self, clean: dict[str, DataFrame], overrides: dict[str, DataFrame] | None = None, keep: bool = True):
         self.clean = clean
-        self.unique_orders = unique_orders
+        self.keep = keep
         self._built: dict[str, DataFrame] = dict(overrides or {})
-        self.rows: dict[str, int] = {}
+        self._kept: list[DataFrame] = []
         # tables are requested from several driver threads (one per table
-        # write); each is planned once, its eager size checks included
-        self._lock = threading.RLock()
+        # write); each is planned once, and only its own users wait for it
+        self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
+        self._guard = threading.Lock()
 
     def __getitem__(self, name: str) -> DataFrame:
-        with self._lock:
+        with self._guard:
+            lock = self._locks[name]
+        with lock:
             if name not in self._built:
                 self._built[name] = getattr(self, "_" + name)()
             return self._built[name]
 
-    def _counted(self, name: str, build) -> DataFrame:
-        stats: dict = {}
-        df = build(stats)
-        if "rows" in stats:
-            self.rows[name] = stats["rows"]
-        return df
-
-    def bounded_broadcast(self, name: str, max_rows: int, cols: list[str] | None = None) -> DataFrame:
-        """Broadcast the dimension (or its ``cols``) if its row count is
-        proven <= ``max_rows``. The broadcast side is persisted and filled
-        once, so the several broadcasts of one dimension (one per date
-        role) read it instead of recomputing it."""
-        df = self[name] if cols is None else self[name].select(*cols)
-        n = self.rows.get(name)
-        if n is not None and n > max_rows:
-            return df
-        if n is None:
-            return sized_broadcast(df, max_rows)
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        df.count()
-        return F.broadcast(df)
+    def release(self) -> None:
+        """Unpersist what the broadcasts were counted on."""
+        while self._kept:
+            self._kept.pop().unpersist()
+
+    def _broadcast(self, df: DataFrame, max_rows: int) -> DataFrame:
+        return sized_broadcast(df, max_rows, self._kept) if self.keep else df
 
     # small, broadcastable dimensions -------------------------------------
     def _dim_date(self):
-        return self._counted("dim_date", lambda st: dims.dim_date(self.clean["orders"], self.clean["order_reviews"], st))
+        return dims.dim_date(self.clean["orders"], self.clean["order_reviews"])
 
     def _dim_date_b(self):
-        return self.bounded_broadcast("dim_date", SMALL_DIM_ROWS)
+        return self._broadcast(self["dim_date"].select("full_date", "date_sk"), SMALL_DIM_ROWS)
 
     def _dim_order_status(self):
-        return self._counted("dim_order_status", lambda st: dims.dim_order_status(self.clean["orders"], st))
+        return dims.dim_order_status(self.clean["orders"])
 
     def _dim_order_status_b(self):
-        return self.bounded_broadcast("dim_order_status", SMALL_DIM_ROWS)
+        return self._broadcast(self["dim_order_status"], SMALL_DIM_ROWS)
 
     def _dim_payment_type(self):
-        return self._counted("dim_payment_type", lambda st: dims.dim_payment_type(self.clean["order_payments"], st))
+        return dims.dim_payment_type(self.clean["order_payments"])
 
     def _dim_payment_type_b(self):
-        return self.bounded_broadcast("dim_payment_type", SMALL_DIM_ROWS)
+        return self._broadcast(self["dim_payment_type"], SMALL_DIM_ROWS)
 
     def _dim_product_category(self):
-        c = self.clean
-        return self._counted(
-            "dim_product_category", lambda st: dims.dim_product_category(c["products"], c["category_translation"], st)
-        )
+        return dims.dim_product_category(self.clean["products"], self.clean["category_translation"])
 
     # large dimensions ------------------------------------------------------
     def _dim_customer(self):
-        c = self.clean
-        return self._counted(
-            "dim_customer",
-            lambda st: dims.dim_customer(c["customers"], c["orders"], self["dim_date_b"], st, self.unique_orders),
-        )
+        return dims.dim_customer(self.clean["customers"], self.clean["orders"], self["dim_date_b"])
 
     def _dim_seller(self):
         c = self.clean
-        return self._counted(
-            "dim_seller",
-            lambda st: dims.dim_seller(c["sellers"], c["order_items"], c["orders"], self["dim_date_b"], st),
-        )
+        return dims.dim_seller(c["sellers"], c["order_items"], c["orders"], self["dim_date_b"])
 
     def _dim_geolocation(self):
-        return self._counted("dim_geolocation", lambda st: dims.dim_geolocation(self.clean["geolocation"], st))
+        return dims.dim_geolocation(self.clean["geolocation"])
 
     def _product_key_map(self):
-        return self._counted("product_key_map", lambda st: dims.product_key_map(self.clean["products"], st))
+        return dims.product_key_map(self.clean["products"])
 
+    # lookups that facts share ----------------------------------------------
     def _customer_map(self):
-        return facts.customer_map(self.clean["customers"], self["dim_customer"])
+        return facts.customer_map(self.clean["customers"], dims.customer_keys(self.clean["customers"]) if "dim_customer" not in self._built else self["dim_customer"])
+
+    def _seller_lookup(self):
+        sellers = self["dim_seller"] if "dim_seller" in self._built else dims.seller_keys(self.clean["sellers"])
+        return self._broadcast(sellers.select("seller_id", "seller_sk"), LOOKUP_ROWS)
+
+    def _product_lookup(self):
+        return self._broadcast(self["product_key_map"].select("product_id", "product_sk"), LOOKUP_ROWS)
+
+    def _order_context(self):
+        return facts.order_context(self.clean["orders"], self["customer_map"], self["dim_date_b"], self["dim_order_status_b"])
 
     # facts -----------------------------------------------------------------
     def _fact_order_items(self):
         c = self.clean
         return facts.fact_order_items(
             c["order_items"],
-            c["orders"],
+            self["order_context"],
             c["order_payments"],
             c["order_reviews"],
-            self["customer_map"],
-            self["dim_date_b"],
-            self["dim_order_status_b"],
             self["dim_payment_type_b"],
-            self.bounded_broadcast("dim_seller", LOOKUP_ROWS, ["seller_id", "seller_sk"]),
-            self.bounded_broadcast("product_key_map", LOOKUP_ROWS, ["product_id", "product_sk"]),
+            self["seller_lookup"],
+            self["product_lookup"],
         )
 
     def _fact_orders(self):
         c = self.clean
-        return facts.fact_orders(
-            c["orders"],
-            c["order_items"],
-            c["order_payments"],
-            c["order_reviews"],
-            self["customer_map"],
-            self["dim_date_b"],
-            self["dim_order_status_b"],
-        )
+        return facts.fact_orders(self["order_context"], c["order_items"], c["order_payments"], c["order_reviews"])
 
     def _fact_payments(self):
-        c = self.clean
-        return facts.fact_payments(
-            c["order_payments"], c["orders"], self["customer_map"], self["dim_date_b"], self["dim_payment_type_b"]
-        )
+        return facts.fact_payments(self.clean["order_payments"], self["order_context"], self["dim_payment_type_b"])
 
     def _fact_reviews(self):
-        c = self.clean
-        return facts.fact_reviews(c["order_reviews"], c["orders"], self["customer_map"], self["dim_date_b"])
+        return facts.fact_reviews(self.clean["order_reviews"], self["order_context"], self["dim_date_b"])

@@ -3,36 +3,42 @@
 Storage layout under ``root`` (any Hadoop file system path)::
 
     <root>/<layer>/<run_id>/<table>/     Parquet written by one run
-    <root>/<layer>/_published/<n>.json   manifest n: the runs that make up the layer
+    <root>/<layer>/_published/<n>.json   manifest n: the runs of the layer, each with its tables
     <root>/_audit/                       load audit rows (Parquet, appended)
 
 A layer run writes every table first and publishes only when all of them
-succeeded, by creating the next manifest file (create-if-absent, so two
-writers cannot both win). Readers take the newest manifest, so a failed or
-running load is never visible: the layer is replaced all or nothing.
-``mode="overwrite"`` publishes just the new run; ``mode="append"`` publishes
-the previous runs plus the new one, so rows loaded twice are there twice.
+succeeded: the manifest is written to a temporary file and renamed to the
+next number, never over an existing one, so two writers cannot both win and
+a reader never sees half a manifest. Readers take the newest manifest, so a
+failed or running load is never visible: the layer is replaced all or
+nothing. ``mode="overwrite"`` publishes just the new run; ``mode="append"``
+publishes the previous runs plus the new one, so rows loaded twice are there
+twice. A table that a manifest lists must be there: reading a lost one fails.
+Superseded runs stay readable until ``expire_runs`` removes them.
 
 Every table write is audited: rows written (counted during the write),
-seconds, key checks for the keyed entities, status and error text. The
-tables of a layer are independent and are submitted together from a few
-driver threads, so small tables do not wait for large ones.
+seconds, key checks for the keyed entities, status and error text; failed
+key checks and lost publications get a row too. The tables of a layer are
+independent and are submitted together from a few driver threads, so small
+tables do not wait for large ones.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from strata.plans import quality
 from strata.plans.model import DIMENSIONS, FACTS, Model
 from strata.plans.silver import CLEANERS
-from strata.sources.csv_source import read_raw_csv
+from strata.sources.csv_source import MULTI_LINE, read_raw_csv
 from strata.sources.schemas import ENTITY_ORDER, KEY_CHECKED, KEYS, SECTIONS, SOURCE_FILES
 
 LAYERS = ("raw", "clean", "model")
@@ -73,6 +79,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.threads = threads
+        self._views = self._model_views = False
         self._jvm = spark.sparkContext._jvm
         self._hconf = spark.sparkContext._jsc.hadoopConfiguration()
 
@@ -104,16 +111,27 @@ class Warehouse:
             stream.close()
 
     def _create_text(self, p: str, text: str) -> bool:
-        """Create ``p`` holding ``text``; False if it already exists."""
+        """Create ``p`` holding ``text``, whole or not at all; False if it
+        already exists. Any other failure is raised."""
+        target = self._path(p)
+        temporary = self._path(f"{p}.{uuid.uuid4().hex}.tmp")
         fs = self._fs(p)
-        try:
-            out = fs.create(self._path(p), False)
-        except Exception:  # the file exists: another writer published first
-            return False
+        if not fs.exists(target.getParent()) or not fs.getFileStatus(target.getParent()).isDirectory():
+            raise LoadError(f"{target.getParent()} is not a folder")
+        out = fs.create(temporary, False)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
+        hadoop = self._jvm.org.apache.hadoop.fs
+        plain = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            hadoop.FileContext.getFileContext(fs.getUri(), self._hconf).rename(temporary, target, plain)
+        except Py4JJavaError as failed:
+            fs.delete(temporary, False)
+            if failed.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+                return False
+            raise
         return True
 
     # -- layers and manifests -----------------------------------------------
@@ -123,71 +141,110 @@ class Warehouse:
             self._mkdirs(f"{self.root}/{layer}/_published")
         self._mkdirs(f"{self.root}/_audit")
 
-    def _manifest(self, layer: str) -> tuple[int, dict]:
+    def _manifest_numbers(self, layer: str) -> list[int]:
         folder = f"{self.root}/{layer}/_published"
         if not self._exists(folder):
+            return []
+        names = [status.getPath().getName() for status in self._fs(folder).listStatus(self._path(folder))]
+        return [int(name[:-5]) for name in names if re.fullmatch(r"[0-9]+[.]json", name)]
+
+    def _manifest(self, layer: str) -> tuple[int, dict]:
+        numbers = self._manifest_numbers(layer)
+        if not numbers:
             return 0, {"runs": []}
-        statuses = self._fs(folder).listStatus(self._path(folder))
-        seqs = []
-        for st in statuses:
-            name = st.getPath().getName()
-            if name.endswith(".json") and name[:-5].isdigit():
-                seqs.append(int(name[:-5]))
-        if not seqs:
-            return 0, {"runs": []}
-        top = max(seqs)
-        return top, json.loads(self._read_text(f"{folder}/{top}.json"))
+        top = max(numbers)
+        return top, json.loads(self._read_text(f"{self.root}/{layer}/_published/{top}.json"))
 
-    def _publish(self, layer: str, run_id: str, mode: str) -> None:
+    def _publish(self, layer: str, run_id: str, mode: str, tables: list[str]) -> None:
         seq, current = self._manifest(layer)
-        runs = ([] if mode == "overwrite" else list(current["runs"])) + [run_id]
+        runs = ([] if mode == "overwrite" else list(current["runs"])) + [{"run": run_id, "tables": sorted(tables)}]
         body = json.dumps({"runs": runs, "published_at": time.time()})
         if not self._create_text(f"{self.root}/{layer}/_published/{seq + 1}.json", body):
             raise LoadError(f"{layer}: another load published manifest {seq + 1} first")
 
     def runs(self, layer: str) -> list[str]:
-        return self._manifest(layer)[1]["runs"]
+        return [r["run"] for r in self._manifest(layer)[1]["runs"]]
 
-    def publish_run(self, layer: str, run_id: str) -> None:
+    def publish_run(self, layer: str, run_id: str, tables: list[str]) -> None:
         """Append one already written run to a layer (idempotent: a run that
         is already published is left alone)."""
         if run_id not in self.runs(layer):
-            self._publish(layer, run_id, "append")
+            self._publish(layer, run_id, "append", tables)
 
     def table(self, layer: str, name: str) -> DataFrame:
-        """The published content of one table (all runs of the manifest)."""
-        runs = self.runs(layer)
+        """The published content of one table: that of every run which the
+        manifest says holds it. A listed folder that is gone fails the read."""
+        runs = self._manifest(layer)[1]["runs"]
         if not runs:
             raise LoadError(f"layer {layer} has no published load")
-        paths = [f"{self.root}/{layer}/{r}/{name}" for r in runs]
-        if len(paths) > 1:  # incremental runs may carry only some tables
-            paths = [p for p in paths if self._exists(p)]
+        paths = [f"{self.root}/{layer}/{r['run']}/{name}" for r in runs if name in r["tables"]]
+        if not paths:
+            raise LoadError(f"no published {layer} run holds {name}")
+        lost = [p for p in paths if not self._exists(p)]
+        if lost:
+            raise LoadError(f"published but absent: {', '.join(lost)}")
         return self.spark.read.parquet(*paths)
 
+    def expire_runs(self, keep: int = 2) -> list[str]:
+        """Remove, layer by layer, the manifests before the newest ``keep`` and
+        every run folder that none of those lists; returns the folders removed.
+        For times without a running load: an unpublished run is removed too."""
+        if keep < 1:
+            raise ValueError("keep at least the newest manifest")
+        removed = []
+        for layer in LAYERS:
+            folder = f"{self.root}/{layer}/_published"
+            numbers = sorted(self._manifest_numbers(layer))
+            if not numbers:
+                continue
+            used = {r["run"] for n in numbers[-keep:] for r in json.loads(self._read_text(f"{folder}/{n}.json"))["runs"]}
+            for n in numbers[:-keep]:
+                self._fs(folder).delete(self._path(f"{folder}/{n}.json"), False)
+            for status in self._fs(folder).listStatus(self._path(f"{self.root}/{layer}")):
+                run = status.getPath().getName()
+                if run != "_published" and run not in used:
+                    self._fs(folder).delete(status.getPath(), True)
+                    removed.append(f"{layer}/{run}")
+        return removed
+
     def register_views(self) -> list[str]:
         """Expose every published table as a temporary view
-        (``raw_<entity>``, ``clean_<entity>``, model tables by name)."""
+        (``raw_<entity>``, ``clean_<entity>``, model tables by name). From
+        then on each publication through this object refreshes the views of
+        its layer; after one by another process, call this again."""
+        self._views = True
+        return [name for layer in LAYERS for name in self._refresh_views(layer)]
+
+    def _refresh_views(self, layer: str) -> list[str]:
         names = []
-        for layer in LAYERS:
-            if not self.runs(layer):
-                continue
-            tables = ENTITY_ORDER if layer != "model" else DIMENSIONS + FACTS
-            for t in tables:
+        held = {t for r in self._manifest(layer)[1]["runs"] for t in r["tables"]}
+        for t in ENTITY_ORDER if layer != "model" else DIMENSIONS + FACTS:
+            if t in held:
                 view = t if layer == "model" else f"{layer}_{t}"
                 self.table(layer, t).createOrReplaceTempView(view)
                 names.append(view)
         return names
 
     def register_model_views(self) -> list[str]:
-        """The model as views over the published clean layer, recomputed when
-        read (nothing written): ``dim_*``, ``product_key_map``, ``fact_*``.
-        Defining them runs the dimensions' size checks."""
-        clean = {e: self.table("clean", e) for e in ENTITY_ORDER}
-        model = Model(clean, unique_orders=len(self.runs("clean")) == 1)
+        """The model as views over the published clean layer (nothing written):
+        ``dim_*``, ``product_key_map``, ``fact_*``. They are defined anew when
+        this object publishes a clean load. Nothing behind them is persisted:
+        a query on a view computes it from the clean tables."""
+        self._model_views = True
+        return self._refresh_model_views()
+
+    def _refresh_model_views(self) -> list[str]:
+        model = Model({e: self.table("clean", e) for e in ENTITY_ORDER}, keep=False)
         for t in DIMENSIONS + FACTS:
             model[t].createOrReplaceTempView(t)
         return DIMENSIONS + FACTS
 
+    def _after_publish(self, layer: str) -> None:
+        if self._views:
+            self._refresh_views(layer)
+        if self._model_views and layer == "clean":
+            self._refresh_model_views()
+
     # -- audit -------------------------------------------------------------------
     def _write_audit(self, rows: list[dict]) -> None:
         if rows:
@@ -198,10 +255,11 @@ class Warehouse:
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(f"{self.root}/_audit")
 
     # -- generic layer run -------------------------------------------------------
-    def _run_layer(self, layer: str, jobs: dict, mode: str, run_id: str, publish: bool = True) -> list[dict]:
+    def _run_layer(self, layer: str, jobs: dict, mode: str, run_id: str, publish: bool | list[str] = True) -> list[dict]:
         """``jobs``: table -> callable returning (DataFrame, key to check|None).
         Writes every table, audits it, publishes only if all succeeded (and
-        ``publish``; the model publishes once, after its facts)."""
+        ``publish``; the model publishes once, after its facts, naming all of
+        its tables)."""
         rows: list[dict] = []
 
         def one(table: str) -> dict:
@@ -220,18 +278,28 @@ class Warehouse:
                     row["null_keys"], row["dup_keys"] = int(chk["null_keys"]), int(chk["dup_keys"])
                 row["status"] = "ok"
             except Exception as exc:  # recorded, then re-raised after the audit is written
-                row["status"], row["error"] = "failed", f"{type(exc).__name__}: {exc}"[:2000]
+                row["status"], row["error"] = "failed", f"{type(exc).__name__}: {exc}"
             row["seconds"] = round(time.perf_counter() - t0, 3)
             return row
 
         with ThreadPoolExecutor(max_workers=self.threads) as pool:
             rows = list(pool.map(one, list(jobs)))
         failed = [r for r in rows if r["status"] != "ok"]
+        lost: Exception | None = None
         if not failed and publish:
-            self._publish(layer, run_id, mode)
+            try:
+                self._publish(layer, run_id, mode, publish if isinstance(publish, list) else list(jobs))
+            except Exception as exc:  # audited, then raised again
+                lost = exc
+                rows.append({"run_id": run_id, "layer": layer, "section": "publish", "table": None, "status": "failed",
+                             "error": f"{type(exc).__name__}: {exc}"})
         self._write_audit(rows)
         if failed:
             raise LoadError(f"{layer} load {run_id} failed: " + "; ".join(f"{r['table']}: {r['error']}" for r in failed))
+        if lost:
+            raise lost
+        if publish:
+            self._after_publish(layer)
         return rows
 
     @staticmethod
@@ -240,37 +308,56 @@ class Warehouse:
 
     # -- the three jobs -------------------------------------------------------------
     def load_raw(self, source_dir: str | None = None, frames: dict[str, DataFrame] | None = None,
-                 mode: str = "overwrite", run_id: str | None = None) -> list[dict]:
+                 mode: str = "overwrite", run_id: str | None = None, multi_line: dict[str, bool] | None = None) -> list[dict]:
         """Raw load: every CSV file of ``source_dir`` (or the given all-text
-        ``frames``, which must carry ``_ingest_pos``) into the raw layer."""
+        ``frames``, which must carry ``_ingest_pos``) into the raw layer.
+        ``multi_line`` overrides, by entity, whether quoted values may hold
+        line breaks; an entity without them is read by several tasks a file."""
         run_id = run_id or self.new_run_id()
         load_seq = time.time_ns()
+        lines = MULTI_LINE | (multi_line or {})
         jobs = {}
         for entity in ENTITY_ORDER:
             if frames is not None:
                 jobs[entity] = (lambda e=entity: (frames[e], None))
             else:
-                # the export may be one file or split into parts
-                # (<name>_0001.csv, ... or a folder <name>.csv/): one task reads
-                # one multi-line CSV file, so big exports should come split
-                stem = SOURCE_FILES[entity][: -len(".csv")]
-                path = f"{source_dir.rstrip('/')}/{stem}*"
-                jobs[entity] = (lambda e=entity, p=path: (read_raw_csv(self.spark, p, e, load_seq), None))
+                jobs[entity] = (lambda e=entity: (read_raw_csv(self.spark, self.source_files(source_dir, e), e, load_seq, lines[e]), None))
         return self._run_layer("raw", jobs, mode, run_id)
 
+    def source_files(self, source_dir: str, entity: str) -> list[str]:
+        """An entity's export: ``<stem>.csv`` (a file, or a folder of parts) or
+        ``<stem>_<number>.csv``, in the order of their numbers. Nothing else."""
+        stem = SOURCE_FILES[entity][: -len(".csv")]
+        folder = source_dir.rstrip("/")
+        found = []
+        for status in self._fs(folder).listStatus(self._path(folder)):
+            name = status.getPath().getName()
+            if match := re.fullmatch(re.escape(stem) + r"(?:_([0-9]+))?[.]csv", name):
+                found.append((int(match[1] or -1), name))
+        if not found:
+            raise LoadError(f"{folder} has no {stem}.csv")
+        return [f"{folder}/{name}" for _, name in sorted(found)]
+
     def load_clean(self, mode: str = "overwrite", run_id: str | None = None) -> list[dict]:
         """Clean load from the published raw layer; key checks before (on the
         raw rows) and after (on the written rows) for the keyed entities."""
         run_id = run_id or self.new_run_id()
         def precheck(entity: str) -> dict:
             t0 = time.perf_counter()
-            chk = quality.key_check(self.table("raw", entity), KEYS[entity][0], entity, raw=True).first()
-            return {"run_id": run_id, "layer": "clean-precheck", "section": SECTIONS[entity],
-                    "table": entity, "null_keys": int(chk["null_keys"]), "dup_keys": int(chk["dup_keys"]),
-                    "seconds": round(time.perf_counter() - t0, 3), "status": "ok"}
+            row = {"run_id": run_id, "layer": "clean-precheck", "section": SECTIONS[entity], "table": entity}
+            try:
+                chk = quality.key_check(self.table("raw", entity), KEYS[entity][0], entity, raw=True).first()
+                row |= {"null_keys": int(chk["null_keys"]), "dup_keys": int(chk["dup_keys"]), "status": "ok"}
+            except Exception as exc:  # audited, then raised
+                row |= {"status": "failed", "error": f"{type(exc).__name__}: {exc}"}
+            return row | {"seconds": round(time.perf_counter() - t0, 3)}
 
         with ThreadPoolExecutor(max_workers=self.threads) as pool:
-            self._write_audit(list(pool.map(precheck, KEY_CHECKED)))
+            checked = list(pool.map(precheck, KEY_CHECKED))
+        self._write_audit(checked)
+        failed = [r for r in checked if r["status"] != "ok"]
+        if failed:
+            raise LoadError(f"clean load {run_id}: key check failed: " + "; ".join(f"{r['table']}: {r['error']}" for r in failed))
         jobs = {}
         for entity in ENTITY_ORDER:
             key = KEYS[entity][0] if entity in KEY_CHECKED else None
@@ -278,22 +365,23 @@ class Warehouse:
         return self._run_layer("clean", jobs, mode, run_id)
 
     def build_model(self, run_id: str | None = None) -> list[dict]:
-        """Dimensions first (written), then facts reading the written
-        dimensions, so no dimension is computed twice and the small ones
-        broadcast from known file sizes."""
+        """Dimensions first (written), then the order context that all facts
+        share, then facts reading what was written, so nothing is computed
+        twice and the small dimensions broadcast from known file sizes."""
         run_id = run_id or self.new_run_id()
         clean = {e: self.table("clean", e) for e in ENTITY_ORDER}
-        # one published clean run = one row per order id (overwrite load)
-        unique_orders = len(self.runs("clean")) == 1
-        model = Model(clean, unique_orders=unique_orders)
-        written: dict[str, DataFrame] = {}
-
-        dims = {d: _job(model, d) for d in DIMENSIONS}
-        rows = self._run_layer("model", dims, "overwrite", run_id, publish=False)
-        for d in DIMENSIONS:
-            written[d] = self.spark.read.parquet(f"{self.root}/model/{run_id}/{d}")
-        model = Model(clean, overrides=written, unique_orders=unique_orders)
-        rows += self._run_layer("model", {f: _job(model, f) for f in FACTS}, "overwrite", run_id)
+        model = Model(clean)
+        rows = self._run_layer("model", {d: _job(model, d) for d in DIMENSIONS}, "overwrite", run_id, publish=False)
+        model.release()
+        path = f"{self.root}/model/{run_id}"
+        written = {d: self.spark.read.parquet(f"{path}/{d}") for d in DIMENSIONS}
+        context = Model(clean, overrides=written)
+        rows += self._run_layer("model", {"order_context": _job(context, "order_context")}, "overwrite", run_id, publish=False)
+        context.release()
+        written["order_context"] = self.spark.read.parquet(f"{path}/order_context")
+        model = Model(clean, overrides=written)
+        rows += self._run_layer("model", {f: _job(model, f) for f in FACTS}, "overwrite", run_id, publish=DIMENSIONS + FACTS)
+        model.release()
         return rows
 
     def run_all(self, source_dir: str | None = None, frames: dict[str, DataFrame] | None = None,
@@ -312,15 +400,20 @@ class Warehouse:
         clean = {e: self.table("clean", e) for e in ENTITY_ORDER}
         return quality.reconcile(raw, clean)
 
+    def discarded(self) -> DataFrame:
+        """Raw rows that the clean layer left out, by entity and reason."""
+        return quality.discarded({e: self.table("raw", e) for e in ENTITY_ORDER})
+
     def check_objects(self) -> DataFrame:
         """Every expected table of every layer: published and present?"""
         rows = []
         for layer in LAYERS:
-            runs = self.runs(layer)
+            runs = self._manifest(layer)[1]["runs"]
             tables = ENTITY_ORDER if layer != "model" else DIMENSIONS + FACTS
             for t in tables:
-                present = bool(runs) and all(self._exists(f"{self.root}/{layer}/{r}/{t}") for r in runs)
-                rows.append((layer, t, len(runs), present))
+                holding = [r["run"] for r in runs if t in r["tables"]]
+                present = bool(holding) and all(self._exists(f"{self.root}/{layer}/{r}/{t}") for r in holding)
+                rows.append((layer, t, len(holding), present))
         schema = "layer string, table string, published_runs int, present boolean"
         return self.spark.createDataFrame(rows, schema)
 

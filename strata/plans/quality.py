@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions.clean import blank_to_null
-from strata.sources.schemas import KEYS
+from strata.sources.schemas import KEYS, UNKEYED
 
 
 def key_check(df: DataFrame, key: str, entity: str, raw: bool) -> DataFrame:
@@ -51,6 +51,25 @@ def reconcile(raw: dict[str, DataFrame], clean: dict[str, DataFrame]) -> DataFra
     return out.orderBy("entity")
 
 
+def discarded(raw: dict[str, DataFrame]) -> DataFrame:
+    """Raw rows that the clean load leaves out, by entity and reason: the
+    (first) key is blank, or a newer row has the same key. One shuffle per
+    entity, of key counts combined on the map side."""
+    out = None
+    for entity, df in raw.items():
+        names = KEYS[entity] or UNKEYED[entity]
+        keys = [blank_to_null(k).alias(f"_k{i}") for i, k in enumerate(names)]
+        blank = F.col("_k0").isNull() if KEYS[entity] else F.lit(False)
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        one = per_key.agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("raw_rows"),
+            F.coalesce(F.sum(F.when(blank, F.col("_n"))), F.lit(0)).alias("blank_key_rows"),
+            F.coalesce(F.sum(F.when(~blank, F.col("_n") - 1)), F.lit(0)).alias("duplicate_rows"),
+        ).select(F.lit(entity).alias("entity"), "raw_rows", "blank_key_rows", "duplicate_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled while ``df`` is written, so the
     write reports its row count without a second scan."""

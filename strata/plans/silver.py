@@ -8,7 +8,8 @@ Every function follows the same shape:
   position, all descending with NULLs last (``keep_latest``);
 * trim, pad, fold case, cut to the declared length and guard every cast.
 
-Each is one shuffle on its key, combined on the map side (see ``keep_latest``).
+Each is one shuffle on its key, cut to one row a key and task before it (see
+``keep_latest``).
 """
 
 from __future__ import annotations
@@ -212,6 +213,3 @@ CLEANERS = {
     "category_translation": clean_category_translation,
 }
 
-
-def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: CLEANERS[name](df) for name, df in raw.items()}

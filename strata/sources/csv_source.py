@@ -1,17 +1,20 @@
 """Raw CSV ingest (the bulk load of the raw layer).
 
-Dialect: header line, comma, ``"`` quotes doubled inside values, quoted
-newlines, optional BOM and CRLF. Columns bind by *position* to the declared
-all-text schema (the header line is skipped, never used for names). An
-unquoted empty field is NULL, a quoted empty field ``""`` is the empty
-string. A row of the wrong width fails the load (FAILFAST, raised when the
-rows are written).
-
-Every row carries ``_ingest_pos`` = (load sequence, file path, byte offset
-of the split, position in the split): the stored replacement for a
-database's physical row order, used as the "latest row" tie-break. A
-multi-line CSV file is read by one task, so the position within the split
-is the row's position in the file.
+Dialect: header line, comma, ``"`` quotes doubled inside values, optional BOM
+and CRLF. Columns bind by *position* to the declared all-text schema (the
+header line is skipped, never used for names). An unquoted empty field is
+NULL, a quoted empty field ``""`` is the empty string. A row of the wrong
+width fails the load (FAILFAST, raised when the rows are written).
+
+Quoted values may hold line breaks if ``multi_line`` is true (the default);
+such a file is read by one task. An entity known to hold none is loaded with
+``multi_line=False``: its files are split over tasks, after a check on their
+lines that no quoted value is open at a line's end. A file that fails the
+check is refused, never read wrongly.
+
+Every row carries ``_ingest_pos`` = (load sequence, part number, file path,
+byte offset of the split, position in the split): the stored replacement for
+a database's physical row order, used as the "latest row" tie-break.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.schemas import INGEST_POS, RAW_COLUMNS, raw_schema
+from strata.sources.schemas import INGEST_POS, RAW_COLUMNS, SOURCE_FILES, raw_schema
 from strata.sources.spread import spread
 
 # CSV reader options of the raw load.
@@ -34,16 +37,38 @@ CSV_OPTIONS = {
     "encoding": "UTF-8",
 }
 
+#: Whether an entity's values may hold line breaks, unless the load says otherwise.
+MULTI_LINE = {entity: True for entity in SOURCE_FILES}
 
-def read_raw_csv(spark: SparkSession, path: str, entity: str, load_seq: int) -> DataFrame:
-    reader = spark.read.schema(raw_schema(entity))
-    for k, v in CSV_OPTIONS.items():
-        reader = reader.option(k, v)
-    df = reader.csv(path)
-    pos = F.struct(
+
+def ingest_position(load_seq: int, path: str = "_metadata.file_path", block: str = "_metadata.file_block_start"):
+    """The position of a row just read, from the reader's file metadata."""
+    path = F.col(path)
+    return F.struct(
         F.lit(load_seq).cast("long").alias("load_seq"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        # parts are numbered: the tenth comes after the second
+        F.coalesce(F.regexp_extract(path, r"_([0-9]{1,18})[.]csv$", 1).try_cast("long"), F.lit(-1).cast("long")).alias("part"),
+        path.alias("file"),
+        F.col(block).alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return spread(df.select(*RAW_COLUMNS[entity], pos.alias(INGEST_POS)))
+
+
+def refuse_open_quotes(spark: SparkSession, paths: list[str]) -> None:
+    """Raise if a line holds an odd number of quotes: a value goes on behind it."""
+    lines = spark.read.text(paths)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    broken = lines.where(quotes % 2 == 1).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    if broken:
+        raise ValueError(f"{broken} lines end inside a quoted value; load {', '.join(paths)} with multi_line=True")
+
+
+def read_raw_csv(spark: SparkSession, path: str | list[str], entity: str, load_seq: int, multi_line: bool = True) -> DataFrame:
+    paths = [path] if isinstance(path, str) else list(path)
+    if not multi_line:
+        refuse_open_quotes(spark, paths)
+    reader = spark.read.schema(raw_schema(entity))
+    for k, v in (CSV_OPTIONS | {"multiLine": str(multi_line).lower()}).items():
+        reader = reader.option(k, v)
+    df = reader.csv(paths).select(*RAW_COLUMNS[entity], ingest_position(load_seq).alias(INGEST_POS))
+    return spread(df)

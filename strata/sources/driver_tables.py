@@ -56,7 +56,7 @@ def _money_txt(c: Column) -> Column:
 
 
 def _bad_month(t: Column) -> Column:
-    return F.concat(F.substring(t, 1, 5), F.lit("13"), F.substring(t, 8, 100))
+    return F.concat(F.substring(t, 1, 5), F.lit("13"), F.substring(t, F.lit(8), F.length(t)))
 
 
 def _padded(t: Column, k: Column, rem: int = 1) -> Column:
@@ -83,7 +83,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
     n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    df = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    df = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     k = F.col("c_custkey")
     name = F.col("n_name")
     return _shape(
@@ -106,7 +106,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _read(spark, sf_dir, "supplier")
     n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    df = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left")
+    df = s.join(n, s.s_nationkey == n.n_nationkey, "left")
     k = F.col("s_suppkey")
     name = F.col("n_name")
     return _shape(
@@ -123,7 +123,7 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     c = _read(spark, sf_dir, "customer").select(
         F.lit(0).alias("src"),
         F.col("c_custkey").alias("k"),

@@ -122,6 +122,8 @@ KEYS: dict[str, list[str]] = {
     "products": ["product_id"],
     "category_translation": ["product_category_name"],
 }
+# Columns that together identify a row where there is no business key.
+UNKEYED = {"geolocation": RAW_COLUMNS["geolocation"]}
 # Entities whose key is checked before and after the clean load.
 KEY_CHECKED = ["customers", "sellers", "orders"]
 
@@ -190,6 +192,3 @@ CLEAN_TYPES: dict[str, list[tuple[str, T.DataType]]] = {
     "category_translation": [(c, _S) for c in RAW_COLUMNS["category_translation"]],
 }
 
-
-def clean_schema(entity: str) -> T.StructType:
-    return T.StructType([T.StructField(n, t, True) for n, t in CLEAN_TYPES[entity]])

@@ -5,14 +5,14 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.operators.keys import dense_rank_key
+from strata.operators.keys import dense_rank_key, domain_rank_key
 
 
 def test_parallel_rank_matches_dense_rank(spark):
     rnd = random.Random(7)
     keys = list({"k%05d_%s" % (rnd.randint(0, 99999), rnd.choice("ab_2Z")) for _ in range(1500)})
     df = spark.createDataFrame([(k, len(k)) for k in keys], "k string, v int").repartition(4)
-    par = dense_rank_key(df, "k", "sk", small=False, num_partitions=5)
+    par = dense_rank_key(df, "k", "sk", num_partitions=5)
     ref = df.withColumn("sk", F.dense_rank().over(Window.orderBy("k")).cast("int"))
     a = sorted(map(tuple, par.select("k", "sk", "v").collect()))
     b = sorted(map(tuple, ref.select("k", "sk", "v").collect()))
@@ -22,7 +22,7 @@ def test_parallel_rank_matches_dense_rank(spark):
 
 def test_parallel_rank_plan_has_no_single_partition(spark):
     df = spark.range(0, 5000).select(F.format_string("id%06d", "id").alias("k"))
-    par = dense_rank_key(df, "k", "sk", small=False)
+    par = dense_rank_key(df, "k", "sk")
     lines = par._jdf.queryExecution().executedPlan().toString().splitlines()
     single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
     # only the per-partition row counts (at most n rows) meet in one task
@@ -33,3 +33,23 @@ def test_parallel_rank_plan_has_no_single_partition(spark):
 def test_null_keys_dropped(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "k string")
     assert sorted(map(tuple, dense_rank_key(df, "k", "sk").collect())) == [(1, "a"), (2, "b")]
+
+
+def test_domain_rank_agrees(spark):
+    df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3), ("c", 4)], "k string, v int")
+    assert sorted(map(tuple, domain_rank_key(df, "k", "sk").collect())) == sorted(map(tuple, dense_rank_key(df, "k", "sk").collect()))
+
+
+def test_large_dimensions_take_the_parallel_rank(spark):
+    """No dimension's keys meet in one task, however few they are."""
+    from strata.plans import dims
+    from strata.plans.silver import clean_products, clean_sellers
+    from tests.fixtures import raw
+
+    for df in (
+        dims.product_key_map(clean_products(raw(spark, "products", [("p1",), ("p2",)]))),
+        dims.seller_keys(clean_sellers(raw(spark, "sellers", [("s1",)]))),
+    ):
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+        assert all("HashAggregate(keys=[_pid" in lines[i + 1] for i in single)

@@ -142,14 +142,42 @@ def test_fact_grain_and_no_fanout(model):
     assert model["fact_orders"].count() == model.clean["orders"].count()
 
 
-def test_dim_customer_exact_path_agrees(model):
+def test_customer_map_needs_no_dimension(model):
+    """Person keys without the dimension are the dimension's keys."""
     from strata.plans import dims
 
-    dd = model["dim_date_b"]
-    c = model.clean
-    fast = dims.dim_customer(c["customers"], c["orders"], dd, unique_orders=True)
-    exact = dims.dim_customer(c["customers"], c["orders"], dd, unique_orders=False)
-    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, exact.collect()))
+    alone = {r["customer_unique_id"]: r["customer_sk"] for r in dims.customer_keys(model.clean["customers"]).collect()}
+    assert alone == {r["customer_unique_id"]: r["customer_sk"] for r in model["dim_customer"].collect()}
+
+
+def test_ids_that_agree_in_their_declared_length_count_once(spark):
+    from strata.plans import dims
+    from strata.plans.silver import clean_customers, clean_orders
+
+    start = "o" * 32
+    cust = clean_customers(raw(spark, "customers", [("c1", "u1"), ("c2", "u1")]))
+    orders = clean_orders(raw(spark, "orders", [(start + "1", "c1", "delivered", TS.format(5)), (start + "2", "c2", "delivered", TS.format(6))]))
+    assert orders.count() == 2
+    assert [r["total_orders"] for r in dims.customer_orders(cust, orders).collect()] == [1]
+
+
+def test_item_without_an_order_row_has_its_payment_and_score(spark):
+    entities = {
+        "customers": [("c1", "u1")],
+        "orders": [("o1", "c1", "delivered", TS.format(5))],
+        "order_items": [("o1", "1", "p1", "s1", "", "1.00", "1.00"), ("o9", "1", "p1", "s1", "", "2.00", "1.00")],
+        "order_payments": [("o9", "1", "voucher", "1", "2.00")],
+        "order_reviews": [("r1", "o9", "5")],
+        "products": [("p1",)],
+        "sellers": [("s1",)],
+        "geolocation": [],
+        "category_translation": [],
+    }
+    m = Model({e: CLEANERS[e](raw(spark, e, r)) for e, r in entities.items()})
+    got = rows(m["fact_order_items"], "order_id")
+    assert len(got) == 2
+    assert got["o9"]["main_payment_type_sk"] == 1 and got["o9"]["review_score"] == 5 and got["o9"]["customer_sk"] is None
+    assert got["o1"]["main_payment_type_sk"] is None and got["o1"]["customer_sk"] == 1
 
 
 def test_dim_customer_order_under_two_ids(spark):
@@ -165,5 +193,5 @@ def test_dim_customer_order_under_two_ids(spark):
     dd = dims.dim_date(orders, clean_orders(raw(spark, "orders", [])).select(
         F.lit(None).cast("timestamp_ntz").alias("review_creation_date"),
         F.lit(None).cast("timestamp_ntz").alias("review_answer_timestamp")))
-    got = {r["customer_unique_id"]: r["total_orders"] for r in dims.dim_customer(cust, orders, dd, unique_orders=False).collect()}
+    got = {r["customer_unique_id"]: r["total_orders"] for r in dims.dim_customer(cust, orders, dd).collect()}
     assert got == {"u1": 1, "u2": 0}

@@ -6,13 +6,14 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from strata import catalog
 from tests.oracle_harness import compare, duck
 
 SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="benchmark tables not present")
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,7 @@ def con():
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

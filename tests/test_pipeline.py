@@ -138,3 +138,147 @@ def test_split_export_parts(spark, scratch):
     wh.load_clean()
     got = {r["seller_id"]: r["seller_state"] for r in wh.table("clean", "sellers").collect()}
     assert got == {"s1": "MG", "s2": "RJ"}
+
+
+def test_absent_run_raises(spark, scratch):
+    """A published run whose folder is gone fails the read instead of
+    shrinking the table."""
+    src = os.path.join(scratch, "csv")
+    write_csv(src)
+    wh = Warehouse(spark, os.path.join(scratch, "wh"))
+    wh.create_layers()
+    wh.load_raw(source_dir=src)
+    wh.publish_run("raw", "never-written", ["sellers"])
+    assert wh.table("raw", "customers").count() == 4  # not in the lost run
+    with pytest.raises(LoadError, match="absent"):
+        wh.table("raw", "sellers")
+    assert {r["table"]: r["present"] for r in wh.check_objects().collect() if r["layer"] == "raw"}["sellers"] is False
+    # the failed key check is audited
+    with pytest.raises(LoadError, match="key check"):
+        wh.load_clean()
+    failed = [r for r in wh.audit().collect() if r["layer"] == "clean-precheck" and r["status"] == "failed"]
+    assert [r["table"] for r in failed] == ["sellers"] and "absent" in failed[0]["error"]
+
+
+def test_lost_publication_is_raised_and_audited(spark, scratch):
+    src = os.path.join(scratch, "csv")
+    write_csv(src)
+    wh = Warehouse(spark, os.path.join(scratch, "wh"))
+    wh.create_layers()
+    published = os.path.join(scratch, "wh", "raw", "_published")
+    assert wh._create_text(published + "/1.json", "{}") is True
+    assert wh._create_text(published + "/1.json", "other") is False  # another writer was first
+    assert open(published + "/1.json").read() == "{}"
+    assert not [n for n in os.listdir(published) if n.endswith(".tmp")]
+    wh2 = Warehouse(spark, os.path.join(scratch, "wh2"))
+    wh2._mkdirs(wh2.root + "/raw")
+    open(wh2.root + "/raw/_published", "w").close()  # nothing can be created in it
+    with pytest.raises(Exception):
+        wh2._create_text(wh2.root + "/raw/_published/1.json", "{}")
+    # a load that loses the race: its manifest number is taken meanwhile
+    wh3 = Warehouse(spark, os.path.join(scratch, "wh3"))
+    wh3.create_layers()
+    wh3._create_text_kept, wh3._create_text = wh3._create_text, lambda p, text: False
+    with pytest.raises(LoadError, match="published manifest"):
+        wh3.load_raw(source_dir=src)
+    lost = [r for r in wh3.audit().collect() if r["status"] == "failed"]
+    assert [r["section"] for r in lost] == ["publish"]
+
+
+def test_views_follow_publications(spark, scratch):
+    src = os.path.join(scratch, "csv")
+    write_csv(src)
+    wh = Warehouse(spark, os.path.join(scratch, "wh"))
+    wh.create_layers()
+    wh.load_raw(source_dir=src)
+    wh.load_clean()
+    assert "clean_sellers" in wh.register_views()
+    assert spark.sql("SELECT count(*) FROM raw_sellers").first()[0] == 2
+    wh.load_raw(source_dir=src, mode="append")
+    assert spark.sql("SELECT count(*) FROM raw_sellers").first()[0] == 4
+    wh.register_model_views()
+    assert spark.sql("SELECT count(*) FROM dim_seller").first()[0] == 2
+    with open(os.path.join(src, SOURCE_FILES["sellers"]), "ab") as f:
+        f.write(b"\r\ns3,300,c,mg")
+    wh.load_raw(source_dir=src)
+    wh.load_clean()
+    assert spark.sql("SELECT count(*) FROM clean_sellers").first()[0] == 3
+    assert spark.sql("SELECT count(*) FROM dim_seller").first()[0] == 3
+
+
+def test_old_runs_go_only_when_asked(spark, scratch):
+    src = os.path.join(scratch, "csv")
+    write_csv(src)
+    wh = Warehouse(spark, os.path.join(scratch, "wh"))
+    wh.create_layers()
+    for _ in range(3):
+        wh.load_raw(source_dir=src)
+    folders = lambda: [n for n in os.listdir(os.path.join(scratch, "wh", "raw")) if n != "_published"]
+    assert len(folders()) == 3
+    removed = wh.expire_runs(keep=2)
+    assert len(removed) == 1 and len(folders()) == 2
+    wh.expire_runs(keep=1)
+    assert folders() == wh.runs("raw") and wh.table("raw", "sellers").count() == 2
+    wh.load_raw(source_dir=src, mode="append")
+    wh.expire_runs(keep=1)
+    assert wh.table("raw", "sellers").count() == 4  # both runs are in the newest manifest
+
+
+def test_source_file_names_are_strict_and_parts_numbered(spark, scratch):
+    src = os.path.join(scratch, "csv")
+    write_csv(src)
+    os.remove(os.path.join(src, SOURCE_FILES["sellers"]))
+    header = ",".join(RAW_COLUMNS["sellers"])
+    for name, city in (("_2.csv", "second"), ("_10.csv", "tenth"), ("_old.csv", "old"), (".csv.bak", "bak")):
+        with open(os.path.join(src, "olist_sellers_dataset" + name), "w") as f:
+            f.write(f"{header}\ns1,100,{city},sp\n")
+    wh = Warehouse(spark, os.path.join(scratch, "wh"))
+    wh.create_layers()
+    wh.load_raw(source_dir=src)
+    wh.load_clean()
+    assert wh.table("raw", "sellers").count() == 2
+    assert [r["seller_city"] for r in wh.table("clean", "sellers").collect()] == ["tenth"]
+
+
+def test_split_file_is_read_by_several_tasks(spark, scratch):
+    from strata.plans.silver import clean_sellers
+    from strata.sources.csv_source import read_raw_csv
+    from strata.sources.schemas import INGEST_POS
+
+    path = os.path.join(scratch, "olist_sellers_dataset.csv")
+    with open(path, "w") as f:
+        f.write(",".join(RAW_COLUMNS["sellers"]) + "\n")
+        f.writelines(f"s{i % 500},{i},\"city, {i}\",sp\n" for i in range(20_000))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        df = read_raw_csv(spark, path, "sellers", 1, multi_line=False)
+        assert df.select(f"{INGEST_POS}.block").distinct().count() > 3
+        got = {r["seller_id"]: r["seller_city"] for r in clean_sellers(df).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {f"s{i % 500}": f"city, {i}" for i in range(19_500, 20_000)}
+
+
+def test_open_quote_refused_without_multi_line(spark, scratch):
+    from strata.sources.csv_source import read_raw_csv
+
+    path = os.path.join(scratch, "olist_sellers_dataset.csv")
+    with open(path, "w") as f:
+        f.write(",".join(RAW_COLUMNS["sellers"]) + '\ns1,1,"two\nlines,with,enough,commas",sp\n')
+    with pytest.raises(ValueError, match="multi_line"):
+        read_raw_csv(spark, path, "sellers", 1, multi_line=False)
+    assert read_raw_csv(spark, path, "sellers", 1).count() == 1
+
+
+def test_discarded_rows_by_reason(spark, scratch):
+    src = os.path.join(scratch, "csv")
+    write_csv(src)
+    wh = Warehouse(spark, os.path.join(scratch, "wh"))
+    wh.create_layers()
+    wh.load_raw(source_dir=src)
+    wh.load_raw(source_dir=src, mode="append")
+    got = {r["entity"]: (r["raw_rows"], r["blank_key_rows"], r["duplicate_rows"]) for r in wh.discarded().collect()}
+    assert got["customers"] == (8, 2, 3) and got["geolocation"] == (6, 0, 4) and got["sellers"] == (4, 0, 2)

@@ -27,6 +27,17 @@ def test_scan_reads_only_needed_columns(tables):
         assert unused not in schema
 
 
+def test_mean_score_does_not_read_texts(spark):
+    from strata.catalog import REGISTRY
+
+    plan = _plan(REGISTRY["mean_score"].run(spark, SF))
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert scans
+    for line in scans:
+        read = line[line.index("ReadSchema") :]
+        assert "text" not in read and "source" not in read
+
+
 def test_fact_date_lookups_are_broadcast(tables):
     plan = _plan(tables.model["fact_payments"])
     date_joins = [line for line in plan.splitlines() if "Join" in line and "as date)" in line]
