@@ -107,7 +107,7 @@ def write_shards(docs: DataFrame, path: str, key: int, seq_len: int = 1024, shar
 
     if not total:
         return 0
-    numbered = made.join(bases, "run")
+    numbered = made.join(F.broadcast(bases), "run")  # one short row per input task: the records stay where they are
     slotted = numbered.select("base", "place", "record").mapInArrow(lambda b: slots(b, ("record",)), "shard long, slot long, record binary")
     shards = -(-total // shard_rows)
     tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // 64)))
