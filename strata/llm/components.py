@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.llm.common import materialise
@@ -31,13 +31,18 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours are aggregated before the shuffle, and the joins that send them
     back are ordinary ones, which adaptive execution splits at a hot node.
     """
-    edges = materialise(edges.select("a", "b").filter("a <> b").distinct(), "edges")
-    state = None
-    while True:
-        edges = materialise(_stars(_stars(edges, True), False), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long")), F.sum(F.hash("b", "a").cast("long"))).first()
-        if state == now:
-            break
-        state = now
+    edges, state = _written(edges.select("a", "b").filter("a <> b").distinct())
+    before = None
+    while state != before:
+        before = state
+        edges, state = _written(_stars(_stars(edges, True), False))
     least = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(least)
+
+
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a table, and what tells two tables of edges apart."""
+    seen = Observation()
+    sums = [F.sum(F.hash(*c).cast("long")).alias(n) for n, c in (("ab", ("a", "b")), ("ba", ("b", "a")))]
+    table = materialise(edges.observe(seen, F.count(F.lit(1)).alias("n"), *sums), "edges")
+    return table, tuple(seen.get[k] for k in ("n", "ab", "ba"))
