@@ -303,5 +303,5 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """
     dropped = dropped.select(F.col("doc_id").alias("dropped_id")).filter("dropped_id IS NOT NULL").distinct()
     listed = id_filter(dropped, "dropped_id")(docs["doc_id"])
-    suspects = docs.filter(listed).join(dropped, F.col("doc_id").cast("long") == F.col("dropped_id"), "left_anti")
+    suspects = docs.filter(listed).join(dropped, docs["doc_id"].cast("long") == dropped["dropped_id"], "left_anti")
     return docs.filter(~listed).unionByName(suspects)
