@@ -16,8 +16,9 @@ Relations between sets save most of the work, and all of the result stays:
   global order, frequent shingles last) keeps one entry for each cluster and
   shingle, not one for each set: the range of sizes and the most shingles left
   from that position on. Lists are cut into blocks by size; blocks whose sizes
-  cannot link never meet, and entries whose positions leave too little to
-  overlap are skipped, as are clusters already known to be connected.
+  cannot link never meet, nor do clusters already known to be connected. Pairs
+  whose positions, or whose number of common prefix shingles, leave too little
+  to overlap are skipped.
 * For two clusters that meet, the leaders' overlap is computed exactly. If the
   leaders link, the clusters are connected. If not, the overlap of members x
   and y is at most the leaders' overlap plus what x and y have beyond their
@@ -187,9 +188,10 @@ def overlaps(texts: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
             kept = [batch.column(batch.schema.get_field_index(c)) for c in ("a", "b")]
             yield pa.RecordBatch.from_arrays([*kept, *(pa.array(sizes[:, i]) for i in range(3))], names=["a", "b", "n", "m", "overlap"])
 
-    one = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
-    both = one.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
+    both = both.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
     counted = materialise(both.mapInArrow(count, "a long, b long, n long, m long, overlap long"), f"{name}-overlaps")
+    del both
     free_shuffles(texts.sparkSession)
     return counted
 
@@ -251,9 +253,22 @@ def meetings(texts: DataFrame, clusters: DataFrame, known: DataFrame, hot: np.nd
     side = lambda name, low, high: lists.select("token", F.explode(F.sequence(low, high)).alias("block"), F.struct("root", "component", "least", "most", "rest").alias(name))
     met = side("x", F.col("low"), F.col("high")).join(side("y", F.col("low") - 1, F.col("high") + 1), ["token", "block"])
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
-    fits = (4 * x("most") >= 3 * y("least")) & (4 * y("most") >= 3 * x("least")) & enough(F.least(x("rest"), y("rest")), x("least"), y("least"))
-    met = met.filter((x("root") < y("root")) & (x("component") != y("component")) & fits)
-    return materialise(met.select(x("root").alias("a"), y("root").alias("b")).distinct(), "meetings")
+    near = (4 * x("most") >= 3 * y("least")) & (4 * y("most") >= 3 * x("least"))
+    met = met.filter((x("root") < y("root")) & (x("component") != y("component")) & near)
+    pairs = met.groupBy(x("root").alias("a"), y("root").alias("b")).agg(
+        F.count(F.lit(1)).alias("common"),
+        F.max(F.least(x("rest"), y("rest"))).alias("rest"),
+        F.min(x("least")).alias("n"),
+        F.min(y("least")).alias("m"),
+    )
+    # Behind the prefixes there are at most ceil(3n/4) - 1 common shingles, n the
+    # smaller size, so a link has at least 3/28 of the larger size + 1/4 inside them;
+    # and none lies before the first common one.
+    may_link = (28 * F.col("common") >= 3 * F.greatest("n", "m") + 7) & enough(F.col("rest"), F.col("n"), F.col("m"))
+    met = materialise(pairs.filter(may_link).select("a", "b"), "meetings")
+    del lists, several, listed, counted, pairs
+    free_shuffles(texts.sparkSession)
+    return met
 
 
 def derive(texts: DataFrame, clusters: DataFrame, links: DataFrame, met: DataFrame) -> DataFrame:

@@ -248,6 +248,7 @@ def repeated_spans(docs: DataFrame) -> list[DataFrame]:
     send = lambda bitmap: SentBitmap(spark, bitmap)
     counted = docs.mapInArrow(_buckets, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     shared = send(bitmap_of(counted.filter("n > 1"), "bucket", BITS))
+    del counted
     free_shuffles(spark)
 
     found = materialise(docs.mapInArrow(lambda b: _hulls(b, shared.value), FOUND), "hulls")
