@@ -57,9 +57,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage: a lost executor costs a re-read, not a recomputation, and
     every later reader sees the same rows.
     """
-    path = scratch_path(df.sparkSession, name)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    free_shuffles(spark)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._scratch)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialise
+from strata.llm.common import discard, materialise
 
 
 def _stars(edges: DataFrame, larger: bool) -> DataFrame:
@@ -34,8 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges, state = _written(edges.select("a", "b").filter("a <> b").distinct())
     before = None
     while state != before:
-        before = state
+        before, last = state, edges
         edges, state = _written(_stars(_stars(edges, True), False))
+        discard(last)
     least = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(least)
 

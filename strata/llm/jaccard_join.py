@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SentBitmap, bitmap_of, byte_codes, free_shuffles, in_bitmap, lower_ascii_table, materialise, mix64, shingle_hashes, signed, slices, words_of
+from strata.llm.common import SentBitmap, bitmap_of, byte_codes, discard, free_shuffles, in_bitmap, lower_ascii_table, materialise, mix64, shingle_hashes, signed, slices, words_of
 from strata.llm.components import components
 
 WORDS = 5
@@ -191,8 +191,7 @@ def overlaps(texts: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
     both = both.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
     counted = materialise(both.mapInArrow(count, "a long, b long, n long, m long, overlap long"), f"{name}-overlaps")
-    del both
-    free_shuffles(texts.sparkSession)
+    discard(sets)
     return counted
 
 
@@ -245,7 +244,7 @@ def meetings(texts: DataFrame, clusters: DataFrame, known: DataFrame, hot: np.nd
     lists = lists.join(known.select(F.col("node").alias("root"), "component"), "root", "left").withColumn("component", F.coalesce("component", "root"))
     # sizes that can link are in the same block or in neighbouring ones
     block = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(4 / 3)) + 1e-9).cast("int")
-    lists = materialise(lists.withColumn("low", block("least")).withColumn("high", block("most")), "index")
+    index = lists = materialise(lists.withColumn("low", block("least")).withColumn("high", block("most")), "index")
     for bitmap in (chosen, late, shared):
         bitmap.destroy()
     several = lists.groupBy("token").agg(F.min("component").alias("one"), F.max("component").alias("other")).filter("one <> other").select("token")
@@ -266,8 +265,7 @@ def meetings(texts: DataFrame, clusters: DataFrame, known: DataFrame, hot: np.nd
     # and none lies before the first common one.
     may_link = (28 * F.col("common") >= 3 * F.greatest("n", "m") + 7) & enough(F.col("rest"), F.col("n"), F.col("m"))
     met = materialise(pairs.filter(may_link).select("a", "b"), "meetings")
-    del lists, several, listed, counted, pairs
-    free_shuffles(texts.sparkSession)
+    discard(index)
     return met
 
 

@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SentBitmap, bitmap_of, byte_codes, free_shuffles, in_bitmap, materialise, mix64, powers, signed, slices
+from strata.llm.common import SentBitmap, bitmap_of, byte_codes, discard, free_shuffles, in_bitmap, materialise, mix64, powers, signed, slices
 
 LENGTH, Q = 100, 32
 BASE = 0x9E3779B97F4A7C15
@@ -248,7 +248,6 @@ def repeated_spans(docs: DataFrame) -> list[DataFrame]:
     send = lambda bitmap: SentBitmap(spark, bitmap)
     counted = docs.mapInArrow(_buckets, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     shared = send(bitmap_of(counted.filter("n > 1"), "bucket", BITS))
-    del counted
     free_shuffles(spark)
 
     found = materialise(docs.mapInArrow(lambda b: _hulls(b, shared.value), FOUND), "hulls")
@@ -261,7 +260,7 @@ def repeated_spans(docs: DataFrame) -> list[DataFrame]:
         mixed,
     )
     chosen = send(bitmap_of(firsts, "key", BITS))
-    free_shuffles(spark)
+    discard(found, earliest)
 
     stretches = materialise(docs.mapInArrow(lambda b: _stretches(b, shared.value, mixed.value, chosen.value), STRETCH), "stretches")
     for bitmap in (shared, mixed, chosen):
@@ -286,8 +285,9 @@ def repeated_spans(docs: DataFrame) -> list[DataFrame]:
 
             active = send(bitmap_of(_keys(earliest.select("bucket", "core", "first_row", "first_at", "pointer"), open_blocks, open_cores), "key", BITS))
             open_cores.destroy()
+        discard(blocks, earliest)
         wider = width
-        free_shuffles(spark)
+    discard(stretches)
     return spans
 
 
@@ -320,7 +320,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     union = spans[0]
     for more in spans[1:]:
         union = union.unionByName(more)
-    by_row = materialise(union.distinct().groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "row-spans")
+    by_row = materialise(union.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "row-spans")
+    discard(*spans)
     touched = SentBitmap(spark, bitmap_of(_keys(by_row.select("row"), lambda c: place_key(c["row"], np.zeros(len(c["row"]), np.int64))), "key", BITS))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
