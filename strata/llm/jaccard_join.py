@@ -7,11 +7,11 @@ without listing the pairs inside one.
 Relations between sets save most of the work, and all of the result stays:
 
 * Equal sets are one set.
-* MinHash bands propose for every set a leader, the least set of a band. The
-  overlap with it is computed exactly. A set that links with its leader joins
-  the leader's cluster, and that overlap is the answer from which answers for
-  the set are derived later. Bands only save work: a set that finds no leader
-  leads itself.
+* MinHash bands propose leaders for every set, the least sets of its bands; it
+  tries the one that most bands name, and one more. The overlap is computed
+  exactly. A set that links with its leader joins the leader's cluster, and that
+  overlap is the answer from which answers for the set are derived later. Bands
+  only save work: a set that finds no leader is a cluster of its own.
 * The prefix index (the first ``n - ceil(3n/4) + 1`` shingles of a set in one
   global order, frequent shingles last) keeps one entry for each cluster and
   shingle, not one for each set: the range of sizes and the most shingles left
@@ -202,18 +202,25 @@ def lead(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     banded = sets.select("id", "n", F.explode("bands").alias("band"))
     leaders = banded.groupBy("band").agg(F.min(F.struct("id", "n")).alias("leader"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-    proposed = banded.join(leaders, "band").filter((F.col("id") > F.col("leader.id")) & enough(F.least("n", "leader.n"), F.col("n"), F.col("leader.n")))
-    first = overlaps(texts, materialise(proposed.select(F.col("id").alias("a"), F.col("leader.id").alias("b")).distinct(), "proposed"), "leaders")
-    linked = materialise(first.filter(enough(F.col("overlap"), F.col("n"), F.col("m"))), "led")
-    led = linked.select(F.col("a").alias("id")).distinct()
+    votes = banded.join(leaders, "band").filter((F.col("id") > F.col("leader.id")) & enough(F.least("n", "leader.n"), F.col("n"), F.col("leader.n")))
+    votes = votes.groupBy("id", F.col("leader.id").alias("leader")).agg(F.count(F.lit(1)).alias("votes"))
+    # one leader a set is tried at a time, the one that most of its bands name
+    ranked = votes.groupBy("id").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), "leader"))).alias("ranked"))
+    ranked = materialise(ranked.select(F.col("id").alias("a"), F.expr("ranked[0].leader").alias("b"), F.expr("try_element_at(ranked, 2).leader").alias("other")), "leaders")
+    linking = lambda pairs: pairs.filter(enough(F.col("overlap"), F.col("n"), F.col("m")))
+    linked = linking(overlaps(texts, ranked.select("a", "b"), "leaders"))
+    led = linked.select(F.col("a").alias("id"))
     rooted = linked.join(led.select(F.col("id").alias("b")), "b", "left_anti")  # the leader leads itself
     nearest = lambda pairs: pairs.groupBy(F.col("a").alias("id")).agg(F.min(F.struct("b", "n", "overlap")).alias("best")).select("id", F.col("best.b").alias("root"), "best.n", (F.col("best.n") - F.col("best.overlap")).alias("beyond"))
     settled = materialise(nearest(rooted), "clusters-1")
-    # a set whose leaders are led themselves tries their roots
-    orphans = linked.join(settled.select(F.col("id").alias("a")), "a", "left_anti")
-    second = orphans.join(settled.select(F.col("id").alias("b"), "root"), "b").select("a", F.col("root").alias("b")).distinct()
-    tried = overlaps(texts, materialise(second, "proposed-2"), "roots")
-    relinked = tried.filter(enough(F.col("overlap"), F.col("n"), F.col("m")))
+    # a set whose leader is led itself tries the leader's root; one that does not
+    # link with its leader the next leader, or that one's root
+    roots = settled.select(F.col("id").alias("b"), "root")
+    second = linked.join(settled.select(F.col("id").alias("a")), "a", "left_anti").select("a", "b")
+    second = second.unionByName(ranked.join(led.select(F.col("id").alias("a")), "a", "left_anti").filter("other IS NOT NULL").select("a", F.col("other").alias("b")))
+    second = second.join(roots, "b", "left").select("a", F.coalesce("root", "b").alias("b"))
+    second = second.join(linked.select("a", "b"), ["a", "b"], "left_anti")
+    relinked = linking(overlaps(texts, materialise(second, "proposed-2"), "roots"))
     members = settled.unionByName(nearest(relinked))
     alone = sets.select("id", "n").join(members.select("id"), "id", "left_anti").select("id", F.col("id").alias("root"), "n", F.lit(0).cast("long").alias("beyond"))
     return materialise(members.unionByName(alone), "clusters"), linked.select("a", "b").unionByName(relinked.select("a", "b"))
