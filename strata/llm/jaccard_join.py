@@ -7,8 +7,8 @@ without listing the pairs inside one.
 Relations between sets save most of the work, and all of the result stays:
 
 * Equal sets are one set.
-* MinHash bands propose leaders for every set, the least sets of its bands; it
-  tries the one that most bands name, and one more. The overlap is computed
+* MinHash bands propose leaders for every set: of the sets of its own size class
+  in a band the smallest. It tries the one that most bands name, and one more. The overlap is computed
   exactly. A set that links with its leader joins the leader's cluster, and that
   overlap is the answer from which answers for the set are derived later. Bands
   only save work: a set that finds no leader is a cluster of its own.
@@ -200,9 +200,14 @@ def lead(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ``beyond`` counts the shingles of a set that its root lacks.
     """
-    banded = sets.select("id", "n", F.explode("bands").alias("band"))
-    leaders = banded.groupBy("band").agg(F.min(F.struct("id", "n")).alias("leader"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-    votes = banded.join(leaders, "band").filter((F.col("id") > F.col("leader.id")) & enough(F.least("n", "leader.n"), F.col("n"), F.col("leader.n")))
+    # two classes of sizes, shifted against each other, so that sizes that can link meet in one
+    width = F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))
+    classes = F.array(F.floor(width) * 2, F.floor(width + 0.5) * 2 + 1)
+    banded = sets.select("id", "n", F.explode("bands").alias("band"), classes.alias("classes")).select("id", "n", "band", F.explode("classes").alias("size"))
+    least = F.min(F.struct("n", "id")).alias("leader")  # the fewest shingles: the least that its members can lack
+    leaders = banded.groupBy("band", "size").agg(least, F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    later = F.struct("n", "id") > F.col("leader")
+    votes = banded.join(leaders, ["band", "size"]).filter(later & enough(F.least("n", "leader.n"), F.col("n"), F.col("leader.n")))
     votes = votes.groupBy("id", F.col("leader.id").alias("leader")).agg(F.count(F.lit(1)).alias("votes"))
     # one leader a set is tried at a time, the one that most of its bands name
     ranked = votes.groupBy("id").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), "leader"))).alias("ranked"))
@@ -266,11 +271,13 @@ def meetings(texts: DataFrame, clusters: DataFrame, known: DataFrame, hot: np.nd
         F.max(F.least(x("rest"), y("rest"))).alias("rest"),
         F.min(x("least")).alias("n"),
         F.min(y("least")).alias("m"),
+        F.max(F.greatest(x("most"), y("most"))).alias("largest"),
     )
-    # Behind the prefixes there are at most ceil(3n/4) - 1 common shingles, n the
-    # smaller size, so a link has at least 3/28 of the larger size + 1/4 inside them;
-    # and none lies before the first common one.
-    may_link = (28 * F.col("common") >= 3 * F.greatest("n", "m") + 7) & enough(F.col("rest"), F.col("n"), F.col("m"))
+    # A common shingle outside either prefix lies behind the prefix that ends first
+    # in the global order, so there are at most ceil(3n/4) - 1 of them, n the larger
+    # size; a link of sizes s <= l has at least 3(s + l)/7 common ones, so
+    # (12s - 9l + 7)/28 of them in both prefixes. None lies before the first common one.
+    may_link = (28 * F.col("common") >= 12 * F.least("n", "m") - 9 * F.col("largest") + 7) & enough(F.col("rest"), F.col("n"), F.col("m"))
     met = materialise(pairs.filter(may_link).select("a", "b"), "meetings")
     discard(index)
     return met

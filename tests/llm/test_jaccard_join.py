@@ -84,6 +84,14 @@ def test_families_near_the_threshold(spark, seed):
     assert run(spark, rows) == brute(rows)
 
 
+def test_passage_with_tails_of_many_lengths(spark):
+    """Sets of different sizes, whose prefixes end at different places."""
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(70)]
+    rows = [(i, " ".join(passage[rng.randint(0, 6) :] + [f"t{i}x{j}" for j in range(rng.randint(0, 26))])) for i in range(150)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_links_only_between_members(spark, monkeypatch):
     """Two clusters whose leaders don't link are joined through members."""
     base = [f"w{i}" for i in range(60)]
