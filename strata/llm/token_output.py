@@ -26,13 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.best_two_fit import END_TOKEN, encoder
-from strata.llm.common import Feistel, discard, materialise, text_column
+from strata.llm.common import Feistel, materialise, text_column
 
 MOST_IDS = 1 << 16  # ids must fit the two bytes of a record's cell
 
@@ -51,22 +50,16 @@ def _sequences(batches: Iterator[pa.RecordBatch], seq_len: int, vocabulary: str
         raise ValueError("the vocabulary does not fit two-byte ids")
     run, place = TaskContext.get().partitionId(), 0
     cells, filled, held = np.zeros(seq_len, "<u2"), 0, []
-    records, checks, pieces = [], [], []
-    pack = zstandard.ZstdCompressor(level=1).compress
-
-    def keep(record: bytes) -> None:
-        records.append(pack(record))  # it is shuffled packed
-        checks.append(zlib.crc32(record))
-        pieces.append(held)
+    records, pieces = [], []
 
     def flush() -> pa.RecordBatch:
         nonlocal place
         n = len(records)
         columns = [pa.array([run] * n, pa.int64()), pa.array(range(place, place + n), pa.int64()), pa.array(records, pa.binary())]
-        columns += [pa.array(checks, pa.int64()), pa.array(pieces, _PIECES)]
+        columns += [pa.array([zlib.crc32(r) for r in records], pa.int64()), pa.array(pieces, _PIECES)]
         place += n
-        for held_rows in (records, checks, pieces):
-            held_rows.clear()
+        records.clear()
+        pieces.clear()
         return pa.RecordBatch.from_arrays(columns, names=["run", "place", "record", "crc", "pieces"])
 
     for batch in batches:
@@ -84,13 +77,15 @@ def _sequences(batches: Iterator[pa.RecordBatch], seq_len: int, vocabulary: str
                 start += len(part)
                 piece += 1
                 if filled == seq_len:
-                    keep(cells.tobytes())
+                    records.append(cells.tobytes())
+                    pieces.append(held)
                     filled, held = 0, []
         if records:
             yield flush()
     if filled:
         cells[filled:] = 0
-        keep(cells.tobytes())
+        records.append(cells.tobytes())
+        pieces.append(held)
         yield flush()
 
 
@@ -116,22 +111,13 @@ def write_shards(docs: DataFrame, path: str, key: int, seq_len: int = 1024, shar
     slotted = numbered.select("base", "place", "record").mapInArrow(lambda b: slots(b, ("record",)), "shard long, slot long, record binary")
     shards = -(-total // shard_rows)
     tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // 64)))
-
-    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            records = pa.array([unpack(r.as_buffer()) for r in batch.column(2)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), records], names=["shard", "slot", "record"])
-
     (
-        slotted.repartitionByRange(tasks, "shard").mapInArrow(unpacked, "shard long, slot long, record binary")
-        .sortWithinPartitions("shard", "slot")  # the order in which the writer meets the rows of a shard
+        slotted.repartitionByRange(tasks, "shard").sortWithinPartitions("shard", "slot")
         .select("shard", F.col("record").cast("string").alias("value"))
         .write.partitionBy("shard").option("lineSep", "\n").text(f"{path}/shards")
     )
     listed = numbered.select("base", "place", "crc", "pieces").mapInArrow(lambda b: slots(b, ("crc", "pieces")), f"shard long, slot long, crc long, pieces array<{PIECE}>")
     listed.write.parquet(f"{path}/index")
-    discard(made)
     return total
 
 
