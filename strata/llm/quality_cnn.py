@@ -51,7 +51,7 @@ def chunked(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     span = np.arange(CHUNK + WIDTH)
     inside = span < held[:, None]
     index = np.where(inside, (at[rows] + start)[:, None] + span, 0)
-    symbols = np.where(inside, data[index], 256).astype(np.int16) if len(data) else np.full(inside.shape, 256, np.int16)
+    symbols = np.where(inside, data[index].astype(np.int16), np.int16(256)) if len(data) else np.full(inside.shape, 256, np.int16)
     return symbols, rows, held
 
 
