@@ -11,7 +11,9 @@ until it is valid, which keeps the map one to one.
 The kinds, tried in this order where they overlap: e-mail, IBAN (mod 97), card
 (Luhn), US social security number, date, IPv4, phone, access key, and the
 value behind password, secret or token. What looks like a card, IBAN or date
-but fails its check is left alone.
+but fails its check is left alone, and so is a number with an SSN's hyphens in
+a range that is never assigned. Phones and addresses have no check: those
+outside the assigned ranges are permuted too, among themselves.
 
 Defined results: a null text stays null, an empty one empty, both with no
 finding. Repeated rows are treated each on its own; a null doc_id stays null.
@@ -77,6 +79,11 @@ class Permutation:
             parts[side] = [(a + s) % r for a, s, r in zip(parts[side], shift, bases[side])]
         return parts[0] + parts[1]
 
+    def in_class(self, symbols: list[int], radices: list[int], tweak: str, valid: Callable[[list[int]], bool]) -> list[int]:
+        """Valid strings among themselves, and the others among themselves."""
+        inside = valid(symbols)
+        return self.within(symbols, radices, tweak, lambda s: valid(s) == inside)
+
     def within(self, symbols: list[int], radices: list[int], tweak: str, valid: Callable[[list[int]], bool]) -> list[int]:
         """Walk the cycle to the next valid string; the given one is valid."""
         symbols = self(symbols, radices, tweak)
@@ -176,10 +183,9 @@ def date(permute: Permutation, text: str) -> str | None:
 
 def ip(permute: Permutation, text: str) -> str | None:
     parts = [int(p) for p in text.split(".")]
-    valid = lambda s: 0 < s[0] < 224
-    if max(parts) > 255 or not valid(parts):
+    if max(parts) > 255:
         return None
-    return ".".join(map(str, permute.within(parts, [256] * 4, "ip", valid)))
+    return ".".join(map(str, permute.in_class(parts, [256] * 4, "ip", lambda s: 0 < s[0] < 224)))
 
 
 def phone(permute: Permutation, text: str) -> str | None:
@@ -189,10 +195,9 @@ def phone(permute: Permutation, text: str) -> str | None:
             return None
         return refill(text, digits[:2] + permute(digits[2:], [10] * (len(digits) - 2), f"phone{digits[0]}{digits[1]}"))
     lead, national = digits[:-10], digits[-10:]
-    valid = lambda s: s[0] >= 2 and s[3] >= 2
-    if len(lead) > 1 or not valid(national):
+    if len(lead) != text.startswith("+"):  # +1 and ten digits, or ten digits
         return None
-    return refill(text, lead + permute.within(national, [10] * 10, "phone1", valid))
+    return refill(text, lead + permute.in_class(national, [10] * 10, "phone1", lambda s: s[0] >= 2 and s[3] >= 2))
 
 
 def key(permute: Permutation, text: str) -> str:

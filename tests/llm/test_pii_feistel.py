@@ -75,6 +75,27 @@ def test_invalid_values_stay(text):
     assert pii.pseudonymise(PERMUTE, text) == (text, [])
 
 
+@pytest.mark.parametrize("kind,value", [("phone", v) for v in ("+1 (017) 555-7713", "+1 (132) 555-1352", "988-155-2485", "+10175557713")] + [("ip", v) for v in ("233.254.104.120", "248.40.198.62", "0.1.2.3", "255.255.255.255")])
+def test_unassigned_ranges_are_permuted_among_themselves(kind, value):
+    new, found = pii.pseudonymise(PERMUTE, f"at {value}, twice {value}")
+    assert [k for k, _, _ in found] == [kind, kind] and value not in new
+    new = new[3 : new.index(", ")]
+    assigned = lambda v: 0 < int(v.split(".")[0]) < 224 if kind == "ip" else min(pii.digits_of(v)[-10], pii.digits_of(v)[-7]) >= 2
+    assert not assigned(value) and not assigned(new)
+
+
+def test_classes_are_one_to_one():
+    valid = lambda s: s[0] >= 2 and s[1] >= 2
+    every = [list(s) for s in itertools.product(range(10), range(10), range(3))]
+    images = [PERMUTE.in_class(s, [10, 10, 3], "t", valid) for s in every]
+    assert sorted(images) == every and [valid(s) for s in every] == [valid(s) for s in images]
+
+
+@pytest.mark.parametrize("text", ["+1 234 567 890", "+12 3456 7890 1234", "256.1.1.1"])
+def test_other_lengths_and_octets_stay(text):
+    assert pii.pseudonymise(PERMUTE, text) == (text, [])
+
+
 def test_documents(spark):
     ship_code(spark)
     long_text = "word " * 50_000 + "mail a.b@c.example.org " + "x" * 100_000
