@@ -67,7 +67,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as pieces in sequences of at most 1,024 tokens."""
     ship_code(spark)
-    return best_two_fit.pack(docs, capacity=SEQUENCE)
+    return best_two_fit.pack(docs, capacity=SEQUENCE, added=True)
 
 
 STAGES = [

@@ -17,9 +17,10 @@ from __future__ import annotations
 import base64
 import bisect
 import functools
+import json
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,17 +36,30 @@ PIECE_SCHEMA = "run long, doc_id long, piece int, start long, length long, ids_c
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str | None = None):
-    """The 50k byte-level vocabulary as an ordinary-text encoder.
+    """The 50k byte-level vocabulary; ``encode_ordinary`` takes added tokens as text.
 
     ``path`` is the vocabulary as ranks; the ids are those of the same
-    vocabulary's ``byte_bpe_50k.json`` (checked in the tests).
+    vocabulary's ``byte_bpe_50k.json`` (checked in the tests), whose added
+    tokens are its special ones.
     """
     import public_tokenizers
     import tiktoken
 
     with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
+        added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+
+def text_encoder(path: str | None = None, added: bool = False) -> Callable[[str], list[int]]:
+    """Ids of a text. added: also the ids of the added tokens that stand in it,
+    as ``tokenizers`` gives them with add_special_tokens=False."""
+    encoding = encoder(path)
+    if not added:
+        return encoding.encode_ordinary
+    names = sorted(encoding.special_tokens_set)
+    return lambda text: encoding.encode(text, allowed_special="all") if any(name in text for name in names) else encoding.encode_ordinary(text)
 
 
 def cuts(n_ids: int, capacity: int) -> list[tuple[int, int]]:
@@ -56,8 +70,8 @@ def cuts(n_ids: int, capacity: int) -> list[tuple[int, int]]:
     return ([(0, first)] if first else []) + [(at, capacity) for at in range(first, n_ids, capacity)]
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], capacity: int, vocabulary: str | None) -> Iterator[pa.RecordBatch]:
-    encode, run, seen = encoder(vocabulary).encode_ordinary, TaskContext.get().partitionId(), Counter()
+def _pieces(batches: Iterator[pa.RecordBatch], capacity: int, vocabulary: str | None, added: bool) -> Iterator[pa.RecordBatch]:
+    encode, run, seen = text_encoder(vocabulary, added), TaskContext.get().partitionId(), Counter()
     for batch in batches:
         ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
         rows = []
@@ -74,10 +88,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], capacity: int, vocabulary: str |
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-def token_pieces(docs: DataFrame, capacity: int, vocabulary: str | None = None) -> DataFrame:
+def token_pieces(docs: DataFrame, capacity: int, vocabulary: str | None = None, added: bool = False) -> DataFrame:
     """Pieces of every document; ``place`` counts the task's earlier pieces of that length."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(lambda batches: _pieces(batches, capacity, vocabulary), PIECE_SCHEMA)
+    return rows.mapInArrow(lambda batches: _pieces(batches, capacity, vocabulary, added), PIECE_SCHEMA)
 
 
 def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
@@ -159,14 +173,16 @@ def slot_table(bins: list[tuple[int, list[int]]], width: int) -> tuple[np.ndarra
     return table[:, 0].copy(), table[:, 1].copy(), table[:, 2].copy(), table[:, 3].copy(), np.array(offsets, np.int64)
 
 
-def pack(docs: DataFrame, capacity: int = 1024, vocabulary: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 1024, vocabulary: str | None = None, added: bool = False) -> DataFrame:
     """Pack all documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
+    added: an added token that stands in a text is one id, not ordinary text.
+
     The plan sent to the tasks is bounded by the capacity: every planned bin
     uses up at least one of its lengths, and holds at most capacity documents.
     """
     spark = docs.sparkSession
-    pieces = materialise(token_pieces(docs, capacity, vocabulary), "pieces")
+    pieces = materialise(token_pieces(docs, capacity, vocabulary, added), "pieces")
     by_run = pieces.groupBy("run", "length").agg(F.count(F.lit(1)).alias("n"))
     counts = {r["length"]: r["n"] for r in by_run.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
     slots = spark.sparkContext.broadcast(slot_table(plan_bins(counts, capacity), capacity))

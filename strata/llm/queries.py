@@ -43,7 +43,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_two_fit.pack(read_table(spark, sf_dir, "documents"), capacity=1024)
+    return best_two_fit.pack(read_table(spark, sf_dir, "documents"), capacity=1024, added=True)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-shards")
-    if not token_output.write_shards(read_table(spark, sf_dir, "documents"), path, ORDER_KEY, SEQ_LEN, SHARD_ROWS):
+    if not token_output.write_shards(read_table(spark, sf_dir, "documents"), path, ORDER_KEY, SEQ_LEN, SHARD_ROWS, added=True):
         return spark.createDataFrame([], "doc_id long, piece int, start long, slot long, shard long, at int, n_tokens int, ids_crc32 long, intact boolean")
     return token_output.read_index(spark, path, SEQ_LEN, SHARD_ROWS)
 

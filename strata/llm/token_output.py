@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.best_two_fit import END_TOKEN, encoder
+from strata.llm.best_two_fit import END_TOKEN, encoder, text_encoder
 from strata.llm.common import Feistel, materialise, text_column
 
 MOST_IDS = 1 << 16  # ids must fit the two bytes of a record's cell
@@ -44,9 +44,9 @@ def stride(seq_len: int) -> int:
     return 2 * seq_len + 1
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], seq_len: int, vocabulary: str | None) -> Iterator[pa.RecordBatch]:
-    encoding = encoder(vocabulary)
-    if encoding.n_vocab > MOST_IDS:
+def _sequences(batches: Iterator[pa.RecordBatch], seq_len: int, vocabulary: str | None, added: bool) -> Iterator[pa.RecordBatch]:
+    encode = text_encoder(vocabulary, added)
+    if encoder(vocabulary).n_vocab > MOST_IDS:
         raise ValueError("the vocabulary does not fit two-byte ids")
     run, place = TaskContext.get().partitionId(), 0
     cells, filled, held = np.zeros(seq_len, "<u2"), 0, []
@@ -65,7 +65,7 @@ def _sequences(batches: Iterator[pa.RecordBatch], seq_len: int, vocabulary: str
     for batch in batches:
         ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
         for doc_id, text in zip(ids, text_column(batch)):
-            tokens = encoding.encode_ordinary(text.as_py())
+            tokens = encode(text.as_py())
             tokens.append(END_TOKEN)
             wide = np.array(tokens, "<u4")
             start = piece = 0
@@ -89,11 +89,14 @@ def _sequences(batches: Iterator[pa.RecordBatch], seq_len: int, vocabulary: str
         yield flush()
 
 
-def write_shards(docs: DataFrame, path: str, key: int, seq_len: int = 1024, shard_rows: int = 8192, vocabulary: str | None = None) -> int:
-    """Write ``shards`` and ``index`` below ``path``; returns the number of sequences."""
+def write_shards(docs: DataFrame, path: str, key: int, seq_len: int = 1024, shard_rows: int = 8192, vocabulary: str | None = None, added: bool = False) -> int:
+    """Write ``shards`` and ``index`` below ``path``; returns the number of sequences.
+
+    added: an added token that stands in a text is one id, not ordinary text.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = materialise(rows.mapInArrow(lambda batches: _sequences(batches, seq_len, vocabulary), SEQUENCE), "sequences")
+    made = materialise(rows.mapInArrow(lambda batches: _sequences(batches, seq_len, vocabulary, added), SEQUENCE), "sequences")
     counts = made.groupBy("run").agg(F.count(F.lit(1)).alias("n"))  # one row per input task
     bases = counts.select("run", F.coalesce(F.sum("n").over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0

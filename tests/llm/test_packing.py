@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from strata.llm import best_two_fit
 from strata.llm.common import ship_code
 
@@ -25,6 +26,37 @@ def test_ids_are_the_tokenizers():
         assert best_two_fit.encoder().encode_ordinary(text or "") == want
 
 
+def as_loaded():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+END = "<|endoftext|>"
+ADDED_TEXTS = [f"a {END} b", END, f"{END}{END}", f"x  {END}  \n y", f"<|endoftext{END}|>", f"don't{END}'s", f"漢 {END}é ", "<|ENDOFTEXT|>", "word " * 1500 + END + " tail" * 900]
+
+
+def test_added_tokens_are_the_tokenizers():
+    encode = best_two_fit.text_encoder(added=True)
+    for text in [t or "" for t in TEXTS] + ADDED_TEXTS:
+        assert encode(text) == as_loaded().encode(text, add_special_tokens=False).ids
+
+
+def test_queries_give_added_tokens(spark, scratch):
+    from strata.llm import queries
+
+    ship_code(spark)
+    texts = ADDED_TEXTS + ["plain text", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(f"{scratch}/documents.parquet")
+    want = {i: as_loaded().encode(t or "", add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+    docs = spark.read.parquet(f"{scratch}/documents.parquet")
+    for rows, size in ((queries.op7_best_two_fit(spark, scratch), "length"), (corpus_pipeline.packing(spark, docs, scratch), "length"), (queries.op9_token_output(spark, scratch), "n_tokens")):
+        lengths = Counter()
+        for r in rows.collect():
+            part = np.array(want[r["doc_id"]][r["start"] : r["start"] + r[size]], "<u4")
+            assert zlib.crc32(part.tobytes()) == r["ids_crc32"]
+            lengths[r["doc_id"]] += r[size]
+        assert lengths == {i: len(ids) for i, ids in want.items()}
+
+
 def check(rows, texts, capacity):
     """Every document's ids are there once, in order; sequences are gapless."""
     encode = tokenizer()
