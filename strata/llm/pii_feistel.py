@@ -8,9 +8,13 @@ the same pseudonym in every document, however it is grouped or capitalised,
 and two values never share one. What a network makes invalid is permuted again
 until it is valid, which keeps the map one to one.
 
-The kinds, tried in this order where they overlap: e-mail, IBAN (mod 97), card
-(Luhn), US social security number, date, IPv4, phone, access key, and the
-value behind password, secret or token. What looks like a card, IBAN or date
+The kinds, tried in this order where they start at one place: e-mail, IBAN (mod
+97), US social security number, date, IPv4, phone, card (Luhn), access key, and
+the value behind password, secret or token. A stretch that fails its kind's
+check is tried shorter, then as the other kinds, so values that stand side by
+side are told apart. A card that is not grouped as cards are (in fours, 4-6-5,
+4-6-4 or not at all) gives way to a shorter one that is, and to a value that
+starts behind one of its blanks. What looks like a card, IBAN or date
 but fails its check is left alone, and so is a number with an SSN's hyphens in
 a range that is never assigned. Phones and addresses have no check: those
 outside the assigned ranges are permuted too, among themselves.
@@ -33,24 +37,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ["email", "iban", "card", "ssn", "date", "ip", "phone", "key", "secret"]
 ROUNDS = 10
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
 
 # Anything that could hold a match has one of these; the rest isn't scanned.
 HINT = re.compile(rb"[0-9@]|(?i:password|passwd|secret|token|api_?key)|AKIA")
-FINDER = re.compile(
-    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8})"
-    r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)(?![A-Za-z0-9]))"
-    r"|(?P<card>(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-]))"
-    r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
-    r"|(?P<date>(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![\w/-]))"
-    r"|(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))"
-    r"|(?P<phone>(?<![\w+])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])|(?<![\w+])\+[0-9]{2,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![\w-]))"
-    r"|(?P<key>(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9]))"
-    r"|(?P<secret>(?i:password|passwd|secret|token|api_?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9+/_-]{8,128})",
-    re.ASCII,
-)
+# A kind's body, and what must not follow it.
+PATTERNS = {
+    "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}", r""),
+    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)", r"(?![A-Za-z0-9])"),
+    "ssn": (r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?![\w-])"),
+    "date": (r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})", r"(?![\w/-])"),
+    "ip": (r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}", r"(?![\w]|\.[0-9])"),
+    "phone": (r"(?<![\w+])(?:(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[0-9]{2,3}(?:[ .-]?[0-9]{2,4}){2,5})", r"(?![\w-])"),
+    "card": (r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}", r"(?![\w-])"),
+    "key": (r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}", r"(?![A-Za-z0-9])"),
+    "secret": (r"(?i:password|passwd|secret|token|api_?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9+/_-]{8,128}", r""),
+}
+FINDER = re.compile("|".join(f"(?P<{kind}>{body}{after})" for kind, (body, after) in PATTERNS.items()), re.ASCII)
+WHOLE = {kind: re.compile(body + after, re.ASCII) for kind, (body, after) in PATTERNS.items()}
+BODY = {kind: re.compile(body, re.ASCII) for kind, (body, _) in PATTERNS.items()}
+# A shorter address ends where a label does.
+AFTER = {kind: re.compile(after or r"(?![A-Za-z0-9])", re.ASCII) for kind, (_, after) in PATTERNS.items()}
 HEX = re.compile(r"[0-9a-f]+\Z")
 SECRET_VALUE = re.compile(r"[A-Za-z0-9+/_-]{8,128}\Z")
 
@@ -217,18 +225,55 @@ def secret(permute: Permutation, text: str) -> str:
 RULES = {"email": email, "iban": iban, "card": card, "ssn": ssn, "date": date, "ip": ip, "phone": phone, "key": key, "secret": secret}
 
 
+def stretches(kind: str, text: str, start: int) -> Iterator[int]:
+    """The ends of what looks like the kind at a place, the longest first."""
+    m = WHOLE[kind].match(text, start)
+    if m is None:
+        return
+    yield m.end()
+    for stop in range(m.end() - 1, start, -1):
+        if AFTER[kind].match(text, stop) and BODY[kind].fullmatch(text, start, stop):
+            yield stop
+
+
+def grouped(text: str) -> bool:
+    """Whether digits are grouped as on cards."""
+    sizes = [len(g) for g in re.split("[ -]", text)]
+    fours = sizes[-1] <= 4 and all(n == 4 for n in sizes[:-1])
+    return len(sizes) == 1 or not (" " in text and "-" in text) and (fours or sizes in ([4, 6, 5], [4, 6, 4]))
+
+
+def value_at(permute: Permutation, text: str, start: int, loose: bool = True) -> tuple[str, int, str] | None:
+    """Kind, end and pseudonym of the value that starts at a place, if one does.
+
+    loose: also cards that are not grouped as cards are.
+    """
+    for kind in PATTERNS:
+        odd = []
+        for stop in stretches(kind, text, start):
+            new = RULES[kind](permute, text[start:stop])
+            if new is not None and (kind != "card" or grouped(text[start:stop])):
+                return kind, stop, new
+            if new is not None:
+                odd.append((stop, new))
+        for stop, new in odd if loose else ():
+            if not any(value_at(permute, text, at, False) for at in range(start + 1, stop) if text[at - 1] == " "):
+                return kind, stop, new
+    return None
+
+
 def pseudonymise(permute: Permutation, text: str) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with its findings replaced, and their (kind, start, stop) in the old one."""
     out, found, done, at = [], [], 0, 0
     while (m := FINDER.search(text, at)) is not None:
-        kind = m.lastgroup
-        new = RULES[kind](permute, m.group())
-        if new is None:  # not valid: look for another kind from the next character on
+        value = value_at(permute, text, m.start())
+        if value is None:  # nothing valid starts here: go on at the next character
             at = m.start() + 1
             continue
+        kind, stop, new = value
         out += [text[done : m.start()], new]
-        found.append((kind, m.start(), m.end()))
-        done = at = m.end()
+        found.append((kind, m.start(), stop))
+        done = at = stop
     return ("".join(out) + text[done:] if found else text), found
 
 

@@ -96,6 +96,49 @@ def test_other_lengths_and_octets_stay(text):
     assert pii.pseudonymise(PERMUTE, text) == (text, [])
 
 
+SIDE_BY_SIDE = {
+    "ssn": ["123-45-6789", "523-41-1789"],
+    "date": ["2024-01-02", "2024-12-31", "31.12.1999"],
+    "phone": ["415-555-2671", "+1 (988) 555-2485"],
+    "card": ["4944339490429605", "4944-3394-9042-9605", "378282246310005"],
+    "iban": ["BE68 5390 0754 7034", "GB82 WEST 1234 5698 7654 32"],
+    "ip": ["44.161.181.40"],
+    "email": ["jane@mail5.example.com"],
+}
+
+
+def test_values_side_by_side():
+    values = [(kind, v) for kind, vs in SIDE_BY_SIDE.items() for v in vs]
+    alone = {v: pii.pseudonymise(PERMUTE, v)[0] for _, v in values}
+    for (k1, v1), (k2, v2) in itertools.product(values, values):
+        new, found = pii.pseudonymise(PERMUTE, f"on {v1} {v2} and")
+        assert [k for k, _, _ in found] == [k1, k2], (v1, v2, found)
+        assert new == f"on {alone[v1]} {alone[v2]} and", (v1, v2)
+
+
+def test_dates_and_numbers_that_pass_luhn_together():
+    days = [(datetime.date(2024, 1, 1) + datetime.timedelta(d)).isoformat() for d in range(60)]
+    for first in ("123-45-6789", "2024-03-15", "415-555-2671", "1234567", "2023-02-29"):
+        for day in days:
+            found = pii.pseudonymise(PERMUTE, f"{first} {day}")[1]
+            assert found[-1] == ("date", len(first) + 1, len(first) + 11), (first, day, found)
+
+
+@pytest.mark.parametrize(
+    "text,kinds,rest",
+    [
+        ("4944339490429605 123", ["card"], " 123"),
+        ("BE68 5390 0754 7034 2024", ["iban"], " 2024"),
+        ("jane@mail5.example.com.2024-01-01", ["email"], ".2024-01-01"),
+        ("49443-39490-42960-5", ["card"], ""),
+        ("4944339490429606 4944339490429605", ["card"], ""),
+    ],
+)
+def test_shorter_stretches(text, kinds, rest):
+    new, found = pii.pseudonymise(PERMUTE, text)
+    assert [k for k, _, _ in found] == kinds and found[-1][2] == len(text) - len(rest) and new != text
+
+
 def test_documents(spark):
     ship_code(spark)
     long_text = "word " * 50_000 + "mail a.b@c.example.org " + "x" * 100_000
