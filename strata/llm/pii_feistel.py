@@ -19,6 +19,13 @@ but fails its check is left alone, and so is a number with an SSN's hyphens in
 a range that is never assigned. Phones and addresses have no check: those
 outside the assigned ranges are permuted too, among themselves.
 
+A secret's value is as long as its letters, digits and + / _ - run, with the
+runs that single dots join to it, if one of the runs has eight characters.
+
+Not treated: the time of day behind a date; a secret's value behind any other
+character, and one without a run of eight; dates in words, without four digits
+for the year, or outside 1900 to 2099; e-mail addresses with two dots in a row.
+
 Defined results: a null text stays null, an empty one empty, both with no
 finding. Repeated rows are treated each on its own; a null doc_id stays null.
 An empty table gives an empty result. Other columns are not read.
@@ -42,17 +49,21 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
 
 # Anything that could hold a match has one of these; the rest isn't scanned.
 HINT = re.compile(rb"[0-9@]|(?i:password|passwd|secret|token|api_?key)|AKIA")
-# A kind's body, and what must not follow it.
+# The time of day behind a date: T10:30, T103000, T10Z.
+TIME = r"[Tt][0-2][0-9](?::?[0-5][0-9]|[Zz]|(?!\w))"
+# Runs of a secret's characters joined by dots, one of them of eight or more.
+SECRET = r"(?=(?:[A-Za-z0-9+/_-]+\.)*[A-Za-z0-9+/_-]{8})[A-Za-z0-9+/_-]+(?:\.[A-Za-z0-9+/_-]+)*"
+# A kind's body, and what must (not) follow it.
 PATTERNS = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}", r""),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)", r"(?![A-Za-z0-9])"),
     "ssn": (r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?![\w-])"),
-    "date": (r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})", r"(?![\w/-])"),
+    "date": (r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})", rf"(?:(?![\w/-])|(?={TIME}))"),
     "ip": (r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}", r"(?![\w]|\.[0-9])"),
     "phone": (r"(?<![\w+])(?:(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[0-9]{2,3}(?:[ .-]?[0-9]{2,4}){2,5})", r"(?![\w-])"),
     "card": (r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}", r"(?![\w-])"),
     "key": (r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}", r"(?![A-Za-z0-9])"),
-    "secret": (r"(?i:password|passwd|secret|token|api_?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9+/_-]{8,128}", r""),
+    "secret": (r"(?i:password|passwd|secret|token|api_?key)[ ]{0,3}[=:][ ]{0,3}[\"']?" + SECRET, r""),
 }
 FINDER = re.compile("|".join(f"(?P<{kind}>{body}{after})" for kind, (body, after) in PATTERNS.items()), re.ASCII)
 WHOLE = {kind: re.compile(body + after, re.ASCII) for kind, (body, after) in PATTERNS.items()}
@@ -60,7 +71,7 @@ BODY = {kind: re.compile(body, re.ASCII) for kind, (body, _) in PATTERNS.items()
 # A shorter address ends where a label does.
 AFTER = {kind: re.compile(after or r"(?![A-Za-z0-9])", re.ASCII) for kind, (_, after) in PATTERNS.items()}
 HEX = re.compile(r"[0-9a-f]+\Z")
-SECRET_VALUE = re.compile(r"[A-Za-z0-9+/_-]{8,128}\Z")
+SECRET_NAME = re.compile(r"[a-z_]+[ ]{0,3}[=:][ ]{0,3}[\"']?", re.IGNORECASE | re.ASCII)
 
 
 class Permutation:
@@ -70,12 +81,10 @@ class Permutation:
         self.key = hashlib.blake2b(key, digest_size=32).digest()
 
     def _stream(self, tweak: bytes, step: int, other: list[int], n: int) -> list[int]:
-        seed = hashlib.blake2b(tweak + struct.pack(f">B{len(other)}Q", step, *other), key=self.key, digest_size=64).digest()
-        raw = seed
-        while len(raw) < 8 * n:
-            seed = hashlib.blake2b(seed, key=self.key, digest_size=64).digest()
-            raw += seed
-        return list(struct.unpack(f">{n}Q", raw[: 8 * n]))
+        seeds = [hashlib.blake2b(tweak + struct.pack(f">B{len(other)}Q", step, *other), key=self.key, digest_size=64).digest()]
+        while 64 * len(seeds) < 8 * n:
+            seeds.append(hashlib.blake2b(seeds[-1], key=self.key, digest_size=64).digest())
+        return list(struct.unpack(f">{n}Q", b"".join(seeds)[: 8 * n]))
 
     def __call__(self, symbols: list[int], radices: list[int], tweak: str) -> list[int]:
         half = (len(symbols) + 1) // 2
@@ -213,13 +222,13 @@ def key(permute: Permutation, text: str) -> str:
 
 
 def secret(permute: Permutation, text: str) -> str:
-    value = SECRET_VALUE.search(text)
-    plain = value.group()
+    name = SECRET_NAME.match(text).group()
+    plain = text[len(name) :]
     if HEX.match(plain):
         new = "".join(f"{d:x}" for d in permute([int(c, 16) for c in plain], [16] * len(plain), "hex"))
     else:
         new = alphanumeric(permute, plain, "secret", fold=False)
-    return text[: value.start()] + new
+    return name + new
 
 
 RULES = {"email": email, "iban": iban, "card": card, "ssn": ssn, "date": date, "ip": ip, "phone": phone, "key": key, "secret": secret}

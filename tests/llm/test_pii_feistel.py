@@ -139,6 +139,33 @@ def test_shorter_stretches(text, kinds, rest):
     assert [k for k, _, _ in found] == kinds and found[-1][2] == len(text) - len(rest) and new != text
 
 
+@pytest.mark.parametrize("value", ["a1B2c3D4" * 40, "0123456789abcdef" * 9, "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZ4CVP-mB92K27uhbUJU1p1r_w", "SG.aB3dE6gH9j.Kl2", "xY" * 100_000])
+def test_secrets_are_taken_whole(value):
+    text = f"token={value}. Then"
+    new, found = pii.pseudonymise(PERMUTE, text)
+    assert found == [("secret", 0, len("token=") + len(value))] and new.startswith("token=") and new.endswith(". Then")
+    cut = new[len("token=") : -len(". Then")]
+    runs, was = cut.split("."), value.split(".")
+    assert list(map(len, runs)) == list(map(len, was))
+    assert all(a != b for a, b in zip(runs, was))
+    assert value[128:] not in cut or len(value) <= 128
+    # one other character at the end changes the start, too
+    other = pii.pseudonymise(PERMUTE, f"token={value[:-1]}{'7' if value[-1].isdigit() and value[-1] != '7' else '8' if value[-1].isdigit() else 'q'}")[0]
+    assert other[6:40] != cut[:34]
+
+
+@pytest.mark.parametrize("time", ["T10:30:00Z", "T10:30:00.123+02:00", "T103000", "T10:30", "T10Z", "t08"])
+def test_dates_of_timestamps(time):
+    new, found = pii.pseudonymise(PERMUTE, f"at 2024-01-15{time} and 2024-01-15")
+    assert [f[0] for f in found] == ["date", "date"]
+    assert new == f"at {new[3:13]}{time} and {new[3:13]}" and new[3:13] != "2024-01-15"
+
+
+@pytest.mark.parametrize("text", ["2024-01-15Text", "2024-01-15T", "2024-01-15T99:00", "token=short.one"])
+def test_no_timestamp_and_no_secret(text):
+    assert pii.pseudonymise(PERMUTE, text) == (text, [])
+
+
 def test_documents(spark):
     ship_code(spark)
     long_text = "word " * 50_000 + "mail a.b@c.example.org " + "x" * 100_000
