@@ -28,7 +28,10 @@ Defined results: a null text counts as empty; texts of fewer than ``length``
 bytes lose nothing. A null doc_id comes before every other. Rows with the same
 doc_id are ordered by their place in the input, which must be a deterministic
 read (a table of files). An empty table gives an empty result. Other columns
-are not read. A text may have at most 2**28 bytes; a longer one is an error.
+are not read. A text of more than ``PIECE`` bytes is worked on in pieces that
+overlap by ``length`` - 1 bytes, so each string lies inside exactly one of them.
+A pointer whose strings two pieces share has a hull in each, as if its strings
+were cut by a text's end; which strings repeat stays the same.
 """
 
 from __future__ import annotations
@@ -50,7 +53,7 @@ BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
 PLACE_BITS = 28
 LEVELS = (16, 4, 1)  # strings in a block, level by level
-SLICE = 1 << 20
+SLICE = PIECE = 1 << 20
 BITS = 27  # of the bitmaps: 16 MB each
 
 FOUND = "bucket long, hull long, doc_id long, row long, first int, strings int"
@@ -111,29 +114,36 @@ def pointers(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, q: int
     return Pointers(row[begin], at[begin], grams[at[begin]], string[begin], string[end], prefix)
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
+def _rows(batches: Iterator[pa.RecordBatch], most: int = SLICE) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
     """Slices with a number for each row that every scan of the table repeats."""
     run, place = TaskContext.get().partitionId() << 40, 0
-    for batch, data, offsets in slices(batches, most=SLICE):
+    for batch, data, offsets in slices(batches, most=most):
         yield run + np.arange(place, place + batch.num_rows), batch.column(0), data, offsets
         place += batch.num_rows
 
 
+def _pointers(batches: Iterator[pa.RecordBatch], piece: int) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray, Pointers]]:
+    """Slices and their pointers; a longer text comes in pieces. Offsets are those
+    of the texts' starts, so they are negative for a later piece."""
+    for rows, ids, data, offsets in _rows(batches, min(SLICE, piece)):
+        for begun in range(0, max(len(data) - LENGTH + 1, 1), piece - LENGTH + 1) if len(data) > piece else (0,):
+            part = data[begun : begun + piece]
+            if (p := pointers(part, np.array([0, len(part)]) if len(data) > piece else offsets)) is not None:
+                yield rows, ids, part, offsets - begun, p
+
+
 def place_key(row: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix64(row.astype(np.uint64) * np.uint64(BASE) + at.astype(np.uint64))
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, _, data, offsets in _rows(batches):
-        if (p := pointers(data, offsets)) is not None:
-            bucket, counts = np.unique(p.bucket, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(bucket)), pa.array(counts)], names=["bucket", "n"])
+def _buckets(batches: Iterator[pa.RecordBatch], piece: int) -> Iterator[pa.RecordBatch]:
+    for *_, p in _pointers(batches, piece):
+        bucket, counts = np.unique(p.bucket, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(bucket)), pa.array(counts)], names=["bucket", "n"])
 
 
-def _hulls(batches: Iterator[pa.RecordBatch], shared: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for rows, ids, data, offsets in _rows(batches):
-        if (p := pointers(data, offsets)) is None:
-            continue
+def _hulls(batches: Iterator[pa.RecordBatch], shared: np.ndarray, piece: int) -> Iterator[pa.RecordBatch]:
+    for rows, ids, _, offsets, p in _pointers(batches, piece):
         kept = np.flatnonzero(in_bitmap(shared, p.bucket))
         hull = hull_id(p, kept)
         row, first = p.row[kept], p.first[kept]
@@ -149,11 +159,9 @@ def hull_id(p: Pointers, kept: np.ndarray) -> np.ndarray:
     return mix64(p.prefix(first, last + LENGTH) + shape * np.uint64(UNBASE))
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], shared: np.ndarray, mixed: np.ndarray, earliest: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _stretches(batches: Iterator[pa.RecordBatch], shared: np.ndarray, mixed: np.ndarray, earliest: np.ndarray, piece: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the earliest hulls in buckets of several kinds of hull."""
-    for rows, ids, data, offsets in _rows(batches):
-        if (p := pointers(data, offsets)) is None:
-            continue
+    for rows, ids, data, offsets, p in _pointers(batches, piece):
         kept = np.flatnonzero(in_bitmap(shared, p.bucket) & in_bitmap(mixed, p.bucket))
         first = p.first[kept] - offsets[p.row[kept]]
         kept = kept[in_bitmap(earliest, place_key(rows[p.row[kept]], first))]
@@ -242,15 +250,15 @@ def several(earliest: DataFrame, groups: list[str], kind: str) -> DataFrame:
     return earliest.groupBy(*groups).agg(F.min(kind).alias("low"), F.max(kind).alias("high")).filter("low != high")
 
 
-def repeated_spans(docs: DataFrame) -> list[DataFrame]:
+def repeated_spans(docs: DataFrame, piece: int = PIECE) -> list[DataFrame]:
     """Tables of removed spans, by row number of the scan; they may overlap."""
     spark = docs.sparkSession
     send = lambda bitmap: SentBitmap(spark, bitmap)
-    counted = docs.mapInArrow(_buckets, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counted = docs.mapInArrow(lambda b: _buckets(b, piece), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     shared = send(bitmap_of(counted.filter("n > 1"), "bucket", BITS))
     free_shuffles(spark)
 
-    found = materialise(docs.mapInArrow(lambda b: _hulls(b, shared.value), FOUND), "hulls")
+    found = materialise(docs.mapInArrow(lambda b: _hulls(b, shared.value, piece), FOUND), "hulls")
     earliest = materialise(classes(found, ["hull"]), "earliest-hulls")
     spans = [materialise(repeats(found, earliest, ["hull"]), "hull-spans")]
     mixed = send(bitmap_of(several(earliest, ["bucket"], "hull"), "bucket", BITS))
@@ -262,7 +270,7 @@ def repeated_spans(docs: DataFrame) -> list[DataFrame]:
     chosen = send(bitmap_of(firsts, "key", BITS))
     discard(found, earliest)
 
-    stretches = materialise(docs.mapInArrow(lambda b: _stretches(b, shared.value, mixed.value, chosen.value), STRETCH), "stretches")
+    stretches = materialise(docs.mapInArrow(lambda b: _stretches(b, shared.value, mixed.value, chosen.value, piece), STRETCH), "stretches")
     for bitmap in (shared, mixed, chosen):
         bitmap.destroy()
     wider, active = LENGTH, None
@@ -312,11 +320,11 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[begin, 0], reach[np.append(begin[1:], len(spans)) - 1]], 1)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     """One row per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spans = repeated_spans(texts)
+    spans = repeated_spans(texts, piece)
     union = spans[0]
     for more in spans[1:]:
         union = union.unionByName(more)

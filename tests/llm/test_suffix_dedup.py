@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strata.llm import suffix_dedup
@@ -35,6 +36,29 @@ def run(spark, rows):
     return sorted((tuple(r) for r in got.collect()), key=str)
 
 
+@pytest.mark.parametrize("piece", [100, 500])
+def test_long_texts_in_pieces(spark, piece):
+    ship_code(spark)
+    rng = random.Random(piece)
+    passage = words(rng, 90)
+    rows = [(1, passage + words(rng, 100)), (2, words(rng, 70) + passage * 2), (3, passage[30:]), (4, "x" * 1300), (5, None), (6, "x" * 99), (7, passage[:250] + "y" * 300 + passage[120:]), (None, passage[50:200])]
+    docs = spark.createDataFrame([(i, t, "x", 7) for i, t in rows], SCHEMA).coalesce(2)
+    got = suffix_dedup.remove_repeats(docs, piece=piece).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+
+
+def test_no_text_is_too_long(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PLACE_BITS", 21)
+    monkeypatch.setattr(suffix_dedup, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    text = np.random.default_rng(0).integers(97, 123, (1 << 21) + 5000, dtype=np.uint8).tobytes()
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([text.decode()])], names=["doc_id", "text"])
+    strings = np.zeros(len(text), np.int64)
+    for found in suffix_dedup._hulls(iter([batch]), np.full(1 << 24, 255, np.uint8), suffix_dedup.PIECE):
+        for first, n in zip(found.column(4).to_pylist(), found.column(5).to_pylist()):
+            strings[first : first + n] += 1
+    assert (strings[:-99] == 1).all() and not strings[-99:].any()
+
+
 def words(rng, n):
     return " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(2, 7))) for _ in range(n))
 
