@@ -172,15 +172,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
     """At most ``rows`` labelled texts of at most ``most_bytes`` bytes.
 
     Rows with crc32(doc_id as text) mod ``folds`` = 0 are held out. The rows
-    taken are those of the least hash of their id, which no order or partition
-    of the input changes.
+    taken are those of the least hash of their id, and of rows that share an id
+    the one with the least text, which no order or partition of the input changes.
     """
     usable = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
     usable = usable.filter(F.crc32(F.col("doc_id").cast("string")) % folds != 0)
     chosen = usable.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.octet_length("text") <= most_bytes)
-    found = texts.join(F.broadcast(chosen), "doc_id").collect()  # bounded by rows; one task's worth of text
-    found = sorted({r["doc_id"]: r for r in found}.values(), key=lambda r: r["doc_id"])[:rows]
+    once = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("text").alias("text"))
+    found = sorted(once.collect(), key=lambda r: r["doc_id"])  # bounded by rows
     return [r["text"].encode("utf-8", "replace") for r in found], np.array([r["quality"] for r in found], np.float32)
 
 

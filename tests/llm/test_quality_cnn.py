@@ -70,6 +70,19 @@ def test_edges_and_accuracy(spark, monkeypatch):
     assert len(texts) <= 50
 
 
+def test_sample_takes_one_row_an_id(spark, monkeypatch):
+    ship_code(spark)
+    rows = [(i, f"text {i}") for i in range(60)] + [(7, f"again {i:04d}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    sizes, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: sizes.append(len(out := collect(self))) or out)
+    samples = [quality_cnn.training_sample(d, labels) for d in (docs, docs.coalesce(1).orderBy("text"), docs.coalesce(1).orderBy(docs["text"].desc()))]
+    assert sizes and max(sizes) <= 60
+    assert all(s[0] == samples[0][0] and (s[1] == samples[0][1]).all() for s in samples)
+    assert zlib.crc32(b"7") % 5 and b"again 0000" in samples[0][0]
+
+
 def test_no_labels(spark):
     ship_code(spark)
     docs = spark.createDataFrame([(1, "x"), (2, None)], "doc_id long, text string")
