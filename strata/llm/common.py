@@ -143,8 +143,34 @@ def words_of(data: np.ndarray, at: np.ndarray, is_word: np.ndarray, codes: np.nd
 
     ``is_word`` marks word bytes and ``codes`` gives a byte's code, so a code
     table that repeats the small letters' codes for capitals folds case. No
-    word crosses a text's end.
+    word crosses a text's end. Long input is worked on in parts of
+    ``SLICE_BYTES``; a word that two parts share is put together again, so the
+    working memory beside the words themselves is that of one part.
     """
+    found = []
+    for begun in range(0, max(len(data), 1), SLICE_BYTES):
+        stop = min(begun + SLICE_BYTES, len(data))
+        low, high = np.searchsorted(at, [begun, stop], "left")
+        cuts = np.unique(np.concatenate([[begun], at[low:high], [stop]]))
+        starts, ends, sums = _word_sums(data[begun:stop], cuts - begun, is_word, codes, base)
+        starts, ends = starts + begun, ends + begun
+        if found and len(starts) and len(found[-1][0]) and starts[0] == begun == found[-1][1][-1] and not (low < len(at) and at[low] == begun):
+            before, after, parts = found[-1]
+            shift = pow(base, int(after[-1] - before[-1]), 1 << 64)
+            parts[-1] += sums[0] * np.uint64(shift)
+            after[-1] = ends[0]
+            starts, ends, sums = starts[1:], ends[1:], sums[1:]
+        if len(starts):
+            found.append((starts, ends, sums))
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0, np.uint64)
+    starts, ends, sums = (np.concatenate(part) if len(found) > 1 else part[0] for part in zip(*found))
+    return starts, ends, np.searchsorted(at, starts, "right") - 1, mix64(sums + (ends - starts).astype(np.uint64))
+
+
+def _word_sums(data: np.ndarray, at: np.ndarray, is_word: np.ndarray, codes: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and unmixed hash of the words of texts that begin at ``at``."""
     n = len(data)
     flags = np.zeros(n + 1, np.int8)
     if n:
@@ -158,9 +184,7 @@ def words_of(data: np.ndarray, at: np.ndarray, is_word: np.ndarray, codes: np.nd
     starts_flag[cuts] |= flags[cuts] == 1  # a text that begins right after a word byte
     starts = np.flatnonzero(starts_flag)
     if not len(starts):
-        none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64)
-    rows = np.searchsorted(at, starts, "right") - 1
+        return starts, starts, np.zeros(0, np.uint64)
     # an end: the next non-word byte or the next text's start
     stop_flag = edge & (flags == 0)
     stop_flag[cuts] |= flags[np.maximum(cuts - 1, 0)] == 1
@@ -172,8 +196,33 @@ def words_of(data: np.ndarray, at: np.ndarray, is_word: np.ndarray, codes: np.nd
     inside = np.repeat(starts, lengths)
     where = np.flatnonzero(flags[:n])
     values = codes[data[where]] * powers(base, int(lengths.max()))[where - inside]
-    sums = np.add.reduceat(values, np.cumsum(lengths) - lengths)
-    return starts, ends, rows, mix64(sums + lengths.astype(np.uint64))
+    return starts, ends, np.add.reduceat(values, np.cumsum(lengths) - lengths)
+
+
+def word_slices(batches: Iterator[pa.RecordBatch], is_word: np.ndarray, text: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, bool]]:
+    """As ``slices``, but a longer text comes in parts, cut where no word is.
+
+    The last value tells whether the rows end here: a part of a longer text is
+    followed by the next one until it does. A word longer than ``most`` is
+    never cut.
+    """
+    for rows, data, at in slices(batches, text, most):
+        if len(data) <= most:
+            yield rows, data, at, True
+            continue
+        begun = 0
+        while begun < len(data):
+            stop = min(begun + most, len(data))
+            if stop < len(data):
+                gaps = np.flatnonzero(is_word[data[begun:stop]] == 0)
+                if len(gaps):
+                    stop = begun + int(gaps[-1]) + 1
+                else:
+                    while stop < len(data) and not len(gaps := np.flatnonzero(is_word[data[stop : stop + most]] == 0)):
+                        stop += most
+                    stop = min(stop + int(gaps[0]) + 1, len(data)) if len(gaps) else len(data)
+            yield rows, data[begun:stop], np.array([0, stop - begun]), stop == len(data)
+            begun = stop
 
 
 def shingle_hashes(words: np.ndarray, k: int, base: int = 0xD6E8FEB86659FD93) -> np.ndarray:

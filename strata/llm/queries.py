@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import best_two_fit, decontaminate, exact_dedup, jaccard_join, language_id, license_scan, pii_feistel, quality_cnn, suffix_dedup, token_output
+from strata.llm import best_two_fit, decontaminate, exact_dedup, jaccard_join, language_id, lexical_search, license_scan, pii_feistel, quality_cnn, simhash_covering, spelling_groups, suffix_dedup, token_output
 from strata.llm.common import read_table, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -61,6 +61,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_covering.simhash_components(read_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.spelling_groups(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_cnn": op1_quality_cnn,
@@ -73,6 +85,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_output": op9_token_output,
         "op10_license_scan": op10_license_scan,
+        "op11_lexical_search": op11_lexical_search,
+        "op12_simhash_covering": op12_simhash_covering,
+        "op13_spelling_groups": op13_spelling_groups,
     }
 
 
@@ -80,6 +95,13 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+#: The letters beyond ASCII, and as many ASCII characters that are no small letters, so
+#: that an edit distance over bytes is one over code points.
+LETTERS = "".join(map(chr, range(0xC0, 0x100)))
+BYTES = "".join(c for c in map(chr, range(33, 127)) if not c.islower() and c != "'")[:64]
+
 ORACLE = {
     "op2_decontaminate": f"""
         WITH doc_words AS (
@@ -135,6 +157,77 @@ ORACLE = {
         parts AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
         SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM parts LEFT JOIN sizes USING (doc_id)
     """,
+    "op11_lexical_search": f"""
+        WITH terms AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM documents
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+        whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+        tfs AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+        items AS (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM benchmark
+        ),
+        asked AS (SELECT item_id, term, count(*) AS times FROM items GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM tfs, whole GROUP BY term, docs
+        ),
+        scores AS (
+            SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total))))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (doc_id), whole
+            GROUP BY ALL
+        )
+        SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0
+        WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+        QUALIFY row_number() OVER best <= 20
+    """,
+    "op13_spelling_groups": f"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list(c ORDER BY i) AS crcs FROM (
+                SELECT i, list_reduce([i] || range(8)::BIGINT[], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+                FROM (SELECT unnest(range(256)) AS i))
+        ),
+        runs AS (
+            SELECT doc_id, run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+            WHERE length(run) >= 7 GROUP BY ALL
+        ),
+        hexed AS (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs),
+        hashed AS (
+            SELECT run, n, xor(list_reduce([4294967295] || list_transform(range(1, length(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT),
+                                           lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc
+            FROM hexed, crc_table
+        ),
+        words AS (
+            SELECT word, sum(n)::BIGINT AS n
+            FROM (SELECT n, CASE WHEN crc % 31 = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word FROM hashed)
+            WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+        ),
+        cuts AS (
+            SELECT word, word AS cut FROM words
+            UNION
+            SELECT word, substr(word, 1, i) || substr(word, i + 2) FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+        ),
+        pairs AS (SELECT DISTINCT a.word AS word, b.word AS other FROM cuts a JOIN cuts b USING (cut) WHERE a.word <> b.word),
+        near AS (
+            SELECT p.word, p.other, w.n AS other_n FROM pairs p JOIN words w ON w.word = p.other
+            WHERE levenshtein(translate(p.word, '{LETTERS}', '{BYTES}'), translate(p.other, '{LETTERS}', '{BYTES}')) = 1
+        ),
+        best AS (
+            SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS other, max(other_n) AS other_n FROM near GROUP BY word
+        ),
+        forms AS (
+            SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+            FROM words LEFT JOIN best USING (word)
+        ),
+        paths AS (
+            SELECT word, word AS tip FROM forms
+            UNION ALL
+            SELECT paths.word, form FROM paths JOIN forms ON forms.word = tip WHERE form IS NOT NULL
+        ),
+        ends AS (SELECT paths.word, tip AS root FROM paths JOIN forms ON forms.word = tip WHERE form IS NULL)
+        SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+    """,
     "op8_exact_dedup": f"""
         WITH hashed AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS text_sha256 FROM documents
