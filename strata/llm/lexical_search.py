@@ -158,7 +158,8 @@ def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
 class Search:
     """Searches blocks of document vectors for the best documents of every item."""
 
-    def __init__(self, items: Items, k: int):
+    def __init__(self, items: Items, k: int, bucket: int = BUCKET):
+        self.bucket = bucket
         self.items, self.root = items, np.sqrt(items.weight.astype(np.float64))
         self.best = [Best(k) for _ in items.terms]
         self.vectors = []  # of each item: coordinates by weight down, values, rest of the length after the focus
@@ -179,7 +180,7 @@ class Search:
 
         def bucket(first: int) -> tuple:
             if first not in buckets:
-                docs = order[first : first + BUCKET]
+                docs = order[first : first + self.bucket]
                 at = _ranges(starts[docs], starts[docs] + sizes[docs])
                 local, terms = np.repeat(np.arange(len(docs)), sizes[docs]), term[at]
                 by_term = np.argsort(terms, kind="stable")
@@ -190,7 +191,7 @@ class Search:
         for i, (focus, value, left, length) in enumerate(self.vectors):
             best, terms = self.best[i], self.items.terms[i]
             self.dense[terms] = self.items.weight[terms] * self.items.counts[i]
-            for first in range(0, len(order), BUCKET):
+            for first in range(0, len(order), self.bucket):
                 if length * math.sqrt(square[order[first]]) * SLACK < best.least:
                     break  # nor can any shorter vector reach it
                 docs, listed, local, scaled = bucket(first)
@@ -210,8 +211,8 @@ class Search:
             self.dense[terms] = 0
 
 
-def _search(batches: Iterator[pa.RecordBatch], items: Items, k: int) -> Iterator[pa.RecordBatch]:
-    search, held, postings = Search(items, k), [], 0
+def _search(batches: Iterator[pa.RecordBatch], items: Items, k: int, bucket: int, most: int) -> Iterator[pa.RecordBatch]:
+    search, held, postings = Search(items, k, bucket), [], 0
 
     def flush() -> None:
         rows = np.cumsum([0] + [len(h[0]) for h in held])
@@ -223,7 +224,7 @@ def _search(batches: Iterator[pa.RecordBatch], items: Items, k: int) -> Iterator
         impact = (1_000_000_000 * tf) // (1000 * tf + 12 * m[row])
         held.append((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), row, term, impact))
         postings += len(row)
-        if postings >= POSTINGS:
+        if postings >= most:
             flush()
             held, postings = [], 0
     if held:
@@ -234,7 +235,7 @@ def _search(batches: Iterator[pa.RecordBatch], items: Items, k: int) -> Iterator
     yield pa.RecordBatch.from_arrays(columns, names=["item", "doc_id", "score"])
 
 
-def rank_documents(docs: DataFrame, benchmark: DataFrame, k: int = 20) -> DataFrame:
+def rank_documents(docs: DataFrame, benchmark: DataFrame, k: int = 20, bucket: int = BUCKET, postings: int = POSTINGS) -> DataFrame:
     """item_id, rank, doc_id, score: each item's ``k`` best documents with a score above 0."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -252,7 +253,7 @@ def rank_documents(docs: DataFrame, benchmark: DataFrame, k: int = 20) -> DataFr
         query.weigh({r["term"]: r["n"] for r in counted.collect()})  # a row for each of the block's terms
         sent.destroy()
         sent = spark.sparkContext.broadcast(query)
-        found.append(materialise(texts.mapInArrow(lambda b, q=sent: _search(b, q.value, k), "item long, doc_id long, score long"), "found"))
+        found.append(materialise(texts.mapInArrow(lambda b, q=sent: _search(b, q.value, k, bucket, postings), "item long, doc_id long, score long"), "found"))
         sent.destroy()
     if not found:
         return items.select("item_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score")).filter("false")

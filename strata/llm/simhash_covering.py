@@ -39,7 +39,7 @@ from strata.llm.common import lower_ascii_table, materialise, signed, word_slice
 from strata.llm.components import components
 
 WORDS, SEED, RADIUS = 3, 42, 3
-BUCKET = 1 << 8
+BUCKET = 1 << 8  # what three levels leave at most; less would not end
 PART = 1 << 20
 
 
@@ -114,9 +114,8 @@ def _refined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["mask", "print"])
 
 
-def links(prints: DataFrame, most: int | None = None) -> DataFrame:
+def links(prints: DataFrame) -> DataFrame:
     """Edges (a, b) whose components are those of all links of the distinct ``print`` values."""
-    most = most or BUCKET
     masks = F.array(*(F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in covering()))
     entries = prints.select(F.explode(masks).alias("mask"), "print")
     found = None
@@ -125,11 +124,11 @@ def links(prints: DataFrame, most: int | None = None) -> DataFrame:
         keyed = entries.withColumn("key", F.col("print").bitwiseAND(F.col("mask")))
         ends = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("a"), F.max("print").alias("b"))
         buckets = materialise(ends.filter("n > 1"), "buckets")
-        small = keyed.join(buckets.filter((F.col("n") > 2) & (F.col("n") <= most)).select("mask", "key"), ["mask", "key"])
-        small = small.groupBy("mask", "key").agg(F.collect_list("print").alias("prints"))  # ``most`` at most
+        small = keyed.join(buckets.filter((F.col("n") > 2) & (F.col("n") <= BUCKET)).select("mask", "key"), ["mask", "key"])
+        small = small.groupBy("mask", "key").agg(F.collect_list("print").alias("prints"))  # BUCKET at most
         edges = buckets.filter((F.col("n") == 2) & near).select("a", "b").unionByName(small.select("prints").mapInArrow(_forest, "a long, b long"))
         found = edges if found is None else found.unionByName(edges)
-        hot = buckets.filter(F.col("n") > most)
+        hot = buckets.filter(F.col("n") > BUCKET)
         if hot.isEmpty():
             return found
         split = keyed.join(hot.select("mask", "key"), ["mask", "key"]).select("mask", "print")

@@ -181,7 +181,7 @@ def near_words(words: list[str], ns: np.ndarray, group: np.ndarray, length: np.n
     return query[first], np.diff(np.append(first, len(query))), ns[word[first]], word[first]
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _near(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Scans the sorted groups, which may run over batches; a group is never cut."""
 
     def found(table: pa.Table) -> pa.RecordBatch:
@@ -204,7 +204,7 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         held.append(batch)
         cells += batch.num_rows * (int(np.max(batch.column(1).to_numpy())) + 2)
-        if cells < CELLS:
+        if cells < most:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
         # all but the last group, which the next batch may go on with
@@ -226,9 +226,9 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     return texts.mapInArrow(word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= TIMES)
 
 
-def near_table(words: DataFrame, most: int | None = None) -> DataFrame:
+def near_table(words: DataFrame, most: int, cells: int) -> DataFrame:
     """(word, n_near, best_n, best) of the words that have near words."""
-    most, hot, bitmap = most or GROUP, None, None
+    hot, bitmap = None, None
     while True:
         entries = words.mapInArrow(lambda b, h=hot: _entries(b, h.value if h else None), ENTRY)
         large = entries.filter("high - low > 1").groupBy("key", "length", "low", "high").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
@@ -240,7 +240,7 @@ def near_table(words: DataFrame, most: int | None = None) -> DataFrame:
         hot = SentBitmap(words.sparkSession, bitmap)
         discard(large)
     spec = ["key", "length", "low", "high"]
-    found = entries.repartition("key").sortWithinPartitions(*spec, "word").mapInArrow(_near, "word string, n_near long, best_n long, best string")
+    found = entries.repartition("key").sortWithinPartitions(*spec, "word").mapInArrow(lambda b: _near(b, cells), "word string, n_near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("less"), "best")).alias("b")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best).select("word", "n_near", (-F.col("b.less")).alias("best_n"), F.col("b.best").alias("best"))
 
@@ -260,10 +260,10 @@ def roots(forms: DataFrame) -> DataFrame:
         paths._scratch = longer._scratch
 
 
-def spelling_groups(docs: DataFrame) -> DataFrame:
+def spelling_groups(docs: DataFrame, group: int = GROUP, cells: int = CELLS) -> DataFrame:
     """word, form, root, n, n_near, form_n of every word."""
     words = materialise(vocabulary(docs), "words")
-    near = words.join(near_table(words), "word", "left")
+    near = words.join(near_table(words, group, cells), "word", "left")
     chosen = F.col("best_n") >= RATIO * F.col("n")
     judged = near.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(chosen, F.col("best")).alias("form"), F.when(chosen, F.col("best_n")).alias("form_n"))
     judged = materialise(judged, "judged")

@@ -34,11 +34,11 @@ def brute(docs, items, k=20):
     return sorted(out, key=str)
 
 
-def run(spark, docs, items, k=20, parts=3):
+def run(spark, docs, items, k=20, **sizes):
     ship_code(spark)
-    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], SCHEMA).coalesce(parts)
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], SCHEMA).coalesce(3)
     items = spark.createDataFrame([(i, t, 5) for i, t in items], "item_id long, text string, doc_id int")
-    return sorted((tuple(r) for r in lexical_search.rank_documents(docs, items, k).select("item_id", "rank", "doc_id", "score").collect()), key=str)
+    return sorted((tuple(r) for r in lexical_search.rank_documents(docs, items, k, **sizes).select("item_id", "rank", "doc_id", "score").collect()), key=str)
 
 
 def corpus(rng, n, words=400):
@@ -66,9 +66,7 @@ def test_buckets_and_blocks(spark, monkeypatch, bucket, postings, block):
     """Small buckets, blocks of documents and blocks of items give the same."""
     docs, items = corpus(random.Random(bucket), 300)
     monkeypatch.setattr(lexical_search, "BLOCK_TERMS", block)
-    monkeypatch.setattr(lexical_search, "BUCKET", bucket)
-    monkeypatch.setattr(lexical_search, "POSTINGS", postings)
-    assert run(spark, docs, items) == brute(docs, items)
+    assert run(spark, docs, items, bucket=bucket, postings=postings) == brute(docs, items)
 
 
 def test_bounds_skip_documents():

@@ -49,10 +49,10 @@ def brute(n):
     return sorted(out, key=str)
 
 
-def run(spark, rows):
+def run(spark, rows, **sizes):
     ship_code(spark)
     docs = spark.createDataFrame([(i, t, 1, "b") for i, t in rows], SCHEMA).coalesce(3)
-    return sorted((tuple(r) for r in spelling_groups.spelling_groups(docs).collect()), key=str)
+    return sorted((tuple(r) for r in spelling_groups.spelling_groups(docs, **sizes).collect()), key=str)
 
 
 def variants(rng, word, n, letters="abé"):
@@ -74,17 +74,15 @@ def test_empty_table(spark):
 
 
 @pytest.mark.parametrize("most", [1 << 16, 3])
-def test_dense_vocabulary(spark, monkeypatch, most):
+def test_dense_vocabulary(spark, most):
     """Many near words, groups split down to one place, chains of forms."""
-    monkeypatch.setattr(spelling_groups, "GROUP", most)
-    monkeypatch.setattr(spelling_groups, "CELLS", 300)
     rng = random.Random(most)
     words = [w for base in ("abababab", "bbbbbbbaaaaaa", "éabaéabaéaba", "aaaaaaa") for w in variants(rng, base, 60)]
     text = " ".join(w for w in words for _ in range(rng.choice([1, 2, 3, 30, 400])))
     rows = [(i, text) for i in range(3)] + [(None, text)]
     want = brute(counts(rows))
     assert any(w[1] != w[2] and w[1] for w in want)  # a form that has a form
-    assert run(spark, rows) == want
+    assert run(spark, rows, group=most, cells=300) == want
 
 
 @pytest.mark.parametrize("seed", range(3))
