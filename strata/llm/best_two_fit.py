@@ -18,6 +18,7 @@ import base64
 import bisect
 import functools
 import json
+import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -52,14 +53,45 @@ def encoder(path: str | None = None):
     return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
+#: White space of the pattern's \\s, in runs too long for the encoder's matcher.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % (1 << 16))
+
+
+def space_cuts(text: str) -> list[tuple[str, bool]]:
+    """The text in parts that the pattern would part as well, and whether each
+    is a long run of white space.
+
+    Before a character of another kind the pattern takes such a run but for its
+    last character (``\\s+(?!\\S)``), at the end all of it.
+    """
+    parts, done = [], 0
+    for run in LONG_SPACE.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        parts += [(text[done : run.start()], False), (text[run.start() : stop], True)]
+        done = stop
+    return [part for part in (*parts, (text[done:], False)) if part[0]]
+
+
 def text_encoder(path: str | None = None, added: bool = False) -> Callable[[str], list[int]]:
     """Ids of a text. added: also the ids of the added tokens that stand in it,
     as ``tokenizers`` gives them with add_special_tokens=False."""
     encoding = encoder(path)
-    if not added:
-        return encoding.encode_ordinary
-    names = sorted(encoding.special_tokens_set)
-    return lambda text: encoding.encode(text, allowed_special="all") if any(name in text for name in names) else encoding.encode_ordinary(text)
+    names = sorted(encoding.special_tokens_set) if added else []
+
+    def encode(text: str) -> list[int]:
+        if any(name in text for name in names):
+            return encoding.encode(text, allowed_special="all")
+        return encoding.encode_ordinary(text)
+
+    def whole(text: str) -> list[int]:
+        if not LONG_SPACE.search(text):
+            return encode(text)
+        ids: list[int] = []
+        for part, space in space_cuts(text):
+            ids += encoding._encode_single_piece(part) if space else encode(part)  # the matcher fails on the run
+        return ids
+
+    return whole
 
 
 def cuts(n_ids: int, capacity: int) -> list[tuple[int, int]]:

@@ -121,3 +121,20 @@ def test_two_fit_replaces_the_smallest():
     assert best_two_fit.best_two([1, 2, 3], {1: 1, 2: 1, 3: 1}, Counter({2: 1}), 4) == [3, 1]
     bins = best_two_fit.plan_bins({6: 1, 3: 2, 1: 1}, 10)
     assert bins[0][1] == [6, 3, 1]
+
+
+def test_long_runs_of_white_space():
+    """The matcher fails on them as a whole; the ids stay the tokenizer's."""
+    encode = best_two_fit.text_encoder(added=True)
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    n = 1 << 16
+    for text in (" " * n + "x", "a" + "\n" * n + "b c", "a " + " " * n, "x" + "\t \n" * n + "'s", " " * n + "<|endoftext|>", "a　" + "\xa0" * n + "1" + " " * (n - 1) + "b"):
+        assert encode(text) == whole.encode(text, add_special_tokens=False).ids
+    assert len(encode(" " * 2_000_000 + "x")) == 2_000_000
+
+
+def test_two_million_blanks(spark):
+    ship_code(spark)
+    docs = spark.createDataFrame([(1, " " * 2_000_000 + "x"), (2, "\n" * 2_000_000), (3, "short")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n"] for r in best_two_fit.pack(docs, capacity=1024).groupBy("doc_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()}
+    assert got == {1: 2_000_001, 2: 1_000_001, 3: 2}
