@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import clean as C
 from strata.functions.dates import calendar_columns, day, day_diff
-from strata.operators.lookup import date_lookup
+from strata.operators.lookup import date_lookups
 from strata.oracle import ORDER_STAMPS, SDEC, UDEC, UINT, date_key, exact_avg, guard, nb, state, ts, txt, with_layers, zip5
 from strata.oracle import day as sql_day
 from strata.oracle import ddiff as sql_ddiff
@@ -401,9 +401,7 @@ def q_main_payment(spark, sf_dir):
 def q_role_playing_dates(spark, sf_dir):
     t = _t(spark, sf_dir)
     o = t.clean("orders")
-    dd = t.model["dim_date_b"]
-    for c, out in facts.DATE_ROLES:
-        o = date_lookup(o, dd, day(c), out)
+    o = date_lookups(o, t.model["calendar"], {out: day(c) for c, out in facts.DATE_ROLES})
     return o.select("order_id", *[out for _, out in facts.DATE_ROLES])
 
 

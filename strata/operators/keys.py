@@ -1,25 +1,21 @@
 """Surrogate keys: the dense rank of a natural key, 1..n in key order.
 
 ``DENSE_RANK() OVER (ORDER BY k)`` with no partition makes Spark move every
-row into one task, so ``dense_rank_key`` computes the rank in parallel, the
-same way at every size:
-
-1. range-partition the rows on the key (sampled bounds), sort each
-   partition, tag every row with its partition and its position in it;
-2. cut lineage with a reliable ``checkpoint()`` so that the sampled split
-   is fixed: a lost executor re-reads the checkpoint instead of re-sampling
-   different bounds;
-3. count rows per partition (at most ``n`` rows) and turn the counts into
-   offsets with a running sum over those ``n`` rows;
-4. rank = offset of the partition + position + 1, joined through a broadcast
-   of the ``n`` offsets (a size fixed by the partition count).
-
-Checkpoint files are removed with the plans that read them
-(``spark.cleaner.referenceTracking.cleanCheckpoints``, set by
-``strata.session``).
-
-``domain_rank_key`` is the plain rank, for keys whose number is bounded by
-what they are (calendar days, status codes, payment types), not by the data.
+row into one task. ``key_ranks`` computes the rank in parallel and lazily, the
+same way at every size, and the same again whenever any part of it is redone:
+
+1. bounds: the ``SAMPLE`` keys of least hash, a uniform sample that depends on
+   the keys alone, sorted, every so many of them taken as a bound. They are one
+   row (a scalar subquery), however many keys there are;
+2. a key's range is the number of bounds up to it, an expression that searches
+   the bounds;
+3. a position inside its range from ``row_number`` (one shuffle of the keys),
+   plus the keys of the ranges before it, summed over one row a range and sent
+   to every task.
+
+Nothing is sampled at run time, so nothing has to be written or fixed: a lost
+task, or a second run, gives every key the same rank. Balanced ranges only
+spread the work; the rank is exact whatever the bounds are.
 
 Input must hold each key once, which every caller guarantees by building it
 with ``groupBy``/``distinct``; equal keys would otherwise get distinct ranks.
@@ -27,36 +23,39 @@ with ``groupBy``/``distinct``; equal keys would otherwise get distinct ranks.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
-
-
-def dense_rank_key(df: DataFrame, key: str, out: str, type_name: str = "int", num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = dense rank of ``key`` (ascending, binary order) as the
-    first column. Rows with a NULL key are dropped."""
-    df = df.where(F.col(key).isNotNull())
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pid = F.spark_partition_id()
-    tagged = (
-        df.repartitionByRange(n, F.col(key).asc())
-        .sortWithinPartitions(F.col(key).asc())
-        .withColumn("_pid", pid)
-        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-    ).checkpoint(eager=True)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    ranked = tagged.join(F.broadcast(offsets), "_pid").withColumn(
-        out, (F.col("_off") + F.col("_pos") + F.lit(1)).cast(type_name)
-    )
-    return ranked.select(out, *df.columns)
-
-
-def domain_rank_key(df: DataFrame, key: str, out: str, type_name: str = "int") -> DataFrame:
-    """The same column for a key with a domain of bounded size, in one task."""
-    df = df.where(F.col(key).isNotNull())
-    rank = F.dense_rank().over(Window.orderBy(F.col(key).asc()))
-    return df.withColumn(out, rank.cast(type_name)).select(out, *df.columns)
+SAMPLE, WAYS = 512, 8  # keys of the sample, a power of the parts that a step of the search tells apart
+
+
+def key_ranks(keys: DataFrame, key: str, out: str, type_name: str = "int", ranges: int | None = None) -> DataFrame:
+    """(key, out) of every key that is not NULL, in binary order."""
+    keys = keys.select(key).where(F.col(key).isNotNull())
+    ranges = min(ranges or 4 * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), SAMPLE)
+    sample = keys.orderBy(F.xxhash64(key), key).limit(SAMPLE).agg(F.sort_array(F.collect_list(key)).alias("_keys"))
+    every = F.lit(max(1, SAMPLE // ranges))
+    bounds = sample.select(F.filter("_keys", lambda _, i: (i + 1) % every == 0)).scalar()
+    ranged, step, found = keys.select(key, bounds.alias("_bounds")), SAMPLE // WAYS, F.lit(0)
+    while step:  # the search for the last bound up to the key; past the end ``get`` is NULL
+        passed = [F.when(F.get("_bounds", found + (way * step - 1)) <= F.col(key), step).otherwise(0) for way in range(1, WAYS)]
+        ranged = ranged.select(key, "_bounds", functools.reduce(operator.add, passed, found).alias("_range"))
+        step, found = step // WAYS, F.col("_range")
+    ranged = ranged.drop("_bounds")
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    placed = ranged.withColumn("_pos", F.row_number().over(Window.partitionBy("_range").orderBy(key)))
+    return placed.join(F.broadcast(before), "_range").select(key, (F.col("_before") + F.col("_pos")).cast(type_name).alias(out))
+
+
+def dense_rank_key(df: DataFrame, key: str, out: str, type_name: str = "int", ranks: DataFrame | None = None) -> DataFrame:
+    """Add ``out`` = dense rank of ``key`` as the first column. Rows with a
+    NULL key are dropped. Only the key column is ranked; the rows, which are
+    grouped by the key already, meet it again in a join on the key. ``ranks``
+    gives the ranks if they are known, or cheaper to get than from ``df``."""
+    if ranks is None:
+        ranks = key_ranks(df, key, out, type_name)
+    return df.join(ranks, key).select(out, *df.columns)

@@ -1,9 +1,9 @@
 """Model layer: dimensions.
 
-Inputs are clean-layer DataFrames. Every surrogate key is a dense rank: the
-parallel range rank for keys that grow with the data, the plain one for days,
-statuses and payment types. Small dimensions are broadcast only after a size
-check; large ones join by shuffle.
+Inputs are clean-layer DataFrames. Every surrogate key is a dense rank, computed
+in parallel and lazily (``key_ranks``); a date's key is its rank in the calendar
+bitmap. Small dimensions are broadcast only after a size check; large ones join
+by shuffle.
 
 Per-entity statistics are pre-aggregated on the smallest key before any join
 so that a customer or seller holding a third of all orders is combined on
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import calendar_columns, day
 from strata.operators.dedupe import representative
-from strata.operators.keys import dense_rank_key, domain_rank_key
-from strata.operators.lookup import date_lookup
+from strata.operators.keys import dense_rank_key, key_ranks
+from strata.operators.lookup import calendar, date_lookups
 
 ORDER_TIMES = [
     "order_purchase_timestamp",
@@ -34,17 +34,22 @@ CLOSED_STATUSES = ("delivered", "canceled", "cancelled", "unavailable")
 CANCELLED_STATUSES = ("canceled", "cancelled")
 
 
-def observed_dates(orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Distinct calendar dates of the seven order and review timestamps.
-    One scan per table (the columns are stacked with ``explode``), one
-    distinct; no calendar fill."""
+def date_values(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The calendar dates of the seven order and review timestamps, as often as
+    they occur. One scan per table: the columns are stacked with ``explode``."""
     o = orders.select(F.explode(F.array(*[day(c) for c in ORDER_TIMES])).alias("full_date"))
     r = reviews.select(F.explode(F.array(*[day(c) for c in REVIEW_TIMES])).alias("full_date"))
-    return o.unionByName(r).where(F.col("full_date").isNotNull()).distinct()
+    return o.unionByName(r).where(F.col("full_date").isNotNull())
+
+
+def observed_dates(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Distinct calendar dates of the seven order and review timestamps; no
+    calendar fill."""
+    return date_values(orders, reviews).distinct()
 
 
 def dim_date(orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    ranked = domain_rank_key(observed_dates(orders, reviews), "full_date", "date_sk")
+    ranked = date_lookups(observed_dates(orders, reviews), calendar(date_values(orders, reviews)), {"date_sk": F.col("full_date")})
     return ranked.select("date_sk", "full_date", *calendar_columns("full_date"))
 
 
@@ -74,20 +79,19 @@ def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 def customer_keys(customers: DataFrame) -> DataFrame:
     """Person -> surrogate key, without the rest of the dimension."""
-    persons = customers.select("customer_unique_id").where(F.col("customer_unique_id").isNotNull()).distinct()
-    return dense_rank_key(persons, "customer_unique_id", "customer_sk")
+    return key_ranks(customers.select("customer_unique_id").distinct(), "customer_unique_id", "customer_sk")
 
 
-def dim_customer(customers: DataFrame, orders: DataFrame, dates: DataFrame) -> DataFrame:
+def dim_customer(customers: DataFrame, orders: DataFrame, days: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """One row per person (``customer_unique_id``): attributes of the
-    person's greatest ``customer_id`` and the person's order statistics."""
+    person's greatest ``customer_id`` and the person's order statistics.
+    ``keys`` are the person's surrogate keys, which the facts look up too."""
     place = ["customer_zip_code_prefix", "customer_city", "customer_state"]
     person = representative(
         customers.where(F.col("customer_unique_id").isNotNull()), "customer_unique_id", ["customer_id", *place]
     ).join(customer_orders(customers, orders), "customer_unique_id", "left")
-    ranked = dense_rank_key(person, "customer_unique_id", "customer_sk")
-    ranked = date_lookup(ranked, dates, F.col("first_order_date"), "first_order_date_sk")
-    ranked = date_lookup(ranked, dates, F.col("last_order_date"), "last_order_date_sk")
+    ranked = dense_rank_key(person, "customer_unique_id", "customer_sk", ranks=keys if keys is not None else customer_keys(customers))
+    ranked = date_lookups(ranked, days, {f"{role}_date_sk": F.col(f"{role}_date") for role in ("first_order", "last_order")})
     return ranked.select(
         "customer_sk",
         "customer_unique_id",
@@ -121,17 +125,16 @@ def seller_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 def seller_keys(sellers: DataFrame) -> DataFrame:
     """Seller -> surrogate key, without the rest of the dimension."""
-    ids = sellers.select("seller_id").where(F.col("seller_id").isNotNull()).distinct()
-    return dense_rank_key(ids, "seller_id", "seller_sk")
+    return key_ranks(sellers.select("seller_id").distinct(), "seller_id", "seller_sk")
 
 
-def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame, dates: DataFrame) -> DataFrame:
+def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame, days: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """One row per seller with its order statistics."""
     place = ["seller_zip_code_prefix", "seller_city", "seller_state"]
     base = representative(sellers.where(F.col("seller_id").isNotNull()), "seller_id", place)
-    ranked = dense_rank_key(base.join(seller_orders(items, orders), "seller_id", "left"), "seller_id", "seller_sk")
-    ranked = date_lookup(ranked, dates, F.col("first_order_date"), "first_order_date_sk")
-    ranked = date_lookup(ranked, dates, F.col("last_order_date"), "last_order_date_sk")
+    sold = base.join(seller_orders(items, orders), "seller_id", "left")
+    ranked = dense_rank_key(sold, "seller_id", "seller_sk", ranks=keys if keys is not None else seller_keys(sellers))
+    ranked = date_lookups(ranked, days, {f"{role}_date_sk": F.col(f"{role}_date") for role in ("first_order", "last_order")})
     return ranked.select(
         "seller_sk",
         "seller_id",
@@ -155,7 +158,7 @@ def dim_product_category(products: DataFrame, translation: DataFrame) -> DataFra
     tr = translation.groupBy(name).agg(
         F.max("product_category_name_english").alias("product_category_name_en")
     )
-    ranked = dense_rank_key(cats.join(tr, name, "left"), name, "product_category_sk")
+    ranked = dense_rank_key(cats.join(tr, name, "left"), name, "product_category_sk", ranks=key_ranks(cats, name, "product_category_sk"))
     return ranked.select(
         "product_category_sk",
         name,
@@ -165,7 +168,7 @@ def dim_product_category(products: DataFrame, translation: DataFrame) -> DataFra
 
 def dim_order_status(orders: DataFrame) -> DataFrame:
     codes = orders.select(F.col("order_status").alias("order_status_code")).distinct()
-    ranked = domain_rank_key(codes, "order_status_code", "order_status_sk", type_name="smallint")
+    ranked = key_ranks(codes, "order_status_code", "order_status_sk", "smallint")
     code = F.col("order_status_code")
     return ranked.select(
         "order_status_sk",
@@ -185,7 +188,7 @@ def payment_type_stats(payments: DataFrame) -> DataFrame:
 
 
 def dim_payment_type(payments: DataFrame) -> DataFrame:
-    ranked = domain_rank_key(payment_type_stats(payments), "payment_type_code", "payment_type_sk", type_name="smallint")
+    ranked = dense_rank_key(payment_type_stats(payments), "payment_type_code", "payment_type_sk", "smallint")
     return ranked.select(
         "payment_type_sk",
         F.substring("payment_type_code", 1, 20).alias("payment_type_code"),
@@ -201,7 +204,8 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
         "geolocation_zip_code_prefix",
         ["geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state"],
     )
-    ranked = dense_rank_key(rep, "geolocation_zip_code_prefix", "geolocation_sk")
+    zips = geolocation.select("geolocation_zip_code_prefix").distinct()
+    ranked = dense_rank_key(rep, "geolocation_zip_code_prefix", "geolocation_sk", ranks=key_ranks(zips, "geolocation_zip_code_prefix", "geolocation_sk"))
     return ranked.select(
         "geolocation_sk",
         F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"),
@@ -213,5 +217,4 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
 
 
 def product_key_map(products: DataFrame) -> DataFrame:
-    ids = products.select("product_id").where(F.col("product_id").isNotNull()).distinct()
-    return dense_rank_key(ids, "product_id", "product_sk").select("product_id", "product_sk")
+    return key_ranks(products.select("product_id").distinct(), "product_id", "product_sk")

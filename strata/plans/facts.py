@@ -4,8 +4,8 @@ Join layout (all joins are left outer, as the warehouse contract says):
 
 * ``customer_map``  customer_id -> customer_sk, one shuffle on the person id;
 * ``order_context`` every order row with its customer, status and five date
-  keys, at order grain (fewer rows than items) with the small dimensions
-  broadcast after a size check; a model run writes it once for its four facts;
+  keys, at order grain (fewer rows than items), the date keys by expression
+  and the status broadcast after a size check; a model run writes it once for its four facts;
 * ``fact_order_items`` first brings the context, the main payment and the mean
   review score together at order grain, then joins items to that once: a
   single join, which adaptive execution splits where one order holds a large
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.clean import has_text
 from strata.functions.dates import day, day_diff, exact_money_mean, rounded_mean
-from strata.operators.lookup import date_lookup
+from strata.operators.lookup import date_lookups
 
 DATE_ROLES = [
     ("order_purchase_timestamp", "order_date_sk"),
@@ -45,14 +45,13 @@ def customer_map(customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
     )
 
 
-def order_context(orders: DataFrame, cmap: DataFrame, dim_date: DataFrame, dim_order_status: DataFrame) -> DataFrame:
+def order_context(orders: DataFrame, cmap: DataFrame, days: DataFrame, dim_order_status: DataFrame) -> DataFrame:
     """Every order row with an id: its customer, status and date keys, and
-    the timestamps that lead times are taken from. ``dim_date`` and
+    the timestamps that lead times are taken from. ``days`` is the calendar row;
     ``dim_order_status`` should be broadcast already."""
     status = dim_order_status.select(F.col("order_status_code").alias("order_status"), "order_status_sk")
     o = orders.where(F.col("order_id").isNotNull()).join(cmap, "customer_id", "left").join(status, "order_status", "left")
-    for ts, out in DATE_ROLES:
-        o = date_lookup(o, dim_date, day(ts), out)
+    o = date_lookups(o, days, {out: day(ts) for ts, out in DATE_ROLES})
     return o.select("order_id", *[out for _, out in DATE_ROLES], "customer_sk", "order_status_sk", *[ts for ts, _ in DATE_ROLES])
 
 
@@ -236,11 +235,10 @@ def fact_payments(payments: DataFrame, context: DataFrame, dim_payment_type: Dat
     )
 
 
-def fact_reviews(reviews: DataFrame, context: DataFrame, dim_date: DataFrame) -> DataFrame:
+def fact_reviews(reviews: DataFrame, context: DataFrame, days: DataFrame) -> DataFrame:
     ctx = context.select("order_id", "order_date_sk", "customer_sk")
     f = reviews.where(F.col("review_id").isNotNull()).join(ctx, "order_id", "left")
-    f = date_lookup(f, dim_date, day("review_creation_date"), "review_creation_date_sk")
-    f = date_lookup(f, dim_date, day("review_answer_timestamp"), "review_answer_date_sk")
+    f = date_lookups(f, days, {"review_creation_date_sk": day("review_creation_date"), "review_answer_date_sk": day("review_answer_timestamp")})
     return f.select(
         "review_id",
         "order_id",

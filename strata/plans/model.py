@@ -7,7 +7,7 @@ from collections import defaultdict
 
 from pyspark.sql import DataFrame
 
-from strata.operators.lookup import LOOKUP_ROWS, SMALL_DIM_ROWS, sized_broadcast
+from strata.operators.lookup import LOOKUP_ROWS, SMALL_DIM_ROWS, calendar, sized_broadcast
 from strata.plans import dims, facts
 
 DIMENSIONS = [
@@ -36,6 +36,7 @@ class Model:
         self.clean = clean
         self.keep = keep
         self._built: dict[str, DataFrame] = dict(overrides or {})
+        self._on_disk = frozenset(self._built)
         self._kept: list[DataFrame] = []
         # tables are requested from several driver threads (one per table
         # write); each is planned once, and only its own users wait for it
@@ -55,6 +56,10 @@ class Model:
         while self._kept:
             self._kept.pop().unpersist()
 
+    def _written(self, table: str, keys: str) -> str:
+        """The dimension if it is written already, else its keys alone."""
+        return table if table in self._on_disk else keys
+
     def _broadcast(self, df: DataFrame, max_rows: int) -> DataFrame:
         return sized_broadcast(df, max_rows, self._kept) if self.keep else df
 
@@ -62,8 +67,10 @@ class Model:
     def _dim_date(self):
         return dims.dim_date(self.clean["orders"], self.clean["order_reviews"])
 
-    def _dim_date_b(self):
-        return self._broadcast(self["dim_date"].select("full_date", "date_sk"), SMALL_DIM_ROWS)
+    def _calendar(self):
+        if "dim_date" in self._on_disk:
+            return calendar(self["dim_date"].select("full_date"))
+        return calendar(dims.date_values(self.clean["orders"], self.clean["order_reviews"]))
 
     def _dim_order_status(self):
         return dims.dim_order_status(self.clean["orders"])
@@ -82,11 +89,11 @@ class Model:
 
     # large dimensions ------------------------------------------------------
     def _dim_customer(self):
-        return dims.dim_customer(self.clean["customers"], self.clean["orders"], self["dim_date_b"])
+        return dims.dim_customer(self.clean["customers"], self.clean["orders"], self["calendar"], self["customer_keys"])
 
     def _dim_seller(self):
         c = self.clean
-        return dims.dim_seller(c["sellers"], c["order_items"], c["orders"], self["dim_date_b"])
+        return dims.dim_seller(c["sellers"], c["order_items"], c["orders"], self["calendar"], self["seller_keys"])
 
     def _dim_geolocation(self):
         return dims.dim_geolocation(self.clean["geolocation"])
@@ -95,18 +102,24 @@ class Model:
         return dims.product_key_map(self.clean["products"])
 
     # lookups that facts share ----------------------------------------------
+    def _customer_keys(self):
+        return dims.customer_keys(self.clean["customers"])
+
+    def _seller_keys(self):
+        return dims.seller_keys(self.clean["sellers"])
+
     def _customer_map(self):
-        return facts.customer_map(self.clean["customers"], dims.customer_keys(self.clean["customers"]) if "dim_customer" not in self._built else self["dim_customer"])
+        return facts.customer_map(self.clean["customers"], self[self._written("dim_customer", "customer_keys")])
 
     def _seller_lookup(self):
-        sellers = self["dim_seller"] if "dim_seller" in self._built else dims.seller_keys(self.clean["sellers"])
+        sellers = self[self._written("dim_seller", "seller_keys")]
         return self._broadcast(sellers.select("seller_id", "seller_sk"), LOOKUP_ROWS)
 
     def _product_lookup(self):
         return self._broadcast(self["product_key_map"].select("product_id", "product_sk"), LOOKUP_ROWS)
 
     def _order_context(self):
-        return facts.order_context(self.clean["orders"], self["customer_map"], self["dim_date_b"], self["dim_order_status_b"])
+        return facts.order_context(self.clean["orders"], self["customer_map"], self["calendar"], self["dim_order_status_b"])
 
     # facts -----------------------------------------------------------------
     def _fact_order_items(self):
@@ -129,4 +142,4 @@ class Model:
         return facts.fact_payments(self.clean["order_payments"], self["order_context"], self["dim_payment_type_b"])
 
     def _fact_reviews(self):
-        return facts.fact_reviews(self.clean["order_reviews"], self["order_context"], self["dim_date_b"])
+        return facts.fact_reviews(self.clean["order_reviews"], self["order_context"], self["calendar"])

@@ -1,11 +1,13 @@
 """Operator units for dimensions and facts on a hand-worked warehouse."""
 
+import contextlib
+import uuid
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from strata.plans.model import Model
+from strata.plans.model import DIMENSIONS, FACTS, Model
 from strata.plans.silver import CLEANERS
 from strata.plans import facts
 from tests.fixtures import raw
@@ -195,3 +197,25 @@ def test_dim_customer_order_under_two_ids(spark):
         F.lit(None).cast("timestamp_ntz").alias("review_answer_timestamp")))
     got = {r["customer_unique_id"]: r["total_orders"] for r in dims.dim_customer(cust, orders, dd).collect()}
     assert got == {"u1": 1, "u2": 0}
+
+
+@contextlib.contextmanager
+def jobs_started(spark):
+    """Counts the jobs started inside the block."""
+    group = f"count-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        yield lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_model_that_keeps_nothing_is_lazy(spark, model):
+    """Defining every table starts no job; read, they are those of the other model."""
+    lazy = Model(model.clean, keep=False)
+    with jobs_started(spark) as started:
+        for table in DIMENSIONS + FACTS:
+            lazy[table].createOrReplaceTempView(f"lazy_{table}")
+    assert started() == 0
+    for table in ("dim_customer", "dim_order_status", "fact_payments"):
+        assert sorted(map(str, spark.table(f"lazy_{table}").collect())) == sorted(map(str, model[table].collect()))

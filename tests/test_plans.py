@@ -1,4 +1,4 @@
-"""Plan shape: pruned scans, broadcast date lookups, aggregate-before-join."""
+"""Plan shape: pruned scans, date keys without joins, aggregate-before-join."""
 
 import os
 
@@ -38,10 +38,11 @@ def test_mean_score_does_not_read_texts(spark):
         assert "text" not in read and "source" not in read
 
 
-def test_fact_date_lookups_are_broadcast(tables):
-    plan = _plan(tables.model["fact_payments"])
-    date_joins = [line for line in plan.splitlines() if "Join" in line and "as date)" in line]
-    assert date_joins and all("BroadcastHashJoin" in line for line in date_joins)
+@pytest.mark.parametrize("fact", ["fact_order_items", "fact_orders", "fact_payments", "fact_reviews"])
+def test_facts_find_date_keys_without_a_join(tables, fact):
+    plan = tables.model[fact]._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan
+    assert not [line for line in plan.splitlines() if "Join" in line and ("full_date" in line or "as date)" in line)]
 
 
 def test_fact_orders_aggregates_items_before_join(tables):
