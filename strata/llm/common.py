@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,26 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def named_rows(docs: DataFrame, *columns) -> DataFrame:
+    """``columns`` with a name for each row, ``row``, that every later scan repeats.
+
+    Scans of a file table are cut anew each time, by the cores there are then,
+    so a row's place in a task names nothing. Rows of files are named by a
+    64-bit hash of their file's path and their place in it; other tables are
+    numbered once and written. Equal names of two rows have the odds of equal
+    64-bit hashes.
+    """
+    node = docs._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):  # keep a row's file and place, each once
+        node = node.children().head()
+    if node.children().isEmpty():
+        try:
+            return docs.select(F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row"), *columns)
+        except AnalysisException:  # not a table of files
+            pass
+    return materialise(docs.select(F.monotonically_increasing_id().alias("row"), *columns), "rows")
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete written tables that nothing will read again."""
     for table in tables:

@@ -7,55 +7,57 @@ without listing the pairs inside one.
 Relations between sets save most of the work, and all of the result stays:
 
 * Equal sets are one set.
-* MinHash bands propose leaders for every set: of the sets of its own size class
-  in a band the smallest. It tries the one that most bands name, and one more. The overlap is computed
-  exactly. A set that links with its leader joins the leader's cluster, and that
-  overlap is the answer from which answers for the set are derived later. Bands
-  only save work: a set that finds no leader is a cluster of its own.
-* The prefix index (the first ``n - ceil(3n/4) + 1`` shingles of a set in one
-  global order, frequent shingles last) keeps one entry for each cluster and
-  shingle, not one for each set: the range of sizes and the most shingles left
-  from that position on. Lists are cut into blocks by size; blocks whose sizes
-  cannot link never meet, nor do clusters already known to be connected. Pairs
-  whose positions, or whose number of common prefix shingles, leave too little
-  to overlap are skipped.
+* Shingles have one global order, rare ones first: by the frequency class that
+  a counting sketch of all texts gives them, then by hash. A set's prefix are
+  its first ``n - ceil(3n/4) + 1`` shingles. Those counted once are in no other
+  text; a set whose prefix holds no others links with nothing.
+* A shingle's list names the sets that have it in their prefix, with their size
+  n and the shingles left from that position on, which bound what they can
+  still share. Every set first tries one set of its lists, the one with most
+  left (near copies have most in common with the text that they were made of).
+  The overlap is computed exactly. A set that links with it joins its cluster,
+  and that overlap is the answer from which answers for the set are derived.
+* Then clusters stand for their members in the lists. Lists are cut into blocks
+  by size; the larger set of a pair visits the blocks of the sizes that its
+  position still allows, the smaller one is in a block only if its own position
+  allows its size at all. So pairs whose positions leave too little never meet,
+  nor do clusters already known to be connected.
 * For two clusters that meet, the leaders' overlap is computed exactly. If the
   leaders link, the clusters are connected. If not, the overlap of members x
   and y is at most the leaders' overlap plus what x and y have beyond their
   leaders; only members for whom that would suffice are compared themselves.
 
 Every linked pair of sets shares its first common shingle within both
-prefixes, so its clusters meet; none is lost. Hot shingles and bands are
-aggregated before they are shuffled. Shingles are 64-bit hashes.
+prefixes, with enough left behind it on both sides, so its clusters meet; none
+is lost. The sketch has a fixed size: the more shingles there are, the fewer it
+tells from rare ones, which makes lists longer and changes no result. Hot
+shingles are aggregated before they are shuffled. Shingles are 64-bit hashes.
 
 Defined results: a text with fewer than five words, but not none, has its whole
 sequence as its one shingle; a null text or one without words has the empty
 set, links with nothing and is its own component. Repeated rows are equal sets
 and get a row each. A null doc_id is never a component's smallest id; a
 component of null ids only has a null one. An empty table gives an empty
-result. Other columns are not read. The table must be a deterministic read, as
-scans number its rows.
+result. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SentBitmap, bitmap_of, byte_codes, discard, free_shuffles, in_bitmap, lower_ascii_table, materialise, mix64, shingle_hashes, signed, slices, words_of
+from strata.llm.common import SentBitmap, bitmap_of, byte_codes, discard, in_bitmap, lower_ascii_table, materialise, mix64, named_rows, shingle_hashes, signed, slices, words_of
 from strata.llm.components import components
 
 WORDS = 5
-BANDS, BAND_ROWS = 6, 2
-HOT_BITS, ROW_BITS, TOKEN_BITS = 22, 26, 27
-#: A shingle that this many texts of a slice share at least is counted as
-#: frequent. It only moves in the global order; no result depends on it.
-HOT_IN_SLICE, HOT_MOST = 3, 1 << 16
+ROW_BITS = 26
+CELL_BITS, PART_BITS = 26, 16  # cells of the sketch, of four bits in the end; cells a row of it
+BLOCK = 1.1  # sizes in a block of a list differ by this factor at most
 SLICE = 2 << 20
 
 
@@ -88,77 +90,118 @@ def shingle_sets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (np.concatenate(sets) if sets else np.zeros(0, np.uint64)), sizes
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch, np.ndarray, np.ndarray]]:
-    run, place = TaskContext.get().partitionId() << 40, 0
-    for batch, data, at in slices(batches, most=SLICE):
-        yield run + np.arange(place, place + batch.num_rows), batch, data, at
-        place += batch.num_rows
-
-
 def row_hash(rows: np.ndarray) -> np.ndarray:
     return mix64(rows.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D))
 
 
-SKETCH = "row long, doc_id long, n long, low long, high long, bands array<long>, hot array<struct<token:long,texts:long>>"
-_HOT = pa.list_(pa.struct([("token", pa.int64()), ("texts", pa.int64())]))
+def cell_of(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+SKETCH = "row long, doc_id long, n long, low long, high long, part int, cells binary, counts binary"
+_SKETCH = pa.schema([(n, pa.int64()) for n in ("row", "doc_id", "n", "low", "high")] + [("part", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())])
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text; the first of a slice also carries the slice's frequent shingles."""
-    seeds = np.random.default_rng(55).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    for rows, batch, data, at in _numbered(batches):
+    """A row for each text; after them the task's counting sketch, by part, without its zeros."""
+    counted = np.zeros(1 << CELL_BITS, np.uint8)
+    for batch, data, at in slices(batches, most=SLICE):
         tokens, sizes = shingle_sets(data, at)
         has = np.flatnonzero(sizes)
         starts = (np.cumsum(sizes) - sizes)[has]
-        low, high = np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.uint64)
-        bands: list[list[int]] = [[] for _ in rows]
-        hot: list[list[dict]] = [[] for _ in rows]
+        low, high = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
         if len(has):
             low[has] = np.add.reduceat(mix64(tokens + np.uint64(1)), starts)
             high[has] = np.bitwise_xor.reduceat(mix64(tokens + np.uint64(2)), starts)
-            keys = []
-            for band in range(BANDS):
-                key = np.full(len(has), band, np.uint64)
-                for seed in seeds[band * BAND_ROWS : (band + 1) * BAND_ROWS]:
-                    key = mix64(key * np.uint64(31) + np.minimum.reduceat(tokens * seed, starts))
-                keys.append(signed(key))
-            for i, key in zip(has.tolist(), np.stack(keys, 1).tolist()):
-                bands[i] = key
-            token, texts = np.unique(tokens, return_counts=True)
-            often = texts >= max(HOT_IN_SLICE, len(rows) // 100)
-            hot[0] = [{"token": t, "texts": n} for t, n in zip(signed(token[often]).tolist(), texts[often].tolist())]
-        columns = [pa.array(rows), batch.column(0), pa.array(sizes), pa.array(signed(low)), pa.array(signed(high)), pa.array(bands, pa.list_(pa.int64())), pa.array(hot, _HOT)]
-        yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n", "low", "high", "bands", "hot"])
+            # equal sets of a slice count once
+            _, first, which = np.unique(low ^ mix64(high), return_index=True, return_inverse=True)
+            once = np.repeat(first[which] == np.arange(len(sizes)), sizes)
+            cells, n = np.unique(cell_of(tokens[once]), return_counts=True)
+            counted[cells] = np.minimum(counted[cells] + n, 255)
+        nothing = pa.nulls(batch.num_rows, pa.binary())
+        columns = [batch.column(0), batch.column(1), pa.array(sizes), pa.array(signed(low)), pa.array(signed(high)), pa.nulls(batch.num_rows, pa.int32()), nothing, nothing]
+        yield pa.RecordBatch.from_arrays(columns, schema=_SKETCH)
+    cells = np.flatnonzero(counted)
+    parts, starts = np.unique(cells >> PART_BITS, return_index=True)
+    within, counts = (cells & (1 << PART_BITS) - 1).astype(np.uint16), counted[cells]
+    ends = np.append(starts[1:], len(cells))
+    for some in range(0, len(parts), 256):
+        bounds = list(zip(starts[some : some + 256].tolist(), ends[some : some + 256].tolist()))
+        listed = parts[some : some + 256]
+        columns = [*(pa.nulls(len(listed), pa.int64()) for _ in range(5)), pa.array(listed, pa.int32())]
+        columns += [pa.array([x[a:b].tobytes() for a, b in bounds], pa.binary()) for x in (within, counts)]
+        yield pa.RecordBatch.from_arrays(columns, schema=_SKETCH)
+
+
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, classes): each part's counts summed over the tasks, as bit lengths, two cells a byte."""
+    part, total = None, np.zeros(1 << PART_BITS, np.int64)
+
+    def packed() -> pa.RecordBatch:
+        kinds = np.ceil(np.log2(total + 1)).astype(np.uint8)  # bit lengths, 0 for none, 1 for a single one
+        kinds = np.minimum(kinds, 15)
+        cells = zlib.compress((kinds[::2] | kinds[1::2] << 4).tobytes(), 1)
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([cells], pa.binary())], names=["part", "classes"])
+
+    for batch in batches:
+        for number, cells, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            if number != part:
+                if part is not None:
+                    yield packed()
+                part = number
+                total[:] = 0
+            total[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.uint8)
+    if part is not None:
+        yield packed()
+
+
+def frequency_classes(rows: DataFrame) -> np.ndarray:
+    """The sketch's classes, two cells a byte: 32 MB however many texts there are."""
+    parts = rows.filter("part IS NOT NULL").select("part", "cells", "counts").repartition("part").sortWithinPartitions("part")
+    out = np.zeros(1 << CELL_BITS - 1, np.uint8)
+    width = 1 << PART_BITS - 1
+    for row in parts.mapInArrow(_classes, "part int, classes binary").collect():  # 2**10 rows at most
+        out[row["part"] * width : (row["part"] + 1) * width] = np.frombuffer(zlib.decompress(row["classes"]), np.uint8)
+    return out
+
+
+def class_of(classes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    cells = cell_of(tokens)
+    return classes[cells >> 1] >> (cells & 1).astype(np.uint8) * np.uint8(4) & np.uint8(15)
+
+
+def _chosen_texts(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Names, bytes and offsets of the rows that a bitmap lets through; the others cost nothing."""
+    for batch, data, at in slices(batches, most=SLICE):
+        rows = batch.column(0).to_numpy()
+        kept = in_bitmap(chosen, row_hash(rows))
+        if kept.any():
+            sizes = np.diff(at)
+            yield rows[kept], data[np.repeat(kept, sizes)] if not kept.all() else data, np.append(0, np.cumsum(sizes[kept]))
 
 
 def _chosen_sets(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(id, shingles) of the rows that a bitmap lets through."""
-    for rows, _, data, at in _numbered(batches):
-        keep = np.flatnonzero(in_bitmap(chosen, row_hash(rows)))
-        if not len(keep):
-            continue
-        sizes = np.diff(at)
-        part = data[np.repeat(np.isin(np.arange(len(rows)), keep), sizes)]
-        tokens, counts = shingle_sets(part, np.concatenate([[0], np.cumsum(sizes[keep])]))
+    for rows, data, at in _chosen_texts(batches, chosen):
+        tokens, counts = shingle_sets(data, at)
         ends = np.cumsum(counts)
         shingles = [tokens[e - c : e].tobytes() for e, c in zip(ends.tolist(), counts.tolist())]
-        yield pa.RecordBatch.from_arrays([pa.array(rows[keep]), pa.array(shingles, pa.binary())], names=["id", "shingles"])
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(shingles, pa.binary())], names=["id", "shingles"])
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], sets: np.ndarray, hot: np.ndarray) -> Iterator[tuple]:
-    """Slices of the index: shingle, row, size, place in the global order."""
-    for rows, _, data, at in _numbered(batches):
+def _entries(batches: Iterator[pa.RecordBatch], chosen: np.ndarray, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The index: (token, id, n, rest) of the prefix shingles that other texts may have."""
+    for rows, data, at in _chosen_texts(batches, chosen):
         tokens, sizes = shingle_sets(data, at)
         owner = np.repeat(np.arange(len(rows)), sizes)
-        kept = in_bitmap(sets, row_hash(rows))[owner]
-        tokens, owner = tokens[kept], owner[kept]
-        late = in_bitmap(hot, tokens)
-        order = np.argsort(owner * 2 + late, kind="stable")  # ascending within each part already
-        tokens, owner = tokens[order], owner[order]
-        place = np.arange(len(owner)) - np.searchsorted(owner, owner, "left")
+        kind = class_of(classes, tokens)
+        order = np.argsort(owner << 4 | kind, kind="stable")  # ascending within each part already
+        tokens, owner, kind = tokens[order], owner[order], kind[order]
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         n = sizes[owner]
-        inside = place < n - (3 * n + 3) // 4 + 1
-        yield tokens[inside], rows[owner[inside]], n[inside], place[inside]
+        kept = (kind > 1) & (place < n - (3 * n + 3) // 4 + 1)
+        columns = [pa.array(x) for x in (signed(tokens[kept]), rows[owner[kept]], n[kept], (n - place)[kept])]
+        yield pa.RecordBatch.from_arrays(columns, names=["token", "id", "n", "rest"])
 
 
 def row_bitmap(ids: DataFrame) -> np.ndarray:
@@ -171,12 +214,8 @@ def row_bitmap(ids: DataFrame) -> np.ndarray:
     return bitmap_of(ids.select("id").mapInArrow(keys, "key long"), "key", ROW_BITS)
 
 
-def overlaps(texts: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+def overlaps(sets: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """pairs (a, b) with n, m (the sizes) and overlap, exactly."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    chosen = SentBitmap(texts.sparkSession, row_bitmap(ids))
-    sets = materialise(texts.mapInArrow(lambda batches: _chosen_sets(batches, chosen.value), "id long, shingles binary"), f"{name}-sets")
-    chosen.destroy()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,30 +229,37 @@ def overlaps(texts: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
 
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
     both = both.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
-    counted = materialise(both.mapInArrow(count, "a long, b long, n long, m long, overlap long"), f"{name}-overlaps")
-    discard(sets)
-    return counted
+    return materialise(both.mapInArrow(count, "a long, b long, n long, m long, overlap long"), f"{name}-overlaps")
+
 
+def most_left(rest: Column, n: Column) -> Column:
+    """The size of the largest set that a set of size n with ``rest`` shingles left can link with."""
+    return F.floor(7 * rest / 3).cast("long") - n
 
-def lead(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Clusters (id, root, n, beyond) of all sets, and the links found on the way (a, b).
+
+def block(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(BLOCK)) + 1e-9).cast("int")
+
+
+def lead(sets: DataFrame, ids: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clusters (id, root, n, beyond) of all ids, and the links found on the way (a, b).
 
     ``beyond`` counts the shingles of a set that its root lacks.
     """
-    # two classes of sizes, shifted against each other, so that sizes that can link meet in one
-    width = F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))
-    classes = F.array(F.floor(width) * 2, F.floor(width + 0.5) * 2 + 1)
-    banded = sets.select("id", "n", F.explode("bands").alias("band"), classes.alias("classes")).select("id", "n", "band", F.explode("classes").alias("size"))
-    least = F.min(F.struct("n", "id")).alias("leader")  # the fewest shingles: the least that its members can lack
-    leaders = banded.groupBy("band", "size").agg(least, F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-    later = F.struct("n", "id") > F.col("leader")
-    votes = banded.join(leaders, ["band", "size"]).filter(later & enough(F.least("n", "leader.n"), F.col("n"), F.col("leader.n")))
-    votes = votes.groupBy("id", F.col("leader.id").alias("leader")).agg(F.count(F.lit(1)).alias("votes"))
-    # one leader a set is tried at a time, the one that most of its bands name
-    ranked = votes.groupBy("id").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), "leader"))).alias("ranked"))
+    sized = index.withColumn("block", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))))
+    most = F.max(F.struct((F.col("rest") / F.col("n")).alias("share"), (-F.col("n")).alias("fewest"), "id", "n", "rest")).alias("leader")
+    leaders = sized.groupBy("token", "block").agg(most).select("token", "block", "leader.id", "leader.n", "leader.rest").toDF("token", "block", "leader", "m", "left")
+    votes = sized.join(leaders, ["token", "block"]).filter((F.col("id") != F.col("leader")) & enough(F.least("rest", "left"), F.col("n"), F.col("m")))
+    votes = votes.groupBy("id", "leader").agg(F.count(F.lit(1)).alias("votes"))
+    # one leader a set is tried at a time, the one that most of its lists name
+    ranked = votes.groupBy("id").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), "leader"))).alias("ranked"))  # one a list of the set at most
     ranked = materialise(ranked.select(F.col("id").alias("a"), F.expr("ranked[0].leader").alias("b"), F.expr("try_element_at(ranked, 2).leader").alias("other")), "leaders")
     linking = lambda pairs: pairs.filter(enough(F.col("overlap"), F.col("n"), F.col("m")))
-    linked = linking(overlaps(texts, ranked.select("a", "b"), "leaders"))
+    first = overlaps(sets, ranked.select("a", "b"), "leaders")
+    linked = linking(first)
+    # of two sets that name each other the larger id leads, so that none is led by one that it leads
+    mutual = linked.select(F.col("b").alias("a"), F.col("a").alias("b")).filter("a > b")
+    linked = linked.join(mutual, ["a", "b"], "left_anti")
     led = linked.select(F.col("a").alias("id"))
     rooted = linked.join(led.select(F.col("id").alias("b")), "b", "left_anti")  # the leader leads itself
     nearest = lambda pairs: pairs.groupBy(F.col("a").alias("id")).agg(F.min(F.struct("b", "n", "overlap")).alias("best")).select("id", F.col("best.b").alias("root"), "best.n", (F.col("best.n") - F.col("best.overlap")).alias("beyond"))
@@ -224,68 +270,44 @@ def lead(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     second = linked.join(settled.select(F.col("id").alias("a")), "a", "left_anti").select("a", "b")
     second = second.unionByName(ranked.join(led.select(F.col("id").alias("a")), "a", "left_anti").filter("other IS NOT NULL").select("a", F.col("other").alias("b")))
     second = second.join(roots, "b", "left").select("a", F.coalesce("root", "b").alias("b"))
-    second = second.join(linked.select("a", "b"), ["a", "b"], "left_anti")
-    relinked = linking(overlaps(texts, materialise(second, "proposed-2"), "roots"))
+    leading = settled.select(F.col("root").alias("a")).distinct()
+    second = materialise(second.filter("a <> b").join(leading, "a", "left_anti").join(linked.select("a", "b"), ["a", "b"], "left_anti"), "proposed-2")
+    again = overlaps(sets, second, "roots")
+    # a root of the second round must not be led itself
+    relinked = linking(again).join(again.select(F.col("a").alias("b")).distinct(), "b", "left_anti")
     members = settled.unionByName(nearest(relinked))
-    alone = sets.select("id", "n").join(members.select("id"), "id", "left_anti").select("id", F.col("id").alias("root"), "n", F.lit(0).cast("long").alias("beyond"))
-    return materialise(members.unionByName(alone), "clusters"), linked.select("a", "b").unionByName(relinked.select("a", "b"))
+    alone = ids.select("id", "n").join(members.select("id"), "id", "left_anti").select("id", F.col("id").alias("root"), "n", F.lit(0).cast("long").alias("beyond"))
+    clusters = materialise(members.unionByName(alone), "clusters")
+    links = materialise(linking(first).select("a", "b").unionByName(linking(again).select("a", "b")), "links")
+    discard(ranked, first, settled, second, again)
+    return clusters, links
 
 
-def meetings(texts: DataFrame, clusters: DataFrame, known: DataFrame, hot: np.ndarray) -> DataFrame:
+def meetings(index: DataFrame, clusters: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs of roots (a < b), not connected yet, whose members may link."""
-    send = lambda bitmap: SentBitmap(texts.sparkSession, bitmap)
-    chosen, late = send(row_bitmap(clusters)), send(hot)
-
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, *_ in _prefixes(batches, chosen.value, late.value):
-            token, texts = np.unique(token, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(token)), pa.array(texts)], names=["token", "texts"])
-
-    counted = texts.mapInArrow(tokens, "token long, texts long").groupBy("token").agg(F.sum("texts").alias("texts"))
-    shared = send(bitmap_of(counted.filter("texts > 1"), "token", TOKEN_BITS))
-    free_shuffles(texts.sparkSession)
-
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, row, n, place in _prefixes(batches, chosen.value, late.value):
-            kept = in_bitmap(shared.value, token)
-            columns = [pa.array(x) for x in (signed(token[kept]), row[kept], n[kept], (n - place)[kept])]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "id", "n", "rest"])
-
-    listed = texts.mapInArrow(entries, "token long, id long, n long, rest long").join(clusters.select("id", "root"), "id")
-    lists = listed.groupBy("token", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
-    lists = lists.join(known.select(F.col("node").alias("root"), "component"), "root", "left").withColumn("component", F.coalesce("component", "root"))
-    # sizes that can link are in the same block or in neighbouring ones
-    block = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(4 / 3)) + 1e-9).cast("int")
-    index = lists = materialise(lists.withColumn("low", block("least")).withColumn("high", block("most")), "index")
-    for bitmap in (chosen, late, shared):
-        bitmap.destroy()
-    several = lists.groupBy("token").agg(F.min("component").alias("one"), F.max("component").alias("other")).filter("one <> other").select("token")
-    lists = lists.join(several, "token", "left_semi")
-    side = lambda name, low, high: lists.select("token", F.explode(F.sequence(low, high)).alias("block"), F.struct("root", "component", "least", "most", "rest").alias(name))
-    met = side("x", F.col("low"), F.col("high")).join(side("y", F.col("low") - 1, F.col("high") + 1), ["token", "block"])
+    entries = index.join(clusters.select("id", "root"), "id").join(known.select(F.col("node").alias("root"), "component"), "root", "left")
+    entries = materialise(entries.withColumn("component", F.coalesce("component", "root")), "entries")
+    several = entries.groupBy("token").agg(F.min("component").alias("one"), F.max("component").alias("other")).filter("one <> other").select("token")
+    entries_left = entries.join(several, "token", "left_semi").withColumn("top", most_left(F.col("rest"), F.col("n")))
+    listed = F.struct("root", "component", "least", "most", "top")
+    ranges = [F.min("n").alias("least"), F.max("n").alias("most"), F.max("top").alias("top")]
+    keys = ["token", "block", "root", "component"]
+    smaller = entries_left.filter("top >= n").withColumn("block", block(F.col("n"))).groupBy(*keys).agg(*ranges)
+    reach = F.sequence(block(F.ceil(3 * F.col("n") / 4)), block(F.least("n", "top")))
+    larger = entries_left.withColumn("block", F.explode(reach)).groupBy(*keys).agg(*ranges)
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
-    near = (4 * x("most") >= 3 * y("least")) & (4 * y("most") >= 3 * x("least"))
-    met = met.filter((x("root") < y("root")) & (x("component") != y("component")) & near)
-    pairs = met.groupBy(x("root").alias("a"), y("root").alias("b")).agg(
-        F.count(F.lit(1)).alias("common"),
-        F.max(F.least(x("rest"), y("rest"))).alias("rest"),
-        F.min(x("least")).alias("n"),
-        F.min(y("least")).alias("m"),
-        F.max(F.greatest(x("most"), y("most"))).alias("largest"),
-    )
-    # A common shingle outside either prefix lies behind the prefix that ends first
-    # in the global order, so there are at most ceil(3n/4) - 1 of them, n the larger
-    # size; a link of sizes s <= l has at least 3(s + l)/7 common ones, so
-    # (12s - 9l + 7)/28 of them in both prefixes. None lies before the first common one.
-    may_link = (28 * F.col("common") >= 12 * F.least("n", "m") - 9 * F.col("largest") + 7) & enough(F.col("rest"), F.col("n"), F.col("m"))
-    met = materialise(pairs.filter(may_link).select("a", "b"), "meetings")
-    discard(index)
-    return met
-
-
-def derive(texts: DataFrame, clusters: DataFrame, links: DataFrame, met: DataFrame) -> DataFrame:
+    near = (4 * x("most") >= 3 * y("least")) & (4 * y("most") >= 3 * x("least")) & (y("top") >= x("least")) & (x("top") >= y("least"))
+    met = larger.select("token", "block", listed.alias("x")).join(smaller.select("token", "block", listed.alias("y")), ["token", "block"])
+    met = met.filter((x("component") != y("component")) & near)
+    pairs = met.select(F.least(x("root"), y("root")).alias("a"), F.greatest(x("root"), y("root")).alias("b")).distinct()
+    pairs = materialise(pairs, "meetings")
+    discard(entries)
+    return pairs
+
+
+def derive(sets: DataFrame, clusters: DataFrame, links: DataFrame, met: DataFrame) -> DataFrame:
     """The links between clusters that meet, at least one for each connection."""
-    roots = overlaps(texts, met, "meetings")
+    roots = overlaps(sets, met, "meetings")
     direct = enough(F.col("overlap"), F.col("n"), F.col("m"))
     links = links.unionByName(roots.filter(direct).select("a", "b"))
     reach = clusters.groupBy("root").agg(F.min("n").alias("least"), F.max("beyond").alias("beyond"))
@@ -302,28 +324,46 @@ def derive(texts: DataFrame, clusters: DataFrame, links: DataFrame, met: DataFra
     member = lambda side: clusters.select(F.col("root").alias(side), F.col("id").alias(f"id_{side}"), F.col("n").alias(f"n_{side}"), F.col("beyond").alias(f"beyond_{side}"))
     pairs = apart.select("a", "b", "overlap").join(member("a"), "a").join(member("b"), "b")
     pairs = pairs.filter(((F.col("id_a") != F.col("a")) | (F.col("id_b") != F.col("b"))) & enough(F.least("n_a", "n_b"), F.col("n_a"), F.col("n_b")) & enough(F.col("overlap") + F.col("beyond_a") + F.col("beyond_b"), F.col("n_a"), F.col("n_b")))
-    compared = overlaps(texts, materialise(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "members"), "members")
+    compared = overlaps(sets, pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "members")
     return links.unionByName(compared.filter(direct).select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row per row: doc_id, n_shingles, component_id (the smallest doc_id reachable)."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    send = lambda bitmap: SentBitmap(spark, bitmap)
+    texts = named_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = materialise(texts.mapInArrow(_sketches, SKETCH), "sketches")
-    frequent = rows.select(F.explode("hot").alias("h")).groupBy("h.token").agg(F.sum("h.texts").alias("texts"))
-    hot = bitmap_of(frequent.orderBy(F.desc("texts"), "token").limit(HOT_MOST), "token", HOT_BITS)
-    same = rows.filter("n > 0").groupBy("low", "high", "n").agg(F.min("row").alias("id"), F.min("doc_id").alias("least_doc"), F.min_by("bands", "row").alias("bands"))
+    classes = send(frequency_classes(rows))
+    rows = rows.filter("part IS NULL").select("row", "doc_id", "n", "low", "high")
+    same = rows.filter("n > 0").groupBy("low", "high", "n").agg(F.min("row").alias("id"), F.min("doc_id").alias("least_doc"))
     sets = materialise(same, "sets")
-    clusters, links = lead(texts, sets)
+
+    # the index, and the whole sets of those that are in a list with another
+    chosen = send(row_bitmap(sets))
+    entries = materialise(texts.mapInArrow(lambda b: _entries(b, chosen.value, classes.value), "token long, id long, n long, rest long"), "prefixes")
+    listed = entries.join(sets.select("id"), "id", "left_semi")  # the bitmap lets a few others through
+    shared = listed.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("token")
+    index = materialise(listed.join(shared, "token", "left_semi"), "index")
+    discard(entries)
+    ids = index.select("id", "n").distinct()
+    wanted = send(row_bitmap(ids))
+    shingles = materialise(texts.mapInArrow(lambda b: _chosen_sets(b, wanted.value), "id long, shingles binary"), "shingles")
+    for bitmap in (classes, chosen, wanted):
+        bitmap.destroy()
+
+    clusters, links = lead(shingles, ids, index)
     # a set and its root are linked by construction, so clusters are connected
     known = materialise(components(links), "known")
-    met = meetings(texts, clusters, known, hot)
-    found = components(derive(texts, clusters, links, met))
+    met = meetings(index, clusters, known)
+    discard(index, known)
+    found = components(derive(shingles, clusters, links, met))
+    discard(shingles, clusters, links, met)
     parted = sets.join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     parted = materialise(parted.select("low", "high", "n", "component", "least_doc"), "parted")
+    discard(sets)
     smallest = parted.groupBy("component").agg(F.min("least_doc").alias("component_id"))
     answers = parted.join(smallest, "component").select("low", "high", "n", "component_id")
-    out = rows.select("doc_id", "n", "low", "high").join(answers, ["low", "high", "n"], "left")
+    out = rows.join(answers, ["low", "high", "n"], "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))

@@ -26,9 +26,9 @@ surviving identifiers to the next scan; what slips through one is only work.
 
 Defined results: a null text counts as empty; texts of fewer than ``length``
 bytes lose nothing. A null doc_id comes before every other. Rows with the same
-doc_id are ordered by their place in the input, which must be a deterministic
-read (a table of files). An empty table gives an empty result. Other columns
-are not read. A text of more than ``PIECE`` bytes is worked on in pieces that
+doc_id are ordered by their names, which no scan changes (see ``named_rows``);
+a table that is not one of files keeps its order. An empty table gives an empty
+result. Other columns are not read. A text of more than ``PIECE`` bytes is worked on in pieces that
 overlap by ``length`` - 1 bytes, so each string lies inside exactly one of them.
 A pointer whose strings two pieces share has a hull in each, as if its strings
 were cut by a text's end; which strings repeat stays the same.
@@ -42,11 +42,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SentBitmap, bitmap_of, byte_codes, discard, free_shuffles, in_bitmap, materialise, mix64, powers, signed, slices
+from strata.llm.common import SentBitmap, bitmap_of, byte_codes, discard, free_shuffles, in_bitmap, materialise, mix64, named_rows, powers, signed, slices
 
 LENGTH, Q = 100, 32
 BASE = 0x9E3779B97F4A7C15
@@ -115,11 +114,9 @@ def pointers(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, q: int
 
 
 def _rows(batches: Iterator[pa.RecordBatch], most: int = SLICE) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
-    """Slices with a number for each row that every scan of the table repeats."""
-    run, place = TaskContext.get().partitionId() << 40, 0
+    """Slices with the name of each row."""
     for batch, data, offsets in slices(batches, most=most):
-        yield run + np.arange(place, place + batch.num_rows), batch.column(0), data, offsets
-        place += batch.num_rows
+        yield batch.column(1).to_numpy(), batch.column(0), data, offsets
 
 
 def _pointers(batches: Iterator[pa.RecordBatch], piece: int) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray, Pointers]]:
@@ -251,7 +248,7 @@ def several(earliest: DataFrame, groups: list[str], kind: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, piece: int = PIECE) -> list[DataFrame]:
-    """Tables of removed spans, by row number of the scan; they may overlap."""
+    """Tables of removed spans, by the rows' names; they may overlap."""
     spark = docs.sparkSession
     send = lambda bitmap: SentBitmap(spark, bitmap)
     counted = docs.mapInArrow(lambda b: _buckets(b, piece), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -323,7 +320,7 @@ def merged(spans: np.ndarray) -> np.ndarray:
 def remove_repeats(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     """One row per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = named_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "row", "text")
     spans = repeated_spans(texts, piece)
     union = spans[0]
     for more in spans[1:]:

@@ -1,6 +1,9 @@
 import random
 import re
+import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from strata.llm import jaccard_join
@@ -92,16 +95,64 @@ def test_passage_with_tails_of_many_lengths(spark):
     assert run(spark, rows) == brute(rows)
 
 
-def test_links_only_between_members(spark, monkeypatch):
+def test_links_only_between_members(spark):
     """Two clusters whose leaders don't link are joined through members."""
     base = [f"w{i}" for i in range(60)]
     rows = [(0, " ".join(base))]
     for step in range(1, 9):  # each a bit further; neighbours link, the ends do not
         rows.append((step, " ".join(base[3 * step :] + [f"n{i}" for i in range(3 * step)])))
-    expected = brute(rows)
-    for bands in (1, 6):
-        monkeypatch.setattr(jaccard_join, "BANDS", bands)
-        assert run(spark, rows) == expected
+    assert run(spark, rows) == brute(rows)
+
+
+def test_frequency_classes():
+    """Tasks' sketches add up, and tell what is counted once from what is not."""
+    rng = np.random.default_rng(8)
+    tokens = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2))
+    total, rows = {}, []
+    for _ in range(3):
+        cells, n = np.unique(jaccard_join.cell_of(rng.choice(tokens, 2000)), return_counts=True)
+        for cell, k in zip(cells.tolist(), n.tolist()):
+            total[cell] = total.get(cell, 0) + k
+        for part in np.unique(cells >> jaccard_join.PART_BITS).tolist():
+            own = cells >> jaccard_join.PART_BITS == part
+            rows.append({"part": part, "cells": (cells[own] & 0xFFFF).astype(np.uint16).tobytes(), "counts": n[own].astype(np.uint8).tobytes()})
+    rows.sort(key=lambda r: r["part"])
+    packed = np.zeros(1 << jaccard_join.CELL_BITS - 1, np.uint8)
+    for batch in jaccard_join._classes(iter([pa.RecordBatch.from_pylist(rows[:100]), pa.RecordBatch.from_pylist(rows[100:])])):
+        part, classes = batch.column(0)[0].as_py(), np.frombuffer(zlib.decompress(batch.column(1)[0].as_py()), np.uint8)
+        packed[part * len(classes) : (part + 1) * len(classes)] = classes
+    want = [total.get(cell, 0).bit_length() for cell in jaccard_join.cell_of(tokens).tolist()]
+    assert jaccard_join.class_of(packed, tokens).tolist() == want
+
+
+def test_rows_keep_their_names(spark, monkeypatch, scratch):
+    """A scan that is cut otherwise than the one before it gives the same rows."""
+    ship_code(spark)
+    rng = random.Random(4)
+    base = [[f"f{k}w{rng.randrange(300)}" for _ in range(40)] for k in range(8)]
+    rows = [(i, " ".join(drift(rng, rng.choice(base), rng.randint(0, 4)))) for i in range(240)]
+    for part in range(4):
+        spark.createDataFrame(rows[part::4], "doc_id long, text string").coalesce(1).write.option("parquet.block.size", 2048).mode("append").parquet(scratch)
+    settings = {"spark.sql.files.openCostInBytes": "1024", "spark.sql.files.maxPartitionBytes": "4096"}
+    before = jaccard_join.materialise
+
+    def rescaled(*args):
+        table = before(*args)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+        return table
+
+    monkeypatch.setattr(jaccard_join, "materialise", rescaled)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        cut = spark.read.parquet(scratch).rdd.getNumPartitions()
+        got = sorted((tuple(r) for r in jaccard_join.jaccard_components(spark.read.parquet(scratch)).collect()), key=str)
+        assert cut > spark.read.parquet(scratch).rdd.getNumPartitions()
+    finally:
+        for name in (*settings, "spark.sql.leafNodeDefaultParallelism"):
+            spark.conf.unset(name)
+    assert got == brute(rows)
 
 
 def test_components(spark):

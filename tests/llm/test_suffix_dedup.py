@@ -49,9 +49,8 @@ def test_long_texts_in_pieces(spark, piece):
 
 def test_no_text_is_too_long(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PLACE_BITS", 21)
-    monkeypatch.setattr(suffix_dedup, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
     text = np.random.default_rng(0).integers(97, 123, (1 << 21) + 5000, dtype=np.uint8).tobytes()
-    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([text.decode()])], names=["doc_id", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([0], pa.int64()), pa.array([text.decode()])], names=["doc_id", "row", "text"])
     strings = np.zeros(len(text), np.int64)
     for found in suffix_dedup._hulls(iter([batch]), np.full(1 << 24, 255, np.uint8), suffix_dedup.PIECE):
         for first, n in zip(found.column(4).to_pylist(), found.column(5).to_pylist()):
