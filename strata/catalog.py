@@ -20,7 +20,7 @@ from strata.operators.lookup import date_lookups
 from strata.oracle import ORDER_STAMPS, SDEC, UDEC, UINT, date_key, exact_avg, guard, nb, state, ts, txt, with_layers, zip5
 from strata.oracle import day as sql_day
 from strata.oracle import ddiff as sql_ddiff
-from strata.plans import dims, facts, quality
+from strata.plans import dims, facts, quality, rules
 from strata.plans.model import Model
 from strata.plans.silver import CLEANERS
 from strata.sources.driver_tables import RAW_BUILDERS
@@ -596,6 +596,64 @@ def q_discarded_rows(spark, sf_dir):
     return quality.discarded({e: t.raw(e) for e in _ENTITIES})
 
 
+# What makes a raw row of a key newer, and how many source columns make its position.
+_NEWEST = {
+    "customers": [nb("customer_unique_id")],
+    "orders": [ts("order_purchase_timestamp")],
+    "order_items": [ts("shipping_limit_date")],
+    "order_reviews": [ts("review_answer_timestamp"), ts("review_creation_date")],
+}
+_POSITION = {"geolocation": 2, "order_items": 3}
+
+
+def _detail_sql() -> str:
+    parts = []
+    for entity in _ENTITIES:
+        names = KEYS[entity] or UNKEYED[entity]
+        keys = [nb(k) for k in names]
+        text = " || '|' || ".join(f"coalesce({k}, '')" for k in keys)
+        places = [f"p{i + 1}" for i in range(_POSITION.get(entity, 1))]
+        place = " || '/' || ".join(f"CAST({p} AS VARCHAR)" for p in places)
+        order = ", ".join([f"{n} DESC NULLS LAST" for n in _NEWEST.get(entity, [])] + [f"{p} DESC" for p in places])
+        of_key = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {order})"
+        where = f"WHERE {keys[0]} IS NOT NULL" if KEYS[entity] else ""
+        parts.append(
+            f"SELECT '{entity}' AS entity, 'newer row' AS reason, k AS key, place AS position, kept AS kept_position FROM "
+            f"(SELECT {text} AS k, {place} AS place, first({place}) {of_key} AS kept, row_number() {of_key} AS nth FROM r_{entity} {where}) WHERE nth > 1"
+        )
+        if KEYS[entity]:
+            parts.append(f"SELECT '{entity}', 'blank key', {text}, {place}, NULL FROM r_{entity} WHERE {keys[0]} IS NULL")
+    return with_layers(" UNION ALL ".join(parts))
+
+
+@register("discarded_detail", _detail_sql(), "QLT-7 (each row left out, and the row kept instead)")
+def q_discarded_detail(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return quality.discarded_detail({e: t.raw(e) for e in _ENTITIES})
+
+
+def _rules_sql() -> str:
+    parts = []
+    line = "SELECT '{}' AS entity, '{}' AS rule, {} AS checked, {} AS violations FROM s_{}"
+    for entity, declared in rules.RULES.items():
+        for name, predicate in declared.rows.items():
+            parts.append(line.format(entity, name, f"count({predicate})", f"count(*) FILTER (NOT ({predicate}))", entity))
+        if key := KEYS[entity]:
+            given = " AND ".join(f"{k} IS NOT NULL" for k in key)
+            parts.append(line.format(entity, "key_present", "count(*)", f"count(*) FILTER (NOT ({given}))", entity))
+            parts.append(line.format(entity, "key_unique", "count(*)", f"count(*) - count(DISTINCT ({', '.join(key)}))", f"{entity} WHERE {given}"))
+        for column, parent in declared.references.items():
+            known = f"{column} IN (SELECT {KEYS[parent][0]} FROM s_{parent} WHERE {KEYS[parent][0]} IS NOT NULL)"
+            parts.append(line.format(entity, f"{column}_known", "count(*)", f"count(*) FILTER (NOT ({known}))", f"{entity} WHERE {column} IS NOT NULL"))
+    return with_layers(" UNION ALL ".join(parts))
+
+
+@register("rule_report", _rules_sql(), "QLT-1, QLT-2 (declared rules: present, unique, range, order, reference)")
+def q_rule_report(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return rules.rule_report({e: t.clean(e) for e in _ENTITIES})
+
+
 # ---------------------------------------------------------------------------
 # clean tables, dimensions, facts
 # ---------------------------------------------------------------------------

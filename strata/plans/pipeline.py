@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 
 from strata.plans import quality
 from strata.plans.model import DIMENSIONS, FACTS, Model
+from strata.plans.rules import rule_report
 from strata.plans.silver import CLEANERS
 from strata.sources.csv_source import MULTI_LINE, read_raw_csv
 from strata.sources.schemas import ENTITY_ORDER, KEY_CHECKED, KEYS, SECTIONS, SOURCE_FILES
@@ -404,6 +405,16 @@ class Warehouse:
         """Raw rows that the clean layer left out, by entity and reason."""
         return quality.discarded({e: self.table("raw", e) for e in ENTITY_ORDER})
 
+    def discarded_detail(self) -> DataFrame:
+        """Each raw row that the clean layer left out, with its key, its position
+        and that of the row which was kept instead."""
+        return quality.discarded_detail({e: self.table("raw", e) for e in ENTITY_ORDER})
+
+    def check_rules(self) -> DataFrame:
+        """The declared rules (see ``strata.plans.rules``) over the clean layer:
+        rows checked and rows that break each."""
+        return rule_report({e: self.table("clean", e) for e in ENTITY_ORDER})
+
     def check_objects(self) -> DataFrame:
         """Every expected table of every layer: published and present?"""
         rows = []

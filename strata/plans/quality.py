@@ -6,11 +6,12 @@ of numbers they produce.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions.clean import blank_to_null
-from strata.sources.schemas import KEYS, UNKEYED
+from strata.plans.silver import newest_first
+from strata.sources.schemas import INGEST_POS, KEYS, UNKEYED
 
 
 def key_check(df: DataFrame, key: str, entity: str, raw: bool) -> DataFrame:
@@ -70,6 +71,45 @@ def discarded(raw: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def position_text(df: DataFrame) -> Column:
+    """A row's ingest position as text, its parts between slashes."""
+    parts = df.schema[INGEST_POS].dataType.names
+    return F.concat_ws("/", *[F.coalesce(F.col(INGEST_POS)[p].cast("string"), F.lit("")) for p in parts])
+
+
+def discarded_detail(raw: dict[str, DataFrame]) -> DataFrame:
+    """The raw rows that the clean load leaves out, one by one: entity, reason
+    (``blank key``, or ``newer row`` if another row of the key is kept), key,
+    position, and the position of the row that is kept.
+
+    The kept row of a key is an aggregate, combined on the map side, and the
+    rows are joined to it. That join has one kept row a key, so adaptive
+    execution can split a key that a third of all rows have; a window over the
+    key would sort them all in one task."""
+    out = None
+    for entity, df in raw.items():
+        names = KEYS[entity] or UNKEYED[entity]
+        keys = [blank_to_null(k).alias(f"_k{i}") for i, k in enumerate(names)]
+        newest = F.struct(*[c.alias(f"_n{i}") for i, c in enumerate(newest_first(entity))], F.col(INGEST_POS).alias("_pos"))
+        rows = df.select(*keys, newest.alias("_newest"), position_text(df).alias("position"))
+        key = F.concat_ws("|", *[F.coalesce(F.col(f"_k{i}"), F.lit("")) for i in range(len(names))])
+        blank = F.col("_k0").isNull() if KEYS[entity] else F.lit(False)
+        keyed = rows.where(~blank)
+        # the greatest struct: descending, NULLs last, then the position
+        kept = keyed.groupBy(*[f"_k{i}" for i in range(len(names))]).agg(F.max(F.struct("_newest", "position")).alias("_kept"))
+        kept = kept.select(*[F.col(f"_k{i}").alias(f"_j{i}") for i in range(len(names))], F.col("_kept.position").alias("kept_position"))
+        same = F.lit(True)
+        for i in range(len(names)):
+            same &= F.col(f"_k{i}").eqNullSafe(F.col(f"_j{i}"))
+        older = keyed.join(kept, same).where("position <> kept_position")
+        one = older.select(F.lit(entity).alias("entity"), F.lit("newer row").alias("reason"), key.alias("key"), "position", "kept_position")
+        if KEYS[entity]:
+            empty = rows.where(blank).select(F.lit(entity).alias("entity"), F.lit("blank key").alias("reason"), key.alias("key"), "position", F.lit(None).cast("string").alias("kept_position"))
+            one = one.unionByName(empty)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled while ``df`` is written, so the
     write reports its row count without a second scan."""

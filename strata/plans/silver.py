@@ -14,7 +14,7 @@ Each is one shuffle on its key, cut to one row a key and task before it (see
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from strata.functions import clean as C
 from strata.operators.dedupe import keep_latest
@@ -33,11 +33,21 @@ def _drop_blank(df: DataFrame, name: str) -> DataFrame:
     return df.where(C.blank_to_null(name).isNotNull())
 
 
+def newest_first(entity: str) -> list[Column]:
+    """What makes a row of a key newer than another, before the ingest position."""
+    return {
+        "customers": lambda: [C.blank_to_null("customer_unique_id")],
+        "orders": lambda: [C.to_timestamp("order_purchase_timestamp")],
+        "order_items": lambda: [C.to_timestamp("shipping_limit_date")],
+        "order_reviews": lambda: [C.to_timestamp("review_answer_timestamp"), C.to_timestamp("review_creation_date")],
+    }.get(entity, list)()
+
+
 def clean_customers(raw: DataFrame) -> DataFrame:
     kept = keep_latest(
         _drop_blank(raw, "customer_id"),
         _key("customer_id"),
-        [C.blank_to_null("customer_unique_id")],
+        newest_first("customers"),
     )
     return _typed(
         kept,
@@ -92,7 +102,7 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     kept = keep_latest(
         _drop_blank(raw, "order_id"),
         _key("order_id"),
-        [C.to_timestamp("order_purchase_timestamp")],
+        newest_first("orders"),
     )
     exprs = {
         "order_id": C.clean_text("order_id", 32),
@@ -114,7 +124,7 @@ def clean_order_items(raw: DataFrame) -> DataFrame:
     kept = keep_latest(
         _drop_blank(raw, "order_id"),
         _key("order_id", "order_item_id"),
-        [C.to_timestamp("shipping_limit_date")],
+        newest_first("order_items"),
     )
     return _typed(
         kept,
@@ -150,10 +160,7 @@ def clean_order_reviews(raw: DataFrame) -> DataFrame:
     kept = keep_latest(
         _drop_blank(raw, "review_id"),
         _key("review_id"),
-        [
-            C.to_timestamp("review_answer_timestamp"),
-            C.to_timestamp("review_creation_date"),
-        ],
+        newest_first("order_reviews"),
     )
     return _typed(
         kept,
