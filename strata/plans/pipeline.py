@@ -3,6 +3,7 @@
 Storage layout under ``root`` (any Hadoop file system path)::
 
     <root>/<layer>/<run_id>/<table>/     Parquet written by one run
+    <root>/<layer>/<run_id>/_done/       one note for each table that the run has finished
     <root>/<layer>/_published/<n>.json   manifest n: the runs of the layer, each with its tables
     <root>/_audit/                       load audit rows (Parquet, appended)
 
@@ -16,6 +17,10 @@ publishes the previous runs plus the new one, so rows loaded twice are there
 twice. A table that a manifest lists must be there: reading a lost one fails.
 Superseded runs stay readable until ``expire_runs`` removes them.
 
+A run that failed is resumed by giving its ``run_id`` again: tables that it
+finished are kept if they were made from what there is to read now (the same
+source files, or the same manifest of the layer below), the others are written.
+
 Every table write is audited: rows written (counted during the write),
 seconds, key checks for the keyed entities, status and error text; failed
 key checks and lost publications get a row too. The tables of a layer are
@@ -256,16 +261,34 @@ class Warehouse:
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(f"{self.root}/_audit")
 
     # -- generic layer run -------------------------------------------------------
-    def _run_layer(self, layer: str, jobs: dict, mode: str, run_id: str, publish: bool | list[str] = True) -> list[dict]:
+    def _note(self, layer: str, run_id: str, table: str, note: dict | None = None) -> dict | None:
+        """What a run noted when it had finished a table; ``note`` replaces it."""
+        path = f"{self.root}/{layer}/{run_id}/_done/{table}.json"
+        if note is None:
+            return json.loads(self._read_text(path)) if self._exists(path) else None
+        self._mkdirs(f"{self.root}/{layer}/{run_id}/_done")
+        self._fs(path).delete(self._path(path), False)
+        self._create_text(path, json.dumps(note))
+        return note
+
+    def _run_layer(self, layer: str, jobs: dict, mode: str, run_id: str, publish: bool | list[str] = True, source: str | dict[str, str] = "") -> list[dict]:
         """``jobs``: table -> callable returning (DataFrame, key to check|None).
         Writes every table, audits it, publishes only if all succeeded (and
         ``publish``; the model publishes once, after its facts, naming all of
-        its tables)."""
+        its tables). A table that this run finished before from the same
+        ``source`` (by table, or one for all) is not written again."""
         rows: list[dict] = []
+        if run_id in self.runs(layer):
+            raise LoadError(f"{layer}: run {run_id} is published already")
+        counts = ("rows", "null_keys", "dup_keys")
 
         def one(table: str) -> dict:
             t0 = time.perf_counter()
             row = {"run_id": run_id, "layer": layer, "section": SECTIONS.get(table), "table": table}
+            read = source if isinstance(source, str) else source[table]
+            done = self._note(layer, run_id, table) if read else None
+            if done and done["source"] == read:
+                return row | {c: done[c] for c in counts} | {"status": "resumed", "seconds": round(time.perf_counter() - t0, 3)}
             try:
                 df, post_key = jobs[table]()
                 if layer != "raw" and table in SORT_KEYS:
@@ -277,6 +300,7 @@ class Warehouse:
                 if post_key:
                     chk = quality.key_check(self.spark.read.parquet(path), post_key, table, raw=False).first()
                     row["null_keys"], row["dup_keys"] = int(chk["null_keys"]), int(chk["dup_keys"])
+                self._note(layer, run_id, table, {"source": read} | {c: row.get(c) for c in counts})
                 row["status"] = "ok"
             except Exception as exc:  # recorded, then re-raised after the audit is written
                 row["status"], row["error"] = "failed", f"{type(exc).__name__}: {exc}"
@@ -285,7 +309,7 @@ class Warehouse:
 
         with ThreadPoolExecutor(max_workers=self.threads) as pool:
             rows = list(pool.map(one, list(jobs)))
-        failed = [r for r in rows if r["status"] != "ok"]
+        failed = [r for r in rows if r["status"] == "failed"]
         lost: Exception | None = None
         if not failed and publish:
             try:
@@ -315,15 +339,33 @@ class Warehouse:
         ``multi_line`` overrides, by entity, whether quoted values may hold
         line breaks; an entity without them is read by several tasks a file."""
         run_id = run_id or self.new_run_id()
-        load_seq = time.time_ns()
+        load_seq = self._load_seq(run_id)
         lines = MULTI_LINE | (multi_line or {})
         jobs = {}
+        read = {}
         for entity in ENTITY_ORDER:
             if frames is not None:
                 jobs[entity] = (lambda e=entity: (frames[e], None))
+                read[entity] = ""  # a frame cannot be told from another: written again
             else:
+                read[entity] = self._listing(source_dir, entity)
                 jobs[entity] = (lambda e=entity: (read_raw_csv(self.spark, self.source_files(source_dir, e), e, load_seq, lines[e]), None))
-        return self._run_layer("raw", jobs, mode, run_id)
+        return self._run_layer("raw", jobs, mode, run_id, source=read)
+
+    def _load_seq(self, run_id: str) -> int:
+        """The load sequence of a raw run: drawn once, kept when it is resumed."""
+        folder = f"{self.root}/raw/{run_id}/_done"
+        self._mkdirs(folder)
+        self._create_text(f"{folder}/_load_seq", str(time.time_ns()))
+        return int(self._read_text(f"{folder}/_load_seq"))
+
+    def _listing(self, source_dir: str, entity: str) -> str:
+        """An entity's source files with their sizes and times, to tell whether they changed."""
+        found = []
+        for path in self.source_files(source_dir, entity):
+            status, summary = self._fs(path).getFileStatus(self._path(path)), self._fs(path).getContentSummary(self._path(path))
+            found.append([path, summary.getLength(), summary.getFileCount(), status.getModificationTime()])
+        return json.dumps(found)
 
     def source_files(self, source_dir: str, entity: str) -> list[str]:
         """An entity's export: ``<stem>.csv`` (a file, or a folder of parts) or
@@ -343,6 +385,8 @@ class Warehouse:
         """Clean load from the published raw layer; key checks before (on the
         raw rows) and after (on the written rows) for the keyed entities."""
         run_id = run_id or self.new_run_id()
+        read = f"raw manifest {self._manifest('raw')[0]}"
+
         def precheck(entity: str) -> dict:
             t0 = time.perf_counter()
             row = {"run_id": run_id, "layer": "clean-precheck", "section": SECTIONS[entity], "table": entity}
@@ -363,25 +407,26 @@ class Warehouse:
         for entity in ENTITY_ORDER:
             key = KEYS[entity][0] if entity in KEY_CHECKED else None
             jobs[entity] = (lambda e=entity, k=key: (CLEANERS[e](self.table("raw", e)), k))
-        return self._run_layer("clean", jobs, mode, run_id)
+        return self._run_layer("clean", jobs, mode, run_id, source=read)
 
     def build_model(self, run_id: str | None = None) -> list[dict]:
         """Dimensions first (written), then the order context that all facts
         share, then facts reading what was written, so nothing is computed
         twice and the small dimensions broadcast from known file sizes."""
         run_id = run_id or self.new_run_id()
+        read = f"clean manifest {self._manifest('clean')[0]}"
         clean = {e: self.table("clean", e) for e in ENTITY_ORDER}
         model = Model(clean)
-        rows = self._run_layer("model", {d: _job(model, d) for d in DIMENSIONS}, "overwrite", run_id, publish=False)
+        rows = self._run_layer("model", {d: _job(model, d) for d in DIMENSIONS}, "overwrite", run_id, publish=False, source=read)
         model.release()
         path = f"{self.root}/model/{run_id}"
         written = {d: self.spark.read.parquet(f"{path}/{d}") for d in DIMENSIONS}
         context = Model(clean, overrides=written)
-        rows += self._run_layer("model", {"order_context": _job(context, "order_context")}, "overwrite", run_id, publish=False)
+        rows += self._run_layer("model", {"order_context": _job(context, "order_context")}, "overwrite", run_id, publish=False, source=read)
         context.release()
         written["order_context"] = self.spark.read.parquet(f"{path}/order_context")
         model = Model(clean, overrides=written)
-        rows += self._run_layer("model", {f: _job(model, f) for f in FACTS}, "overwrite", run_id, publish=DIMENSIONS + FACTS)
+        rows += self._run_layer("model", {f: _job(model, f) for f in FACTS}, "overwrite", run_id, publish=DIMENSIONS + FACTS, source=read)
         model.release()
         return rows
 
