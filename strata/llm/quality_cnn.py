@@ -12,8 +12,8 @@ of a row (``TRAIN_ROWS``, ``TRAIN_BYTES``), both parameters; every text is
 scored whole, inside the tasks, with the same few thousand weights.
 
 Defined results: a null text is scored as the empty text, which is one chunk
-of padding. Repeated rows are scored each on its own. A null doc_id stays null
-and teaches nothing. Without labelled rows, or with one class only, the
+of padding. Repeated rows are scored each on its own. A null doc_id stays null,
+teaches nothing, and is neither held out nor not (null). Without labelled rows, or with one class only, the
 network is untrained and every score is the share of label 1 (0.5 without
 any). Other columns are not read.
 """
@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from strata.llm.common import slices
 
 CHUNK, HOP = 512, 448  # bytes of a chunk, and from chunk to chunk
-WIDTH, STEP = 12, 4  # bytes under a filter, and from place to place
+WIDTH, STEP = 12, 2  # bytes under a filter, and from place to place
 EMBED, FILTERS, HIDDEN = 4, 32, 16
-TRAIN_ROWS, TRAIN_BYTES = 6000, 1 << 16
+TRAIN_ROWS, TRAIN_BYTES = 6000, 1 << 16  # 393 MB of text on the driver at the very most
+EPOCHS, STEPS = 16, 600  # passes over the sample, more of them if they make fewer steps
 PLACES = CHUNK // STEP
 
 
@@ -132,7 +133,7 @@ class Network:
         out["embed"] = np.stack([np.bincount(spots, d_in[:, e], 257) for e in range(EMBED)], 1).astype(np.float32)
         return out
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, epochs: int = 16, batch: int = 32, rate: float = 4e-3) -> Network:
+    def fit(self, texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, batch: int = 32, rate: float = 4e-3) -> Network:
         if len(labels) == 0 or labels.min() == labels.max():
             self.prior = float(labels.mean()) if len(labels) else 0.5
             return self
@@ -143,7 +144,9 @@ class Network:
         ends = np.cumsum(sizes)
         mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
         square = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        step, steps = 0, epochs * -(-len(texts) // batch)
+        a_pass = -(-len(texts) // batch)
+        epochs = max(epochs, -(-STEPS // a_pass))  # few labels need as many steps as many do
+        step, steps = 0, epochs * a_pass
         for _ in range(epochs):
             order = rng.permutation(len(texts))
             for i in range(0, len(order), batch):

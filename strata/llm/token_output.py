@@ -34,6 +34,7 @@ from strata.llm.best_two_fit import END_TOKEN, encoder, text_encoder
 from strata.llm.common import Feistel, materialise, text_column
 
 MOST_IDS = 1 << 16  # ids must fit the two bytes of a record's cell
+SHARDS_A_TASK = 8  # 128 MB of records to sort at the default sizes
 
 PIECE = "struct<doc_id:long,piece:int,start:long,at:int,n_tokens:int,ids_crc32:long>"
 SEQUENCE = f"run long, place long, record binary, crc long, pieces array<{PIECE}>"
@@ -113,7 +114,7 @@ def write_shards(docs: DataFrame, path: str, key: int, seq_len: int = 1024, shar
     numbered = made.join(F.broadcast(bases), "run")  # one short row per input task: the records stay where they are
     slotted = numbered.select("base", "place", "record").mapInArrow(lambda b: slots(b, ("record",)), "shard long, slot long, record binary")
     shards = -(-total // shard_rows)
-    tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // 64)))
+    tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // SHARDS_A_TASK)))
     (
         slotted.repartitionByRange(tasks, "shard").sortWithinPartitions("shard", "slot")
         .select("shard", F.col("record").cast("string").alias("value"))
