@@ -15,7 +15,7 @@ an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm import best_two_fit, decontaminate, exact_dedup, jaccard_join, quality_cnn
@@ -43,11 +43,14 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return left
     # rows that repeat an id: decided by their text as well, and kept once
     repeated = id_filter(both)(left["doc_id"])
-    rows = left.filter(repeated).withColumn("_text_sha256", F.sha2(ascii_lower(F.coalesce("text", F.lit(""))).cast("binary"), 256))
-    stay = judged.filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha256"))
-    same = (rows["doc_id"].cast("long") == stay["_kept_id"]) & (rows["_text_sha256"] == stay["_kept_sha256"])
-    once = rows.filter("doc_id IS NOT NULL").join(stay, same, "left_semi").dropDuplicates(["doc_id", "_text_sha256"])
-    return left.filter(~repeated).unionByName(once.drop("_text_sha256")).unionByName(rows.filter("doc_id IS NULL").drop("_text_sha256"))
+    digest, nth = ("_" * (1 + max(map(len, docs.columns))) + name for name in ("sha256", "nth"))  # no column's name
+    rows = left.filter(repeated).withColumn(digest, F.sha2(ascii_lower(F.coalesce("text", F.lit(""))).cast("binary"), 256))
+    stay = judged.filter("kept").select(F.col("doc_id").alias(f"{digest}_id"), F.col("text_sha256").alias(f"{digest}_kept"))
+    same = (rows["doc_id"].cast("long") == stay[f"{digest}_id"]) & (rows[digest] == stay[f"{digest}_kept"])
+    # of rows that are equal but for their letters' case, or for other columns, the first in a fixed order
+    first = Window.partitionBy("doc_id", digest).orderBy("text", F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    once = rows.filter("doc_id IS NOT NULL").join(stay, same, "left_semi").withColumn(nth, F.row_number().over(first)).filter(F.col(nth) == 1)
+    return left.filter(~repeated).unionByName(once.drop(digest, nth)).unionByName(rows.filter("doc_id IS NULL").drop(digest))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
