@@ -117,3 +117,19 @@ def test_empty_tables(spark, corpus, tmp_path):
 
 def test_stage_order():
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.STAGES[2][1] is corpus_pipeline.near
+
+
+def test_exact_with_clashing_columns_and_ties(spark, tmp_path):
+    """Repeated ids, rows equal but for letters' case, and columns named like the stage's own."""
+    rows = [(1, "Same text", "a", 1), (1, "same TEXT", "b", 2), (1, "same TEXT", "b", 2), (1, "other", "c", 3), (2, "SAME text", "d", 4), (2, "SAME text", "d", 5), (3, None, "e", 6), (3, "", "e", 7), (None, "other", "f", 8)]
+    schema = "doc_id long, text string, _text_sha256 string, _kept_id int"
+    expected = None
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, schema).repartition(parts)
+        kept = corpus_pipeline.exact(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns
+        got = sorted(map(tuple, kept.collect()), key=str)
+        assert expected in (None, got)
+        expected = got
+    assert [r for r in expected if r[0] == 2] == [(2, "SAME text", "d", 4)]
+    assert sorted(r[0] for r in expected if r[0] is not None) == [1, 2, 3]
