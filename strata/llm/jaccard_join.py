@@ -25,7 +25,7 @@ Relations between sets save most of the work, and all of the result stays:
 * For two clusters that meet, the leaders' overlap is computed exactly. If the
   leaders link, the clusters are connected. If not, the overlap of members x
   and y is at most the leaders' overlap plus what x and y have beyond their
-  leaders; only members for whom that would suffice are compared themselves.
+  leaders and not alone; only members for whom that would suffice are compared.
 
 Every linked pair of sets shares its first common shingle within both
 prefixes, with enough left behind it on both sides, so its clusters meet; none
@@ -55,7 +55,7 @@ from strata.llm.common import SentBitmap, bitmap_of, byte_codes, discard, in_bit
 from strata.llm.components import components
 
 WORDS = 5
-ROW_BITS = 26
+ROW_BITS, TOKEN_BITS = 26, 27
 CELL_BITS, PART_BITS = 26, 16  # cells of the sketch, of four bits in the end; cells a row of it
 BLOCK = 1.1  # sizes in a block of a list differ by this factor at most
 SLICE = 2 << 20
@@ -189,8 +189,9 @@ def _chosen_sets(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Itera
         yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(shingles, pa.binary())], names=["id", "shingles"])
 
 
-def _entries(batches: Iterator[pa.RecordBatch], chosen: np.ndarray, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The index: (token, id, n, rest) of the prefix shingles that other texts may have."""
+def _prefixes(batches: Iterator[pa.RecordBatch], chosen: np.ndarray, classes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Slices of the prefixes' shingles that other texts may have: token, id, n,
+    shingles left, and the shingles of the set that no other text has."""
     for rows, data, at in _chosen_texts(batches, chosen):
         tokens, sizes = shingle_sets(data, at)
         owner = np.repeat(np.arange(len(rows)), sizes)
@@ -198,10 +199,26 @@ def _entries(batches: Iterator[pa.RecordBatch], chosen: np.ndarray, classes: np.
         order = np.argsort(owner << 4 | kind, kind="stable")  # ascending within each part already
         tokens, owner, kind = tokens[order], owner[order], kind[order]
         place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        n = sizes[owner]
+        n, lone = sizes[owner], np.bincount(owner[kind <= 1], minlength=len(rows))
         kept = (kind > 1) & (place < n - (3 * n + 3) // 4 + 1)
-        columns = [pa.array(x) for x in (signed(tokens[kept]), rows[owner[kept]], n[kept], (n - place)[kept])]
-        yield pa.RecordBatch.from_arrays(columns, names=["token", "id", "n", "rest"])
+        yield tokens[kept], rows[owner[kept]], n[kept], (n - place)[kept], lone[owner[kept]]
+
+
+def _tokens(batches: Iterator[pa.RecordBatch], chosen: np.ndarray, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for tokens, *_ in _prefixes(batches, chosen, classes):
+        token, n = np.unique(tokens, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(token)), pa.array(n)], names=["token", "n"])
+
+
+ENTRY = "token long, id long, n long, rest long, lone long"
+
+
+def _entries(batches: Iterator[pa.RecordBatch], chosen: np.ndarray, classes: np.ndarray, shared: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The index: the prefix shingles that other prefixes have."""
+    for tokens, *rest in _prefixes(batches, chosen, classes):
+        kept = in_bitmap(shared, tokens)
+        columns = [pa.array(x) for x in (signed(tokens[kept]), *(r[kept] for r in rest))]
+        yield pa.RecordBatch.from_arrays(columns, names=["token", "id", "n", "rest", "lone"])
 
 
 def row_bitmap(ids: DataFrame) -> np.ndarray:
@@ -244,7 +261,8 @@ def block(n: Column) -> Column:
 def lead(sets: DataFrame, ids: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clusters (id, root, n, beyond) of all ids, and the links found on the way (a, b).
 
-    ``beyond`` counts the shingles of a set that its root lacks.
+    ``beyond`` counts the shingles of a set that its root lacks but that another
+    set may have.
     """
     sized = index.withColumn("block", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))))
     most = F.max(F.struct((F.col("rest") / F.col("n")).alias("share"), (-F.col("n")).alias("fewest"), "id", "n", "rest")).alias("leader")
@@ -276,6 +294,7 @@ def lead(sets: DataFrame, ids: DataFrame, index: DataFrame) -> tuple[DataFrame,
     # a root of the second round must not be led itself
     relinked = linking(again).join(again.select(F.col("a").alias("b")).distinct(), "b", "left_anti")
     members = settled.unionByName(nearest(relinked))
+    members = members.join(ids.select("id", "lone"), "id").withColumn("beyond", F.col("beyond") - F.col("lone")).drop("lone")
     alone = ids.select("id", "n").join(members.select("id"), "id", "left_anti").select("id", F.col("id").alias("root"), "n", F.lit(0).cast("long").alias("beyond"))
     clusters = materialise(members.unionByName(alone), "clusters")
     links = materialise(linking(first).select("a", "b").unionByName(linking(again).select("a", "b")), "links")
@@ -314,7 +333,10 @@ def derive(sets: DataFrame, clusters: DataFrame, links: DataFrame, met: DataFram
     bound = lambda side: reach.select(F.col("root").alias(side), F.col("least").alias(f"least_{side}"), F.col("beyond").alias(f"beyond_{side}"))
     open_pairs = roots.filter(~direct).join(bound("a"), "a").join(bound("b"), "b")
     open_pairs = open_pairs.filter(enough(F.col("overlap") + F.col("beyond_a") + F.col("beyond_b"), F.col("least_a"), F.col("least_b")))
-    open_pairs = materialise(open_pairs.select("a", "b", "overlap"), "open")
+    # what a member of either side must have beyond its leader at least
+    least = F.ceil(3 * (F.col("least_a") + F.col("least_b")) / 7) - F.col("overlap")
+    open_pairs = open_pairs.select("a", "b", "overlap", (least - F.col("beyond_b")).alias("need_a"), (least - F.col("beyond_a")).alias("need_b"))
+    open_pairs = materialise(open_pairs, "open")
     if open_pairs.isEmpty():
         return links
     # what the direct links have connected needs no members
@@ -322,7 +344,8 @@ def derive(sets: DataFrame, clusters: DataFrame, links: DataFrame, met: DataFram
     part = lambda side: known.select(F.col("node").alias(side), F.col("component").alias(f"part_{side}"))
     apart = open_pairs.join(part("a"), "a", "left").join(part("b"), "b", "left").filter(F.coalesce("part_a", "a") != F.coalesce("part_b", "b"))
     member = lambda side: clusters.select(F.col("root").alias(side), F.col("id").alias(f"id_{side}"), F.col("n").alias(f"n_{side}"), F.col("beyond").alias(f"beyond_{side}"))
-    pairs = apart.select("a", "b", "overlap").join(member("a"), "a").join(member("b"), "b")
+    apart = apart.select("a", "b", "overlap", "need_a", "need_b")
+    pairs = apart.join(member("a"), "a").filter("beyond_a >= need_a").join(member("b"), "b").filter("beyond_b >= need_b")
     pairs = pairs.filter(((F.col("id_a") != F.col("a")) | (F.col("id_b") != F.col("b"))) & enough(F.least("n_a", "n_b"), F.col("n_a"), F.col("n_b")) & enough(F.col("overlap") + F.col("beyond_a") + F.col("beyond_b"), F.col("n_a"), F.col("n_b")))
     compared = overlaps(sets, pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "members")
     return links.unionByName(compared.filter(direct).select("a", "b"))
@@ -341,22 +364,24 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     # the index, and the whole sets of those that are in a list with another
     chosen = send(row_bitmap(sets))
-    entries = materialise(texts.mapInArrow(lambda b: _entries(b, chosen.value, classes.value), "token long, id long, n long, rest long"), "prefixes")
-    listed = entries.join(sets.select("id"), "id", "left_semi")  # the bitmap lets a few others through
-    shared = listed.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("token")
-    index = materialise(listed.join(shared, "token", "left_semi"), "index")
+    counted = texts.mapInArrow(lambda b: _tokens(b, chosen.value, classes.value), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    listed = send(bitmap_of(counted.filter("n > 1"), "token", TOKEN_BITS))
+    entries = materialise(texts.mapInArrow(lambda b: _entries(b, chosen.value, classes.value, listed.value), ENTRY), "prefixes")
+    exact = entries.join(sets.select("id"), "id", "left_semi")  # the bitmaps let a few others through
+    shared = exact.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("token")
+    index = materialise(exact.join(shared, "token", "left_semi"), "index")
     discard(entries)
-    ids = index.select("id", "n").distinct()
+    ids = materialise(index.select("id", "n", "lone").distinct(), "ids")
     wanted = send(row_bitmap(ids))
     shingles = materialise(texts.mapInArrow(lambda b: _chosen_sets(b, wanted.value), "id long, shingles binary"), "shingles")
-    for bitmap in (classes, chosen, wanted):
+    for bitmap in (classes, chosen, listed, wanted):
         bitmap.destroy()
 
     clusters, links = lead(shingles, ids, index)
     # a set and its root are linked by construction, so clusters are connected
     known = materialise(components(links), "known")
     met = meetings(index, clusters, known)
-    discard(index, known)
+    discard(index, ids, known)
     found = components(derive(shingles, clusters, links, met))
     discard(shingles, clusters, links, met)
     parted = sets.join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
