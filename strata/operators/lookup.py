@@ -64,7 +64,9 @@ def _date_rank(on: Column) -> Column:
 
 def date_lookups(df: DataFrame, days: DataFrame, roles: dict[str, Column]) -> DataFrame:
     """Add each name of ``roles`` = ``date_sk`` of its calendar date, NULL when
-    the date is NULL or not one of ``days``. The calendar row is one scalar
-    subquery for all roles, and no role needs a join."""
+    the date is NULL or not one of ``days``: the row of ``calendar``, or a table
+    of dates to make it from. It is one scalar subquery for all roles, and no
+    role needs a join."""
+    days = calendar(days) if "full_date" in days.columns else days
     row = days.select(F.struct("first", "bits", "before")).scalar()
     return df.withColumn("_days", row).withColumns({out: _date_rank(on) for out, on in roles.items()}).drop("_days")
