@@ -354,10 +354,10 @@ class Warehouse:
 
     def _load_seq(self, run_id: str) -> int:
         """The load sequence of a raw run: drawn once, kept when it is resumed."""
-        folder = f"{self.root}/raw/{run_id}/_done"
+        folder, drawn = f"{self.root}/raw/{run_id}/_done", time.time_ns()
         self._mkdirs(folder)
-        self._create_text(f"{folder}/_load_seq", str(time.time_ns()))
-        return int(self._read_text(f"{folder}/_load_seq"))
+        self._create_text(f"{folder}/_load_seq", str(drawn))
+        return int(self._read_text(f"{folder}/_load_seq")) if self._exists(f"{folder}/_load_seq") else drawn
 
     def _listing(self, source_dir: str, entity: str) -> str:
         """An entity's source files with their sizes and times, to tell whether they changed."""
