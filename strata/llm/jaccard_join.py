@@ -9,8 +9,9 @@ Relations between sets save most of the work, and all of the result stays:
 * Equal sets are one set.
 * Shingles have one global order, rare ones first: by the frequency class that
   a counting sketch of all texts gives them, then by hash. A set's prefix are
-  its first ``n - ceil(3n/4) + 1`` shingles. Those counted once are in no other
-  text; a set whose prefix holds no others links with nothing.
+  its first ``n - ceil(3n/4) + 1`` shingles. The sketch leaves out those counted
+  once, which are in no other text; a set whose prefix holds no others links
+  with nothing.
 * A shingle's list names the sets that have it in their prefix, with their size
   n and the shingles left from that position on, which bound what they can
   still share. Every set first tries one set of its lists, the one with most
@@ -29,9 +30,11 @@ Relations between sets save most of the work, and all of the result stays:
 
 Every linked pair of sets shares its first common shingle within both
 prefixes, with enough left behind it on both sides, so its clusters meet; none
-is lost. The sketch has a fixed size: the more shingles there are, the fewer it
-tells from rare ones, which makes lists longer and changes no result. Hot
-shingles are aggregated before they are shuffled. Shingles are 64-bit hashes.
+is lost. What is counted once is found by a shuffle of ``PRINT_BITS``-bit
+fingerprints, sorted and stored as differences, so only shingles of several
+texts fill the sketch. It has a fixed size: the more of those there are, the
+fewer it tells from rare ones, which makes lists longer and changes no result.
+Hot shingles are aggregated before they are shuffled. Shingles are 64-bit hashes.
 
 Defined results: a text with fewer than five words, but not none, has its whole
 sequence as its one shingle; a null text or one without words has the empty
@@ -57,6 +60,8 @@ from strata.llm.components import components
 WORDS = 5
 ROW_BITS, TOKEN_BITS = 26, 27
 CELL_BITS, PART_BITS = 26, 16  # cells of the sketch, of four bits in the end; cells a row of it
+PRINT_BITS, FINE_BITS = 38, 26  # a shingle's fingerprint, the top bits of its hash; those of one row have the others in common
+CHUNK = 1 << 22  # shingles that a task counts before it hands them on
 BLOCK = 1.1  # sizes in a block of a list differ by this factor at most
 SLICE = 2 << 20
 
@@ -98,13 +103,13 @@ def cell_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-SKETCH = "row long, doc_id long, n long, low long, high long, part int, cells binary, counts binary"
-_SKETCH = pa.schema([(n, pa.int64()) for n in ("row", "doc_id", "n", "low", "high")] + [("part", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())])
+SKETCH = "row long, doc_id long, n long, low long, high long, part int, prints binary"
+_SKETCH = pa.schema([(n, pa.int64()) for n in ("row", "doc_id", "n", "low", "high")] + [("part", pa.int32()), ("prints", pa.binary())])
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text; after them the task's counting sketch, by part, without its zeros."""
-    counted = np.zeros(1 << CELL_BITS, np.uint8)
+    """A row for each text, and between them rows of the shingles' fingerprints, by part."""
+    held, n_held = [], 0
     for batch, data, at in slices(batches, most=SLICE):
         tokens, sizes = shingle_sets(data, at)
         has = np.flatnonzero(sizes)
@@ -116,25 +121,80 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # equal sets of a slice count once
             _, first, which = np.unique(low ^ mix64(high), return_index=True, return_inverse=True)
             once = np.repeat(first[which] == np.arange(len(sizes)), sizes)
-            cells, n = np.unique(cell_of(tokens[once]), return_counts=True)
-            counted[cells] = np.minimum(counted[cells] + n, 255)
-        nothing = pa.nulls(batch.num_rows, pa.binary())
-        columns = [batch.column(0), batch.column(1), pa.array(sizes), pa.array(signed(low)), pa.array(signed(high)), pa.nulls(batch.num_rows, pa.int32()), nothing, nothing]
+            held.append(tokens[once] >> np.uint64(64 - PRINT_BITS))
+            n_held += len(held[-1])
+        columns = [batch.column(0), batch.column(1), pa.array(sizes), pa.array(signed(low)), pa.array(signed(high)), pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, schema=_SKETCH)
-    cells = np.flatnonzero(counted)
-    parts, starts = np.unique(cells >> PART_BITS, return_index=True)
-    within, counts = (cells & (1 << PART_BITS) - 1).astype(np.uint16), counted[cells]
-    ends = np.append(starts[1:], len(cells))
+        if n_held >= CHUNK:
+            yield from _counted(held)
+            held, n_held = [], 0
+    if held:
+        yield from _counted(held)
+
+
+def _counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows of a chunk's fingerprints, ascending, with their counts."""
+    prints, n = np.unique(np.concatenate(held), return_counts=True)
+    n = np.minimum(n, 255).astype(np.uint8)
+    parts, starts = np.unique(prints >> np.uint64(FINE_BITS), return_index=True)
+    ends = np.append(starts[1:], len(prints))
+    within = (prints & np.uint64((1 << FINE_BITS) - 1)).astype(np.uint32)
     for some in range(0, len(parts), 256):
         bounds = list(zip(starts[some : some + 256].tolist(), ends[some : some + 256].tolist()))
         listed = parts[some : some + 256]
-        columns = [*(pa.nulls(len(listed), pa.int64()) for _ in range(5)), pa.array(listed, pa.int32())]
-        columns += [pa.array([x[a:b].tobytes() for a, b in bounds], pa.binary()) for x in (within, counts)]
+        columns = [*(pa.nulls(len(listed), pa.int64()) for _ in range(5)), pa.array(listed.astype(np.int32))]
+        columns[2] = pa.array([b - a for a, b in bounds], pa.int64())
+        columns.append(pa.array([_pack(within[a:b], n[a:b]) for a, b in bounds], pa.binary()))
         yield pa.RecordBatch.from_arrays(columns, schema=_SKETCH)
 
 
+def _pack(within: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending numbers as differences, byte by byte, and their counts."""
+    steps = np.diff(within, prepend=np.uint32(0))
+    return pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes() + n.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(pa.decompress(packed, 5 * n, "zstd", asbytes=True), np.uint8)
+    steps = np.ascontiguousarray(raw[: 4 * n].reshape(4, n).T).view(np.uint32).ravel()
+    return np.cumsum(steps, dtype=np.uint32), raw[4 * n :]
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, cells, counts) of the fingerprints that are counted more than once.
+
+    Takes rows (part, n, prints) of all tasks, sorted by part. A part's memory
+    is that of its fingerprints, one in 2**(PRINT_BITS - FINE_BITS) of all.
+    """
+    part, held = None, []
+
+    def cells() -> pa.RecordBatch:
+        within, n = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(within, kind="stable")
+        within, n = within[order], n[order].astype(np.int64)
+        starts = np.flatnonzero(np.append(True, within[1:] != within[:-1]))
+        totals = np.add.reduceat(n, starts)
+        several = totals > 1
+        found = (part << FINE_BITS | within[starts[several]].astype(np.int64)) >> PRINT_BITS - CELL_BITS
+        cell, at = np.unique(found, return_index=True)
+        counts = np.add.reduceat(totals[several], at) if len(at) else at
+        columns = [pa.array([part << FINE_BITS + CELL_BITS - PRINT_BITS >> PART_BITS], pa.int32())]
+        columns += [pa.array([(cell & (1 << PART_BITS) - 1).astype(np.uint16).tobytes()], pa.binary()), pa.array([counts.astype(np.uint64).tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "cells", "counts"])
+
+    for batch in batches:
+        for number, n, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if number != part:
+                if held:
+                    yield cells()
+                part, held = number, []
+            held.append(_unpack(packed, n))
+    if held:
+        yield cells()
+
+
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, classes): each part's counts summed over the tasks, as bit lengths, two cells a byte."""
+    """(part, classes): each part's counts, of one to eight bytes each, summed as bit lengths, two cells a byte."""
     part, total = None, np.zeros(1 << PART_BITS, np.int64)
 
     def packed() -> pa.RecordBatch:
@@ -150,17 +210,19 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield packed()
                 part = number
                 total[:] = 0
-            total[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.uint8)
+            if cells:
+                total[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, f"u{2 * len(counts) // len(cells)}").astype(np.int64)
     if part is not None:
         yield packed()
 
 
 def frequency_classes(rows: DataFrame) -> np.ndarray:
     """The sketch's classes, two cells a byte: 32 MB however many texts there are."""
-    parts = rows.filter("part IS NOT NULL").select("part", "cells", "counts").repartition("part").sortWithinPartitions("part")
+    whole = F.shiftright("part", PART_BITS - (FINE_BITS + CELL_BITS - PRINT_BITS))  # of the sketch's rows
+    parts = rows.filter("part IS NOT NULL").select("part", "n", "prints").repartition(whole).sortWithinPartitions("part")
     out = np.zeros(1 << CELL_BITS - 1, np.uint8)
     width = 1 << PART_BITS - 1
-    for row in parts.mapInArrow(_classes, "part int, classes binary").collect():  # 2**10 rows at most
+    for row in parts.mapInArrow(lambda b: _classes(_repeated(b)), "part int, classes binary").collect():  # 2**10 rows at most
         out[row["part"] * width : (row["part"] + 1) * width] = np.frombuffer(zlib.decompress(row["classes"]), np.uint8)
     return out
 
@@ -356,9 +418,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     send = lambda bitmap: SentBitmap(spark, bitmap)
     texts = named_rows(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = materialise(texts.mapInArrow(_sketches, SKETCH), "sketches")
-    classes = send(frequency_classes(rows))
-    rows = rows.filter("part IS NULL").select("row", "doc_id", "n", "low", "high")
+    sketches = materialise(texts.mapInArrow(_sketches, SKETCH), "sketches")
+    classes = send(frequency_classes(sketches))
+    rows = materialise(sketches.filter("part IS NULL").select("row", "doc_id", "n", "low", "high"), "rows")
+    discard(sketches)
     same = rows.filter("n > 0").groupBy("low", "high", "n").agg(F.min("row").alias("id"), F.min("doc_id").alias("least_doc"))
     sets = materialise(same, "sets")
 

@@ -159,3 +159,25 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 50), (50, 70), (71, 70)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 50 for i in (50, 70, 71, 100)}}
+
+
+def test_sketch_of_repeated_shingles(monkeypatch):
+    """The sketch holds the shingles that several texts have, and no others, however many there are."""
+    monkeypatch.setattr(jaccard_join, "CHUNK", 5000)  # several chunks a task
+    words = [[f"d{i}w{j}" for j in range(2000)] for i in range(40)]
+    words[7][100:160] = words[31][500:560] = [f"s{j}" for j in range(60)]  # 56 shingles that two texts have
+    data = [" ".join(w).encode() for w in words]
+    grams = [jaccard_join.shingle_sets(np.frombuffer(d, np.uint8), np.array([0, len(d)]))[0] for d in data]
+    batches = [pa.RecordBatch.from_pydict({"row": [i], "doc_id": [i], "text": [d.decode()]}) for i, d in enumerate(data)]
+    made = [b.select(["part", "n", "prints"]).filter(b.column("part").is_valid()) for task in (batches[:20], batches[20:]) for b in jaccard_join._sketches(iter(task))]
+    rows = pa.Table.from_batches([b for b in made if b.num_rows])
+    assert sum(rows.column("n").to_pylist()) > 79000
+    found = np.zeros(1 << jaccard_join.CELL_BITS, np.int64)
+    for batch in jaccard_join._repeated(iter(rows.sort_by("part").to_batches())):
+        cells, counts = (np.frombuffer(batch.column(i)[0].as_py(), t) for i, t in ((1, np.uint16), (2, np.uint64)))
+        found[(batch.column(0)[0].as_py() << jaccard_join.PART_BITS) + cells.astype(np.int64)] += counts.astype(np.int64)
+    shared = np.intersect1d(grams[7], grams[31])
+    assert len(shared) == 56
+    want = np.zeros_like(found)
+    np.add.at(want, jaccard_join.cell_of(shared), 2)
+    assert (found == want).all()
