@@ -7,7 +7,9 @@ place inside the task), and a keyed Feistel permutation with cycle-walking
 sends each number to a global slot. Slots are dealt to shards by range, and a
 task writes a shard as records of one fixed stride in slot order, so slot s is
 record ``s % shard_rows`` of shard ``s // shard_rows``: a reader resumes
-anywhere by seeking, and reads the training order from front to back.
+anywhere by seeking, and reads the training order from front to back. Until a
+task has them, the records of a batch that go to one shard are one compressed
+bundle.
 
 A record is seq_len ids as little-endian unsigned 16-bit and a line feed.
 Shards (``shards/shard=N``) are written by Spark's own committer, so a lost
@@ -90,6 +92,37 @@ def _sequences(batches: Iterator[pa.RecordBatch], seq_len: int, vocabulary: str
         yield flush()
 
 
+def _bundle(records: list[bytes]) -> bytes:
+    return pa.Codec("zstd", compression_level=3).compress(b"".join(records), asbytes=True)
+
+
+def _unbundle(bundle: bytes, n: int, seq_len: int) -> list[bytes]:
+    width = 2 * seq_len
+    cells = pa.decompress(bundle, n * width, "zstd", asbytes=True)
+    return [cells[at : at + width] for at in range(0, n * width, width)]
+
+
+def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, slots, bundle) of the records (shard, slot, record) of each batch."""
+    for batch in batches:
+        shard, slot = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        records = batch.column(2).to_pylist()
+        order = np.argsort(shard, kind="stable")
+        shards, starts = np.unique(shard[order], return_index=True)
+        groups = np.split(order, starts[1:]) if len(order) else []
+        columns = [pa.array(shards, pa.int64()), pa.array([slot[g].tolist() for g in groups], pa.list_(pa.int64()))]
+        columns.append(pa.array([_bundle([records[i] for i in g.tolist()]) for g in groups], pa.binary()))
+        yield pa.RecordBatch.from_arrays(columns, names=["shard", "slots", "bundle"])
+
+
+def _unbundled(batches: Iterator[pa.RecordBatch], seq_len: int) -> Iterator[pa.RecordBatch]:
+    """(shard, slot, record) again, a bundle at a time."""
+    for batch in batches:
+        for shard, slots, bundle in zip(*(c.to_pylist() for c in batch.columns)):
+            columns = [pa.array([shard] * len(slots), pa.int64()), pa.array(slots, pa.int64()), pa.array(_unbundle(bundle, len(slots), seq_len), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "slot", "record"])
+
+
 def write_shards(docs: DataFrame, path: str, key: int, seq_len: int = 1024, shard_rows: int = 8192, vocabulary: str | None = None, added: bool = False) -> int:
     """Write ``shards`` and ``index`` below ``path``; returns the number of sequences.
 
@@ -112,11 +145,13 @@ def write_shards(docs: DataFrame, path: str, key: int, seq_len: int = 1024, shar
     if not total:
         return 0
     numbered = made.join(F.broadcast(bases), "run")  # one short row per input task: the records stay where they are
-    slotted = numbered.select("base", "place", "record").mapInArrow(lambda b: slots(b, ("record",)), "shard long, slot long, record binary")
+    slotted = numbered.select("base", "place", "record").mapInArrow(lambda b: _bundled(slots(b, ("record",))), "shard long, slots array<long>, bundle binary")
     shards = -(-total // shard_rows)
     tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // SHARDS_A_TASK)))
     (
-        slotted.repartitionByRange(tasks, "shard").sortWithinPartitions("shard", "slot")
+        slotted.repartitionById(tasks, F.expr(f"int(shard * {tasks} div {shards})"))  # neighbouring shards, as many each
+        .mapInArrow(lambda b: _unbundled(b, seq_len), "shard long, slot long, record binary")
+        .sortWithinPartitions("shard", "slot")
         .select("shard", F.col("record").cast("string").alias("value"))
         .write.partitionBy("shard").option("lineSep", "\n").text(f"{path}/shards")
     )

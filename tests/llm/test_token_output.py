@@ -2,6 +2,7 @@ import glob
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strata.llm import best_two_fit, token_output
@@ -58,3 +59,18 @@ def test_damage_shows(spark, scratch):
 def test_empty_table(spark, scratch):
     ship_code(spark)
     assert token_output.write_shards(spark.createDataFrame([], "doc_id long, text string"), scratch, key=1) == 0
+
+
+def test_records_travel_bundled():
+    """The records of a batch for one shard are a bundle, smaller than they are, that gives them back."""
+    rng = np.random.default_rng(4)
+    phrases = rng.integers(0, 50000, (400, 16))
+    records = [phrases[rng.integers(0, 400, 64)].astype("<u2").tobytes() for _ in range(300)]
+    shard = np.arange(300) * 7 % 5
+    slot = shard * 8192 + np.arange(300)
+    batch = pa.RecordBatch.from_arrays([pa.array(shard), pa.array(slot), pa.array(records, pa.binary())], names=["shard", "slot", "record"])
+    bundled = list(token_output._bundled(iter([batch, batch.slice(0, 0)])))
+    assert sum(b.num_rows for b in bundled) == 5
+    assert sum(b.column(2).nbytes for b in bundled) < 0.7 * batch.column(2).nbytes
+    back = {s: (n, r) for b in token_output._unbundled(iter(bundled), 1024) for n, s, r in zip(*(c.to_pylist() for c in b.columns))}
+    assert back == dict(zip(slot.tolist(), zip(shard.tolist(), records)))
