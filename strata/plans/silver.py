@@ -9,24 +9,28 @@ Every function follows the same shape:
 * trim, pad, fold case, cut to the declared length and guard every cast.
 
 Each is one shuffle on its key, cut to one row a key and task before it (see
-``keep_latest``).
+``keep_latest``). Values get their types before that sort and shuffle: eight
+bytes for an amount or a stamp in place of its text, and a key's text once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from strata.functions import clean as C
 from strata.operators.dedupe import keep_latest
-from strata.sources.schemas import CLEAN_TYPES
+from strata.sources.schemas import CLEAN_TYPES, INGEST_POS
 
 
-def _typed(df: DataFrame, entity: str, exprs: dict) -> DataFrame:
-    return df.select(*[exprs[name].cast(t).alias(name) for name, t in CLEAN_TYPES[entity]])
-
-
-def _key(*names):
-    return [C.blank_to_null(n) for n in names]
+def _newest(raw: DataFrame, entity: str, key: list[str], exprs: dict) -> DataFrame:
+    """The newest row of each ``key``, typed. A key is compared as its trimmed
+    raw text and typed in the end, which no ``exprs`` tells from its raw text."""
+    early = [C.blank_to_null(n).alias(n) if n in key else exprs[n].cast(t).alias(n) for n, t in CLEAN_TYPES[entity]]
+    newest = [c.alias(f"_newest{i}") for i, c in enumerate(newest_first(entity))]
+    typed = raw.select(*early, *newest, INGEST_POS)
+    kept = keep_latest(typed, [F.col(n) for n in key], [F.col(f"_newest{i}") for i in range(len(newest))])
+    return kept.select(*[exprs[n].cast(t).alias(n) if n in key else n for n, t in CLEAN_TYPES[entity]])
 
 
 def _drop_blank(df: DataFrame, name: str) -> DataFrame:
@@ -44,14 +48,10 @@ def newest_first(entity: str) -> list[Column]:
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
-    kept = keep_latest(
+    return _newest(
         _drop_blank(raw, "customer_id"),
-        _key("customer_id"),
-        newest_first("customers"),
-    )
-    return _typed(
-        kept,
         "customers",
+        ["customer_id"],
         {
             "customer_id": C.clean_text("customer_id", 32),
             "customer_unique_id": C.clean_text("customer_unique_id", 32),
@@ -63,10 +63,10 @@ def clean_customers(raw: DataFrame) -> DataFrame:
 
 
 def clean_sellers(raw: DataFrame) -> DataFrame:
-    kept = keep_latest(_drop_blank(raw, "seller_id"), _key("seller_id"))
-    return _typed(
-        kept,
+    return _newest(
+        _drop_blank(raw, "seller_id"),
         "sellers",
+        ["seller_id"],
         {
             "seller_id": C.clean_text("seller_id", 32),
             "seller_zip_code_prefix": C.zip5("seller_zip_code_prefix"),
@@ -77,17 +77,17 @@ def clean_sellers(raw: DataFrame) -> DataFrame:
 
 
 def clean_geolocation(raw: DataFrame) -> DataFrame:
-    key = _key(
+    key = [
         "geolocation_zip_code_prefix",
         "geolocation_lat",
         "geolocation_lng",
         "geolocation_city",
         "geolocation_state",
-    )
-    kept = keep_latest(raw, key)
-    return _typed(
-        kept,
+    ]
+    return _newest(
+        raw,
         "geolocation",
+        key,
         {
             "geolocation_zip_code_prefix": C.zip5("geolocation_zip_code_prefix"),
             "geolocation_lat": C.to_coordinate("geolocation_lat"),
@@ -99,11 +99,6 @@ def clean_geolocation(raw: DataFrame) -> DataFrame:
 
 
 def clean_orders(raw: DataFrame) -> DataFrame:
-    kept = keep_latest(
-        _drop_blank(raw, "order_id"),
-        _key("order_id"),
-        newest_first("orders"),
-    )
     exprs = {
         "order_id": C.clean_text("order_id", 32),
         "customer_id": C.clean_text("customer_id", 32),
@@ -117,18 +112,14 @@ def clean_orders(raw: DataFrame) -> DataFrame:
         "order_estimated_delivery_date",
     ):
         exprs[name] = C.to_timestamp(name)
-    return _typed(kept, "orders", exprs)
+    return _newest(_drop_blank(raw, "order_id"), "orders", ["order_id"], exprs)
 
 
 def clean_order_items(raw: DataFrame) -> DataFrame:
-    kept = keep_latest(
+    return _newest(
         _drop_blank(raw, "order_id"),
-        _key("order_id", "order_item_id"),
-        newest_first("order_items"),
-    )
-    return _typed(
-        kept,
         "order_items",
+        ["order_id", "order_item_id"],
         {
             "order_id": C.clean_text("order_id", 32),
             "order_item_id": C.to_smallint("order_item_id"),
@@ -142,10 +133,10 @@ def clean_order_items(raw: DataFrame) -> DataFrame:
 
 
 def clean_order_payments(raw: DataFrame) -> DataFrame:
-    kept = keep_latest(_drop_blank(raw, "order_id"), _key("order_id", "payment_sequential"))
-    return _typed(
-        kept,
+    return _newest(
+        _drop_blank(raw, "order_id"),
         "order_payments",
+        ["order_id", "payment_sequential"],
         {
             "order_id": C.clean_text("order_id", 32),
             "payment_sequential": C.to_smallint("payment_sequential"),
@@ -157,14 +148,10 @@ def clean_order_payments(raw: DataFrame) -> DataFrame:
 
 
 def clean_order_reviews(raw: DataFrame) -> DataFrame:
-    kept = keep_latest(
+    return _newest(
         _drop_blank(raw, "review_id"),
-        _key("review_id"),
-        newest_first("order_reviews"),
-    )
-    return _typed(
-        kept,
         "order_reviews",
+        ["review_id"],
         {
             "review_id": C.clean_text("review_id", 32),
             "order_id": C.clean_text("order_id", 32),
@@ -178,7 +165,6 @@ def clean_order_reviews(raw: DataFrame) -> DataFrame:
 
 
 def clean_products(raw: DataFrame) -> DataFrame:
-    kept = keep_latest(_drop_blank(raw, "product_id"), _key("product_id"))
     exprs = {
         "product_id": C.clean_text("product_id", 32),
         "product_category_name": C.clean_text("product_category_name", 80),
@@ -193,14 +179,14 @@ def clean_products(raw: DataFrame) -> DataFrame:
         "product_width_cm",
     ):
         exprs[name] = C.to_smallint(name)
-    return _typed(kept, "products", exprs)
+    return _newest(_drop_blank(raw, "product_id"), "products", ["product_id"], exprs)
 
 
 def clean_category_translation(raw: DataFrame) -> DataFrame:
-    kept = keep_latest(_drop_blank(raw, "product_category_name"), _key("product_category_name"))
-    return _typed(
-        kept,
+    return _newest(
+        _drop_blank(raw, "product_category_name"),
         "category_translation",
+        ["product_category_name"],
         {
             "product_category_name": C.clean_text("product_category_name", 80),
             "product_category_name_english": C.clean_text("product_category_name_english", 80),
