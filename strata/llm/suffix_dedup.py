@@ -21,8 +21,9 @@ the identifiers of longer content until every string is decided:
 Identifiers are 64-bit hashes and are compared only inside one q-gram bucket,
 so two contents are mistaken for each other only if they share their q-gram's
 identifier and their own. Buckets are aggregated before they are shuffled, and
-no task needs all members of a bucket. Bitmaps of a fixed size pass the
-surviving identifiers to the next scan; what slips through one is only work.
+no task needs all members of a bucket. Bitmaps pass the surviving identifiers
+to the next scan; what slips through one is only work. They grow with the
+identifiers, up to a fixed size.
 
 Defined results: a null text counts as empty; texts of fewer than ``length``
 bytes lose nothing. A null doc_id comes before every other. Rows with the same
@@ -45,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SentBitmap, bitmap_of, byte_codes, discard, free_shuffles, in_bitmap, materialise, mix64, named_rows, powers, signed, slices
+from strata.llm.common import SentBitmap, bitmap_of, byte_codes, discard, in_bitmap, materialise, mix64, named_rows, powers, signed, slices
 
 LENGTH, Q = 100, 32
 BASE = 0x9E3779B97F4A7C15
@@ -53,10 +54,9 @@ UNBASE = pow(BASE, -1, 1 << 64)
 PLACE_BITS = 28
 LEVELS = (16, 4, 1)  # strings in a block, level by level
 SLICE = PIECE = 1 << 20
-BITS = 27  # of the bitmaps: 16 MB each
+BITS, MOST_BITS = 27, 29  # of the bitmaps: 16 MB each, at most 64 MB
 
 FOUND = "bucket long, hull long, doc_id long, row long, first int, strings int"
-EARLIEST = ["first_doc", "first_row", "first_at"]
 
 
 class Prefix:
@@ -110,7 +110,8 @@ def pointers(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, q: int
     new[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(at)) - 1
-    return Pointers(row[begin], at[begin], grams[at[begin]], string[begin], string[end], prefix)
+    bucket = mix64(grams[at[begin]])  # a least gram's own hash is a small number, which would crowd the bitmaps
+    return Pointers(row[begin], at[begin], bucket, string[begin], string[end], prefix)
 
 
 def _rows(batches: Iterator[pa.RecordBatch], most: int = SLICE) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
@@ -156,10 +157,10 @@ def hull_id(p: Pointers, kept: np.ndarray) -> np.ndarray:
     return mix64(p.prefix(first, last + LENGTH) + shape * np.uint64(UNBASE))
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], shared: np.ndarray, mixed: np.ndarray, earliest: np.ndarray, piece: int) -> Iterator[pa.RecordBatch]:
+def _stretches(batches: Iterator[pa.RecordBatch], mixed: np.ndarray, earliest: np.ndarray, piece: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the earliest hulls in buckets of several kinds of hull."""
     for rows, ids, data, offsets, p in _pointers(batches, piece):
-        kept = np.flatnonzero(in_bitmap(shared, p.bucket) & in_bitmap(mixed, p.bucket))
+        kept = np.flatnonzero(in_bitmap(mixed, p.bucket))
         first = p.first[kept] - offsets[p.row[kept]]
         kept = kept[in_bitmap(earliest, place_key(rows[p.row[kept]], first))]
         row, first, last = p.row[kept], p.first[kept], p.last[kept]
@@ -229,15 +230,32 @@ def _keys(frame: DataFrame, make, *bitmaps: SentBitmap) -> DataFrame:
     return frame.mapInArrow(run, "key long")
 
 
-def classes(found: DataFrame, kind: list[str]) -> DataFrame:
-    """The earliest member of each class of equal hulls."""
-    earliest = F.min(F.struct("doc_id", "row", "first")).alias("e")
-    return found.groupBy("bucket", *kind).agg(earliest).select("bucket", *kind, F.col("e.doc_id").alias("first_doc"), F.col("e.row").alias("first_row"), F.col("e.first").alias("first_at"))
+def _listed(frame: DataFrame, make, names: list[str], bitmap: SentBitmap) -> DataFrame:
+    """The rows whose key, made from the named columns, is in the bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {name: batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False) for name in names}
+            yield batch.filter(pa.array(in_bitmap(bitmap.value, make(columns))))
+
+    return frame.mapInArrow(run, frame.schema)
+
+
+def bits_for(values: int) -> int:
+    """Eight bits a value and more, between the least and the most."""
+    return max(BITS, min(MOST_BITS, (8 * values).bit_length()))
+
+
+def classes(found: DataFrame, kind: list[str], *more: str) -> DataFrame:
+    """The earliest member of each class of equal hulls, and how many there are."""
+    earliest = F.min(F.struct("doc_id", "row", "first", *more)).alias("e")
+    place = [F.col("e.row").alias("first_row"), F.col("e.first").alias("first_at"), *(f"e.{name}" for name in more)]
+    return found.groupBy("bucket", *kind).agg(earliest, F.count("*").alias("members")).select("bucket", *kind, *place, "members")
 
 
 def repeats(found: DataFrame, earliest: DataFrame, kind: list[str]) -> DataFrame:
     """The spans (row, start, stop) of members that aren't their class's earliest."""
-    met = found.join(earliest, ["bucket", *kind])
+    met = found.join(earliest.filter("members > 1"), ["bucket", *kind])
     later = (F.col("row") != F.col("first_row")) | (F.col("first") != F.col("first_at"))
     return met.filter(later).select("row", F.col("first").alias("start"), (F.col("first") + F.col("strings") - 1 + LENGTH).alias("stop"))
 
@@ -252,43 +270,50 @@ def repeated_spans(docs: DataFrame, piece: int = PIECE) -> list[DataFrame]:
     spark = docs.sparkSession
     send = lambda bitmap: SentBitmap(spark, bitmap)
     counted = docs.mapInArrow(lambda b: _buckets(b, piece), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    shared = send(bitmap_of(counted.filter("n > 1"), "bucket", BITS))
-    free_shuffles(spark)
+    several_pointers = materialise(counted.filter("n > 1").select("bucket"), "shared-buckets")
+    shared = send(bitmap_of(several_pointers, "bucket", bits_for(several_pointers.count())))
+    discard(several_pointers)
 
     found = materialise(docs.mapInArrow(lambda b: _hulls(b, shared.value, piece), FOUND), "hulls")
     earliest = materialise(classes(found, ["hull"]), "earliest-hulls")
     spans = [materialise(repeats(found, earliest, ["hull"]), "hull-spans")]
-    mixed = send(bitmap_of(several(earliest, ["bucket"], "hull"), "bucket", BITS))
+    shared.destroy()
+    bits = bits_for(earliest.count())
+    mixed = send(bitmap_of(several(earliest, ["bucket"], "hull"), "bucket", bits))
     firsts = _keys(
         earliest.select("bucket", "first_row", "first_at"),
         lambda c, mixed: place_key(c["first_row"], c["first_at"])[in_bitmap(mixed, c["bucket"].view(np.uint64))],
         mixed,
     )
-    chosen = send(bitmap_of(firsts, "key", BITS))
+    chosen = send(bitmap_of(firsts, "key", bits))
     discard(found, earliest)
 
-    stretches = materialise(docs.mapInArrow(lambda b: _stretches(b, shared.value, mixed.value, chosen.value, piece), STRETCH), "stretches")
-    for bitmap in (shared, mixed, chosen):
+    stretches = materialise(docs.mapInArrow(lambda b: _stretches(b, mixed.value, chosen.value, piece), STRETCH), "stretches")
+    for bitmap in (mixed, chosen):
         bitmap.destroy()
     wider, active = LENGTH, None
     for width in LEVELS:
         blocks = materialise(stretches.mapInArrow(lambda b, w=width, o=wider, a=active: _blocks(b, w, o, a.value if a else None), BLOCK), f"blocks-{width}")
         kind = ["core", "hull"]
         # the class's earliest member also tells its pointer, which names it at the next level
-        earliest = blocks.groupBy("bucket", *kind).agg(F.min(F.struct("doc_id", "row", "first", "pointer")).alias("e"))
-        earliest = materialise(earliest.select("bucket", *kind, F.col("e.row").alias("first_row"), F.col("e.first").alias("first_at"), F.col("e.pointer").alias("pointer")), f"earliest-{width}")
-        spans.append(materialise(repeats(blocks.drop("pointer"), earliest.drop("pointer"), kind), f"spans-{width}"))
+        earliest = materialise(classes(blocks, kind, "pointer"), f"earliest-{width}")
+        bits = bits_for(earliest.count())
+        # most classes have one member, so only the others' go to the join
+        repeated = send(bitmap_of(_keys(earliest.filter("members > 1").select("bucket", *kind), class_key), "key", bits))
+        again = _listed(blocks.drop("doc_id", "pointer"), class_key, ["bucket", *kind], repeated)
+        spans.append(materialise(repeats(again, earliest.drop("pointer"), kind), f"spans-{width}"))
+        repeated.destroy()
         if active:
             active.destroy()
         if width > 1:
             cores = _keys(several(earliest, ["bucket", "core"], "hull").select("bucket", "core"), lambda c: core_key(c["bucket"], c["core"]))
-            open_cores = send(bitmap_of(cores, "key", BITS))
+            open_cores = send(bitmap_of(cores, "key", bits))
 
             def open_blocks(c: dict, cores: np.ndarray, width: int = width) -> np.ndarray:
                 kept = in_bitmap(cores, core_key(c["bucket"], c["core"]))
                 return block_key(c["first_row"], c["pointer"], (c["pointer"].astype(np.int64) - c["first_at"]) // width)[kept]
 
-            active = send(bitmap_of(_keys(earliest.select("bucket", "core", "first_row", "first_at", "pointer"), open_blocks, open_cores), "key", BITS))
+            active = send(bitmap_of(_keys(earliest.select("bucket", "core", "first_row", "first_at", "pointer"), open_blocks, open_cores), "key", bits))
             open_cores.destroy()
         discard(blocks, earliest)
         wider = width
@@ -300,6 +325,11 @@ def core_key(bucket: np.ndarray, core: np.ndarray) -> np.ndarray:
     return mix64(bucket.view(np.uint64) * np.uint64(BASE) + core.view(np.uint64))
 
 
+def class_key(c: dict) -> np.ndarray:
+    """Names a class of blocks with equal cores and hulls."""
+    return mix64(core_key(c["bucket"], c["core"]) + c["hull"].view(np.uint64) * np.uint64(UNBASE))
+
+
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -317,6 +347,18 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[begin, 0], reach[np.append(begin[1:], len(spans)) - 1]], 1)
 
 
+def _merged_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's list of spans, merged."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cuts = [merged(np.stack([listed.values.field(n).to_numpy() for n in ("start", "stop")], 1)) for listed in batch.column(1)]
+        offsets = np.cumsum([0, *(len(c) for c in cuts)])
+        flat = np.concatenate(cuts).astype(np.int32)
+        spans = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], names=["start", "stop"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)], names=["row", "spans"])
+
+
 def remove_repeats(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     """One row per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     spark = docs.sparkSession
@@ -325,9 +367,10 @@ def remove_repeats(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     union = spans[0]
     for more in spans[1:]:
         union = union.unionByName(more)
-    by_row = materialise(union.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "row-spans")
+    lists = union.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    by_row = materialise(lists.mapInArrow(_merged_lists, "row long, spans array<struct<start:int,stop:int>>"), "row-spans")
     discard(*spans)
-    touched = SentBitmap(spark, bitmap_of(_keys(by_row.select("row"), lambda c: place_key(c["row"], np.zeros(len(c["row"]), np.int64))), "key", BITS))
+    touched = SentBitmap(spark, bitmap_of(_keys(by_row.select("row"), lambda c: place_key(c["row"], np.zeros(len(c["row"]), np.int64))), "key", bits_for(by_row.count())))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts that lose something keep their bytes, the others only their digest."""
@@ -346,11 +389,9 @@ def remove_repeats(docs: DataFrame, piece: int = PIECE) -> DataFrame:
                 keep = np.ones(len(raw), np.bool_)
                 runs.append(0)
                 if listed.is_valid and len(listed.values):
-                    flat = listed.values
-                    cuts = merged(np.stack([flat.field("start").to_numpy(), flat.field("stop").to_numpy()], 1).astype(np.int64))
-                    for a, b in cuts.tolist():
+                    for a, b in zip(listed.values.field("start").to_pylist(), listed.values.field("stop").to_pylist()):
                         keep[a:b] = False
-                    runs[-1] = len(cuts)
+                    runs[-1] = len(listed.values)
                 sizes.append(len(raw))
                 removed.append(len(raw) - int(keep.sum()))
                 digests.append(hashlib.sha256(np.frombuffer(raw, np.uint8)[keep].tobytes()).hexdigest())

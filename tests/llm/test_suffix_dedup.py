@@ -111,3 +111,32 @@ def test_whole_documents_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     got = suffix_dedup.remove_repeats(docs)
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+
+
+def test_buckets_are_spread_over_the_bitmap():
+    data = np.random.default_rng(3).integers(97, 123, 200_000, dtype=np.uint8)
+    p = suffix_dedup.pointers(data, np.array([0, len(data)]))
+    shares = np.bincount((p.bucket >> np.uint64(60)).astype(np.int64), minlength=16) / len(p.bucket)
+    assert shares.min() > 0.04 and shares.max() < 0.09  # all in the lowest sixteenth, if named by the least gram's hash
+
+
+def test_spans_travel_merged(spark, monkeypatch):
+    ship_code(spark)
+    lists, keep = [], suffix_dedup.materialise
+
+    def seen(frame, name):
+        table = keep(frame, name)
+        if name == "row-spans":
+            lists.extend(len(r["spans"]) for r in table.collect())
+        return table
+
+    monkeypatch.setattr(suffix_dedup, "materialise", seen)
+    passage = words(random.Random(5), 300)
+    rows = [(1, passage), (2, passage), (3, passage[40:] + words(random.Random(6), 20) + passage[:400])]
+    assert run(spark, rows) == brute(rows)
+    assert sorted(lists) == [1, 2]
+
+
+@pytest.mark.parametrize("values, bits", [(0, 27), (1 << 23, 27), (1 << 25, 29), (1 << 40, 29)])
+def test_bitmaps_grow_with_their_values(values, bits):
+    assert suffix_dedup.bits_for(values) == bits
